@@ -116,6 +116,16 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ).alias("tags"),
         F.transform("_g", lambda g: g["g"]).alias("associatedGroups"),
+        F.transform(
+            "_g",
+            lambda g: F.struct(
+                F.when(g["pos"] % 2 == 0, "VirusTotal").otherwise("Shodan").alias("type"),
+                F.when(g["pos"] % 2 == 0, g["part"] % 40).alias("vtMaliciousCount"),
+                F.array(F.concat(F.lower(g["g"]["name"]), F.lit(".example"))).alias("domains"),
+                F.array(g["g"]["type"]).alias("tags"),
+                F.when(g["pos"] % 2 == 1, F.concat(F.lit("C"), text(g["supp"] % 9))).alias("country"),
+            ),
+        ).alias("enrichment"),
     )
     return record_rows(spark, sf_dir).join(nested, "id", "left")
 
@@ -145,12 +155,8 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 4 != 0, (key % 60)).alias("vt_count"),
         (F.col("c_nationkey") * 4).cast("double").alias("confidence"),
         (key % 6).cast("double").alias("rating"),
-        F.transform(
-            F.filter(
-                F.array(*[F.struct(F.lit(p).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(PARTNERS)]),
-                lambda s: F.shiftright(F.col("c_custkey"), s["i"]) % 2 == 1,
-            ),
-            lambda s: s["p"],
+        F.array_compact(
+            F.array(*[F.when(F.shiftright(key, i) % 2 == 1, F.lit(p)) for i, p in enumerate(PARTNERS)])
         ).alias("partners"),
         F.date_sub(F.lit(AS_OF).cast("date"), (key % 120).cast("int")).alias("last_observed"),
         F.lit("VT score: ").alias("_vt"),

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from ..functions.columns import percent_text
+
 HORIZONS = (1, 7, 14, 30, 45)
 # fixed ensemble weights: logistic, boosted trees, Weibull, exponential
 WEIGHTS = {"logistic": 0.30, "boosted": 0.25, "weibull": 0.25, "exp": 0.20}
@@ -57,12 +59,6 @@ def confidence_band(df: DataFrame, horizon: int, probability: str | None = None)
     )
 
 
-def percent_text(share: Column) -> Column:
-    """Share as ``12.34%``: times 100, kept within 0–100, two decimals, halves to even."""
-    clipped = F.least(F.greatest(share * 100, F.lit(0.0)), F.lit(100.0))
-    return F.concat(F.bround(clipped, 2).cast("string"), F.lit("%"))
-
-
 def forecast_report(
     df: DataFrame, panel: DataFrame, horizons: Sequence[int] = HORIZONS,
     keys: Sequence[str] = ("OpDiv", "indicator"),
