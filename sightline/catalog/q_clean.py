@@ -213,10 +213,10 @@ def _(spark, sf):
     return clean.extract_vt_score(score_rows(spark, sf)).select("indicator", "explanation", "vt_score")
 
 
-@register("report_indicator_from_name", """SELECT DISTINCT CASE WHEN s_suppkey % 2 = 0 THEN 'h' || CAST(s_suppkey % 40 AS VARCHAR) || '.example.com' ELSE '10.1.0.' || CAST(s_suppkey % 40 AS VARCHAR) END AS indicator FROM supplier WHERE s_suppkey % 5 <> 0""")
+@register("report_indicator_from_name", """SELECT DISTINCT CASE WHEN s_suppkey % 2 = 0 THEN 'h' || CAST(s_suppkey % 40 AS VARCHAR) || '.example.com' ELSE '10.1.0.' || CAST(s_suppkey % 40 AS VARCHAR) END AS indicator FROM supplier WHERE s_nationkey <> 3""")
 def _(spark, sf):
     key = F.col("s_suppkey")
-    part = F.when(key % 5 == 0, F.lit("Summary")).when(
+    part = F.when(F.col("s_nationkey") == 3, F.lit("Summary")).when(
         key % 2 == 0, F.concat(F.lit("I&W_Report_h"), text(key % 40), F.lit(".example.com"))
     ).otherwise(F.concat(F.lit("I&W_Report_10.1.0."), text(key % 40)))
     names = table(spark, sf, "supplier").select(F.concat(part, F.lit(".docx")).alias("file"))

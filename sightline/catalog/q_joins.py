@@ -93,13 +93,14 @@ def _(spark, sf):
     return tidy(out, "indicator", "last_observed", "period")
 
 
-@register("keyphrase_join", """WITH p AS (SELECT item_id, substr(text, 1, 20) AS phrase FROM benchmark
-   UNION ALL SELECT item_id + 1000, upper(substr(text, 10, 5)) FROM benchmark)
+# whole benchmark passages, and their last two words as short phrases
+@register("keyphrase_join", """WITH p AS (SELECT item_id, text AS phrase FROM benchmark
+   UNION ALL SELECT item_id, upper(regexp_extract(text, '[^ ]+ [^ ]+$')) FROM benchmark)
   SELECT doc_id, item_id, phrase FROM documents JOIN p ON contains(lower(text), lower(phrase))""")
 def _(spark, sf):
     bench = table(spark, sf, "benchmark")
-    phrases = bench.select("item_id", F.substring("text", 1, 20).alias("phrase")).unionByName(
-        bench.select((F.col("item_id") + 1000).alias("item_id"), F.upper(F.substring("text", 10, 5)).alias("phrase"))
+    phrases = bench.select("item_id", F.col("text").alias("phrase")).unionByName(
+        bench.select("item_id", F.upper(F.regexp_extract("text", "[^ ]+ [^ ]+$", 0)).alias("phrase"))
     )
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return joins.keyphrase_join(docs, phrases).select("doc_id", "item_id", "phrase")

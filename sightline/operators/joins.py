@@ -116,30 +116,36 @@ def keyphrase_join(
 ) -> DataFrame:
     """(text row, phrase) pairs where the phrase occurs literally, ignoring case.
 
-    Equi-join on fixed-length pieces instead of comparing all pairs: the phrase contributes its
-    first ``gram`` characters, the text all its distinct pieces of that length, and the full phrase
-    is checked on the candidates.  Shorter phrases are matched on pieces of their own length, so
-    the text is only cut at the lengths that occur among the phrases.
+    An equi-join on an anchor replaces the comparison of all pairs, and the whole phrase is then
+    checked on the candidates.  A word with separators on both sides inside the phrase must be a
+    whole word of the text, so the longest such word is the anchor.  Phrases without one are
+    anchored on their first ``gram`` characters (or all of them, if shorter); the text is cut at
+    every position, but only at the lengths that occur among those phrases.
     """
-    # the distinct anchor lengths are at most ``gram`` numbers
-    anchored = phrases.select(
-        "*", F.lower(phrase).alias("_phrase")
-    ).withColumn("_anchor", F.substring("_phrase", 1, gram)).where(F.length("_anchor") > 0)
-    lengths = anchored.select(F.array_sort(F.collect_set(F.length("_anchor")))).scalar()
-    low, n = F.lower(text), F.col("_n")
-    starts = F.sequence(F.lit(1), F.length(low) - n + 1)
-    sized = (
+    ready = phrases.withColumn("_phrase", F.lower(phrase)).where(F.length("_phrase") > 0)
+    inner = F.regexp_extract_all(
+        "_phrase", F.lit(r"(?<=[^\p{L}\p{N}])([\p{L}\p{N}]+)(?=[^\p{L}\p{N}])"), F.lit(1)
+    )
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    ready = ready.withColumn("_anchor", longest["w"])
+    by_word = ready.where("_anchor IS NOT NULL")
+    by_gram = ready.where("_anchor IS NULL").withColumn("_anchor", F.substring("_phrase", 1, gram))
+
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    word_side = texts.withColumn("_anchor", F.explode(words))
+    # at most ``gram`` different lengths
+    lengths = by_gram.select(F.array_sort(F.collect_set(F.length("_anchor")))).scalar()
+    pieces = F.regexp_extract_all(
+        F.lower(text), F.concat(F.lit("(?s)(?=(.{"), F.col("_n").cast("string"), F.lit("}))")), F.lit(1)
+    )
+    gram_side = (
         texts.withColumn("_lengths", lengths)
         .withColumn("_n", F.explode("_lengths"))
-        .where(F.length(text) >= n)
-    )
-    pieces = F.array_distinct(F.transform(starts, lambda i: F.substr(low, i, n)))
-    cut = sized.withColumn("_anchor", F.explode(pieces)).drop("_lengths", "_n")
-    return (
-        cut.join(anchored, "_anchor")
-        .where(F.lower(F.col(text)).contains(F.col("_phrase")))
-        .drop("_anchor", "_phrase")
+        .withColumn("_anchor", F.explode(F.array_distinct(pieces)))
+        .drop("_lengths", "_n")
     )
+    found = word_side.join(by_word, "_anchor").unionByName(gram_side.join(by_gram, "_anchor"))
+    return found.where(F.lower(F.col(text)).contains(F.col("_phrase"))).drop("_anchor", "_phrase")
 
 
 def compare_snapshots(prev: DataFrame, curr: DataFrame, key: str, value: str) -> DataFrame:
