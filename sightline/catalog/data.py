@@ -163,6 +163,45 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("explanation", F.concat("_vt", text("vt_count"), F.lit("."))).drop("_vt")
 
 
+def score_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring inputs: one row per customer, with gaps, caps and flags of every kind."""
+    key, balance = F.col("c_custkey"), F.col("c_acctbal")
+    sources = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.array_sort(F.collect_set("o_orderpriority")).alias("sources")
+    )
+
+    def cases(mod: int, values: list[str]) -> Column:
+        out = F.array().cast("array<string>")
+        for rest, value in enumerate(values):
+            out = F.when(key % mod == rest, F.array(F.lit(value))).otherwise(out)
+        return out
+
+    rows = table(spark, sf_dir, "customer").join(sources, key == F.col("o_custkey"), "left")
+    return rows.select(
+        text(key).alias("indicator"),
+        _pick(key, TYPES).alias("indicator_type"),
+        F.date_sub(F.lit(AS_OF).cast("date"), (key % 120).cast("int")).alias("last_observed"),
+        F.array_compact(
+            F.array(*[F.when(F.shiftright(key, i) % 2 == 1, F.lit(p)) for i, p in enumerate(PARTNERS)])
+        ).alias("partners"),
+        "sources",
+        F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("Actor "), text(key % 10))).alias("threat_actor"),
+        F.when(key % 6 == 0, F.concat(F.lit("Incident:INC"), text(key))).when(key % 6 == 1, "None").alias("incident"),
+        F.when(key % 4 != 0, key % 60).alias("vt_count"),
+        (key % 400).alias("obs_days"),
+        F.when(key % 9 != 0, (key % 8).cast("double")).alias("rating"),
+        F.when(key % 10 != 0, (key % 130).cast("double")).alias("confidence"),
+        (balance * 0.1234567).alias("cal_score"),
+        (balance * 0.0987653).alias("external_score"),
+        (key % 3).alias("false_positives"),
+        cases(7, ["tor", "monitor", "masscan"]).alias("tag_names"),
+        cases(11, ["TOR activity", "Web Scanner"]).alias("enrich_tags"),
+        cases(13, ["DDoS"]).alias("botnet_tags"),
+        F.when(key % 3 != 0, F.date_sub(F.lit(AS_OF).cast("date"), (key % 40).cast("int"))).alias("firstseen_date"),
+        (key % 17 == 0).alias("mass_scanner"),
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # The same tables as SQL
 # ---------------------------------------------------------------------------------------------
@@ -211,6 +250,19 @@ CTES = {
         DATE '2024-01-30' - CAST(c_custkey % 120 AS INT) AS last_observed,
         'VT score: ' || CAST(CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 60 END AS VARCHAR) || '.'
           AS explanation FROM customer)""",
+    "inputs": f"""inputs AS (SELECT CAST(c_custkey AS VARCHAR) AS indicator, {_TYPE_LIST}[c_custkey % 5 + 1] AS indicator_type,
+        DATE '2024-01-30' - CAST(c_custkey % 120 AS INT) AS last_observed, bit_count(CAST(c_custkey & 31 AS INT)) AS pn,
+        coalesce(s.n, 0) AS sn, s.s AS sources, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Actor ' || CAST(c_custkey % 10 AS VARCHAR) END AS actor,
+        CASE WHEN c_custkey % 6 = 0 THEN 'Incident:INC' || CAST(c_custkey AS VARCHAR) END AS incident,
+        CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 60 END AS vt_count, c_custkey % 400 AS obs_days,
+        CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey % 8 AS DOUBLE) END AS rating,
+        CASE WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey % 130 AS DOUBLE) END AS confidence,
+        c_acctbal * 0.1234567 AS cal_score, c_acctbal * 0.0987653 AS external_score, c_custkey % 3 AS fp,
+        c_custkey % 7 = 0 OR c_custkey % 11 = 0 AS tor_word, c_custkey % 7 IN (0, 1) OR c_custkey % 11 = 0 AS tor_sub,
+        c_custkey % 7 = 2 OR c_custkey % 11 = 1 AS scanner, c_custkey % 13 = 0 AS botnet, c_custkey % 17 = 0 AS mass,
+        CASE WHEN c_custkey % 3 <> 0 THEN DATE '2024-01-30' - CAST(c_custkey % 40 AS INT) END AS first_seen
+        FROM customer LEFT JOIN (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n,
+          string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS s FROM orders GROUP BY 1) s ON c_custkey = s.o_custkey)""",
     # dense per-(partner, indicator) daily panel of indicators seen on at least two days
     "panel": """days AS (SELECT OpDiv, indicator, obs_date AS date, sum(observations) AS observations
           FROM obs GROUP BY ALL),
