@@ -8,5 +8,6 @@ from . import (  # noqa: F401  (importing a section registers its queries)
     q_ingest,
     q_joins,
     q_scoring,
+    q_text,
     q_timeseries,
 )
