@@ -7,7 +7,9 @@ from . import (  # noqa: F401  (importing a section registers its queries)
     q_feeds,
     q_ingest,
     q_joins,
+    q_models,
     q_scoring,
+    q_streams,
     q_text,
     q_timeseries,
 )

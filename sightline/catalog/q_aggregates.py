@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from ..functions import columns as fx
 from ..operators import aggregates as ag
 from ..operators.joins import recency_range_join
+from ..operators.timeseries import dense_panel, temporal_features
 from .data import (
     AS_OF, observations, record_rows, records, score_rows, table, tag_dimension, tag_rows, text, with_tables,
 )
+from .q_timeseries import _F7, _F14, _STREAK, PANEL, W
 from .registry import register
 from .tidy import d, i, r, tidy
 
@@ -157,14 +159,20 @@ def _(spark, sf):
     return tidy(ag.describe_partners(score_rows(spark, sf)))
 
 
-_MS = ("l_quantity", "l_extendedprice", "l_discount")
+_MS = ("observations", "seen_streak", "volatility_ratio", "obs_ratio_spike", "seen_ratio_diff", "rolling_seen_ratio_7d", "rolling_obs_7d")
+_STATS = (("mean", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min"))
 
 
-@register("multi_stat_features", f"""SELECT l_suppkey, {', '.join(f"{r(f'{fn}({c})')} AS {c}_{nm}" for c in _MS for nm, fn in (('mean', 'avg'), ('std', 'stddev_samp'), ('max', 'max'), ('min', 'min')))},
-  {r('max(l_quantity) - min(l_quantity)')} AS l_quantity_range, {r('stddev_samp(l_quantity) / nullif(avg(l_quantity), 0)')} AS l_quantity_variation,
-  {r('max(l_quantity) / nullif(avg(l_quantity), 0)')} AS l_quantity_peak FROM lineitem GROUP BY 1""")
+@register("multi_stat_features", f"""{PANEL}, {_STREAK},
+  t AS (SELECT *, coalesce(ratio - lag(ratio, 7) {W}), 0) AS seen_ratio_diff, o14 / (o7 + 1e-6) AS obs_ratio_spike, coalesce(sd / (ratio + 1e-5), 0) AS volatility_ratio, o7 AS rolling_obs_7d, r7 AS rolling_seen_ratio_7d
+    FROM (SELECT *, avg(seen) {_F14} AS ratio, stddev_samp(seen) {_F14} AS sd, avg(observations) {_F14} AS o14, avg(observations) {_F7} AS o7, avg(seen) {_F7} AS r7 FROM streak)),
+  g AS (SELECT indicator, {', '.join(f"coalesce({fn}({c}), 0) AS {c}_{nm}" for c in _MS for nm, fn in _STATS)} FROM t GROUP BY 1)
+  SELECT indicator, {', '.join(f"{r(f'{c}_{nm}')} AS {c}_{nm}" for c in _MS for nm, _ in _STATS)}, {r('seen_streak_mean * volatility_ratio_mean')} AS streak_volatility,
+  {r('obs_ratio_spike_mean - seen_ratio_diff_mean')} AS obs_spike_diff, {r('rolling_seen_ratio_7d_mean / (rolling_obs_7d_mean + 1e-6)')} AS rolling_ratio_diff FROM g""")
 def _(spark, sf):
-    return tidy(ag.multi_stat_features(table(spark, sf, "lineitem"), "l_suppkey", _MS))
+    rows = temporal_features(dense_panel(observations(spark, sf), AS_OF))
+    out = ag.multi_stat_features(rows, "indicator", _MS)
+    return tidy(out.select("indicator", *[F.col(c).cast("double").alias(c) for c in out.columns if c != "indicator"]))
 
 
 @register("score_distribution", f"""{SCORES} SELECT count(score) AS count, {r('avg(score)')} AS mean, {r('stddev_samp(score)')} AS std, {r('skewness(score)')} AS skew,

@@ -194,13 +194,12 @@ def _daily_reports(spark, sf):
 
 _RESOLVED = f"""{_LOG},
  rep AS (SELECT OpDiv AS p, indicator AS ind, obs_date + 20 AS fd, max(CASE WHEN observations % 4 = 0 THEN 0 ELSE 1 END) AS s FROM obs GROUP BY ALL),
- repday AS (SELECT DISTINCT p, fd FROM rep),
+ repday AS (SELECT DISTINCT fd FROM rep),
  resolved AS (SELECT log.* REPLACE (
     trim(regexp_replace("Confidence", '^\\d+-Day:\\s*', '')) AS "Confidence",
-    CASE WHEN "Outcome" = 'Pending' AND rep.s = 1 THEN 'Seen' WHEN "Outcome" = 'Pending' AND repday.p IS NOT NULL THEN 'Not Seen'
-      ELSE "Outcome" END AS "Outcome")
+    CASE WHEN rep.s = 1 THEN 'Seen' WHEN repday.fd IS NOT NULL THEN 'Not Seen' ELSE "Outcome" END AS "Outcome")
   FROM log LEFT JOIN rep ON "Partner" = rep.p AND "Indicator" = rep.ind AND "Forecasted Check Date" = rep.fd
-  LEFT JOIN repday ON "Partner" = repday.p AND "Forecasted Check Date" = repday.fd)"""
+  LEFT JOIN repday ON "Forecasted Check Date" = repday.fd)"""
 
 
 @register("resolve_outcomes", f"{_RESOLVED} SELECT {_LOG_COLS} FROM resolved")

@@ -239,19 +239,27 @@ def describe_partners(df: DataFrame, partners: str = "partners", value: str = "s
 
 
 def multi_stat_features(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Mean, std, max and min of every column per key, and three ratios for the clustering."""
+    """Mean, std, max and min of every column per key, gaps as 0.
+
+    Where the temporal features are among the columns, three derived features are added.
+    """
     stats = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
     out = df.groupBy(key).agg(
-        *[fn(c).alias(f"{c}_{name}") for c in cols for name, fn in stats.items()]
-    )
-    first = cols[0]
-    return out.withColumns(
-        {
-            f"{first}_range": F.col(f"{first}_max") - F.col(f"{first}_min"),
-            f"{first}_variation": F.col(f"{first}_std") / F.nullif(F.col(f"{first}_mean"), F.lit(0)),
-            f"{first}_peak": F.col(f"{first}_max") / F.nullif(F.col(f"{first}_mean"), F.lit(0)),
-        }
-    )
+        *[F.coalesce(fn(c), F.lit(0)).alias(f"{c}_{name}") for c in cols for name, fn in stats.items()]
+    )
+    derived = {
+        "streak_volatility": lambda a, b: a * b,
+        "obs_spike_diff": lambda a, b: a - b,
+        "rolling_ratio_diff": lambda a, b: a / (b + F.lit(1e-6)),
+    }
+    parts = (
+        ("seen_streak", "volatility_ratio"), ("obs_ratio_spike", "seen_ratio_diff"),
+        ("rolling_seen_ratio_7d", "rolling_obs_7d"),
+    )
+    for (name, combine), (left, right) in zip(derived.items(), parts):
+        if left in cols and right in cols:
+            out = out.withColumn(name, combine(F.col(f"{left}_mean"), F.col(f"{right}_mean")))
+    return out
 
 
 def sample_skew(value: str) -> Column:

@@ -123,31 +123,36 @@ def forecast_log(
     return rows.join(seen, keys, "left").withColumn("Outcome", outcome).drop("_seen")
 
 
+def _norm(value: Column) -> Column:
+    return F.lower(F.trim(value))
+
+
 def resolve_outcomes(log: DataFrame, reports: DataFrame) -> DataFrame:
-    """Settle pending rows from later daily reports of the same partner.
+    """Settle forecasts from the daily reports of their check day.
 
-    Seen when any report row of the check day has ``Observed Today`` = 1, Not Seen when the
-    partner reported that day without a sighting; rows without a report that day stay as they are.
+    Seen when a report row of the same partner and indicator has ``Observed Today`` = 1, else Not
+    Seen; rows whose check day has no report at all stay as they are.
     """
-    label = F.regexp_replace("Confidence", r"^\d+-Day:\s*", "")
-    log = log.withColumn("Confidence", F.trim(label))
-    seen = reports.groupBy(
-        "Partner", "Indicator", F.col("FileDate").alias("Forecasted Check Date")
-    ).agg(F.max("Observed Today").alias("_seen"))
-    # one row per partner and report day
-    reported = reports.select(
-        "Partner", F.col("FileDate").alias("Forecasted Check Date"), F.lit(True).alias("_reported")
-    ).distinct()
-    joined = log.join(
-        seen, ["Partner", "Indicator", "Forecasted Check Date"], "left"
-    ).join(reported, ["Partner", "Forecasted Check Date"], "left")
-    pending = F.col("Outcome") == "Pending"
-    settled = (
-        F.when(pending & (F.col("_seen") == 1), "Seen")
-        .when(pending & F.col("_reported"), "Not Seen")
-        .otherwise(F.col("Outcome"))
+    log = log.withColumn("Confidence", F.trim(F.regexp_replace("Confidence", r"^\d+-Day:\s*", "")))
+    keys = [F.col(c).alias(f"_{c}") for c in ("p", "i", "d")]
+    seen = reports.select(
+        _norm(F.col("Partner")).alias("p"), _norm(F.col("Indicator")).alias("i"),
+        F.col("FileDate").alias("d"), "`Observed Today`",
+    ).groupBy(*keys).agg(F.max("Observed Today").alias("_seen"))
+    # one row per report day
+    days = reports.select(F.col("FileDate").alias("Forecasted Check Date")).distinct()
+    days = days.withColumn("_reported", F.lit(True))
+    matched = log.join(
+        seen,
+        (_norm(F.col("Partner")) == F.col("_p"))
+        & (_norm(F.col("Indicator")) == F.col("_i"))
+        & (F.col("Forecasted Check Date") == F.col("_d")),
+        "left",
+    ).join(days, "Forecasted Check Date", "left")
+    settled = F.when(F.col("_seen") == 1, "Seen").when(F.col("_reported"), "Not Seen")
+    return matched.withColumn("Outcome", settled.otherwise(F.col("Outcome"))).drop(
+        "_p", "_i", "_d", "_seen", "_reported"
     )
-    return joined.withColumn("Outcome", settled).drop("_seen", "_reported")
 
 
 def forecast_feedback(log: DataFrame, master: DataFrame) -> DataFrame:

@@ -41,49 +41,60 @@ def add_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_numbe
     )
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+def running_totals(
+    df: DataFrame, value: str, cols: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Linear-interpolated quantiles per group: columns ``q0, q1 …`` plus ``n``.
+    """Add ``<c>_before`` (sum over smaller values) and ``<c>_all`` per group.
 
-    The built-in exact percentile keeps a map of all distinct values of a group in one task; here
-    equal values are counted first and the counts are range-partitioned, so a group with any
-    number of distinct values is spread over all tasks.
+    ``df`` holds one row per group and value.  Each range-partitioned slice sums on its own; only
+    one row per slice and group is combined to get the offsets.
     """
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = pin(
-        counts.repartitionByRange(partitions, *[F.col(c) for c in by], F.col(value)).withColumn(
+        df.repartitionByRange(partitions, *[F.col(c) for c in by], F.col(value)).withColumn(
             "_slice", F.spark_partition_id()
         )
     )
-    slices = sliced.groupBy(*by, "_slice").agg(F.sum("_n").alias("_slice_n"))
+    slices = sliced.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_{c}") for c in cols])
     ordered = W.partitionBy(*by).orderBy("_slice") if by else W.orderBy("_slice")
     whole = W.partitionBy(*by) if by else W.partitionBy()
+    earlier = ordered.rowsBetween(W.unboundedPreceding, -1)
     slices = slices.select(
         *by,
         "_slice",
-        F.coalesce(
-            F.sum("_slice_n").over(ordered.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        F.sum("_slice_n").over(whole).alias("_total"),
+        *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}_offset") for c in cols],
+        *[F.sum(f"_{c}").over(whole).alias(f"{c}_all") for c in cols],
     )
     keys = [*by, "_slice"]
-    running = F.sum("_n").over(W.partitionBy(*keys).orderBy(value))
-    placed = (
-        sliced.join(slices, keys)
-        .withColumn("_end", F.col("_before") + running)
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
+    smaller = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    before = {
+        f"{c}_before": F.col(f"_{c}_offset") + F.coalesce(F.sum(c).over(smaller), F.lit(0)) for c in cols
+    }
+    return sliced.join(slices, keys).withColumns(before).drop("_slice", *[f"_{c}_offset" for c in cols])
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Linear-interpolated quantiles per group: columns ``q0, q1 …`` plus ``n``.
+
+    The built-in exact percentile keeps a map of all distinct values of a group in one task; here
+    equal values are counted first and the counts are range-partitioned, so a group with any
+    number of distinct values is spread over all tasks.
+    """
+    by = list(by)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    placed = running_totals(counts, value, ["_n"], by)
+    start, total = F.col("_n_before"), F.col("_n_all")
 
     def at(position: Column) -> Column:
-        inside = (F.col("_start") <= position) & (position < F.col("_end"))
+        inside = (start <= position) & (position < start + F.col("_n"))
         return F.max(F.when(inside, F.col(value)))
 
-    aggs = [F.max("_total").alias("n")]
+    aggs = [F.max(total).alias("n")]
     for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("_total") - 1)
+        position = F.lit(float(p)) * (total - 1)
         aggs += [
             at(F.floor(position)).alias(f"_lo{i}"),
             at(F.ceil(position)).alias(f"_hi{i}"),

@@ -265,6 +265,26 @@ def trend_ratios(panel: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     )
 
 
+def temporal_features(panel: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+    """All daily activity features of a panel, on one partitioning; nulls become 0."""
+    rows = days_since_last_seen(cumulative_seen(panel, keys), keys=keys)
+    rows = rolling_quantile_flags(trend_ratios(rows, keys), 14, keys)
+
+    def over(fn, col: str, n: int) -> Column:
+        return fn(col).over(_last_rows(keys, n))
+
+    rows = rows.withColumns(
+        {
+            "rolling_seen_ratio_14d": over(F.avg, "seen", 14),
+            "rolling_seen_std_14d": over(F.stddev_samp, "seen", 14),
+            "rolling_seen_ratio_7d": over(F.avg, "seen", 7),
+            "rolling_obs_14d": over(F.avg, "observations", 14),
+            "rolling_obs_7d": over(F.avg, "observations", 7),
+        }
+    )
+    return rows.na.fill(0, ["days_since_last_seen", "rolling_seen_std_14d"])
+
+
 def lag_features(panel: DataFrame, cols: Sequence[str], n: int, keys: Sequence[str] = SERIES) -> DataFrame:
     series = _ordered(keys)
     return panel.withColumns(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.forecast import confidence_band, exp_hazard
+from ..operators.forecast import confidence_band, ensemble_probability, exp_hazard, forecast_report
+from ..operators.models import fit_boosted, fit_logistic, fit_survival
 from ..operators.timeseries import dense_panel, recurrence_features
+from ..session import pin
 
 
 def likely_again(obs: DataFrame, as_of: str, horizon: int = 7, n: int = 100) -> DataFrame:
@@ -26,3 +30,43 @@ def likely_again(obs: DataFrame, as_of: str, horizon: int = 7, n: int = 100) ->
         .orderBy(F.col("probability").desc(), "OpDiv", "indicator")
         .limit(n)
     )
+
+
+def training_frame(obs: DataFrame, as_of: str, horizon: int, keys=("OpDiv", "indicator")) -> DataFrame:
+    """Features at ``as_of − horizon`` with ``label`` = seen in the days after that.
+
+    The label lies strictly after everything the features have seen.
+    """
+    cut = (date.fromisoformat(as_of) - timedelta(days=horizon)).isoformat()
+    features = recurrence_features(dense_panel(obs.where(F.col("obs_date") <= cut), cut, keys=keys), keys=keys)
+    later = (
+        obs.where((F.col("obs_date") > cut) & (F.col("obs_date") <= as_of) & (F.col("observations") > 0))
+        .select(*keys)
+        .distinct()
+        .withColumn("label", F.lit(1))
+    )
+    return features.join(later, list(keys), "left").withColumn("label", F.coalesce("label", F.lit(0)))
+
+
+def forecast_job(
+    obs: DataFrame, as_of: str, horizons=(1, 7, 14, 30, 45), mode: str = "out_of_sample"
+) -> DataFrame:
+    """The daily report: four models per horizon, ensemble, confidence bands.
+
+    ``mode='in_sample'`` fits on labels taken from the same window as the features.
+    """
+    panel = dense_panel(obs, as_of)
+    # every model reads the features, so they are computed once
+    features = pin(recurrence_features(panel))
+    scored = exp_hazard(features, horizons)
+    for h in horizons:
+        label = f"label_{max(h, 7)}"
+        train = features.withColumn("label", F.col(label)) if mode == "in_sample" else training_frame(obs, as_of, h)
+        train = pin(train)
+        scored = fit_logistic(train, label="label", out=f"logistic_{h}", apply_to=scored)
+        scored = fit_boosted(train, label="label", out=f"boosted_{h}", apply_to=scored)
+        scored = fit_survival(train, event="label", times=(h,), apply_to=scored)
+    scored = ensemble_probability(scored, horizons=horizons)
+    for h in horizons:
+        scored = confidence_band(scored, h)
+    return forecast_report(scored, panel, horizons)
