@@ -36,7 +36,7 @@ def score_sql(w: sc.Weights, tor: str = "tor_word", parity: bool = False) -> str
    ln(greatest(sn, 1)) * {w.sources} AS sources_part, ln(greatest(pn, 1)) * {w.partners} AS partners_part,
    CASE WHEN actor IS NOT NULL THEN {w.actor} ELSE 0.0 END AS actor_part, {clip('cal_score', 0, 1000)} / 1000 * {w.cal} AS cal_part,
    {clip('external_score', 0, 1000)} / 1000 * {w.external} AS external_part,
-   coalesce(least(greatest((14 - greatest(DATE '2024-01-30' - first_seen, 0)) / 14, 0), 1), 0) * {w.first_seen} AS first_seen_part FROM v),
+   CASE WHEN first_seen IS NULL THEN 0.0 ELSE least(greatest((14 - (DATE '2024-01-30' - first_seen)) / 14, 0), 1) END * {w.first_seen} AS first_seen_part FROM v),
  p1 AS (SELECT *, (actor IS NOT NULL)::INT + (tor > 0)::INT + (incident IS NOT NULL)::INT + (sn >= 2)::INT + (pn >= 2)::INT AS context_count FROM p0),
  parts AS (SELECT *, {bonus} AS context_bonus, scanner AND indicator_type <> 'File' AS scans FROM p1),
  r0 AS (SELECT *, ({raw}) * {clip(f"1 - {w.observation_penalty} * (least(obs_days, 365) / 365)", 0.5, 1)} * {quality} * (CASE WHEN fp > 0 THEN 0.9 ELSE 1 END)

@@ -132,7 +132,7 @@ def _report(spark, sf):
     return fc.forecast_report(out, p)
 
 
-_PCT = "CAST(CAST(round_even(least(greatest(({e}) * 100, 0.0), 100.0) * 100, 0) / 100 AS DOUBLE) AS VARCHAR) || '%'"
+_PCT = "CASE WHEN ({e}) IS NOT NULL THEN CAST(CAST(round_even(least(greatest(({e}) * 100, 0.0), 100.0) * 100, 0) / 100 AS DOUBLE) AS VARCHAR) || '%' END"
 
 
 @register("forecast_report", f"""{PANEL},{_FEATURES} SELECT f.indicator AS "Indicator", CAST(t.seen AS BIGINT) AS "Observed Today",

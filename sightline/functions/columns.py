@@ -42,7 +42,7 @@ def percent(value: Column) -> Column:
 
 def percent_text(value: Column) -> Column:
     """Share as ``12.34%``: times 100, kept within 0–100, two decimals, halves to even."""
-    clipped = F.least(F.greatest(value * 100, F.lit(0.0)), F.lit(100.0))
+    clipped = F.when(value.isNotNull(), F.least(F.greatest(value * 100, F.lit(0.0)), F.lit(100.0)))
     return F.concat((F.rint(clipped * 100) / 100).cast("string"), F.lit("%"))
 
 

@@ -164,7 +164,8 @@ def score_components(
     tags = _text("tag_names", "enrich_tags")
     tor = tags.rlike(r"\btor\b") if tor_match == "word" else tags.contains("tor")
     tor_boost = vt_present & (vt >= 10) & tor
-    age = F.greatest(F.datediff(F.lit(as_of).cast("date"), F.col("firstseen_date")), F.lit(0))
+    age = F.datediff(F.lit(as_of).cast("date"), F.col("firstseen_date"))
+    # an unknown date stays null here and counts 0; a date ahead of as_of is fully fresh
     fresh = _clip((FIRST_SEEN_DAYS - age) / FIRST_SEEN_DAYS, 0, 1)
     bonus = (
         F.when(F.col("context_count") >= 4, 25.0).when(F.col("context_count") == 3, 15.0)
