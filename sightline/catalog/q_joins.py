@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fx
 from ..operators import joins
-from .data import AS_OF, observations, record_rows, records, score_rows, table, tag_rows, text, with_tables
+from .data import AS_OF, observations, record_rows, records, score_rows, spread, table, tag_rows, text, with_tables
 from .registry import register
 from .tidy import d, i, r, tidy
 
@@ -102,7 +102,7 @@ def _(spark, sf):
     phrases = bench.select("item_id", F.col("text").alias("phrase")).unionByName(
         bench.select("item_id", F.upper(F.regexp_extract("text", "[^ ]+ [^ ]+$", 0)).alias("phrase"))
     )
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return joins.keyphrase_join(docs, phrases).select("doc_id", "item_id", "phrase")
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import text as tx
-from .data import score_rows, table, text, with_tables
+from .data import score_rows, spread, table, text, with_tables
 from .registry import register
 from .tidy import i, r, tidy
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def ordered_distinct(e: str) -> str:
@@ -56,9 +56,9 @@ def _top(order: str) -> str:
 @register("extract_keywords", f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[A-Za-z]{{4,}}') AS l FROM documents),
   x AS (SELECT doc_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM t), c AS (SELECT doc_id, token, count(*) AS n, min(pos) AS f FROM x GROUP BY ALL),
   k AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) <= 10)
-  SELECT doc_id, {_top('n DESC, f')} FROM k GROUP BY 1""")
+  SELECT d.doc_id, coalesce({_top('n DESC, f')[:-len(' AS keywords')]}, '') AS keywords FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id GROUP BY 1""")
 def _(spark, sf):
-    return tidy(tx.extract_keywords(docs(spark, sf), "text", 10))
+    return tidy(tx.extract_keywords(docs(spark, sf), "text", 10), "doc_id", "keywords")
 
 
 @register("tfidf_keywords", f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS l FROM documents),
@@ -107,13 +107,13 @@ def _head(e: str, n: int) -> str:
 @register("page_metadata", f"""SELECT page_id, regexp_extract(url, '//([^/?#]*)', 1) AS domain, nullif(trim(regexp_replace({_unescape("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)")}, '\\s+', ' ', 'g')), '') AS title_tag,
   NULL::VARCHAR AS meta_description, NULL::VARCHAR AS og_title, NULL::VARCHAR AS published_time, {_head(_visible('html'), 200)} AS excerpt FROM pages""")
 def _(spark, sf):
-    out = tx.page_metadata(table(spark, sf, "pages"))
+    out = tx.page_metadata(spread(table(spark, sf, "pages")))
     return out.select("page_id", "domain", "title_tag", "meta_description", "og_title", "published_time", "excerpt")
 
 
 @register("page_text", f"""WITH t AS (SELECT page_id, {_visible("regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1)")} AS text FROM pages) SELECT page_id, text, {_head('text', 50)} AS summary FROM t""")
 def _(spark, sf):
-    return tx.page_text(table(spark, sf, "pages")).select("page_id", "text", "summary")
+    return tx.page_text(spread(table(spark, sf, "pages"))).select("page_id", "text", "summary")
 
 
 def _urls(spark, sf):
@@ -121,7 +121,7 @@ def _urls(spark, sf):
     key, url = F.col("page_id"), F.col("url")
     noisy = F.regexp_replace(url, "^(https?)://([^/]+)", "$1://USER@$2:443")
     other = F.regexp_replace(url, "^(https?)://([^/]+)", "$1://$2:8080")
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages")).select(
         "page_id", F.when(key % 4 == 0, F.upper(url)).when(key % 4 == 1, noisy).when(key % 4 == 2, other).otherwise(F.concat(url, F.lit("//"))).alias("url")
     )
 
@@ -257,5 +257,5 @@ def _(spark, sf):
 @register("flag_long_enough", f"""WITH t AS (SELECT page_id, url, {_visible("regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1)")} AS text FROM pages)
   SELECT page_id, len(string_split(text, ' ')) >= 100 OR (contains(regexp_extract(url, '//([^/?#]*)', 1), 'spam') AND regexp_matches(text, '\\b(?:[a-zA-Z0-9-]+\\.)+[a-zA-Z]{{2,}}\\b|\\b[a-fA-F0-9]{{32}}\\b')) AS is_valid FROM t""")
 def _(spark, sf):
-    rows = tx.page_text(table(spark, sf, "pages"))
+    rows = tx.page_text(spread(table(spark, sf, "pages")))
     return tx.flag_long_enough(tx.extract_iocs(rows, "text"), iocs="iocs").select("page_id", "is_valid")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fx
 from .ordering import add_row_number
-from .timeseries import cut_at_rank
+from .timeseries import first_rows, rank_narrow
 
 
 def _sorted_set(value: Column) -> Column:
@@ -310,8 +310,10 @@ def over_representation(
     """Share of each partner in the top tiers minus its share overall."""
     rows = df
     total = df.agg(F.count("*")).scalar()
+    order = [(score, True), (key, False)]
+    ranked = rank_narrow(df, order)
     for p in tiers:
-        inside = cut_at_rank(df, [(score, True), (key, False)], F.ceil(total * F.lit(p)))
+        inside = first_rows(ranked, order, F.ceil(total * F.lit(p)))
         rows = rows.withColumn(f"_top{int(p * 100)}", inside.cast("int"))
     names = F.when(F.size(by) > 0, F.col(by)).otherwise(F.array(F.lit("No Partner")))
     marks = [f"_top{int(p * 100)}" for p in tiers]
@@ -528,8 +530,10 @@ def partner_tier_stats(
 ) -> DataFrame:
     """No / one / several partners for all rows, the top 10 % and the top 5 %, with lift."""
     total = df.agg(F.count("*")).scalar()
+    order = [(score, True), (key, False)]
+    ranked = rank_narrow(df, order)
     tiers = [F.lit("all")] + [
-        F.when(cut_at_rank(df, [(score, True), (key, False)], F.ceil(total * F.lit(p))), name)
+        F.when(first_rows(ranked, order, F.ceil(total * F.lit(p))), name)
         for p, name in ((0.10, "top_10"), (0.05, "top_5"))
     ]
     rows = df.select(

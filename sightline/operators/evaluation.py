@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import add_row_number, running_totals
-from .timeseries import cut_at_rank
+from .timeseries import first_rows, rank_narrow
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -126,7 +126,8 @@ def random_split(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42) ->
 def time_split(df: DataFrame, order: Sequence[str], frac: float = 0.8) -> DataFrame:
     """The first ``frac`` of the rows in ``order`` (ending in a unique key) train, the rest test."""
     n = F.floor(df.agg(F.count("*")).scalar() * F.lit(frac))
-    first = cut_at_rank(df, [(c, False) for c in order], n)
+    ranking = [(c, False) for c in order]
+    first = first_rows(rank_narrow(df, ranking), ranking, n)
     return df.withColumn("split", F.when(first, "train").otherwise("test"))
 
 

@@ -104,12 +104,13 @@ def warning_candidates(
         (F.col("lastObserved") >= now - F.make_dt_interval(hours=F.lit(hours)))
         & (F.col("observed_date") >= F.date_sub(now.cast("date"), days))
     )
-    kept = recent.join(_per_indicator(recent), "indicator").where(
-        (F.col("partner_count") >= k)
-        & (F.col("observations") < max_obs)
+    wanted = recent.where(
+        (F.col("observations") < max_obs)
         & (F.col("dateAdded") >= now - F.make_dt_interval(F.lit(max_age)))
     )
-    return _without_tags(_one_per_indicator(kept), excluded)
+    # one row per indicator first: a busy indicator then joins as a single row
+    partners = _per_indicator(recent).where(F.col("partner_count") >= k)
+    return _without_tags(_one_per_indicator(wanted).join(partners, "indicator"), excluded)
 
 
 def warning_candidates_expanded(
@@ -125,7 +126,7 @@ def warning_candidates_expanded(
     first_day = F.date_sub(F.lit(as_of).cast("date"), days)
     dated = tags.join(sightings, ["indicator", "OpDiv"]).where(F.col("observed_date") >= first_day)
     seen_by = multi_partner(obs, as_of, days, k).select("indicator", F.col("partners").alias("_seen_by"))
-    chosen = _without_tags(_one_per_indicator(dated.join(seen_by, "indicator")), excluded)
+    chosen = _without_tags(_one_per_indicator(dated).join(seen_by, "indicator"), excluded)
     named = F.transform(
         F.filter("all_tags", lambda t: t.contains("API")), lambda t: F.trim(F.replace(t, F.lit(fx.AGENCY_SUFFIX), F.lit("")))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,7 @@ from ..functions.columns import blank_to_null
 # (?U): word boundaries, digits and spaces follow Unicode
 IOC_PATTERNS = {
     "ips": r"(?U)\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b",
-    "domains": r"(?U)\b(?!(?:\d+\.){3}\d+)(?:[a-zA-Z0-9-]+\.)+[a-zA-Z]{2,}\b",
+    "domains": r"(?U)\b(?!(?:\d+\.){3}\d+)(?:[a-zA-Z0-9-]++\.)+[a-zA-Z]{2,}\b",
     "urls": r"(?U)\bhttps?://[^\s\"\)\]\}<>]+",
     "emails": r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
     "md5": r"(?U)\b[a-fA-F0-9]{32}\b",
@@ -59,7 +59,17 @@ def collapse(text: Column) -> Column:
 
 def extract_iocs(df: DataFrame, col: str) -> DataFrame:
     """Addresses, domains, URLs, e-mails and hashes in a text, as a nested ``iocs`` column."""
-    found = {name: find_all(F.col(col), pattern) for name, pattern in IOC_PATTERNS.items()}
+    text, none = F.col(col), F.array().cast("array<string>")
+    # a cheap necessary condition spares most texts the full pattern
+    hint = {"emails": text.contains("@"), "urls": text.contains("http")}
+    for name in ("md5", "sha1", "sha256"):
+        hint[name] = text.rlike("[a-fA-F0-9]{32}")
+    hint["ips"] = text.rlike(r"(?U)\d\.\d")
+    hint["domains"] = text.rlike(r"[a-zA-Z0-9-]\.[a-zA-Z0-9-]")
+    found = {
+        name: F.when(hint[name], find_all(text, pattern)).otherwise(F.when(text.isNotNull(), none))
+        for name, pattern in IOC_PATTERNS.items()
+    }
     hashes = F.struct(*[found[h].alias(h) for h in ("md5", "sha1", "sha256")])
     plain = [found[n].alias(n) for n in ("ips", "domains", "urls", "emails")]
     return df.withColumn("iocs", F.struct(*plain, hashes.alias("hashes")))
@@ -74,27 +84,42 @@ def refang(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def _term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """Count and first position per document and token.
+def term_counts(tokens: Column) -> Column:
+    """Distinct tokens of a list with count and first position, as an array of structs.
 
-    The tokens of a document sit in one partition, so they are counted before the shuffle.
+    Sorted tokens are folded into runs inside the row, so counting the words of a text needs no
+    shuffle.
     """
-    exploded = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    return exploded.groupBy(key, "token").agg(F.count("*").alias("tf"), F.min("pos").alias("first"))
+    numbered = F.array_sort(F.transform(tokens, lambda t, i: F.struct(t.alias("token"), i.alias("pos"))))
+    entry = "struct<tf:int,first:int,token:string>"
+    zero = F.struct(
+        F.array().cast(f"array<{entry}>").alias("done"), F.lit(0).alias("tf"), F.lit(0).alias("first"),
+        F.lit(None).cast("string").alias("token"),
+    )
 
+    def close(acc: Column) -> Column:
+        run = F.struct(acc["tf"].alias("tf"), acc["first"].alias("first"), acc["token"].alias("token"))
+        return F.when(acc["token"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(run)))
+
+    def step(acc: Column, x: Column) -> Column:
+        same = x["token"].eqNullSafe(acc["token"])
+        return F.struct(
+            F.when(same, acc["done"]).otherwise(close(acc)).alias("done"),
+            F.when(same, acc["tf"] + 1).otherwise(F.lit(1)).alias("tf"),
+            F.when(same, acc["first"]).otherwise(x["pos"]).alias("first"),
+            x["token"].alias("token"),
+        )
 
-def _top_terms(terms: DataFrame, key: str, order: Sequence[Column], n: int) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    top = terms.withColumn("_rank", rank).where(F.col("_rank") <= n)
-    ranked = F.array_sort(F.collect_list(F.struct("_rank", "token")))
-    return top.groupBy(key).agg(F.transform(ranked, lambda t: t["token"]).alias("keywords"))
+    return F.aggregate(numbered, zero, step, close)
 
 
-def extract_keywords(df: DataFrame, col: str, n: int = 10, key: str = "doc_id") -> DataFrame:
+def extract_keywords(df: DataFrame, col: str, n: int = 10) -> DataFrame:
     """The ``n`` most frequent words of four letters or more; ties by first appearance."""
     tokens = F.regexp_extract_all(F.lower(col), F.lit("[A-Za-z]{4,}"), F.lit(0))
-    terms = _term_counts(df, key, tokens)
-    return _top_terms(terms, key, [F.col("tf").desc(), F.col("first")], n)
+    ranked = F.array_sort(
+        F.transform(term_counts(tokens), lambda t: F.struct((-t["tf"]).alias("a"), t["first"].alias("b"), t["token"].alias("token")))
+    )
+    return df.withColumn("keywords", F.transform(F.slice(ranked, 1, n), lambda t: t["token"]))
 
 
 def tfidf_keywords(
@@ -107,14 +132,18 @@ def tfidf_keywords(
     """
     stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
     tokens = F.regexp_extract_all(F.lower(col), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-    terms = _term_counts(df, key, tokens)
-    terms = terms.where(~F.col("token").isin(*stop)) if stop else terms
+    terms = df.select(key, F.inline(term_counts(tokens)))
+    if stop:
+        terms = terms.where(~F.col("token").isin(*stop))
     frequency = terms.groupBy("token").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*")).scalar()
     idf = F.log((1 + total) / (1 + F.col("df"))) + 1
     # rounded, so equal weights stay equal whatever the order of multiplication
     weighted = terms.join(frequency, "token").withColumn("weight", F.round(F.col("tf") * idf, 6))
-    return _top_terms(weighted, key, [F.col("weight").desc(), F.col("token")], n)
+    rank = F.row_number().over(W.partitionBy(key).orderBy(F.col("weight").desc(), "token"))
+    top = weighted.withColumn("_rank", rank).where(F.col("_rank") <= n)
+    ranked = F.array_sort(F.collect_list(F.struct("_rank", "token")))
+    return top.groupBy(key).agg(F.transform(ranked, lambda t: t["token"]).alias("keywords"))
 
 
 def text_stats(df: DataFrame, col: str) -> DataFrame:
@@ -367,10 +396,10 @@ def technique_actors(objects: DataFrame, rels: DataFrame) -> DataFrame:
 
 
 def _match_block(texts: pd.DataFrame, items: pd.DataFrame, threshold: float, boost: float, k: int) -> pd.DataFrame:
-    """Best ``k`` items of one block for every text of one slot."""
-    empty = pd.DataFrame(columns=["id", "item_id", "similarity", "final_score"])
+    """Best ``k`` of the given items for every given text."""
+    columns = ["id", "item_id", "similarity", "final_score"]
     if texts.empty or items.empty:
-        return empty
+        return pd.DataFrame(columns=columns)
     left = np.asarray(texts["vector"].tolist(), dtype=np.float64)
     right = np.asarray(items["vector"].tolist(), dtype=np.float64)
     left_norm, right_norm = np.linalg.norm(left, axis=1), np.linalg.norm(right, axis=1)
@@ -378,69 +407,81 @@ def _match_block(texts: pd.DataFrame, items: pd.DataFrame, threshold: float, boo
     scale = np.outer(np.where(left_norm > 0, left_norm, 1), np.where(right_norm > 0, right_norm, 1))
     sim = left @ right.T / scale
     lowered = [str(t or "").lower() for t in texts["text"]]
-    hints = [{h for h, cues in TACTIC_HINTS.items() if any(c in t for c in cues)} for t in lowered]
-    any_word = np.zeros(sim.shape)
-    bonus = np.zeros(sim.shape)
-    for j, (keywords, tactics) in enumerate(zip(items["keywords"], items["tactics"])):
-        keywords, tactics = list(keywords), list(tactics)
-        for i, text in enumerate(lowered):
-            if keywords:
-                any_word[i, j] = any(w.lower() in text for w in keywords)
-                bonus[i, j] = boost * sum(w in text for w in keywords)
-            bonus[i, j] += 0.05 * sum(t in hints[i] for t in tactics)
-    sim = sim + boost * any_word
-    final, shown = np.round(sim + bonus, 2), np.round(sim, 3)
+
+    def hits(lists: pd.Series, present) -> np.ndarray:
+        """How many entries of each item's list hold for each text."""
+        names = sorted({v for values in lists for v in values})
+        place = {v: n for n, v in enumerate(names)}
+        uses = np.zeros((len(names), len(lists)))
+        for j, values in enumerate(lists):
+            for v in values:
+                uses[place[v], j] += 1
+        return np.array([[present(v, t) for v in names] for t in lowered], dtype=float).reshape(len(lowered), -1) @ uses
+
+    exact = hits(items["keywords"], lambda w, t: w in t)
+    folded = hits(items["keywords"], lambda w, t: w.lower() in t)
+    hinted = hits(items["tactics"], lambda v, t: any(cue in t for cue in TACTIC_HINTS.get(v, ())))
+    sim = sim + boost * (folded > 0)
+    final, shown = np.round(sim + boost * exact + 0.05 * hinted, 2), np.round(sim, 3)
     names = items["item_id"].to_numpy()
     out = []
     for i, key in enumerate(texts["id"]):
-        hits = np.flatnonzero(usable[i] & (sim[i] >= threshold))
-        best = hits[np.lexsort((names[hits], -shown[i, hits], -final[i, hits]))][:k]
+        kept = np.flatnonzero(usable[i] & (sim[i] >= threshold))
+        best = kept[np.lexsort((names[kept], -shown[i, kept], -final[i, kept]))][:k]
         out += [(key, names[j], float(shown[i, j]), float(final[i, j])) for j in best]
-    return pd.DataFrame(out, columns=empty.columns)
+    return pd.DataFrame(out, columns=columns)
 
 
 def similar_items(
     texts: DataFrame, dictionary: DataFrame, threshold: float = 0.9, boost: float = 0.1, k: int = 5,
-    text_rows: int = 20_000, block_rows: int = 2_000,
+    broadcast_bytes: int = 64 << 20, text_rows: int = 2_000, block_rows: int = 20_000,
 ) -> DataFrame:
     """The ``k`` most similar dictionary items per text by cosine, keyword and tactic hints.
 
-    Texts (``id, text, vector``) are hashed into slots and items (``item_id, keywords, tactics,
-    vector``) into blocks of bounded size; each task compares one slot with one block and returns
-    at most ``k`` matches per text, so no pair table is ever built and neither side is broadcast.
+    ``texts`` has ``id, text, vector``; ``dictionary`` has ``item_id, keywords, tactics, vector``.
+    A dictionary measured at no more than ``broadcast_bytes`` goes to every task, and the texts are
+    scored where they are.  A larger one is hashed into blocks and the texts into slots; each task
+    compares one slot with one block and returns at most ``k`` matches per text, so no table of
+    pairs is ever built.
     """
-    slots = F.ceil(texts.agg(F.count("*")).scalar() / text_rows)
-    blocks = F.ceil(dictionary.agg(F.count("*")).scalar() / block_rows)
-    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1))
     none = F.array().cast("array<string>")
-    left = (
-        texts.select("id", "text", "vector")
-        .withColumn("_slot", F.pmod(F.xxhash64("id"), F.greatest(slots, F.lit(1))))
-        .withColumn("_blocks", blocks)
-        .withColumn("_block", numbers(F.col("_blocks")))
-        .drop("_blocks")
+    left = texts.select("id", "text", "vector")
+    right = dictionary.select(
+        "item_id", F.coalesce("keywords", none).alias("keywords"), F.coalesce("tactics", none).alias("tactics"), "vector"
     )
-    right = (
-        dictionary.select(
-            "item_id", F.coalesce("keywords", none).alias("keywords"), F.coalesce("tactics", none).alias("tactics"), "vector"
-        )
-        .withColumn("_block", F.pmod(F.xxhash64("item_id"), F.greatest(blocks, F.lit(1))))
-        .withColumn("_slots", slots)
-        .withColumn("_slot", numbers(F.col("_slots")))
-        .drop("_slots")
-    )
-
-    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _match_block(a, b, threshold, boost, k)
-
     key, item = (df.schema[c].dataType.simpleString() for df, c in ((texts, "id"), (dictionary, "item_id")))
-    found = (
-        left.groupBy("_block", "_slot")
-        .cogroup(right.groupBy("_block", "_slot"))
-        .applyInPandas(match, f"id {key}, item_id {item}, similarity double, final_score double")
+    schema = f"id {key}, item_id {item}, similarity double, final_score double"
+    width = F.size("vector") * 8 + F.length(F.array_join(F.concat("keywords", "tactics"), " ")) + 64
+    size, rows = right.agg(F.coalesce(F.sum(width), F.lit(0)), F.count("*")).first()
+    rank = F.row_number().over(
+        W.partitionBy("id").orderBy(F.col("final_score").desc(), F.col("similarity").desc(), F.col("item_id"))
     )
-    order = [F.col("final_score").desc(), F.col("similarity").desc(), F.col("item_id")]
-    return found.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy(*order))).where(F.col("rank") <= k)
+    if size <= broadcast_bytes:
+        shared = texts.sparkSession.sparkContext.broadcast(right.toPandas())
+
+        def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                yield _match_block(part, shared.value, threshold, boost, k)
+
+        found = left.mapInPandas(score, schema)
+    else:
+        blocks = -(-rows // block_rows)
+        slots = F.greatest(F.ceil(texts.agg(F.count("*")).scalar() / text_rows), F.lit(1))
+        sided = left.withColumn("_slot", F.pmod(F.xxhash64("id"), slots)).withColumn(
+            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        )
+        copies = (
+            right.withColumn("_block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))
+            .withColumn("_slots", slots)
+            .withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1)))
+            .drop("_slots")
+        )
+        found = (
+            sided.groupBy("_block", "_slot")
+            .cogroup(copies.groupBy("_block", "_slot"))
+            .applyInPandas(lambda a, b: _match_block(a, b, threshold, boost, k), schema)
+        )
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def tactic_rollup(matches: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -500,28 +500,34 @@ def latest_row(panel: DataFrame, before: str, keys: Sequence[str] = SERIES) -> D
     )
 
 
-def cut_at_rank(df: DataFrame, order: Sequence[tuple[str, bool]], rank: Column) -> Column:
-    """Condition that holds for the first ``rank`` rows of ``df`` in the order (column, descending).
+def rank_narrow(df: DataFrame, order: Sequence[tuple[str, bool]]) -> DataFrame:
+    """Only the ordering columns (column, descending) with their ``_rank``."""
+    columns = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
+    return add_row_number(df.select(*[c for c, _ in order]), columns, "_rank")
+
+
+def first_rows(ranked: DataFrame, order: Sequence[tuple[str, bool]], rank: Column) -> Column:
+    """Condition that holds for the first ``rank`` rows of the frame that ``ranked`` was made of.
 
     Only the ordering columns are sorted; the wide rows are then filtered where they are.
     """
-    columns = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
     names = [c for c, _ in order]
-    narrow = add_row_number(df.select(*names), columns, "_rank")
-    edge = narrow.where(F.col("_rank") == rank).select(F.struct(*names)).scalar()
+    edge = ranked.where(F.col("_rank") == rank).select(F.struct(*names)).scalar()
     inside, equal = F.lit(False), F.lit(True)
     for name, desc in order:
         ahead = F.col(name) > edge[name] if desc else F.col(name) < edge[name]
         inside = inside | (equal & ahead)
         equal = equal & (F.col(name) == edge[name])
-    return inside | equal
+    # no such rank (no rows asked for): nothing is inside
+    return F.coalesce(inside | equal, F.lit(False))
 
 
 def top_fraction(df: DataFrame, col: str, p: float, key: str = "indicator") -> DataFrame:
     """The top ``ceil(p·n)`` rows by ``col``, ties broken by the unique ``key``."""
     rows = df.where(F.col(col).isNotNull())
     rank = F.ceil(rows.agg(F.count("*")).scalar() * F.lit(p))
-    return rows.where(cut_at_rank(rows, [(col, True), (key, False)], rank))
+    order = [(col, True), (key, False)]
+    return rows.where(first_rows(rank_narrow(rows, order), order, rank))
 
 
 def quantile_bands(
