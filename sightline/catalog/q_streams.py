@@ -72,14 +72,14 @@ def _(spark, sf):
     base, news, scores, history = (scratch_path(spark, n) for n in ("state", "in", "scores", "history"))
     rows = score_rows(spark, sf)
     old = rows.where("actor <> 'MACHINERY'")
-    st.start_versions(old.select("indicator", F.col("old_score").alias("score")), scores)
+    st.start_table(old.select("indicator", F.col("old_score").alias("score")), scores)
     day = F.lit("2024-01-01").cast("timestamp")
-    st.start_versions(old.select("indicator", F.col("old_score").alias("score"), day.alias("scoring_date")), history)
+    st.start_table(old.select("indicator", F.col("old_score").alias("score"), day.alias("scoring_date")), history)
     new = rows.where("actor <> 'BUILDING'").select("indicator", "score", F.lit("2024-01-02").cast("timestamp").alias("scoring_date"))
     new.repartition(3, "indicator").write.parquet(news)
     _run(st.stream_upsert_scores(st.read_stream(spark, news, new.schema, files_per_batch=1), base, scores, history))
-    counts = st.read_latest(spark, history).groupBy("indicator").agg(F.count("*").alias("n_history"))
-    return tidy(st.read_latest(spark, scores).join(counts, "indicator"), "indicator", "score", "n_history")
+    counts = st.read_history(spark, history).groupBy("indicator").agg(F.count("*").alias("n_history"))
+    return tidy(st.read_scores(spark, scores).join(counts, "indicator"), "indicator", "score", "n_history")
 
 
 @register("stream_resume_triage", f"{_NET} SELECT * FROM tri")

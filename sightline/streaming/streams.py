@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.feeds import triage_infrastructure
-from ..sources.ingest import append_history, clean_observations, upsert_table
+from ..sources.ingest import clean_observations
 
 DELAY = "2 days"
 
@@ -90,7 +90,7 @@ def stream_sessions(
     return _append(sighting_sessions(source.withWatermark("ts", delay), gap), checkpoint, sink)
 
 
-# ----------------------------------------------------------------------- versioned tables
+# ------------------------------------------------------------------- tables grown by batches
 
 
 def _each_batch(source: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -98,15 +98,33 @@ def _each_batch(source: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int
     return writer.trigger(availableNow=True).start()
 
 
-def start_versions(df: DataFrame, path: str) -> None:
-    """First version of a table that batches will update."""
-    df.write.mode("errorifexists").parquet(f"{path}/version=0")
+def start_table(df: DataFrame, path: str) -> None:
+    """First part of a table that batches will add to."""
+    df.write.mode("errorifexists").parquet(f"{path}/part=0")
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Newest version of a versioned table."""
-    rows = spark.read.parquet(path)
-    return rows.where(F.col("version") == rows.agg(F.max("version")).scalar()).drop("version")
+def _put(df: DataFrame, path: str, batch_id: int) -> None:
+    """A batch owns its folder, so a repeated batch replaces what it wrote before."""
+    df.write.mode("overwrite").parquet(f"{path}/part={batch_id + 1}")
+
+
+def read_scores(spark: SparkSession, path: str, key: str = "indicator") -> DataFrame:
+    """Current score table: the newest part's row per key."""
+    newest = W.partitionBy(key).orderBy(F.col("part").desc())
+    rows = spark.read.parquet(path).withColumn("_rn", F.row_number().over(newest))
+    return rows.where("_rn = 1").drop("_rn", "part")
+
+
+def read_history(spark: SparkSession, path: str, key: str = "indicator", ts: str = "scoring_date") -> DataFrame:
+    """Score history: the last row per key and day, a later part winning ties."""
+    last = W.partitionBy(key, F.to_date(ts)).orderBy(F.col(ts).desc(), F.col("part").desc())
+    rows = spark.read.parquet(path).withColumn("_rn", F.row_number().over(last))
+    return rows.where("_rn = 1").drop("_rn", "part")
+
+
+def compact(df: DataFrame, path: str) -> None:
+    """Write a merged table as the first part of a fresh folder."""
+    start_table(df, path)
 
 
 def stream_upsert_scores(
@@ -115,28 +133,23 @@ def stream_upsert_scores(
 ) -> StreamingQuery:
     """Upsert every batch into the score table and append it to the history.
 
-    Batch *n* reads version *n* and overwrites version *n+1* of both tables, so a repeated batch
-    writes the same result again.
+    A batch writes only its own rows, whatever the size of the tables; ``read_scores`` and
+    ``read_history`` merge the parts, and ``compact`` folds them from time to time.
     """
+    last = W.partitionBy(key).orderBy(F.col(ts).desc())
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.persist()
-        old = spark.read.parquet(f"{scores}/version={batch_id}")
-        merged = upsert_table(old, rows.drop(ts), key).drop("change")
-        merged.select(*old.columns).write.mode("overwrite").parquet(f"{scores}/version={batch_id + 1}")
-        past = spark.read.parquet(f"{history}/version={batch_id}")
-        grown = append_history(past, rows, key, ts)
-        grown.select(*past.columns).write.mode("overwrite").parquet(f"{history}/version={batch_id + 1}")
-        rows.unpersist()
+        newest = batch.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn", ts)
+        _put(newest, scores, batch_id)
+        _put(batch, history, batch_id)
 
     return _each_batch(source, checkpoint, update)
 
 
 def stream_resume_triage(source: DataFrame, checkpoint: str, sink: str) -> StreamingQuery:
-    """Triage new indicators batch by batch; a batch owns its folder, so a retry replaces it."""
+    """Triage new indicators batch by batch, starting after the last finished batch."""
 
     def triage(batch: DataFrame, batch_id: int) -> None:
-        triage_infrastructure(batch).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        _put(triage_infrastructure(batch), sink, batch_id)
 
     return _each_batch(source, checkpoint, triage)

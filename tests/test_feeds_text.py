@@ -178,7 +178,8 @@ def test_json_ld_object_and_graph(spark):
     assert [r.published_time for r in tx.page_metadata(df).collect()] == ["d1", None, None]
 
 
-def test_similar_items_in_blocks_equal_brute_force(spark):
+@pytest.mark.parametrize("limit", [0, 1 << 20])  # shuffled blocks, broadcast dictionary
+def test_similar_items_equal_brute_force(spark, limit):
     import numpy as np
 
     rng = np.random.default_rng(1)
@@ -188,7 +189,7 @@ def test_similar_items_in_blocks_equal_brute_force(spark):
         [(f"T{j:02d}", [f"w{j % 3}"], ["command-and-control"] if j % 2 else [], v.tolist()) for j, v in enumerate(b)],
         "item_id string, keywords array<string>, tactics array<string>, vector array<double>",
     )
-    got = tx.similar_items(texts, items, 0.3, 0.1, 3, text_rows=7, block_rows=10).collect()
+    got = tx.similar_items(texts, items, 0.3, 0.1, 3, limit, text_rows=7, block_rows=10).collect()
     want = []
     for i in range(60):
         text, scored = ("traffic w1" if i % 2 else "quiet"), []
@@ -231,3 +232,15 @@ def test_append_history_keeps_last_of_day(spark):
     old = spark.createDataFrame([("a", t(1), 1), ("a", datetime(2023, 12, 31, 5), 0)], "k string, ts timestamp, v int")
     new = spark.createDataFrame([("a", t(1), 2), ("b", t(3), 3)], "k string, ts timestamp, v int")
     assert [(r.k, r.v) for r in ingest.append_history(old, new, "k", "ts").collect()] == [("a", 2), ("a", 0), ("b", 3)]
+
+
+def test_keywords_tie_by_first_appearance(spark):
+    df = spark.createDataFrame([(1, "beta alpha beta gamma Alpha delta abc"), (2, ""), (3, None)], "doc_id int, t string")
+    got = {r.doc_id: r.keywords for r in tx.extract_keywords(df, "t", 3).collect()}
+    assert got == {1: ["beta", "alpha", "gamma"], 2: [], 3: None}
+
+
+def test_tfidf_prefers_rare_terms(spark):
+    df = spark.createDataFrame([(1, "common rare rare"), (2, "common owl"), (3, "common the")], "doc_id int, t string")
+    got = {r.doc_id: r.keywords for r in tx.tfidf_keywords(df, "t", 1).collect()}
+    assert got == {1: ["rare"], 2: ["owl"], 3: ["common"]}
