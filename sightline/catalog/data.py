@@ -91,6 +91,8 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 10 != 0, (key % 101).cast("double")).alias("confidence"),
         F.floor(F.col("o_totalprice") / 10).cast("long").alias("observations"),
         (key % 3).alias("falsePositives"),
+        (key * 7 % 1000).cast("double").alias("calScore"),
+        (key * 3 % 1000).cast("double").alias("threatAssessScore"),
         F.col("o_orderstatus").alias("description"),
     )
 
@@ -243,7 +245,7 @@ CTES = {
         CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 6 AS DOUBLE) END AS rating,
         CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_orderkey % 101 AS DOUBLE) END AS confidence,
         CAST(floor(o_totalprice / 10) AS BIGINT) AS observations, o_orderkey % 3 AS falsePositives,
-        o_orderstatus AS description FROM orders)""",
+        CAST(o_orderkey * 7 % 1000 AS DOUBLE) AS cal, CAST(o_orderkey * 3 % 1000 AS DOUBLE) AS ext, o_orderstatus AS description FROM orders)""",
     "dim": """dim AS (SELECT CAST(o_custkey AS VARCHAR) AS indicator, o_orderpriority AS tag,
         o_orderstatus AS threat_category,
         CASE WHEN o_orderkey % 3 = 0 THEN 'NS' || CAST(o_orderkey % 7 AS VARCHAR) END AS nation_state,

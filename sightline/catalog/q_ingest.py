@@ -125,7 +125,7 @@ for _fmt in ("csv", "json", "parquet"):
         reader = spark.read.schema(rows.schema)
         return (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path)
 
-    register(f"write_table_{_fmt}", "SELECT c_custkey, c_name, c_mktsegment FROM customer")(_query)
+    register("write_table" if _fmt == "parquet" else f"write_table_{_fmt}", "SELECT c_custkey, c_name, c_mktsegment FROM customer")(_query)
 
 
 @register("validate_columns", "SELECT s_suppkey, s_name FROM supplier")

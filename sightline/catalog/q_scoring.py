@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import scoring as sc
-from .data import AS_OF, observations, score_inputs, score_rows, text, with_tables
+from ..plans.scoring import score_job
+from .data import AS_OF, observations, records, score_inputs, score_rows, tag_dimension, text, with_tables
 from .registry import register
 from .tidy import d, i, r, tidy
 
@@ -17,7 +18,7 @@ def clip(e: str, lo: float, hi: float) -> str:
     return f"least(greatest(coalesce({e}, 0), {lo}), {hi})"
 
 
-def score_sql(w: sc.Weights, tor: str = "tor_word", parity: bool = False) -> str:
+def score_sql(w: sc.Weights, tor: str = "tor_word", parity: bool = False, tables: str = with_tables("inputs")) -> str:
     """CTEs ``parts`` (components) and ``rated`` (rule score) for one set of weights."""
     file = "(indicator_type = 'File')" if w.file_rules else "false"
     rating_w = f"{w.rating}" if w.rating_without_vt is None else f"CASE WHEN vt_count IS NOT NULL THEN {w.rating} ELSE {w.rating_without_vt} END"
@@ -27,7 +28,7 @@ def score_sql(w: sc.Weights, tor: str = "tor_word", parity: bool = False) -> str
     raw = " + ".join(PARTS)
     cap = f"({w.cap()!r} + CASE WHEN {file} THEN 900.0 ELSE 0.0 END)"
     quality = "1.0" if parity else clip("(1 + (rating IS NOT NULL)::INT + (confidence IS NOT NULL)::INT) / 3", 0.85, 1)
-    return f"""{with_tables('inputs')},
+    return f"""{tables},
  v AS (SELECT *, CAST({clip('vt_count', 0, w.vt_max)} AS DOUBLE) AS vt, coalesce(vt_count >= 10 AND {tor}, false) AS boost FROM inputs),
  p0 AS (SELECT *, power(vt, {w.vt_exponent}) * {w.malicious} AS malicious,
    CASE WHEN {file} THEN 900.0 ELSE (CASE indicator_type WHEN 'Address' THEN 1.0 WHEN 'File' THEN 3.0 ELSE 2.0 END) * {w.continuity} END AS continuity,
@@ -86,8 +87,8 @@ _DRIVERS = "[" + ", ".join(
 ) + "]"
 
 
-@register("score_explanation", f"""{BASE}, t AS (SELECT *, list_transform(list_filter(list_slice(list_sort({_DRIVERS}), 1, 3), lambda e: e.size <> 0), lambda e: e.label) AS top FROM rated)
-  SELECT indicator, concat_ws(' ', '[2024-01-30] Severity: ' || severity || '.', CASE WHEN vt_count IS NOT NULL THEN 'VT score: ' || CAST(CAST(vt AS INT) AS VARCHAR) || '.' ELSE 'VT score not available (neutral).' END,
+_TOP = f"t AS (SELECT *, list_transform(list_filter(list_slice(list_sort({_DRIVERS}), 1, 3), lambda e: e.size <> 0), lambda e: e.label) AS top FROM rated)"
+_TEXT = """concat_ws(' ', '[2024-01-30] Severity: ' || severity || '.', CASE WHEN vt_count IS NOT NULL THEN 'VT score: ' || CAST(CAST(vt AS INT) AS VARCHAR) || '.' ELSE 'VT score not available (neutral).' END,
   'Contextual Drivers: ' || CASE WHEN len(top) > 0 THEN array_to_string(top, '; ') ELSE 'No significant drivers' END || '.',
   CASE WHEN pn > 0 THEN 'Observed across ' || CAST(pn AS VARCHAR) || ' partner(s).' ELSE 'No partner attribution.' END,
   CASE WHEN sn > 1 THEN 'Observed by ' || CAST(sn AS VARCHAR) || ' sources: ' || sources || '.' ELSE 'Single source observation.' END,
@@ -97,12 +98,54 @@ _DRIVERS = "[" + ", ".join(
   CASE WHEN scans THEN 'Scanner penalty applied.' ELSE 'No scanner penalty.' END, CASE WHEN tor > 0 THEN 'TOR activity detected.' ELSE 'No TOR activity.' END,
   CASE WHEN incident IS NOT NULL THEN 'Linked to incident/event: ' || incident || '.' ELSE 'No incident/event link.' END,
   CASE WHEN actor IS NOT NULL THEN 'Associated threat actor(s): ' || actor || '.' END, CASE WHEN first_seen_part > 0 THEN 'First Observed boost applied [' || CAST(first_seen AS VARCHAR) || '].' END,
-  'Score: ' || CAST(score AS VARCHAR) || '/1000.') AS explanation FROM t""")
+  'Score: ' || CAST(score AS VARCHAR) || '/1000.')"""
+
+
+@register("score_explanation", f"{BASE}, {_TOP} SELECT indicator, {_TEXT} AS explanation FROM t")
 def _(spark, sf):
     out = sc.score_rule(sc.score_components(score_inputs(spark, sf), AS_OF))
     return sc.score_explanation(out, AS_OF).select("indicator", "explanation")
 
 
+def first(c: str) -> str:
+    return f"arg_min({c}, (-epoch(lastModified), id)) FILTER (WHERE {c} IS NOT NULL)"
+
+
+# the whole job from records, tags and sightings
+_JOB = f"""{with_tables('obs', 'recs', 'tagrows', 'dim')},
+ b AS (SELECT indicator, any_value(type) AS indicator_type, {first('rating')} AS rating, {first('confidence')} AS confidence, {first('cal')} AS cal_score, {first('ext')} AS external_score,
+   {first('falsePositives')} AS fp, min(CAST(dateAdded AS DATE)) AS first_seen, count(DISTINCT ownerName) AS sn, string_agg(DISTINCT ownerName, ', ' ORDER BY ownerName) AS sources FROM recs GROUP BY 1),
+ rt AS (SELECT r.indicator, t.* EXCLUDE (id) FROM recs r JOIN tagrows t ON r.id = t.id),
+ tg AS (SELECT indicator, bool_or(name LIKE 'TOR %') AS tor_word, bool_or(lower(name) LIKE '%tor%') AS tor_sub, string_agg(DISTINCT 'Incident:' || group_id, ';' ORDER BY 'Incident:' || group_id) FILTER (WHERE group_type = 'Incident') AS incident,
+   max(part % 40) FILTER (WHERE pos % 2 = 0) AS vt_count FROM rt GROUP BY 1),
+ ac AS (SELECT indicator, string_agg(DISTINCT nation_state, ', ' ORDER BY nation_state) AS actor FROM dim GROUP BY 1),
+ ob AS (SELECT indicator, count(DISTINCT obs_date) AS obs_days, coalesce(sum(observations) FILTER (WHERE obs_date >= DATE '2024-01-23') >= 1200 AND count(DISTINCT OpDiv) FILTER (WHERE obs_date >= DATE '2024-01-23') >= 5, false) AS mass FROM obs GROUP BY 1),
+ pt AS (SELECT indicator, count(DISTINCT p) AS pn FROM (SELECT indicator, OpDiv AS p FROM obs UNION ALL SELECT indicator, replace(name, ' Splunk API', '') FROM rt WHERE name LIKE '% Splunk API') GROUP BY 1),
+ inputs AS (SELECT b.*, coalesce(pn, 0) AS pn, actor, incident, vt_count, coalesce(obs_days, 0) AS obs_days, coalesce(tor_word, false) AS tor_word, coalesce(tor_sub, false) AS tor_sub, false AS scanner, false AS botnet, coalesce(mass, false) AS mass
+   FROM b LEFT JOIN tg ON b.indicator = tg.indicator LEFT JOIN ac ON b.indicator = ac.indicator LEFT JOIN ob ON b.indicator = ob.indicator LEFT JOIN pt ON b.indicator = pt.indicator)"""
+
+
+@register("score_job", f"{score_sql(V4, tables=_JOB)}, {_TOP} SELECT indicator, {i('score')} AS score, severity, {_TEXT} AS explanation FROM t")
+def _(spark, sf):
+    out = score_job(
+        records(spark, sf), observations(spark, sf), tag_dimension(spark, sf), AS_OF, min_total=1200, min_partners=5
+    )
+    return tidy(out, "indicator", "score", "severity", "explanation")
+
+
+@register("score_versions", " UNION ALL ".join(
+    f"(SELECT {v} AS version, * FROM ({score_sql(sc.score_versions(v))} SELECT indicator, {i('score')} AS score, severity FROM rated))" for v in (1, 2, 3, 4)
+))
+def _(spark, sf):
+    out = None
+    for v in (1, 2, 3, 4):
+        weights = sc.score_versions(v)
+        rows = sc.score_rule(sc.score_components(score_inputs(spark, sf), AS_OF, weights), weights)
+        rows = rows.select(F.lit(v).alias("version"), "indicator", F.col("score").cast("long").alias("score"), "severity")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 SCORES = with_tables("scores")
 
 

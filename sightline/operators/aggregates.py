@@ -117,11 +117,13 @@ def partners_from_tags(records: DataFrame, known: Sequence[str] = fx.KNOWN_PARTN
     return named.groupBy("indicator").agg(_sorted_set(F.nullif("partner", F.lit(""))).alias("partners_from_tags"))
 
 
-def combine_partners(base: DataFrame, tags: DataFrame, obs: DataFrame) -> DataFrame:
+def combine_partners(
+    base: DataFrame, tags: DataFrame, obs: DataFrame, known: Sequence[str] = fx.KNOWN_PARTNERS
+) -> DataFrame:
     """Union of the partners known from sightings and from tags, with their number."""
     empty = F.array().cast("array<string>")
     seen = obs.groupBy("indicator").agg(_sorted_set(F.trim("OpDiv")).alias("_seen"))
-    named = partners_from_tags(tags)
+    named = partners_from_tags(tags, known)
     out = base.join(named, "indicator", "left").join(seen, "indicator", "left")
     partners = F.array_union(F.coalesce("_seen", empty), F.coalesce("partners_from_tags", empty))
     return (

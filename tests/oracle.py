@@ -33,7 +33,7 @@ def cell(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return f"{value:.9g}" if value != 0 else "0"
+        return repr(value)
     if isinstance(value, (list, tuple)):
         return "[" + ",".join(cell(v) for v in value) + "]"
     return str(value)
