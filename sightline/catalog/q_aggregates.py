@@ -163,16 +163,22 @@ _MS = ("observations", "seen_streak", "volatility_ratio", "obs_ratio_spike", "se
 _STATS = (("mean", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min"))
 
 
+def _shown(e: str) -> str:
+    """The spike ratio reaches tens of millions, so it is compared in whole numbers."""
+    return f"(round({e}, 0) + 0.0)" if "spike" in e else r(e)
+
+
 @register("multi_stat_features", f"""{PANEL}, {_STREAK},
   t AS (SELECT *, coalesce(ratio - lag(ratio, 7) {W}), 0) AS seen_ratio_diff, o14 / (o7 + 1e-6) AS obs_ratio_spike, coalesce(sd / (ratio + 1e-5), 0) AS volatility_ratio, o7 AS rolling_obs_7d, r7 AS rolling_seen_ratio_7d
     FROM (SELECT *, avg(seen) {_F14} AS ratio, stddev_samp(seen) {_F14} AS sd, avg(observations) {_F14} AS o14, avg(observations) {_F7} AS o7, avg(seen) {_F7} AS r7 FROM streak)),
   g AS (SELECT indicator, {', '.join(f"coalesce({fn}({c}), 0) AS {c}_{nm}" for c in _MS for nm, fn in _STATS)} FROM t GROUP BY 1)
-  SELECT indicator, {', '.join(f"{r(f'{c}_{nm}')} AS {c}_{nm}" for c in _MS for nm, _ in _STATS)}, {r('seen_streak_mean * volatility_ratio_mean')} AS streak_volatility,
-  {r('obs_ratio_spike_mean - seen_ratio_diff_mean')} AS obs_spike_diff, {r('rolling_seen_ratio_7d_mean / (rolling_obs_7d_mean + 1e-6)')} AS rolling_ratio_diff FROM g""")
+  SELECT indicator, {', '.join(f"{_shown(f'{c}_{nm}')} AS {c}_{nm}" for c in _MS for nm, _ in _STATS)}, {r('seen_streak_mean * volatility_ratio_mean')} AS streak_volatility,
+  {_shown('obs_ratio_spike_mean - seen_ratio_diff_mean')} AS obs_spike_diff, {r('rolling_seen_ratio_7d_mean / (rolling_obs_7d_mean + 1e-6)')} AS rolling_ratio_diff FROM g""")
 def _(spark, sf):
     rows = temporal_features(dense_panel(observations(spark, sf), AS_OF))
     out = ag.multi_stat_features(rows, "indicator", _MS)
-    return tidy(out.select("indicator", *[F.col(c).cast("double").alias(c) for c in out.columns if c != "indicator"]))
+    cols = [c for c in out.columns if c != "indicator"]
+    return tidy(out.select("indicator", *[F.round(F.col(c).cast("double"), 0 if "spike" in c else 6).alias(c) for c in cols]))
 
 
 @register("score_distribution", f"""{SCORES} SELECT count(score) AS count, {r('avg(score)')} AS mean, {r('stddev_samp(score)')} AS std, {r('skewness(score)')} AS skew,

@@ -66,7 +66,7 @@ def _(spark, sf):
   f AS (SELECT token, count(*) AS df FROM c GROUP BY 1),
   w AS (SELECT doc_id, c.token, round(tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1), 6) AS w FROM c JOIN f ON c.token = f.token),
   k AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, token) <= 10)
-  SELECT doc_id, {_top('w DESC, token')} FROM k GROUP BY 1""")
+  SELECT d.doc_id, coalesce({_top('w DESC, token')[:-len(' AS keywords')]}, '') AS keywords FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id GROUP BY 1""")
 def _(spark, sf):
     return tidy(tx.tfidf_keywords(docs(spark, sf), "text", 10, stop_words=("the", "and", "of", "in")))
 
@@ -76,7 +76,7 @@ _SENT = f"list_filter(string_split(regexp_replace({_CLEAN}, '([.!?])\\s+', '\\1'
 
 
 @register("text_stats", f"""WITH t AS (SELECT doc_id, len(list_filter(string_split({_CLEAN}, ' '), lambda w: w <> '')) AS w, length({_CLEAN}) AS c, len({_SENT}) AS s FROM documents)
-  SELECT doc_id, {i('w')} AS word_count, {i('c')} AS char_count, {i('s')} AS sentence_count, CASE WHEN s > 0 THEN round_even(w / s, 2) ELSE 0.0 END AS words_per_sentence FROM t""")
+  SELECT doc_id, {i('w')} AS word_count, {i('c')} AS char_count, {i('s')} AS sentence_count, CAST(CASE WHEN s > 0 THEN floor((200 * w + s) / (2 * s)) / 100 ELSE 0.0 END AS DOUBLE) AS words_per_sentence FROM t""")
 def _(spark, sf):
     return tidy(tx.text_stats(docs(spark, sf), "text"), "doc_id", "word_count", "char_count", "sentence_count", "words_per_sentence")
 

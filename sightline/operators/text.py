@@ -84,42 +84,29 @@ def refang(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def term_counts(tokens: Column) -> Column:
-    """Distinct tokens of a list with count and first position, as an array of structs.
+def _term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
+    """Count and first position per document and token; a document without tokens keeps a null.
 
-    Sorted tokens are folded into runs inside the row, so counting the words of a text needs no
-    shuffle.
+    The tokens of a document sit in one partition, so they are counted before the shuffle and
+    only its distinct tokens move.
     """
-    numbered = F.array_sort(F.transform(tokens, lambda t, i: F.struct(t.alias("token"), i.alias("pos"))))
-    entry = "struct<tf:int,first:int,token:string>"
-    zero = F.struct(
-        F.array().cast(f"array<{entry}>").alias("done"), F.lit(0).alias("tf"), F.lit(0).alias("first"),
-        F.lit(None).cast("string").alias("token"),
-    )
+    exploded = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
+    return exploded.groupBy(key, "token").agg(F.count("*").alias("tf"), F.min("pos").alias("first"))
 
-    def close(acc: Column) -> Column:
-        run = F.struct(acc["tf"].alias("tf"), acc["first"].alias("first"), acc["token"].alias("token"))
-        return F.when(acc["token"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(run)))
-
-    def step(acc: Column, x: Column) -> Column:
-        same = x["token"].eqNullSafe(acc["token"])
-        return F.struct(
-            F.when(same, acc["done"]).otherwise(close(acc)).alias("done"),
-            F.when(same, acc["tf"] + 1).otherwise(F.lit(1)).alias("tf"),
-            F.when(same, acc["first"]).otherwise(x["pos"]).alias("first"),
-            x["token"].alias("token"),
-        )
 
-    return F.aggregate(numbered, zero, step, close)
+def _top_terms(terms: DataFrame, key: str, order: Sequence[Column], n: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
+    top = terms.withColumn("_rank", rank).where(F.col("_rank") <= n)
+    # at most n entries per document; the null of an empty document is dropped here
+    ranked = F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("_rank", "token"))))
+    return top.groupBy(key).agg(F.transform(ranked, lambda t: t["token"]).alias("keywords"))
 
 
-def extract_keywords(df: DataFrame, col: str, n: int = 10) -> DataFrame:
+def extract_keywords(df: DataFrame, col: str, n: int = 10, key: str = "doc_id") -> DataFrame:
     """The ``n`` most frequent words of four letters or more; ties by first appearance."""
     tokens = F.regexp_extract_all(F.lower(col), F.lit("[A-Za-z]{4,}"), F.lit(0))
-    ranked = F.array_sort(
-        F.transform(term_counts(tokens), lambda t: F.struct((-t["tf"]).alias("a"), t["first"].alias("b"), t["token"].alias("token")))
-    )
-    return df.withColumn("keywords", F.transform(F.slice(ranked, 1, n), lambda t: t["token"]))
+    terms = _term_counts(df, key, tokens)
+    return _top_terms(terms, key, [F.col("tf").desc(), F.col("first")], n)
 
 
 def tfidf_keywords(
@@ -132,18 +119,15 @@ def tfidf_keywords(
     """
     stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
     tokens = F.regexp_extract_all(F.lower(col), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-    terms = df.select(key, F.inline(term_counts(tokens)))
     if stop:
-        terms = terms.where(~F.col("token").isin(*stop))
+        tokens = F.filter(tokens, lambda t: ~t.isin(*stop))
+    terms = _term_counts(df, key, tokens)
     frequency = terms.groupBy("token").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*")).scalar()
     idf = F.log((1 + total) / (1 + F.col("df"))) + 1
     # rounded, so equal weights stay equal whatever the order of multiplication
-    weighted = terms.join(frequency, "token").withColumn("weight", F.round(F.col("tf") * idf, 6))
-    rank = F.row_number().over(W.partitionBy(key).orderBy(F.col("weight").desc(), "token"))
-    top = weighted.withColumn("_rank", rank).where(F.col("_rank") <= n)
-    ranked = F.array_sort(F.collect_list(F.struct("_rank", "token")))
-    return top.groupBy(key).agg(F.transform(ranked, lambda t: t["token"]).alias("keywords"))
+    weighted = terms.join(frequency, "token", "left").withColumn("weight", F.round(F.col("tf") * idf, 6))
+    return _top_terms(weighted, key, [F.col("weight").desc_nulls_last(), F.col("token")], n)
 
 
 def text_stats(df: DataFrame, col: str) -> DataFrame:
@@ -157,10 +141,10 @@ def text_stats(df: DataFrame, col: str) -> DataFrame:
             "sentence_count": F.size(sentences),
         }
     )
-    mean = F.col("word_count") / F.col("sentence_count")
-    return counted.withColumn(
-        "words_per_sentence", F.when(F.col("sentence_count") > 0, F.bround(mean, 2)).otherwise(0.0)
-    )
+    # two decimals in whole numbers, ties upwards, so no binary fraction decides
+    n, k = F.col("word_count").cast("long"), F.col("sentence_count").cast("long")
+    mean = F.floor((200 * n + k) / (2 * k)) / 100
+    return counted.withColumn("words_per_sentence", F.when(k > 0, mean).otherwise(0.0))
 
 
 def split_sentences(df: DataFrame, col: str) -> DataFrame:
