@@ -1,4 +1,4 @@
-"""The forecast job: from sightings to a report, as one lazy plan."""
+"""The forecast job: from sightings to a report."""
 
 from __future__ import annotations
 
