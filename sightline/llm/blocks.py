@@ -75,6 +75,12 @@ def part_of(keys: np.ndarray, n: int) -> np.ndarray:
     return (mix(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(n)).astype(np.int64)
 
 
+def by_part(part: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order by part, and where each part begins in it (n + 1 numbers)."""
+    order = np.argsort(part.astype(np.uint16) if n <= 1 << 16 else part, kind="stable")
+    return order, np.concatenate(([0], np.cumsum(np.bincount(part, minlength=n))))
+
+
 def pack(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 

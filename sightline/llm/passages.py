@@ -46,8 +46,8 @@ def _rows(documents: Iterator) -> pa.Table:
         removed.append(int(flags.sum()))
         starts.append(a)
         ends.append(b)
-        keep = zip(np.concatenate(([0], b)).tolist(), np.concatenate((a, [n])).tolist())
-        kept.append(b" ".join(block.cut(first + i, j - i) for i, j in keep if j > i).decode())
+        i, j = np.concatenate(([0], b)), np.concatenate((a, [n]))
+        kept.append(b" ".join(block.cuts(first + i[j > i], (j - i)[j > i])).decode())
     n_spans = np.array([len(a) for a in starts], np.int64)
     pairs = pa.StructArray.from_arrays(
         [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (starts, ends)], ["start", "end"])

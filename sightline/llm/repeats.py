@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from . import blocks as B
 
 CHUNK = 1 << 20
+SUB = 16  # buckets of a part, ordered one after the other
 _KEYS = "part int, block int, keys binary, again binary"
 _MASKS = "block int, part int, mask binary"
-_STRINGS = "part int, block int, mask binary, data binary, sizes binary, docs binary, starts binary"
+_STRINGS = "part int, block int, mask binary, data binary, sizes binary, buckets binary, docs binary, starts binary"
 _ANSWERS = "block int, part int, mask binary, earlier binary"
 
 
@@ -56,12 +57,12 @@ class Block:
     counts: np.ndarray
     offsets: np.ndarray  # first token of each document, and the total
 
-    def cut(self, first: int, n: int) -> bytes:
-        """The bytes of ``n`` tokens."""
-        if self.begins is None:
-            return self.buf[first : first + n].tobytes()
-        end = self.begins[first + n] if first + n < len(self.begins) else len(self.buf)
-        return self.buf[self.begins[first] : end - 1].tobytes()
+    def cuts(self, first: np.ndarray, n: np.ndarray) -> list[bytes]:
+        """The bytes of ``n`` tokens from ``first`` on, for each of the two."""
+        data, end = self.buf.data, first + n
+        if self.begins is not None:
+            first, end = self.begins[first], np.append(self.begins, len(self.buf))[end] - 1
+        return [bytes(data[a:b]) for a, b in zip(first.tolist(), end.tolist())]
 
 
 def load(table: pa.Table, spec: Spec) -> Block:
@@ -96,28 +97,27 @@ def find_runs(block: Block, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndar
     return np.concatenate(firsts), np.concatenate(counts), np.concatenate(keys)
 
 
-def keys_by_part(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys ordered by part, and where each part begins (n + 1 numbers)."""
-    keys = np.unique(keys)
-    part = B.part_of(keys, n)
-    order = np.argsort(part, kind="stable")
-    return keys[order], np.searchsorted(part[order], np.arange(n + 1))
+def keys_by_part(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the keys, where each distinct key begins in it, the distinct keys' order by part,
+    and where each part begins (n + 1 numbers)."""
+    order = np.argsort(keys)
+    starts = B.group_starts(keys[order])
+    part = B.part_of(keys[order[starts]], n)
+    by_part, edges = B.by_part(part, n)
+    return order, starts, by_part, edges
 
 
 def send_keys(table: pa.Table, spec: Spec, n: int) -> pa.Table:
     """Distinct minimisers of a block, and whether they came twice inside it."""
     block = load(table, spec)
     first, _, key = find_runs(block, spec)
-    owner = np.searchsorted(block.offsets, first, "right") - 1
-    order = np.argsort(key, kind="stable")
-    same = np.zeros(len(key), bool)
-    sorted_key, sorted_owner = key[order], owner[order]
-    same[1:] = sorted_key[1:] == sorted_key[:-1]
-    if not spec.within:
-        same[1:] &= sorted_owner[1:] != sorted_owner[:-1]
-    twice = np.unique(sorted_key[same])
-    keys, edges = keys_by_part(key, n)
-    again = np.isin(keys, twice)
+    order, starts, by_part, edges = keys_by_part(key, n)
+    if spec.within:
+        again = np.diff(np.append(starts, len(order))) > 1
+    else:
+        owner = (np.searchsorted(block.offsets, first, "right") - 1)[order]
+        again = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts) if len(starts) else starts
+    keys, again = key[order[starts]][by_part], again[by_part]
     full = [p for p in range(n) if edges[p] < edges[p + 1]]
     return pa.table({
         "part": pa.array(full, pa.int32()),
@@ -151,50 +151,63 @@ def rule_out(table: pa.Table) -> pa.Table:
     })
 
 
-def marked_strings(
-    block: Block, spec: Spec, n: int, masks: dict[int, bytes]
-) -> tuple[list[dict[bytes, int]], list[tuple[int, int, int, int]]]:
-    """Distinct strings of marked runs by part, and (part, string, first window, windows) of every such run."""
-    first, count, key = find_runs(block, spec)
-    keys, edges = keys_by_part(key, n)
-    marked = np.zeros(len(keys), bool)
+@dataclass
+class Marked:
+    """Runs whose minimiser occurs elsewhere, and the distinct strings of a block in the order of
+    their buckets; ``first`` is the first run of each string."""
+
+    begin: np.ndarray
+    count: np.ndarray
+    string: np.ndarray
+    strings: list[bytes]
+    bucket: np.ndarray
+    first: np.ndarray
+
+
+def marked_strings(block: Block, spec: Spec, n: int, masks: dict[int, bytes]) -> Marked:
+    begin, count, key = find_runs(block, spec)
+    order, starts, by_part, edges = keys_by_part(key, n)
+    marked = np.zeros(len(starts), bool)
     for p, mask in masks.items():
         size = edges[p + 1] - edges[p]
-        marked[edges[p] : edges[p + 1]] = np.unpackbits(np.frombuffer(mask, np.uint8), count=size).astype(bool)
-    chosen = np.sort(keys[marked])
-    at = np.minimum(np.searchsorted(chosen, key), max(len(chosen) - 1, 0))
-    hit = chosen[at] == key if len(chosen) else np.zeros(len(key), bool)
-    first, count, part = first[hit], count[hit], B.part_of(key[hit], n)
-    strings: list[dict[bytes, int]] = [{} for _ in range(n)]
-    runs = []
-    for p, f, c in zip(part.tolist(), first.tolist(), count.tolist()):
-        known = strings[p]
-        runs.append((p, known.setdefault(block.cut(f, c + spec.window - 1), len(known)), f, c))
-    return strings, runs
+        marked[by_part[edges[p] : edges[p + 1]]] = np.unpackbits(np.frombuffer(mask, np.uint8), count=size)
+    hit = np.zeros(len(key), bool)
+    hit[order] = np.repeat(marked, np.diff(np.append(starts, len(key))))
+    begin, count, key = begin[hit], count[hit], key[hit]
+    known: dict[bytes, int] = {}
+    string = np.array([known.setdefault(cut, len(known)) for cut in block.cuts(begin, count + spec.window - 1)], np.int64)
+    first = B.group_starts(np.maximum.accumulate(string))  # numbered as they come
+    bucket = B.part_of(key[first], n) * SUB + (B.mix(key[first]) & np.uint64(SUB - 1)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    strings = list(known)
+    return Marked(
+        begin, count, rank[string] if len(string) else string, [strings[i] for i in order], bucket[order], first[order])
 
 
 def send_strings(docs: pa.Table, answers: pa.Table, spec: Spec, n: int) -> pa.Table:
     """The packed strings of the runs whose minimiser occurs elsewhere, each once a block."""
-    out: dict[str, list] = {k: [] for k in ("part", "block", "mask", "data", "sizes", "docs", "starts")}
+    out: dict[str, list] = {k: [] for k in ("part", "block", "mask", "data", "sizes", "buckets", "docs", "starts")}
     if docs.num_rows and answers.num_rows:
         block = load(docs, spec)
         masks = dict(zip(answers.column("part").to_pylist(), answers.column("mask").to_pylist()))
-        strings, runs = marked_strings(block, spec, n, masks)
-        places: list[list[int]] = [[] for _ in range(n)]
-        for p, s, f, _ in runs:
-            if s == len(places[p]):
-                places[p].append(f)
+        marked = marked_strings(block, spec, n, masks)
+        where = marked.begin[marked.first]
+        owner = np.searchsorted(block.offsets, where, "right") - 1
+        sizes = np.array([len(s) for s in marked.strings], np.uint32)
+        edges = np.searchsorted(marked.bucket, np.arange(n + 1) * SUB)
         for p in range(n):
-            if strings[p]:
-                where = np.array(places[p], np.int64)
-                owner = np.searchsorted(block.offsets, where, "right") - 1
+            own = slice(edges[p], edges[p + 1])
+            if edges[p] < edges[p + 1]:
                 out["part"].append(p)
                 out["block"].append(block.number)
                 out["mask"].append(masks[p])
-                out["data"].append(b"".join(strings[p]))
-                out["sizes"].append(B.pack(np.array([len(s) for s in strings[p]], np.uint32)))
-                out["docs"].append(B.pack(block.ids[owner]))
-                out["starts"].append(B.pack(where - block.offsets[owner]))
+                out["data"].append(b"".join(marked.strings[own]))
+                out["sizes"].append(B.pack(sizes[own]))
+                out["buckets"].append(B.pack(np.bincount(marked.bucket[own] - p * SUB, minlength=SUB).astype(np.uint32)))
+                out["docs"].append(B.pack(block.ids[owner[own]]))
+                out["starts"].append(B.pack((where - block.offsets[owner])[own]))
     kinds = {"part": pa.int32(), "block": pa.int32()}
     return pa.table({k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()})
 
@@ -208,42 +221,50 @@ def find_earlier(table: pa.Table, spec: Spec, order: Order) -> pa.Table:
     ``order`` takes the distinct strings and returns the number of tokens of each and, for every
     window, (string order) the number of its class of equal windows.
     """
-    known: dict[bytes, int] = {}
-    entries: list[np.ndarray] = []
-    for data, sizes in zip(table.column("data").to_pylist(), B.cells(table, "sizes", np.uint32)):
-        edges = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).tolist()
-        entries.append(np.array(
-            [known.setdefault(data[a:b], len(known)) for a, b in zip(edges, edges[1:])], np.int64))
-    _, rank = np.unique(np.concatenate(B.cells(table, "docs", np.int64)), return_inverse=True)
-    place = rank.astype(np.int64) << 32
-    if spec.within:
-        place = place + np.concatenate(B.cells(table, "starts", np.int64))
-    every = np.concatenate(entries)
-    lengths, classes, n_classes = order(list(known))
-    windows = lengths - spec.window + 1
-    begin = np.cumsum(windows) - windows
-    first = np.full(len(known), np.iinfo(np.int64).max)
-    np.minimum.at(first, every, place)
-    own = np.repeat(first, windows)
-    if spec.within:
-        own = own + B.ranges(np.zeros(len(windows), np.int64), windows)
-    least = np.full(int(n_classes), np.iinfo(np.int64).max)
-    by_class = np.argsort(classes, kind="stable")
-    starts = B.group_starts(classes[by_class])
-    if len(starts):
-        least[classes[by_class][starts]] = np.minimum.reduceat(own[by_class], starts)
-    least = least[classes]
-    answers, at = [], 0
-    for entry in entries:
-        n = windows[entry]
-        mine = np.repeat(place[at : at + len(entry)], n)
+    data = table.column("data").to_pylist()
+    sizes, counts = B.cells(table, "sizes", np.uint32), B.cells(table, "buckets", np.uint32)
+    docs, starts = B.cells(table, "docs", np.int64), B.cells(table, "starts", np.int64)
+    ends = [np.cumsum(x, dtype=np.int64) for x in sizes]
+    firsts = [np.concatenate(([0], np.cumsum(x, dtype=np.int64))) for x in counts]
+    answers: list[list[np.ndarray]] = [[] for _ in data]
+    for s in range(SUB):
+        known: dict[bytes, int] = {}
+        entries, places, owners = [], [], []
+        for i in range(len(data)):
+            a, b = int(firsts[i][s]), int(firsts[i][s + 1])
+            edge = [int(ends[i][a - 1]) if a else 0, *ends[i][a:b].tolist()]
+            entries.append(np.array(
+                [known.setdefault(data[i][x:y], len(known)) for x, y in zip(edge, edge[1:])], np.int64))
+            owners.append(docs[i][a:b])
+            places.append(starts[i][a:b])
+        if not known:
+            continue
+        rank = np.unique(np.concatenate(owners), return_inverse=True)[1].reshape(-1)
+        place = rank.astype(np.int64) << 32
+        if spec.within:
+            place = place + np.concatenate(places)
+        lengths, classes, n_classes = order(list(known))
+        windows = lengths - spec.window + 1
+        begin = np.cumsum(windows) - windows
+        first = np.full(len(known), np.iinfo(np.int64).max)
+        np.minimum.at(first, np.concatenate(entries), place)
+        own = np.repeat(first, windows)
         if spec.within:
-            mine = mine + B.ranges(np.zeros(len(entry), np.int64), n)
-        answers.append(B.pack(np.packbits(least[B.ranges(begin[entry], n)] < mine)))
-        at += len(entry)
+            own = own + B.ranges(np.zeros(len(windows), np.int64), windows)
+        least = np.full(int(n_classes), np.iinfo(np.int64).max)
+        np.minimum.at(least, classes, own)
+        least = least[classes]
+        at = 0
+        for i, entry in enumerate(entries):
+            n = windows[entry]
+            mine = np.repeat(place[at : at + len(entry)], n)
+            if spec.within:
+                mine = mine + B.ranges(np.zeros(len(entry), np.int64), n)
+            answers[i].append(least[B.ranges(begin[entry], n)] < mine)
+            at += len(entry)
     return pa.table({
         "block": table.column("block"), "part": table.column("part"), "mask": table.column("mask"),
-        "earlier": pa.array(answers, pa.binary()),
+        "earlier": pa.array([B.pack(np.packbits(np.concatenate(x))) for x in answers], pa.binary()),
     })
 
 
@@ -255,29 +276,24 @@ def covered(docs: pa.Table, answers: pa.Table, spec: Spec, n: int) -> Iterator[t
     edge = np.zeros(len(block.tokens) + 1, np.int32)
     if answers.num_rows:
         rows = answers.select(["part", "mask", "earlier"]).to_pylist()
-        strings, runs = marked_strings(block, spec, n, {r["part"]: r["mask"] for r in rows})
-        bits, begins = {}, {}
-        for r in rows:
-            bits[r["part"]], begins[r["part"]] = np.unpackbits(np.frombuffer(r["earlier"], np.uint8)), [0]
-        first_at: dict[tuple[int, int], int] = {}
-        starts = []
-        owners = (np.searchsorted(block.offsets, np.array([r[2] for r in runs]), "right") - 1).tolist() if runs else []
-        for (p, s, f, c), d in zip(runs, owners):
-            if (p, s) not in first_at:
-                first_at[p, s] = d
-                begins[p].append(begins[p][-1] + c)
-                local = True
-            else:
-                local = not spec.within and block.ids[first_at[p, s]] == block.ids[d]
-            if local:
-                at = begins[p][s]
-                starts.append(f + np.flatnonzero(bits[p][at : at + c]))
-            else:
-                starts.append(np.arange(f, f + c))
-        if starts:
-            where = np.concatenate(starts)
-            edge += np.bincount(where, minlength=len(edge)).astype(np.int32)
-            edge -= np.bincount(where + spec.window, minlength=len(edge)).astype(np.int32)[: len(edge)]
+        marked = marked_strings(block, spec, n, {r["part"]: r["mask"] for r in rows})
+        windows = marked.count[marked.first]
+        totals = np.bincount(marked.bucket // SUB, windows, n).astype(np.int64)
+        earlier = np.concatenate([
+            np.unpackbits(np.frombuffer(r["earlier"], np.uint8), count=totals[r["part"]])
+            for r in sorted(rows, key=lambda r: r["part"])
+        ]).astype(bool)
+        first = marked.first[marked.string]  # run of the string's first start in this block
+        local = first == np.arange(len(first))
+        if not spec.within:
+            owner = block.ids[np.searchsorted(block.offsets, marked.begin, "right") - 1]
+            local |= owner == owner[first]
+        told = marked.string[local]
+        bits = earlier[B.ranges((np.cumsum(windows) - windows)[told], windows[told])]
+        where = np.concatenate((
+            B.ranges(marked.begin[local], marked.count[local])[bits], B.ranges(marked.begin[~local], marked.count[~local])))
+        edge += np.bincount(where, minlength=len(edge)).astype(np.int32)
+        edge -= np.bincount(where + spec.window, minlength=len(edge)).astype(np.int32)
     flags = np.cumsum(edge[:-1]) > 0
     for d in range(len(block.ids)):
         yield block, d, flags[block.offsets[d] : block.offsets[d + 1]]
