@@ -11,7 +11,7 @@ The number of shuffle partitions must be set so that a block fits a task, as for
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,17 @@ def deal(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.repartitionById(n, F.col(column))
 
 
-def in_blocks(docs: DataFrame, n: int, text: str | Column = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(block, doc_id, data): every document's UTF-8 bytes, dealt by its id."""
+def in_blocks(
+    docs: DataFrame, n: int, text: str | Column = "text", doc_id: str = "doc_id", carry: Sequence[str] = ()
+) -> DataFrame:
+    """(block, doc_id, data): every document's UTF-8 bytes, dealt by its id; columns to ``carry``
+    travel in a struct named rest."""
     body = F.col(text) if isinstance(text, str) else text
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(n)).cast("int").alias("block"),
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(body.cast("binary"), F.lit("").cast("binary")).alias("data"),
+        *([F.struct(*carry).alias("rest")] if carry else []),
     )
     return deal(rows, "block", n)
 
@@ -56,10 +60,14 @@ def read_block(table: pa.Table) -> tuple[int, np.ndarray, list[bytes]]:
     """Block number, ids and texts, in id order (rows that share an id by text; no id last)."""
     ids = table.column("doc_id").fill_null(NULL_ID).to_numpy()
     data = table.column("data").to_pylist()
-    order = sorted(range(len(data)), key=lambda i: (ids[i], data[i]))
+    order = read_order(ids, data)
     return table.column("block")[0].as_py(), ids[order].astype(np.int64), [data[i] for i in order]
 
 
+def read_order(ids: np.ndarray, data: list[bytes]) -> list[int]:
+    return sorted(range(len(data)), key=lambda i: (ids[i], data[i]))
+
+
 def id_array(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=ids == NULL_ID)
 
@@ -89,7 +97,7 @@ def cells(table: pa.Table, column: str, dtype) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype) for x in table.column(column).to_pylist()]
 
 
-_BASE, _BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+BASE, BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -121,9 +129,9 @@ def piece_hashes(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """64-bit hash of each piece; a piece reaches to the start of the next."""
     out = np.empty(len(starts), np.uint64)
     for i, j, begin, end in slices(starts, len(buf)):
-        terms = (buf[begin:end].astype(np.uint64) + np.uint64(1)) * powers(_BASE, end - begin)
+        terms = (buf[begin:end].astype(np.uint64) + np.uint64(1)) * powers(BASE, end - begin)
         at = starts[i:j] - begin
-        out[i:j] = mix(np.add.reduceat(terms, at) * powers(_BASE_INVERSE, end - begin)[at])
+        out[i:j] = mix(np.add.reduceat(terms, at) * powers(BASE_INVERSE, end - begin)[at])
     return out
 
 
@@ -150,11 +158,11 @@ def gram_hashes(tokens: np.ndarray, n: int) -> np.ndarray:
                 whole, covered = piece, size
             else:
                 m = len(tokens) - covered - size + 1
-                whole = whole[:m] * np.uint64(pow(_BASE, size, 1 << 64)) + piece[covered : covered + m]
+                whole = whole[:m] * np.uint64(pow(BASE, size, 1 << 64)) + piece[covered : covered + m]
                 covered += size
         if covered == n:
             return mix(whole)
-        piece = piece[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + piece[size:]
+        piece = piece[:-size] * np.uint64(pow(BASE, size, 1 << 64)) + piece[size:]
         size *= 2
 
 
