@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lines, minhash, mixing, passages, quality, substring, warc
+from . import decontaminate, html, lines, minhash, mixing, neighbours, passages, quality, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -51,6 +56,11 @@ def op7_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passage_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
