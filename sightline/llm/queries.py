@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, lines, minhash, mixing, neighbours, passages, quality, substring, warc
+from . import decontaminate, html, lines, minhash, mixing, neighbours, oracles, passages, quality, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -76,25 +76,32 @@ def load(table: pa.Table, spec: Spec) -> Block:
     return Block(number, ids, texts, buf, tokens, begins, counts, np.concatenate(([0], np.cumsum(counts))))
 
 
-def find_runs(block: Block, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and minimiser of each run; windows stay inside documents."""
+def find_runs(block: Block, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and minimiser of each run, and (where repeats inside a
+    document count) whether the run holds its minimiser twice; windows stay inside documents."""
     w, total = spec.window, len(block.tokens)
-    firsts, counts, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    firsts, counts, keys, twice = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
     inside = np.zeros(total + 1, bool)
     inside[B.ranges(block.offsets[:-1], np.maximum(block.counts - w + 1, 0))] = True
     for at in range(0, total - w + 1, CHUNK):
         end = min(at + CHUNK, total - w + 1)
-        least = B.sliding_min(B.gram_hashes(block.tokens[at : end + w - 1], spec.gram), w - spec.gram + 1)
+        grams = B.gram_hashes(block.tokens[at : end + w - 1], spec.gram)
+        least = B.sliding_min(grams, w - spec.gram + 1)
         ok = inside[at:end]
         new = ok.copy()
         new[1:] &= ~ok[:-1] | (least[1:] != least[:-1])  # documents with windows are at least a token apart
         begin = np.flatnonzero(new)
         if len(begin):
             owner = np.cumsum(new)[ok] - 1
+            count = np.bincount(owner, minlength=len(begin))
             firsts.append(begin + at)
-            counts.append(np.bincount(owner, minlength=len(begin)))
+            counts.append(count)
             keys.append(least[begin])
-    return np.concatenate(firsts), np.concatenate(counts), np.concatenate(keys)
+            if spec.within:
+                size = count + w - spec.gram
+                same = grams[B.ranges(begin, size)] == np.repeat(least[begin], size)
+                twice.append(np.add.reduceat(same, np.cumsum(size) - size, dtype=np.int64) > 1)
+    return np.concatenate(firsts), np.concatenate(counts), np.concatenate(keys), np.concatenate(twice)
 
 
 def keys_by_part(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -110,10 +117,12 @@ def keys_by_part(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.n
 def send_keys(table: pa.Table, spec: Spec, n: int) -> pa.Table:
     """Distinct minimisers of a block, and whether they came twice inside it."""
     block = load(table, spec)
-    first, _, key = find_runs(block, spec)
+    first, _, key, twice = find_runs(block, spec)
     order, starts, by_part, edges = keys_by_part(key, n)
     if spec.within:
         again = np.diff(np.append(starts, len(order))) > 1
+        if len(starts):
+            again |= np.logical_or.reduceat(twice[order], starts)
     else:
         owner = (np.searchsorted(block.offsets, first, "right") - 1)[order]
         again = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts) if len(starts) else starts
@@ -165,7 +174,7 @@ class Marked:
 
 
 def marked_strings(block: Block, spec: Spec, n: int, masks: dict[int, bytes]) -> Marked:
-    begin, count, key = find_runs(block, spec)
+    begin, count, key, _ = find_runs(block, spec)
     order, starts, by_part, edges = keys_by_part(key, n)
     marked = np.zeros(len(starts), bool)
     for p, mask in masks.items():
