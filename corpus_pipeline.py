@@ -3,14 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from sightline.llm import decontaminate, lines, minhash, mixing, quality
+from sightline.session import scratch_path
+
+#: no SQL twin: the first stage is a fitted model; tests hold every stage against brute force
 ORACLE_SQL = None
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble, fitted on the labelled ones, does not reject."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat earlier ones; a document that loses all its words goes."""
+    done = lines.dedup_lines(docs)
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
+    return done.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with the number of copies."""
+    return mixing.mix_sources(docs, quality=mixing.plain_quality()).where("copies > 0")
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("lines", without_repeated_lines),
+    ("near-duplicates", one_of_each_group),
+    ("decontamination", without_benchmarks),
+    ("mix", mixed),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over the documents of ``sf_dir``."""
+    """All stages in turn over the documents of ``sf_dir``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
