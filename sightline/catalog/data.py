@@ -17,16 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core rows to work on when a table has fewer files than there are cores.
-
-    The supplied text tables are one row group each, which a scan cannot split.  Tables of many
-    files pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def text(col: str | Column) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("string")
 

@@ -175,9 +175,11 @@ _NET = f"""WITH net AS (SELECT CAST(s_suppkey AS VARCHAR) AS indicator, CASE WHE
    CASE WHEN indicator_type <> 'Address' THEN 'manual_review' WHEN cl THEN 'reduce_score' WHEN b OR proxy THEN 'elevate_score' WHEN risky THEN 'analyst_review' ELSE 'no_change' END AS recommendation FROM t)"""
 
 
-@register("triage_infrastructure", f"{_NET} SELECT * FROM tri")
+@register("triage_infrastructure", f"""{_NET} SELECT tri.*, CASE WHEN behavior = 'non_ip' THEN 'Non-IP type (Host). No automated triage available.'
+  ELSE 'ISP: ' || isp || '. Org: Org. Country: ' || country || '. ASN: ' || asn || '. Proxy: ' || if(proxy, 'True', 'False') || '. Hosting: ' || if(hosting, 'True', 'False')
+    || '. Behavior: ' || behavior || '. Recommendation: ' || recommendation || '.' END AS notes FROM tri JOIN net USING (indicator)""")
 def _(spark, sf):
-    return feeds.triage_infrastructure(_network(spark, sf)).select("indicator", "behavior", "flags", "recommendation")
+    return feeds.triage_infrastructure(_network(spark, sf)).select("indicator", "behavior", "flags", "recommendation", "notes")
 
 
 @register("triage_summary", f"{_NET} SELECT behavior, recommendation, count(*) AS n FROM tri GROUP BY ALL")
@@ -203,6 +205,14 @@ def _(spark, sf):
     return feeds.categorize_tags(tag_rows(spark, sf), _RULES, "name")
 
 
+@register("categorize_tags_members", f"""{_CAT} SELECT name, CASE WHEN name = 'actor 3' THEN 'listed' WHEN name = 'click Splunk API' THEN 'other list' ELSE category END AS category FROM c""")
+def _(spark, sf):
+    from .data import tag_rows
+
+    listed = (("listed", ("actor 3", "ACTOR 4")), ("other list", (" click Splunk API ", "actor 3")))
+    return feeds.categorize_tags(tag_rows(spark, sf), _RULES, "name", listed)
+
+
 @register("tags_per_category", f"{_CAT} SELECT category, count(*) AS n FROM c GROUP BY 1")
 def _(spark, sf):
     from .data import tag_rows

@@ -167,13 +167,12 @@ def _(spark, sf):
     return out.withColumn("scoring_date", F.date_format("scoring_date", "yyyy-MM-dd HH:mm:ss"))
 
 
-@register("group_documents", """WITH d AS (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders)
-  SELECT o_custkey, string_agg(o_orderstatus || ':' || o_orderpriority, ',' ORDER BY o_orderstatus, o_orderpriority) AS records FROM d GROUP BY 1""")
+@register("group_documents", """SELECT DISTINCT o_custkey, o_orderstatus || ':' || o_orderpriority AS record FROM orders""")
 def _(spark, sf):
     rows = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
     grouped = ingest.group_documents(rows.where("o_orderstatus <> 'F'"), rows.where("o_orderstatus <> 'O'"), "o_custkey")
     shown = F.transform("records", lambda x: F.concat_ws(":", x["o_orderstatus"], x["o_orderpriority"]))
-    return grouped.select("o_custkey", F.array_join(shown, ",").alias("records"))
+    return grouped.select("o_custkey", F.explode(shown).alias("record"))
 
 
 def _library(spark, sf):

@@ -396,6 +396,18 @@ def _(spark, sf):
     return tidy(out, "OpDiv", "indicator", "date", "phase", "trend", "seasonal", "residual")
 
 
+@register("seasonal_means_even", f"""{PANEL},
+ a AS (SELECT *, (row_number() {W}) - 1) % 12 AS phase, CASE WHEN count(*) {W} ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13
+   THEN (sum(observations) {W} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) + (lag(observations, 6) {W}) + lead(observations, 6) {W})) / 2) / 12 END AS trend FROM panel),
+ b AS (SELECT OpDiv, indicator, phase, avg(observations - trend) AS pm FROM a GROUP BY ALL),
+ c AS (SELECT *, pm - avg(pm) {ALL} AS seasonal FROM b)
+ SELECT a.OpDiv, a.indicator, {d('a.date')} AS date, {i('a.phase')} AS phase, {r('trend')} AS trend, {r('seasonal')} AS seasonal,
+  {r('observations - trend - seasonal')} AS residual FROM a JOIN c ON a.OpDiv = c.OpDiv AND a.indicator = c.indicator AND a.phase = c.phase""")
+def _(spark, sf):
+    out = ts.seasonal_means(panel(spark, sf), "observations", 12)
+    return tidy(out, "OpDiv", "indicator", "date", "phase", "trend", "seasonal", "residual")
+
+
 @register("autocorrelation", f"""{PANEL},
  x AS (SELECT OpDiv, indicator, row_number() {W}) AS i, observations - avg(observations) {ALL} AS x FROM panel),
  v AS (SELECT OpDiv, indicator, sum(x * x) AS v FROM x GROUP BY ALL),

@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small
 from .ordering import add_row_number, running_totals
 from .timeseries import first_rows, rank_narrow
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Balanced weight ``n / (classes · n_class)`` on every row."""
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
     whole = counts.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k"))).scalar()
-    weights = counts.select(label, (whole["n"] / (whole["k"] * F.col("_n"))).alias(out))
+    weights = small(counts.select(label, (whole["n"] / (whole["k"] * F.col("_n"))).alias(out)))
     return df.join(weights, label)
 
 

@@ -278,8 +278,20 @@ HIGH_RISK_COUNTRIES = ("China", "Russia", "North Korea", "Iran", "Belarus")
 # ----------------------------------------------------------------------------------------------
 
 
+def _triage_notes(columns: Sequence[str]) -> Column:
+    """What the decision on an address rests on, in one line."""
+    seen = lambda c, gap: F.coalesce(F.col(c).cast("string"), F.lit(gap)) if c in columns else F.lit(gap)
+    flag = lambda c: F.when(F.coalesce(F.col(c), F.lit(False)), "True").otherwise("False")
+    parts = {
+        "ISP": seen("isp", "unknown"), "Org": seen("org", "unknown"), "Country": seen("country", "unknown"),
+        "ASN": seen("asn", ""), "Proxy": flag("proxy"), "Hosting": flag("hosting"),
+        "Behavior": F.col("behavior"), "Recommendation": F.col("recommendation"),
+    }
+    return F.concat_ws(" ", *[F.concat(F.lit(f"{name}: "), value, F.lit(".")) for name, value in parts.items()])
+
+
 def triage_infrastructure(df: DataFrame) -> DataFrame:
-    """Behaviour, flags and recommendation from provider, hosting, proxy and country columns."""
+    """Behaviour, flags, recommendation and notes from provider, hosting, proxy and country columns."""
     blank = F.lit("")
     provider = F.lower(
         F.concat_ws(" ", *[F.coalesce(F.col(c), blank) for c in ("isp", "org", "asn_name")])
@@ -333,7 +345,9 @@ def triage_infrastructure(df: DataFrame) -> DataFrame:
             "flags": F.when(is_address, F.array_join(flags, "; ")).otherwise(""),
             "recommendation": advice,
         }
-    ).drop("_bulletproof", "_cloud", "_generic", "_proxy", "_risky")
+    ).withColumn("notes", F.when(is_address, _triage_notes(df.columns)).otherwise(F.concat(
+        F.lit("Non-IP type ("), F.coalesce("indicator_type", F.lit("unknown")), F.lit("). No automated triage available.")
+    ))).drop("_bulletproof", "_cloud", "_generic", "_proxy", "_risky")
 
 
 def triage_summary(triaged: DataFrame) -> DataFrame:
@@ -354,12 +368,21 @@ def tag_by_asn(
 
 
 def categorize_tags(
-    tags: DataFrame, rules: Sequence[tuple[str, Sequence[str], Sequence[str]]], col: str = "tag"
+    tags: DataFrame, rules: Sequence[tuple[str, Sequence[str], Sequence[str]]], col: str = "tag",
+    members: Sequence[tuple[str, Sequence[str]]] = (),
 ) -> DataFrame:
-    """Category of each distinct tag: the first rule (category, exact, contained) that matches."""
+    """Category of each distinct tag.
+
+    A tag that ``members`` (category, tags) lists as written belongs there, whatever the rules say;
+    others take the first rule (category, exact, contained) that matches.
+    """
     names = tags.select(F.trim(col).alias(col)).where(F.length(col) > 0).distinct()
     value = F.lower(col)
     category = None
+    for name, listed in members:
+        if listed:
+            hit = F.col(col).isin(*[t.strip() for t in listed])
+            category = F.when(hit, name) if category is None else category.when(hit, name)
     for name, exact, parts in rules:
         hit = value.isin(*[e.strip().lower() for e in exact]) if exact else F.lit(False)
         for part in parts:

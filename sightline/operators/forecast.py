@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent_text
+from ..session import small
 
 HORIZONS = (1, 7, 14, 30, 45)
 # fixed ensemble weights: logistic, boosted trees, Weibull, exponential
@@ -141,7 +142,7 @@ def resolve_outcomes(log: DataFrame, reports: DataFrame) -> DataFrame:
     ).groupBy(*keys).agg(F.max("Observed Today").alias("_seen"))
     # one row per report day
     days = reports.select(F.col("FileDate").alias("Forecasted Check Date")).distinct()
-    days = days.withColumn("_reported", F.lit(True))
+    days = small(days.withColumn("_reported", F.lit(True)))
     matched = log.join(
         seen,
         (_norm(F.col("Partner")) == F.col("_p"))

@@ -112,40 +112,39 @@ def recency_range_join(
 
 
 def keyphrase_join(
-    texts: DataFrame, phrases: DataFrame, text: str = "text", phrase: str = "phrase", gram: int = 12
+    texts: DataFrame, phrases: DataFrame, text: str = "text", phrase: str = "phrase", key: str = "doc_id", gram: int = 4
 ) -> DataFrame:
     """(text row, phrase) pairs where the phrase occurs literally, ignoring case.
 
-    An equi-join on an anchor replaces the comparison of all pairs, and the whole phrase is then
-    checked on the candidates.  A word with separators on both sides inside the phrase must be a
-    whole word of the text, so the longest such word is the anchor.  Phrases without one are
-    anchored on their first ``gram`` characters (or all of them, if shorter); the text is cut at
-    every position, but only at the lengths that occur among those phrases.
+    An equi-join on an anchor replaces the comparison of all pairs.  A word with separators on both
+    sides inside the phrase must be a whole word of the text, so the longest such word is the
+    anchor.  Phrases without one are anchored on their first ``gram`` characters, or on all of them if
+    shorter.  Only (``key``, anchor) rows meet the anchors; each text joins its candidates once, by its
+    unique ``key``, and the whole phrase is then checked.
     """
     ready = phrases.withColumn("_phrase", F.lower(phrase)).where(F.length("_phrase") > 0)
     inner = F.regexp_extract_all(
         "_phrase", F.lit(r"(?<=[^\p{L}\p{N}])([\p{L}\p{N}]+)(?=[^\p{L}\p{N}])"), F.lit(1)
     )
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    ready = ready.withColumn("_anchor", longest["w"])
-    by_word = ready.where("_anchor IS NOT NULL")
-    by_gram = ready.where("_anchor IS NULL").withColumn("_anchor", F.substring("_phrase", 1, gram))
-
-    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
-    word_side = texts.withColumn("_anchor", F.explode(words))
-    # at most ``gram`` different lengths
-    lengths = by_gram.select(F.array_sort(F.collect_set(F.length("_anchor")))).scalar()
-    pieces = F.regexp_extract_all(
-        F.lower(text), F.concat(F.lit("(?s)(?=(.{"), F.col("_n").cast("string"), F.lit("}))")), F.lit(1)
+    ready = ready.withColumn("_anchor", F.coalesce(longest["w"], F.substring("_phrase", 1, gram)))
+    ready = ready.withColumn("_word", longest["w"].isNotNull())
+
+    body = F.lower(text)
+    # at most ``gram`` lengths, and only those that occur
+    lengths = ready.where("NOT _word").select(F.array_sort(F.collect_set(F.length("_anchor")))).scalar()
+    pieces = F.flatten(F.transform(
+        "_lengths",
+        lambda n: F.array_distinct(F.regexp_extract_all(
+            body, F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))),
+    ))
+    words = F.array_distinct(F.split(body, r"[^\p{L}\p{N}]+"))
+    spots = texts.withColumn("_lengths", lengths)
+    spots = spots.select(key, F.explode(words).alias("_anchor"), F.lit(True).alias("_word")).unionByName(
+        spots.select(key, F.explode(pieces).alias("_anchor"), F.lit(False).alias("_word"))
     )
-    gram_side = (
-        texts.withColumn("_lengths", lengths)
-        .withColumn("_n", F.explode("_lengths"))
-        .withColumn("_anchor", F.explode(F.array_distinct(pieces)))
-        .drop("_lengths", "_n")
-    )
-    found = word_side.join(by_word, "_anchor").unionByName(gram_side.join(by_gram, "_anchor"))
-    return found.where(F.lower(F.col(text)).contains(F.col("_phrase"))).drop("_anchor", "_phrase")
+    found = spots.join(ready, ["_anchor", "_word"]).drop("_anchor", "_word")
+    return found.join(texts, key).where(F.lower(F.col(text)).contains(F.col("_phrase"))).drop("_phrase")
 
 
 def compare_snapshots(prev: DataFrame, curr: DataFrame, key: str, value: str) -> DataFrame:

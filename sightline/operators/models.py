@@ -267,8 +267,10 @@ def _forecast_series(rows: pd.DataFrame, keys: list[str], col: str, max_p: int,
     x = rows[col].to_numpy(dtype=float)
     names = [*keys, "date", "order", "aic", "forecast", "lower", "upper"]
     fit = _fit_ar(x, max_p)
-    if fit is None:
-        return pd.DataFrame(columns=names)
+    if fit is None:  # too short for a lag: the mean, with the spread of the values as its band
+        x = x[~np.isnan(x)]
+        sigma = x.std(ddof=1) if len(x) > 1 else np.nan
+        fit = 0, np.array([x.mean() if len(x) else np.nan]), sigma, np.nan
     p, beta, sigma, aic = fit
     history, psi, out = list(x), [1.0], []
     last = pd.Timestamp(rows["date"].iloc[-1])
@@ -285,7 +287,10 @@ def _forecast_series(rows: pd.DataFrame, keys: list[str], col: str, max_p: int,
 def ar_forecast_by_series(
     panel: DataFrame, col: str = "observations", max_p: int = 7, h: int = 7, keys: Sequence[str] = SERIES
 ) -> DataFrame:
-    """Autoregressive forecast with a 95 % band for every series, ``h`` days ahead."""
+    """Autoregressive forecast with a 95 % band for every series, ``h`` days ahead.
+
+    A series too short for a lag gets order 0: its mean, and no band if it has one value.
+    """
     kinds = ", ".join(f"`{k}` {panel.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, date date, `order` int, aic double, forecast double, lower double, upper double"
     fn = partial(_forecast_series, keys=list(keys), col=col, max_p=max_p, h=h)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -418,15 +418,13 @@ def _match_block(texts: pd.DataFrame, items: pd.DataFrame, threshold: float, boo
 
 def similar_items(
     texts: DataFrame, dictionary: DataFrame, threshold: float = 0.9, boost: float = 0.1, k: int = 5,
-    broadcast_bytes: int = 64 << 20, text_rows: int = 2_000, block_rows: int = 20_000,
+    text_rows: int = 2_000, block_rows: int = 20_000,
 ) -> DataFrame:
     """The ``k`` most similar dictionary items per text by cosine, keyword and tactic hints.
 
     ``texts`` has ``id, text, vector``; ``dictionary`` has ``item_id, keywords, tactics, vector``.
-    A dictionary measured at no more than ``broadcast_bytes`` goes to every task, and the texts are
-    scored where they are.  A larger one is hashed into blocks and the texts into slots; each task
-    compares one slot with one block and returns at most ``k`` matches per text, so no table of
-    pairs is ever built.
+    The dictionary is hashed into blocks and the texts into slots; each task compares one slot with
+    one block and returns at most ``k`` matches per text, so no table of pairs is ever built.
     """
     none = F.array().cast("array<string>")
     left = texts.select("id", "text", "vector")
@@ -435,36 +433,19 @@ def similar_items(
     )
     key, item = (df.schema[c].dataType.simpleString() for df, c in ((texts, "id"), (dictionary, "item_id")))
     schema = f"id {key}, item_id {item}, similarity double, final_score double"
-    width = F.size("vector") * 8 + F.length(F.array_join(F.concat("keywords", "tactics"), " ")) + 64
-    size, rows = right.agg(F.coalesce(F.sum(width), F.lit(0)), F.count("*")).first()
     rank = F.row_number().over(
         W.partitionBy("id").orderBy(F.col("final_score").desc(), F.col("similarity").desc(), F.col("item_id"))
     )
-    if size <= broadcast_bytes:
-        shared = texts.sparkSession.sparkContext.broadcast(right.toPandas())
-
-        def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                yield _match_block(part, shared.value, threshold, boost, k)
-
-        found = left.mapInPandas(score, schema)
-    else:
-        blocks = -(-rows // block_rows)
-        slots = F.greatest(F.ceil(texts.agg(F.count("*")).scalar() / text_rows), F.lit(1))
-        sided = left.withColumn("_slot", F.pmod(F.xxhash64("id"), slots)).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        )
-        copies = (
-            right.withColumn("_block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))
-            .withColumn("_slots", slots)
-            .withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1)))
-            .drop("_slots")
-        )
-        found = (
-            sided.groupBy("_block", "_slot")
-            .cogroup(copies.groupBy("_block", "_slot"))
-            .applyInPandas(lambda a, b: _match_block(a, b, threshold, boost, k), schema)
-        )
+    blocks = F.greatest(F.ceil(dictionary.agg(F.count("*")).scalar() / block_rows), F.lit(1))
+    slots = F.greatest(F.ceil(texts.agg(F.count("*")).scalar() / text_rows), F.lit(1))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    sided = left.withColumn("_n", blocks).withColumn("_slot", F.pmod(F.xxhash64("id"), slots)).withColumn("_block", every(F.col("_n")))
+    copies = right.withColumn("_n", slots).withColumn("_block", F.pmod(F.xxhash64("item_id"), blocks)).withColumn("_slot", every(F.col("_n")))
+    found = (
+        sided.drop("_n").groupBy("_block", "_slot")
+        .cogroup(copies.drop("_n").groupBy("_block", "_slot"))
+        .applyInPandas(lambda a, b: _match_block(a, b, threshold, boost, k), schema)
+    )
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 

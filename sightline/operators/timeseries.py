@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import small
 from .ordering import add_row_number, exact_quantiles
 
 SERIES = ("OpDiv", "indicator")
@@ -38,7 +39,7 @@ def dense_panel(
     days = obs.groupBy(*keys, F.col("obs_date").alias("date")).agg(
         F.sum("observations").alias("observations")
     )
-    span = obs.groupBy("OpDiv").agg(F.min("obs_date").alias("_first"))
+    span = small(obs.groupBy("OpDiv").agg(F.min("obs_date").alias("_first")))
     series, everything = _ordered(keys), W.partitionBy(*keys)
     as_of_day = F.lit(as_of).cast("date")
     start = F.when(F.row_number().over(series) == 1, F.col("_first")).otherwise(F.col("date"))
@@ -384,13 +385,17 @@ def difference(panel: DataFrame, col: str, lag: int = 1, keys: Sequence[str] = S
 def seasonal_means(
     panel: DataFrame, col: str, period: int = 7, keys: Sequence[str] = SERIES
 ) -> DataFrame:
-    """Additive decomposition for an odd period: centred trend, seasonal mean by phase, residual."""
-    if period % 2 == 0:
-        raise ValueError("period must be odd")
+    """Additive decomposition: centred trend, seasonal mean by phase, residual.
+
+    For an even period the trend takes one value more, the first and the last at half weight.
+    """
     half = period // 2
     series = _ordered(keys)
     frame = series.rowsBetween(-half, half)
-    trend = F.when(F.count(col).over(frame) == period, F.avg(col).over(frame))
+    total = F.sum(col).over(frame)
+    if period % 2 == 0:
+        total = total - (F.lag(col, half).over(series) + F.lead(col, half).over(series)) / 2
+    trend = F.when(F.count(col).over(frame) == 2 * half + 1, total / period)
     phase = W.partitionBy(*keys, "phase")
     rows = (
         panel.withColumn("phase", F.pmod(F.row_number().over(series) - 1, F.lit(period)))

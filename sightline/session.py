@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: str = "*", partitions: int = 8, app: str = "sightline") -> SparkSession:
@@ -50,6 +51,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Mark a narrow lookup table for broadcast if it has at most ``rows`` rows.
+
+    The table is written to the shared folder and counted first, so its size is known; a larger one
+    is joined by a shuffle.  Facts then need no exchange on a key of a few values.
+    """
+    df = pin(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back.
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from ..functions.columns import indicator_form
 from ..operators.ordering import add_row_number
 from ..schemas import DAILY_REPORT, OBSERVATION
-from ..session import pin
+from ..session import pin, small
 
 
 def _csv(spark: SparkSession, schema: StructType):
@@ -103,7 +103,8 @@ def clean_observations(df: DataFrame, drop_users: Sequence[str] = ()) -> DataFra
 
 def merge_incremental(existing: DataFrame, new: DataFrame, day_col: str, key: Sequence[str]) -> DataFrame:
     """Append only the days that ``existing`` does not hold yet, one row per key."""
-    fresh = new.join(existing.select(day_col).distinct(), day_col, "left_anti").dropDuplicates(list(key))
+    days = small(existing.select(day_col).distinct())
+    fresh = new.join(days, day_col, "left_anti").dropDuplicates(list(key))
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -174,19 +175,15 @@ def append_history(old: DataFrame, new: DataFrame, key: str, ts: str) -> DataFra
     return kept.orderBy(key, F.col(ts).desc())
 
 
-def group_documents(old: DataFrame, new: DataFrame, key: str, max_records: int = 10_000) -> DataFrame:
-    """Distinct records of both tables as one list per key.
+def group_documents(old: DataFrame, new: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """Distinct records of both tables as sorted lists: (key, part, records).
 
-    A key with more than ``max_records`` records becomes several numbered parts, so no list grows
-    without bound and every record is kept.
+    The records of every key are dealt by their hash into ``parts`` parts, of which those with
+    records are returned; so the list of a key with very many records is spread over the tasks.
     """
     rows = old.unionByName(new).distinct()
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    parts = F.ceil(F.col("_n") / max_records)
     record = F.struct(*[c for c in rows.columns if c != key])
-    numbered = rows.join(counts, key).withColumn(
-        "part", F.pmod(F.xxhash64(*rows.columns), parts)
-    )
+    numbered = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int"))
     return numbered.groupBy(key, "part").agg(F.array_sort(F.collect_list(record)).alias("records"))
 
 
