@@ -77,6 +77,19 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return (rng.integers(0, high, COORDINATES, np.uint64) | np.uint64(1), rng.integers(0, high, COORDINATES, np.uint64))
 
 
+def set_key(sets: list[np.ndarray]) -> np.ndarray:
+    """64-bit key of each set, from its size and two sums over its hashes; 0 for the empty set."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    full = np.flatnonzero(sizes)
+    out = np.zeros(len(sets), np.uint64)
+    if len(full):
+        every = np.concatenate(sets)
+        starts = (np.cumsum(sizes) - sizes)[full]
+        one, two = np.add.reduceat(B.mix(every), starts), np.add.reduceat(B.mix(~every), starts)
+        out[full] = B.mix(one ^ B.mix(two + sizes[full].astype(np.uint64)))
+    return out.view(np.int64)
+
+
 def _sign(words: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _multipliers()
@@ -88,18 +101,15 @@ def _sign(words: int):
                 every = np.concatenate(sets)
                 starts = (np.cumsum(sizes) - sizes)[full]
                 signs = np.zeros((len(ids), COORDINATES), np.uint32)
-                prints = np.zeros((2, len(ids)), np.uint64)
                 if len(full):
                     for k in range(COORDINATES):
                         value = ((every * a[k] + b[k]) >> np.uint64(32)).astype(np.uint32)
                         signs[full, k] = np.minimum.reduceat(value, starts)
-                    prints[0, full] = np.add.reduceat(B.mix(every), starts)
-                    prints[1, full] = np.add.reduceat(B.mix(every ^ a[0]), starts)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.array(prints[0].astype(np.int64)), pa.array(prints[1].astype(np.int64)),
+                    pa.array(set_key(sets)),
                     pa.array([B.pack(s) for s in signs], pa.binary()),
-                ], ["doc_id", "n_shingles", "print_a", "print_b", "signature"])
+                ], ["doc_id", "n_shingles", "key", "signature"])
 
     return step
 
@@ -108,9 +118,9 @@ def _sets(words: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in _slices(batch):
+                sets = shingle_sets(texts, words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([B.pack(s) for s in shingle_sets(texts, words)], pa.binary())],
-                    ["id", "shingles"])
+                    [pa.array(set_key(sets)), pa.array([B.pack(s) for s in sets], pa.binary())], ["id", "shingles"])
 
     return step
 
@@ -126,11 +136,11 @@ def _coordinate_keys(signs: np.ndarray) -> np.ndarray:
 def _read_classes(table: pa.Table):
     table = table.sort_by("id")
     signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-    return table.column("id").to_numpy(), table.column("n").to_numpy(), table.column("component").to_numpy(), signs
+    return table.column("id").to_numpy(), table.column("n").to_numpy(), signs
 
 
 def _send_coordinates(table: pa.Table, n: int) -> pa.Table:
-    _, _, _, signs = _read_classes(table)
+    _, _, signs = _read_classes(table)
     keys = np.sort(_coordinate_keys(signs).reshape(-1))
     starts = B.group_starts(keys)
     keys, counts = keys[starts], np.diff(np.append(starts, len(keys)))
@@ -159,17 +169,16 @@ def _total(table: pa.Table) -> pa.Table:
     })
 
 
-def _post(classes: pa.Table, answers: pa.Table, n: int, rule: Rule, salt: int | None) -> pa.Table:
+def _post(classes: pa.Table, answers: pa.Table, n: int, rule: Rule) -> pa.Table:
     """Post each class under the rarest of its coordinates.
 
     Two classes that agree in T of K coordinates share one among the K - T + 1 that come first in an
     order common to all, here the rarest first; so the other T - 1, the longest lists, are skipped.
-    A list longer than LIST_BLOCK is dealt into pieces.  ``salt`` deals the pieces of a round that
-    compares inside pieces only; None sends each member to every pair of pieces that has its own.
+    A list longer than LIST_BLOCK is dealt into pieces, and each pair of pieces meets once.
     """
-    out: dict[str, list] = {k: [] for k in ("part", "lists", "cross", "ids", "sizes", "components", "signs")}
+    out: dict[str, list] = {k: [] for k in ("part", "lists", "sides", "ids", "sizes", "signs")}
     if classes.num_rows and answers.num_rows:
-        ids, sizes, comps, signs = _read_classes(classes)
+        ids, sizes, signs = _read_classes(classes)
         known = np.concatenate(B.cells(answers, "keys", np.uint64))
         totals = np.concatenate(B.cells(answers, "totals", np.int64))
         order = np.argsort(known)
@@ -180,16 +189,8 @@ def _post(classes: pa.Table, answers: pa.Table, n: int, rule: Rule, salt: int |
         keys = np.take_along_axis(keys, by_row, 1).reshape(-1)
         total = np.take_along_axis(total, by_row, 1).reshape(-1)
         rows, keys, total = rows[total > 1], keys[total > 1], total[total > 1]
-        pieces = -(-total // LIST_BLOCK)
-        cross = np.zeros(len(rows), np.int64)
-        mine = (B.mix(ids[rows].astype(np.uint64) + np.uint64(salt or 0)) % pieces.astype(np.uint64)).astype(np.int64)
-        low = high = mine
-        if salt is None:
-            take = np.repeat(np.arange(len(rows)), pieces)
-            other = B.ranges(np.zeros(len(pieces), np.int64), pieces)
-            low, high = np.minimum(mine[take], other), np.maximum(mine[take], other)
-            rows, keys = rows[take], keys[take]
-            cross = np.where(low == high, 0, np.where(mine[take] == low, 1, 2))
+        take, low, high, sides = deal_pieces(ids[rows], -(-total // LIST_BLOCK))
+        rows, keys = rows[take], keys[take]
         lists = B.mix(keys + B.mix((low.astype(np.uint64) << np.uint64(32)) | high.astype(np.uint64)))
         part = B.part_of(lists, n)
         order, edges = B.by_part(part, n)
@@ -199,84 +200,188 @@ def _post(classes: pa.Table, answers: pa.Table, n: int, rule: Rule, salt: int |
             if len(at):
                 out["part"].append(p)
                 out["lists"].append(B.pack(lists[at]))
-                out["cross"].append(B.pack(cross[at].astype(np.uint8)))
+                out["sides"].append(B.pack(sides[at]))
                 out["ids"].append(B.pack(ids[rows[at]]))
                 out["sizes"].append(B.pack(sizes[rows[at]]))
-                out["components"].append(B.pack(comps[rows[at]]))
                 out["signs"].append(B.pack(short[rows[at]]))
     return pa.table({k: pa.array(v, pa.int32() if k == "part" else pa.binary()) for k, v in out.items()})
 
 
-def _pairs(table: pa.Table, rule: Rule, star: bool) -> pa.Table:
-    """Pairs of classes of different components that agree in enough coordinates.
+def deal_pieces(ids: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each row once for every pair of pieces that has its own: row, both pieces, and the row's side
+    (0 where the pair is one piece with itself, else 1 or 2)."""
+    mine = (B.mix(ids.astype(np.uint64)) % pieces.astype(np.uint64)).astype(np.int64)
+    take = np.repeat(np.arange(len(ids)), pieces)
+    other = B.ranges(np.zeros(len(pieces), np.int64), pieces)
+    low, high = np.minimum(mine[take], other), np.maximum(mine[take], other)
+    return take, low, high, np.where(low == high, 0, np.where(mine[take] == low, 1, 2)).astype(np.uint8)
+
+
+def _centre(signs: np.ndarray) -> int:
+    """Row that agrees most with the others of the list (with 256 of them at most)."""
+    some = np.unique(np.linspace(0, len(signs) - 1, min(len(signs), 256)).astype(np.int64))
+    return int(some[np.argmax([(signs[some] == signs[i]).sum() for i in some])])
+
 
-    In a star round each list compares its members with one of them only.
+def _pairs(table: pa.Table, rule: Rule) -> pa.Table:
+    """Pairs of a list that agree in enough coordinates.
+
+    Those of the list's centre with its members come first (``star``).  Two members that both agree
+    with the centre are compared later by what they differ in from it (``_compare_differences``), so
+    of the other pairs only those with a member that doesn't are given here.
     """
     join = lambda c, t: np.concatenate(B.cells(table, c, t))
-    lists, cross, ids, sizes, comps = (
-        join(c, t) for c, t in (("lists", np.uint64), ("cross", np.uint8), ("ids", np.int64), ("sizes", np.int64), ("components", np.int64)))
+    lists, sides, ids, sizes = (join(c, t) for c, t in (("lists", np.uint64), ("sides", np.uint8), ("ids", np.int64), ("sizes", np.int64)))
     signs = np.frombuffer(b"".join(table.column("signs").to_pylist()), np.uint16).reshape(-1, COORDINATES)
-    order = np.lexsort((ids, comps, lists))
+    order = np.lexsort((ids, lists))
     starts = B.group_starts(lists[order])
-    ends = np.append(starts[1:], len(order))
-    differ = np.minimum.reduceat(comps[order], starts) != np.maximum.reduceat(comps[order], starts) if len(starts) else starts
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for a, b in zip(starts[differ].tolist(), ends[differ].tolist()):
+
+    def agree(x: int, rest: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(sizes[rest], sizes[x]), np.maximum(sizes[rest], sizes[x])
+        return (100 * small >= rule.percent * large) & ((signs[rest] == signs[x]).sum(1) >= rule.matches)
+
+    left, right, star = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for a, b in zip(starts.tolist(), np.append(starts[1:], len(order)).tolist()):
         at = order[a:b]
-        side = cross[at]
-        for i in range(1 if star else len(at) - 1):
-            x, rest = at[i], at[i + 1 :]
-            ok = comps[rest] != comps[x]
-            if side[i]:
-                ok &= side[i + 1 :] != side[i]
-            rest = rest[ok]
-            if len(rest):
-                small, large = np.minimum(sizes[rest], sizes[x]), np.maximum(sizes[rest], sizes[x])
-                rest = rest[100 * small >= rule.percent * large]
-                rest = rest[(signs[rest] == signs[x]).sum(1) >= rule.matches]
-                left.append(np.full(len(rest), ids[x]))
-                right.append(ids[rest])
-    u, v = np.concatenate(left), np.concatenate(right)
-    pairs = np.unique(np.stack((np.minimum(u, v), np.maximum(u, v)), 1), axis=0) if len(u) else np.zeros((0, 2), np.int64)
-    return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
-
-
-def candidates(classes: DataFrame, rule: Rule, star: bool, salt: int | None) -> DataFrame:
-    """Candidate pairs (u, v) of ``classes`` (id, n, signature, component)."""
+        if len(at) < 2:
+            continue
+        centre = _centre(signs[at])
+        x, others = at[centre], np.delete(at, centre)
+        # sizes may rule out a link with the centre, but not its use as one
+        near = (signs[others] == signs[x]).sum(1) >= rule.matches
+        left.append(np.full(near.sum(), ids[x]))
+        right.append(ids[others[near]])
+        star.append(np.ones(near.sum(), bool))
+        far = others[~near]
+        for i, y in enumerate(far):
+            rest = np.concatenate((far[i + 1 :], others[near]))
+            if sides[y]:
+                rest = rest[sides[rest] != sides[y]]
+            rest = rest[agree(y, rest)]
+            left.append(np.full(len(rest), ids[y]))
+            right.append(ids[rest])
+            star.append(np.zeros(len(rest), bool))
+    u, v, star = np.concatenate(left), np.concatenate(right), np.concatenate(star)
+    swap = ~star & (u > v)
+    u, v = np.where(swap, v, u), np.where(swap, u, v)
+    keep = np.unique(np.stack((u, v, star), 1), axis=0) if len(u) else np.zeros((0, 3), np.int64)
+    return pa.table({"u": pa.array(keep[:, 0]), "v": pa.array(keep[:, 1]), "star": pa.array(keep[:, 2] > 0)})
+
+
+def candidates(classes: DataFrame, rule: Rule) -> DataFrame:
+    """Candidate pairs (u, v, star) of ``classes`` (id, n, signature)."""
     n = B.parts(classes.sparkSession)
     base = B.deal(classes.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), "block", n)
     sent = B.on_groups(base, "block", lambda t: _send_coordinates(t, n), "part int, block int, keys binary, counts binary")
     totals = B.on_groups(B.deal(sent, "part", n), "part", _total, "block int, part int, keys binary, totals binary")
     posted = B.with_answers(
-        base, totals, n, lambda c, a: _post(c, a, n, rule, salt),
-        "part int, lists binary, cross binary, ids binary, sizes binary, components binary, signs binary")
-    return B.on_groups(B.deal(posted, "part", n), "part", lambda t: _pairs(t, rule, star), "u long, v long").distinct()
+        base, totals, n, lambda c, a: _post(c, a, n, rule),
+        "part int, lists binary, sides binary, ids binary, sizes binary, signs binary")
+    return B.on_groups(B.deal(posted, "part", n), "part", lambda t: _pairs(t, rule), "u long, v long, star boolean").distinct()
+
+
+# -- confirmation on full sets ----------------------------------------------------------------
+
+
+def linked(percent: int, both: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return 100 * both >= percent * (one + other - both)
 
 
 def _confirm(percent: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, v, a, b = batch.columns
-            keep = []
-            for x, y in zip(a, b):
+            u, v, star, a, b = batch.columns
+            size_u, size_v, both, differences = [], [], [], []
+            for x, y, s in zip(a, b, star.to_pylist()):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([u.filter(keep), v.filter(keep)], ["u", "v"])
+                if s:
+                    apart = np.setxor1d(x, y, assume_unique=True)
+                    common = (len(x) + len(y) - len(apart)) // 2
+                else:
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                size_u.append(len(x))
+                size_v.append(len(y))
+                both.append(common)
+                differences.append(B.pack(apart) if s else None)
+            ok = linked(percent, *(np.array(x, np.int64) for x in (both, size_u, size_v)))
+            yield pa.RecordBatch.from_arrays(
+                [u, v, star, pa.array(size_v, pa.int64()), pa.array(ok, pa.bool_()), pa.array(differences, pa.binary())],
+                ["u", "v", "star", "n", "linked", "differences"])
 
     return step
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
+def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """(u, v, star, n, linked, differences): is each pair similar enough in its full shingle sets;
+    for a centre u, also the size of v and the shingles that only one of the two has."""
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    ids = ids.join(nodes, "id").select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = texts.join(ids, "id", "left_semi").mapInArrow(_sets(rule.words), "id long, shingles binary")
+    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(rule.words), "id long, shingles binary").dropDuplicates(["id"])
     left = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
     right = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
-    return pairs.join(left, "v").join(right, "u").select("u", "v", "a", "b").mapInArrow(
-        _confirm(rule.percent), "u long, v long")
+    return pairs.join(left, "v").join(right, "u").select("u", "v", "star", "a", "b").mapInArrow(
+        _confirm(rule.percent), "u long, v long, star boolean, n long, linked boolean, differences binary")
+
+
+def _compare_differences(percent: int):
+    def step(table: pa.Table) -> pa.Table:
+        """Links among the members of a centre, exactly, from what each differs in from the centre.
+
+        What two sets differ in is what their differences differ in, so their common shingles follow
+        from the number of common differences.  A member not linked with the centre shares a difference
+        with all that it is linked with; the lists of its differences are merged by counting.  Links
+        that join what is joined already are left out.
+        """
+        left, right = [], []
+        table = table.sort_by([("u", "ascending"), ("low", "ascending"), ("high", "ascending"), ("v", "ascending")])
+        u, low, high, side, v, n, ok = (table.column(c).to_numpy() for c in ("u", "low", "high", "side", "v", "n", "linked"))
+        cells = table.column("differences").to_pylist()
+        new = np.concatenate(([True], (u[1:] != u[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]))) if len(u) else np.zeros(0, bool)
+        starts = np.flatnonzero(new)
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(u)).tolist()):
+            lists = [np.frombuffer(c, np.uint64) for c in cells[a:b]]
+            sizes = np.array([len(x) for x in lists])
+            owner = np.repeat(np.arange(b - a), sizes)
+            code = np.unique(np.concatenate(lists), return_inverse=True)[1].reshape(-1)
+            by_code = np.argsort(code, kind="stable")
+            heads = np.concatenate(([0], np.cumsum(np.bincount(code))))
+            ends = np.cumsum(sizes)
+            size, join_, sides, keys = n[a:b], ok[a:b], side[a:b], v[a:b]
+            root = np.where(join_, -1, np.arange(b - a))  # those linked with the centre are one
+            for x in np.flatnonzero(~join_):
+                own = code[ends[x] - sizes[x] : ends[x]]
+                met = owner[by_code[B.ranges(heads[own], heads[own + 1] - heads[own])]]
+                apart = sizes[x] + sizes - 2 * np.bincount(met, minlength=b - a)
+                both = (size[x] + size - apart) // 2
+                hit = linked(percent, both, np.full(b - a, size[x]), size) & (root != root[x])
+                if sides[x]:
+                    hit &= sides != sides[x]
+                for y in np.flatnonzero(hit):
+                    if root[y] != root[x]:
+                        left.append(keys[x])
+                        right.append(keys[y])
+                        old, to = root[x], root[y]
+                        root[root == old] = to
+        return pa.table({"u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())})
+
+    return step
+
+
+def links_of_centres(found: DataFrame, rule: Rule) -> DataFrame:
+    """Links (u, v) between members of the same centre; a centre's members meet in pieces."""
+    n = B.parts(found.sparkSession)
+    stars = found.where("star")
+    sizes = stars.groupBy("u").agg(
+        F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("pieces"), F.count(F.lit(1)).alias("members"),
+        F.sum((~F.col("linked")).cast("int")).alias("open"))
+    rows = stars.join(sizes.where("members > 1 AND open > 0"), "u").withColumn(
+        "mine", F.pmod(F.xxhash64("v"), F.col("pieces")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
+        "u", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "v", "n", "linked", "differences",
+        F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2).alias("side"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("u", "low", "high"), F.lit(n)).cast("int"))
+    return B.on_groups(B.deal(rows, "part", n), "part", _compare_differences(rule.percent), "u long, v long")
 
 
 def near_duplicates(
@@ -286,40 +391,46 @@ def near_duplicates(
 
     Words lie between ASCII white space, A-Z in lower case; a text's set has its distinct
     ``words``-word shingles (64-bit hashes), or its whole sequence if it has fewer words.  Texts with
-    equal sets form one class, found by grouping on a 128-bit print.  A class posts its id under the
+    equal sets form one class, found by grouping on a key of the set.  A class posts its id under the
     coordinate-value pairs of its MinHash signature, rarest first and without the longest lists
-    (see ``_post``); pairs of a list that agree in ``Rule.matches`` of the coordinates are confirmed on
-    their full sets.  Two rounds compare each list with one member only; what those link into one
-    component needs no more pairs, so the last round compares members of different components alone.
+    (see ``_post``).  In each list, the centre is paired with the members that agree with it in
+    ``Rule.matches`` of the coordinates, and members that don't are paired with those they agree with.
+    Pairs are confirmed on their full sets.  Members of one centre are compared exactly by their
+    differences from it, so a large group of near copies costs a pair per member, not all pairs.
 
     Returns (doc_id, n_shingles, component_id, kept): component_id is the least id reachable over
     links, itself included, kept tells whether that is the row's own.  Null and empty texts have no
-    shingles and are linked with nothing.  Rows that share an id count as one document whose texts
-    are judged row by row: each row gets the group of its own text.  Rows without id are left out of
+    shingles and are linked with nothing.  Rows that share an id are judged row by row: each gets
+    the group of its own text.  Rows without id are left out of
     groups (component_id null, kept true).  Other columns are ignored.
     """
     rule = Rule(percent, words)
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("data"))
-    prints = pin(texts.mapInArrow(
-        _sign(words), "doc_id long, n_shingles long, print_a long, print_b long, signature binary"))
-    key = ["n_shingles", "print_a", "print_b"]
-    classes = pin(
-        prints.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key)
-        .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("data"))
+    prints = pin(texts.mapInArrow(_sign(words), "doc_id long, n_shingles long, key long, signature binary"))
+    nodes = pin(
+        prints.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(F.col("key").alias("id"))
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
     )
-    nodes = classes.select("id", F.col("n_shingles").alias("n"), "signature").dropDuplicates(["id"])
-    links, group = None, None
-    for star, salt in ((True, 1), (True, 2), (False, None)):
-        if group is None:
-            current = nodes.withColumn("component", F.col("id"))
-        else:
-            current = nodes.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        pairs = pin(candidates(current, rule, star, salt))
-        found = pin(confirmed(pairs, texts, rule))
-        links = found if links is None else links.unionByName(found)
-        group = components(links)
-    named = classes.join(group, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, key, "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+    found = pin(confirmed(pin(candidates(nodes, rule)), nodes, texts, rule))
+    links = found.where("linked").select("u", "v").unionByName(links_of_centres(found, rule))
+    named = nodes.select("id", "doc_id").join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "component").select(F.col("id").alias("key"), "component_id")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return prints.join(named, "key", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", doc_id: str = "doc_id"
+) -> DataFrame:
+    """``docs`` without those of which a near-duplicate with a smaller id stays.
+
+    Rows that share an id go together, once none of them is kept.  The removed ids are broadcast if
+    their number, counted first, allows it.
+    """
+    done = near_duplicates(docs, percent, words, text, doc_id)
+    removed = pin(done.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select(F.col("doc_id").alias("_removed")))
+    removed = F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed
+    return docs.join(removed, docs[doc_id] == removed["_removed"], "left_anti")
