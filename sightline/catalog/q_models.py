@@ -48,7 +48,7 @@ def _(spark, sf):
 
 @register("forecast_job")
 def _(spark, sf):
-    return forecast_job(observations(spark, sf), AS_OF, (1, 7, 14))
+    return forecast_job(observations(spark, sf), AS_OF)
 
 
 @register("two_stage_forecast")
@@ -62,13 +62,13 @@ def _(spark, sf):
 @register("score_learned")
 def _(spark, sf):
     scored = sc.score_rule(sc.score_components(score_inputs(spark, sf), AS_OF))
-    out, _metrics = md.score_learned(scored, rounds=20)
+    out, _metrics = md.score_learned(scored)
     return out.select("indicator", "score", "learned_score", "final_score", "final_severity", "adjustment")
 
 
 @register("ar_forecast_by_series")
 def _(spark, sf):
-    return md.ar_forecast_by_series(panel(spark, sf), "observations", 5, 7)
+    return md.ar_forecast_by_series(panel(spark, sf), "observations", 7, 7)
 
 
 @register("feature_importance")

@@ -73,14 +73,14 @@ def fit_logistic(
     def estimator(rows: DataFrame) -> LogisticRegression:
         # the penalty is per row here, so it shrinks with the number of rows
         return LogisticRegression(
-            featuresCol="_scaled", regParam=1.0 / (c * rows.count()), standardization=False, maxIter=200, **_OUTPUTS
+            featuresCol="_scaled", regParam=1.0 / (c * rows.count()), standardization=False, maxIter=2000, **_OUTPUTS
         )
 
     return _classify(train, features, label, estimator, [scaler], out, apply_to)
 
 
 def fit_boosted(
-    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", rounds: int = 20,
+    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", rounds: int = 100,
     depth: int = 3, step: float = 0.1, seed: int = 42, out: str = "boosted", apply_to: DataFrame | None = None,
 ) -> DataFrame:
     """Probability of the label by boosted trees; a single-class label gives nulls."""
@@ -126,7 +126,7 @@ def fit_survival(
 
 def two_stage_forecast(
     panel_features: DataFrame, as_of: str, features: Sequence[str], gap_days: int = 7, min_streak: int = 3,
-    min_ratio: float = 0.5, min_probability: float = 0.60, rounds: int = 20, keys: Sequence[str] = SERIES,
+    min_ratio: float = 0.5, min_probability: float = 0.60, rounds: int = 100, keys: Sequence[str] = SERIES,
 ) -> DataFrame:
     """Indicators expected to be seen: a streak and ratio rule, then boosted trees.
 
@@ -149,7 +149,7 @@ SCORE_FEATURES = (
 
 
 def score_learned(
-    scored: DataFrame, seed: int = 42, rounds: int = 60, key: str = "indicator"
+    scored: DataFrame, seed: int = 42, rounds: int = 300, key: str = "indicator"
 ) -> tuple[DataFrame, DataFrame]:
     """Boosted trees that learn the rule score, blended 0.7 / 0.3; files keep the rule score.
 
@@ -188,7 +188,7 @@ def score_learned(
 
 
 def feature_importance(
-    df: DataFrame, features: Sequence[str], label: str, n: int = 10, trees: int = 20, seed: int = 42
+    df: DataFrame, features: Sequence[str], label: str, n: int = 10, trees: int = 100, seed: int = 42
 ) -> DataFrame:
     """The ``n`` most important features by a random forest."""
     rows = _numbers(df, features).withColumn("_label", F.col(label).cast("double"))
