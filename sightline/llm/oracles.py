@@ -26,6 +26,24 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(remove
 FROM d LEFT JOIN spans USING (doc_id)
 """
 
+OP3 = f"""
+WITH RECURSIVE t AS (SELECT doc_id, source, length(text) AS chars, CAST(coalesce(len(regexp_extract_all(text, '{_TOKENS}')), 0) AS BIGINT) AS size,
+    (CAST(CAST('0x' || substr(md5('11:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE) / pow(2, 52) AS u FROM documents),
+  d AS (SELECT doc_id, source, size, -ln(u) / coalesce(greatest(0.25::DOUBLE, 1 - abs(CAST(chars AS DOUBLE) / (size + 1) - 6) / 8), 1) AS place FROM t),
+  s AS (SELECT source, n, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w
+    FROM (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source)),
+  step AS (SELECT 0::DOUBLE AS level, 0 AS k UNION ALL
+    SELECT raised, k + 1 FROM (SELECT level, k, (SELECT (1.5::DOUBLE * sum(n) - 2::DOUBLE * sum(CASE WHEN level * w >= 2::DOUBLE * n THEN n ELSE 0 END))
+      / nullif(sum(CASE WHEN level * w >= 2::DOUBLE * n THEN 0 ELSE w END), 0) FROM s) AS raised FROM step) WHERE raised > level),
+  goal AS (SELECT source, n, least(2::DOUBLE * n, (SELECT max(level) FROM step) * w) AS target FROM s),
+  part AS (SELECT *, coalesce(floor(target / nullif(n, 0)), 0) AS epochs FROM goal),
+  run AS (SELECT d.*, n, target, epochs, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM d JOIN part ON d.source IS NOT DISTINCT FROM part.source)
+SELECT doc_id, size, n AS source_size, target,
+  CAST(size * (epochs + CASE WHEN before + CAST(size AS DOUBLE) / 2 <= target - epochs * n THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM run
+"""
+
 OP6 = f"""
 WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKENS}') AS w FROM documents),
   s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
@@ -90,6 +108,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 ORACLES = {
     "op1_suffix_array_dedup": OP1,
+    "op3_source_mixing": OP3,
     "op6_minhash_near_dedup": OP6,
     "op7_superkmer_dedup": OP7,
     "op9_warc": OP9,
