@@ -317,7 +317,8 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule)
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     ids = ids.join(nodes, "id").select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(rule.words), "id long, shingles binary").dropDuplicates(["id"])
+    # written, so that both joins shuffle plain rows and a centre of very many pairs can be split
+    sets = pin(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(rule.words), "id long, shingles binary").dropDuplicates(["id"]))
     left = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
     right = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
     return pairs.join(left, "v").join(right, "u").select("u", "v", "star", "a", "b").mapInArrow(
