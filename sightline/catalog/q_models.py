@@ -40,6 +40,39 @@ for _name in ("fit_logistic", "fit_boosted"):
     register(_name)(_query)
 
 
+def _coins(spark, sf):
+    """Orders with a two-valued feature and a label whose share differs between its values."""
+    key = F.col("o_orderkey")
+    return table(spark, sf, "orders").select(
+        key.alias("id"), (F.col("o_custkey") % 2).cast("double").alias("x"),
+        (key % 7 < F.when(F.col("o_custkey") % 2 == 0, 2).otherwise(4)).cast("int").alias("y"))
+
+
+_COINS = """WITH c AS (SELECT o_orderkey AS id, o_custkey % 2 AS x, CASE WHEN o_orderkey % 7 < CASE WHEN o_custkey % 2 = 0 THEN 2 ELSE 4 END THEN 1 ELSE 0 END AS y FROM orders),
+ g AS (SELECT x, avg(y) AS rate FROM c GROUP BY x)"""
+
+
+# without a penalty, a logistic regression on one two-valued feature gives the share of each group
+@register("fit_logistic_rates", f"{_COINS} SELECT id, round(rate, 2) AS probability FROM c JOIN g USING (x)")
+def _(spark, sf):
+    out = md.fit_logistic(_coins(spark, sf), ("x",), "y", c=1e9, out="probability")
+    return out.select("id", F.round("probability", 2).alias("probability"))
+
+
+# one tree of one split on labels of -1 and 1 gives the mean of each group, read as half log-odds
+@register("fit_boosted_split", f"{_COINS} SELECT id, round(1 / (1 + exp(-2 * (2 * rate - 1))), 6) AS probability FROM c JOIN g USING (x)")
+def _(spark, sf):
+    out = md.fit_boosted(_coins(spark, sf), ("x",), "y", rounds=1, depth=1, out="probability")
+    return out.select("id", F.round("probability", 6).alias("probability"))
+
+
+# a feature that is the label takes all importance from one that is constant
+@register("feature_importance_label", "SELECT * FROM (VALUES ('y', 1.0::DOUBLE), ('flat', 0.0::DOUBLE)) AS t(feature, importance)")
+def _(spark, sf):
+    rows = _coins(spark, sf).withColumn("flat", F.lit(3.0))
+    return md.feature_importance(rows, ("flat", "y"), "y")
+
+
 @register("fit_survival")
 def _(spark, sf):
     out = md.fit_survival(_features(spark, sf))
@@ -71,6 +104,32 @@ def _(spark, sf):
     return md.ar_forecast_by_series(panel(spark, sf), "observations", 7, 7)
 
 
+# of order 1 and one step ahead, the forecast is the regression line at the last value
+@register("ar_forecast_one_step", f"""{PANEL},
+ l AS (SELECT OpDiv, indicator, date, observations AS y, lag(observations) OVER (PARTITION BY OpDiv, indicator ORDER BY date) AS x FROM panel),
+ f AS (SELECT OpDiv, indicator, max(date) + 1 AS date, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, arg_max(y, date) AS last, count(x) AS n,
+   regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x) AS sse FROM l GROUP BY ALL)
+ SELECT OpDiv, indicator, CAST(date AS DATE) AS date, CAST(1 AS INT) AS "order", round(a + b * last, 4) AS forecast, round(1.96 * sqrt(greatest(sse, 0) / (n - 2)), 3) AS half FROM f""")
+def _(spark, sf):
+    out = md.ar_forecast_by_series(panel(spark, sf), "observations", 1, 1)
+    return out.select(
+        "OpDiv", "indicator", "date", "order", F.round("forecast", 4).alias("forecast"), F.round(F.col("upper") - F.col("forecast"), 3).alias("half"))
+
+
+# what must hold of the learned score: files keep the rule score, the others take the blend
+@register("score_learned_facts", f"""WITH f AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey % 5 = 4) AS files FROM customer)
+ SELECT CAST(n AS BIGINT) AS n, CAST(files AS BIGINT) AS files_as_ruled, CAST(n - files AS BIGINT) AS others_blended, CAST(n AS BIGINT) AS in_range FROM f""")
+def _(spark, sf):
+    scored = sc.score_rule(sc.score_components(score_inputs(spark, sf), AS_OF))
+    out, _metrics = md.score_learned(scored, rounds=10)  # holds for any number of rounds
+    blend = F.rint(0.7 * F.col("score") + 0.3 * F.col("learned_score")).cast("int")
+    return out.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("is_file") & (F.col("final_score") == F.col("score"))).alias("files_as_ruled"),
+        F.count_if(~F.col("is_file") & (F.col("final_score") == blend)).alias("others_blended"),
+        F.count_if(F.col("final_score").between(0, 1000)).alias("in_range"))
+
+
 @register("feature_importance")
 def _(spark, sf):
     return md.feature_importance(training_frame(observations(spark, sf), AS_OF, 7), md.FEATURES, "label")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null
+from ..session import pin, small
 
 # fixed values ---------------------------------------------------------------------------------
 # (?U): word boundaries, digits and spaces follow Unicode
@@ -119,10 +120,9 @@ def tfidf_keywords(
     """
     stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
     tokens = F.regexp_extract_all(F.lower(col), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-    if stop:
-        tokens = F.filter(tokens, lambda t: ~t.isin(*stop))
-    terms = _term_counts(df, key, tokens)
-    frequency = terms.groupBy("token").agg(F.count("*").alias("df"))
+    # written, as both the document frequencies and the result read it
+    terms = pin(_term_counts(df, key, tokens).withColumn("token", F.when(~F.col("token").isin(*stop), F.col("token"))))
+    frequency = small(terms.where("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("df")))
     total = df.agg(F.count("*")).scalar()
     idf = F.log((1 + total) / (1 + F.col("df"))) + 1
     # rounded, so equal weights stay equal whatever the order of multiplication
