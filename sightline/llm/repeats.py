@@ -53,15 +53,15 @@ class Block:
     texts: list[bytes]
     buf: np.ndarray
     tokens: np.ndarray
-    begins: np.ndarray | None  # byte where each word begins
+    edges: np.ndarray | None  # byte where each word begins, and the end of the last
     counts: np.ndarray
     offsets: np.ndarray  # first token of each document, and the total
 
     def cuts(self, first: np.ndarray, n: np.ndarray) -> list[bytes]:
         """The bytes of ``n`` tokens from ``first`` on, for each of the two."""
         data, end = self.buf.data, first + n
-        if self.begins is not None:
-            first, end = self.begins[first], np.append(self.begins, len(self.buf))[end] - 1
+        if self.edges is not None:
+            first, end = self.edges[first], self.edges[end] - 1
         return [bytes(data[a:b]) for a, b in zip(first.tolist(), end.tolist())]
 
 
@@ -69,11 +69,11 @@ def load(table: pa.Table, spec: Spec) -> Block:
     number, ids, texts = B.read_block(table)
     if spec.words:
         buf, begins, counts = B.split_words(texts)
-        tokens = B.piece_hashes(buf, begins)
+        tokens, edges = B.piece_hashes(buf, begins), np.append(begins, len(buf))
     else:
         buf = tokens = np.frombuffer(b"".join(texts), np.uint8)
-        begins, counts = None, np.array([len(t) for t in texts], np.int64)
-    return Block(number, ids, texts, buf, tokens, begins, counts, np.concatenate(([0], np.cumsum(counts))))
+        edges, counts = None, np.array([len(t) for t in texts], np.int64)
+    return Block(number, ids, texts, buf, tokens, edges, counts, np.concatenate(([0], np.cumsum(counts))))
 
 
 def find_runs(block: Block, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
