@@ -22,7 +22,11 @@ WINDOW = 6  # neighbours on either side in it
 CHUNK = 128  # vectors that meet at a node at a time
 BLOCK = 1024  # members of a component that are compared in one piece
 ROUNDS = 12
-AUDIT = 256  # vectors whose links are searched in full
+ATTEMPTS = 6
+SHARE = 100  # one in so many vectors is searched in full by the first audit
+LEAST_AUDIT = 4096  # but no fewer vectors than these
+EVIDENCE = 500  # links that an audit must hold to tell the recall
+SEARCH_BLOCK = 8192  # vectors of one side of a full search that meet in one task
 
 _NODE = "key long, label long, weight long, least_id long, vector binary"
 _LISTS = "part int, keys binary, near binary, cosines binary"
@@ -300,38 +304,87 @@ def component_links(nodes: DataFrame, groups: DataFrame, threshold: float) -> Da
     return found.groupBy("key").agg(F.sum("links").alias("links"))
 
 
-def _search(broadcast, threshold: float):
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, labels, keys = broadcast.value
-        q, q_dims = _matrix(cells)
-        for batch in batches:
-            own, label = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            x, dims = _matrix(batch.column(2).to_pylist())
-            width = max(x.shape[1], q.shape[1])
-            wide = lambda m: np.pad(m, ((0, 0), (0, width - m.shape[1])))
-            s = _cosines(wide(q), wide(x), (q_dims, dims)) >= threshold
-            i, j = np.nonzero(s & (labels[:, None] == label[None, :]) & (keys[:, None] != own[None, :]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i]), pa.array(own[j])], ["u", "v"])
+def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most one pair for each id, which connect the same ids as the pairs given."""
+    ids, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at.reshape(-1)[: len(u)], at.reshape(-1)[len(u) :]
+    root = np.arange(len(ids))
+    while len(a):
+        x, y = root[a], root[b]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+        open_ = root[a] != root[b]
+        a, b = a[open_], b[open_]
+    ok = root != np.arange(len(ids))
+    return ids[ok], ids[root[ok]]
+
+
+def _search(threshold: float):
+    def step(table: pa.Table) -> pa.Table:
+        """Links between a block of queries and a block of nodes, as a forest, and their numbers."""
+        x, dims = _matrix(table.column("vector").to_pylist())
+        key, component, side = (table.column(c).to_numpy() for c in ("key", "component", "side"))
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        u, v, found, total = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
+        for c in range(0, len(one) if len(two) else 0, CHUNK):
+            at = one[c : c + CHUNK]
+            s = _cosines(x[at], x[two], (dims[at], dims[two])) >= threshold
+            i, j = np.nonzero(s & (key[at][:, None] != key[two][None, :]))
+            i, j = at[i], two[j]
+            total += len(i)
+            found += int((component[i] == component[j]).sum())
+            u, v = _forest(np.concatenate((u, key[i])), np.concatenate((v, key[j])))
+        return pa.table({
+            "u": pa.array([B.pack(u)], pa.binary()), "v": pa.array([B.pack(v)], pa.binary()),
+            "found": pa.array([found], pa.int64()), "total": pa.array([total], pa.int64())})
 
     return step
 
 
-def audit(nodes: DataFrame, groups: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the links of ``sample`` vectors, searched in full, whose ends share a component.
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of packed pairs."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        u, v = (np.concatenate([np.zeros(0, np.int64), *B.cells(table, c, np.int64)]) for c in ("u", "v"))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+
+def search(queries: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """All links of ``queries``, a part of ``nodes``: every query meets every node of its label.
 
-    All links inside a component are counted, so this is the recall of links.
+    Both sides are dealt into pieces of about SEARCH_BLOCK; each row (u, v, found, total) holds a forest of the
+    links of two pieces, their number and how many of them lie inside a component of ``groups``.
+    """
+    named = lambda df: df.join(groups, "key", "left").select(
+        "key", "label", "vector", F.coalesce("component", "key").alias("component"))
+    pieces = lambda df, name: df.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / SEARCH_BLOCK).cast("int").alias(name))
+    counts = pin(pieces(queries, "asked").join(pieces(nodes, "all"), "label"))
+    mine = lambda of: F.pmod(F.xxhash64("key", F.lit(3)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    columns = ["label", "key", "component", "vector"]
+    left = named(queries).join(counts, "label").select(*columns, F.lit(0).alias("side"), mine("asked").alias("a"), every("all").alias("b"))
+    right = named(nodes).join(counts, "label").select(*columns, F.lit(1).alias("side"), every("asked").alias("a"), mine("all").alias("b"))
+    return pin(left.unionByName(right).groupBy("label", "a", "b").applyInArrow(_search(threshold), "u binary, v binary, found long, total long"))
+
+
+def audit(nodes: DataFrame, groups: DataFrame, threshold: float) -> tuple[float, DataFrame, bool]:
+    """Share of the links of a sample, searched in full, whose ends share a component; these links; is
+    the sample the whole table?
+
+    All links inside a component are counted, so this is the recall of links.  One in SHARE nodes is
+    searched, LEAST_AUDIT at least; a sample with fewer than EVIDENCE links shows nothing and grows
+    tenfold, up to the whole table, whose links are then all known.
     """
-    spark = nodes.sparkSession
-    chosen = nodes.orderBy(F.xxhash64("key", F.lit(8)), "key").limit(sample).select("key", "label", "vector").collect()
-    if not chosen:
-        return 1.0
-    queries = spark.sparkContext.broadcast((
-        [bytes(r["vector"]) for r in chosen], np.array([r["label"] for r in chosen]), np.array([r["key"] for r in chosen])))
-    true = nodes.select("key", "label", "vector").mapInArrow(_search(queries, threshold), "u long, v long")
-    of = lambda name: groups.select(F.col("key").alias(name), F.col("component").alias(f"c_{name}"))
-    found, total = true.join(of("u"), "u", "left").join(of("v"), "v", "left").agg(
-        F.sum(F.when(F.col("c_u") == F.col("c_v"), 1).otherwise(0)), F.count(F.lit(1))).first()
-    return 1.0 if not total else (found or 0) / total
+    count = nodes.count()
+    share = max(1, min(SHARE, count // LEAST_AUDIT))
+    while True:
+        chosen = nodes.where(F.pmod(F.xxhash64("key", F.lit(8)), F.lit(share)) == 0)
+        true = search(chosen, nodes, groups, threshold)
+        found, total = (x or 0 for x in true.agg(F.sum("found"), F.sum("total")).first())
+        if share == 1 or total >= EVIDENCE:
+            return found / total if total else 1.0, true, share == 1
+        share //= min(10, share)
 
 
 def near_vectors(
@@ -345,8 +398,9 @@ def near_vectors(
     at one are compared and enter each other's lists.  Edges above the threshold give components;
     lists are saturated where more than ``neighbours`` nodes are near, so each list is enlarged to its
     whole component and links are counted there exactly (``component_links``).  The links of a sample
-    are searched in full; while fewer than ``recall`` of them are found, lists grow by half and other
-    sorted orders join, at most five times.
+    that grows with the table are searched in full (``audit``); while fewer than ``recall`` of them are
+    found, lists grow by half and other sorted orders join, at most five times, and then all nodes of a
+    label are compared.  Where the links are too few to tell the recall, all nodes are compared at once.
 
     Returns (vec_id, n_links, component_id, kept).  Vectors that are null, empty, zero or hold null or
     non-finite numbers, and vectors without label, link with nothing; vectors of different dimension
@@ -362,13 +416,19 @@ def near_vectors(
     nodes = pin(weights.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
     nodes = pin(nodes.mapInArrow(_own_part(n), nodes.schema))
     lists, most = None, neighbours
-    for attempt in range(6):
+    for attempt in range(ATTEMPTS):
         lists = _merged(lists, first_lists(nodes, most, seed + attempt), n, most)
         lists = descend(nodes, lists, most)
-        groups = components(lists.mapInArrow(_edges(threshold), "u long, v long")).withColumnRenamed("id", "key")
-        if audit(nodes, groups, threshold) >= recall:
+        edges = lists.mapInArrow(_edges(threshold), "u long, v long")
+        groups = components(edges).withColumnRenamed("id", "key")
+        reached, true, whole = audit(nodes, groups, threshold)
+        if whole or reached >= recall:
             break
         most += most // 2
+    else:
+        true = search(nodes, nodes, groups, threshold)
+    if reached < 1:
+        groups = components(edges.unionByName(true.select("u", "v").mapInArrow(_pairs, "u long, v long"))).withColumnRenamed("id", "key")
     links = component_links(nodes, groups, threshold)
     names = nodes.select("key", "weight", "least_id").join(groups, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = names.groupBy("component").agg(F.min("least_id").alias("component_id"))

@@ -205,3 +205,22 @@ def test_spans_are_cut_from_the_text(spark):
     items = spark.createDataFrame([(5, "one two three four")], "item_id long, text string")
     row = remove_contamination(docs, items, remove="spans").first()
     assert row.text == "Intro: ! End é." and row["items"] == "k"
+
+
+def test_vectors_with_few_links(spark, monkeypatch):
+    """A few pairs in many lone vectors: a sample without links is no evidence that all were found."""
+    from sightline.llm import neighbours
+
+    first = neighbours.first_lists
+    monkeypatch.setattr(neighbours, "first_lists", lambda nodes, most, seed: first(nodes, most, seed).limit(0))  # the orders show nothing
+    monkeypatch.setattr(neighbours, "LEAST_AUDIT", 256, raising=False)
+    rng = np.random.default_rng(5)
+    e = rng.standard_normal((3000, 48))
+    for i in range(2):
+        e[1500 + i] = e[i] + rng.standard_normal(48) * 0.12
+    rows = [(i, [float(x) for x in e[i]], 1) for i in range(len(e))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    unit = e / np.linalg.norm(e, axis=1)[:, None]
+    links = ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
+    assert sum(links) == 4
+    assert {r.vec_id: r.n_links for r in near_vectors(table).collect()} == dict(enumerate(links))
