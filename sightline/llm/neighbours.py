@@ -30,6 +30,7 @@ SEARCH_BLOCK = 8192  # vectors of one side of a full search that meet in one tas
 
 _NODE = "key long, label long, weight long, least_id long, vector binary"
 _LISTS = "part int, keys binary, near binary, cosines binary"
+_SEEN = _LISTS + ", u binary, v binary"  # with the pairs that the edges seen so far connect
 _FAR = -2.0
 
 
@@ -122,17 +123,21 @@ def _windows(n: int):
                 left += [keys[a][ok], keys[b][ok]]
                 right += [keys[b][ok], keys[a][ok]]
                 cosines += [value, value]
-            yield from _to_parts(np.concatenate(left), np.concatenate(right), np.concatenate(cosines), n).to_batches()
+            none = np.zeros(0, np.int64)
+            yield from _to_parts(np.concatenate(left), np.concatenate(right), np.concatenate(cosines), n, none, none).to_batches()
 
     return step
 
 
-def _to_parts(keys: np.ndarray, near: np.ndarray, cosines: np.ndarray, n: int) -> pa.Table:
-    """(key, neighbour, cosine) rows packed for the parts of their keys."""
+def _to_parts(keys: np.ndarray, near: np.ndarray, cosines: np.ndarray, n: int, u: np.ndarray, v: np.ndarray) -> pa.Table:
+    """(key, neighbour, cosine) rows packed for the parts of their keys, and pairs (u, v) for those of u."""
     order, edges = B.by_part(B.part_of(keys.view(np.uint64), n), n)
-    full = [p for p in range(n) if edges[p] < edges[p + 1]]
-    cut = lambda x: pa.array([B.pack(x[order[edges[p] : edges[p + 1]]]) for p in full], pa.binary())
-    return pa.table({"part": pa.array(full, pa.int32()), "keys": cut(keys), "near": cut(near), "cosines": cut(cosines)})
+    order_u, edges_u = B.by_part(B.part_of(u.view(np.uint64), n), n)
+    full = [p for p in range(n) if edges[p] < edges[p + 1] or edges_u[p] < edges_u[p + 1]]
+    cut = lambda x, order, edges: pa.array([B.pack(x[order[edges[p] : edges[p + 1]]]) for p in full], pa.binary())
+    return pa.table({
+        "part": pa.array(full, pa.int32()), "keys": cut(keys, order, edges), "near": cut(near, order, edges),
+        "cosines": cut(cosines, order, edges), "u": cut(u, order_u, edges_u), "v": cut(v, order_u, edges_u)})
 
 
 def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,19 +147,27 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for c, t in (("keys", np.int64), ("near", np.int64), ("cosines", np.float64)))
 
 
-def _keep_best(most: int):
+def _keep_best(most: int, threshold: float):
     def step(lists: pa.Table, news: pa.Table) -> pa.Table:
-        """Merge new neighbours into the lists of a part."""
+        """Merge new neighbours into the lists of a part; edges stay seen when a list drops them."""
         table = lists if lists.num_rows else news
         old, new = _unpack(lists), _unpack(news)
-        keys, near, cosines = _best(*(np.concatenate(x) for x in zip(old, new)), most)
+        keys, near, cosines = (np.concatenate(x) for x in zip(old, new))
+        edge = cosines >= threshold
+        ends = [np.concatenate([own[edge], *B.cells(lists, c, np.int64), *B.cells(news, c, np.int64)]) for own, c in ((keys, "u"), (near, "v"))]
+        u, v = _forest(*ends)
+        keys, near, cosines = _best(keys, near, cosines, most)
+        full = cosines[:, -1] >= threshold  # such a list may lack links
+        saturated = keys[full]
         flat = cosines.reshape(-1)
         ok = flat > _FAR
         keys, near, flat = np.repeat(keys, most)[ok], near.reshape(-1)[ok], flat[ok]
         return pa.table({
             "part": pa.array([table.column("part")[0].as_py()], pa.int32()),
             "keys": pa.array([B.pack(keys)], pa.binary()), "near": pa.array([B.pack(near)], pa.binary()),
-            "cosines": pa.array([B.pack(flat)], pa.binary()), "total": pa.array([float(flat.sum())])})
+            "cosines": pa.array([B.pack(flat)], pa.binary()), "u": pa.array([B.pack(u)], pa.binary()),
+            "v": pa.array([B.pack(v)], pa.binary()), "saturated": pa.array([B.pack(saturated)], pa.binary()),
+            "total": pa.array([float(flat.sum())])})
 
     return step
 
@@ -197,29 +210,41 @@ def _cells_of(table: pa.Table) -> list[bytes]:
     return out
 
 
-def _meet(n: int, most: int):
+def _meet(n: int, most: int, threshold: float):
     def step(table: pa.Table) -> pa.Table:
-        """Vectors that chose one node as neighbour are compared with each other there."""
+        """Vectors that chose one node as neighbour are compared with each other there, piece by piece."""
         join = lambda c, t: np.concatenate(B.cells(table, c, t))
         places, keys, floors = join("places", np.int64), join("keys", np.int64), join("floors", np.float64)
         x, dims = _matrix(_cells_of(table))
         order = np.lexsort((B.mix(keys.view(np.uint64)), places))
         starts = B.group_starts(places[order])
-        left, right, cosines = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        none = np.zeros(0, np.int64)
+        left, right, cosines, us, vs = [none], [none], [np.zeros(0)], [none], [none]
+        waiting, merged = 0, 0
         for a, b in zip(starts.tolist(), np.append(starts[1:], len(order)).tolist()):
-            for c in range(a, b, CHUNK):
-                at = order[c : min(c + CHUNK, b)]
-                if len(at) > 1:
-                    s = _cosines(x[at], x[at], (dims[at], dims[at]))
-                    s[keys[at][:, None] == keys[at][None, :]] = _FAR
-                    if len(at) > most + 1:
+            if b - a < 2:
+                continue
+            pieces = [order[c : min(c + CHUNK, b)] for c in range(a, b, CHUNK)]
+            for at in pieces:
+                for to in pieces:
+                    s = _cosines(x[at], x[to], (dims[at], dims[to]))
+                    s[keys[at][:, None] == keys[to][None, :]] = _FAR
+                    i, j = np.nonzero(s >= threshold)
+                    us.append(keys[at[i]])
+                    vs.append(keys[to[j]])
+                    waiting += len(i)
+                    if waiting > merged + (1 << 20):
+                        u, v = _forest(np.concatenate(us), np.concatenate(vs))
+                        us, vs, waiting, merged = [u], [v], len(u), len(u)
+                    if len(to) > most + 1:
                         limit = np.partition(s, -most, axis=1)[:, -most]
                         s[s < limit[:, None]] = _FAR
                     i, j = np.nonzero(s > floors[at][:, None])
                     left.append(keys[at[i]])
-                    right.append(keys[at[j]])
+                    right.append(keys[to[j]])
                     cosines.append(s[i, j])
-        return _to_parts(np.concatenate(left), np.concatenate(right), np.concatenate(cosines), n)
+        u, v = _forest(np.concatenate(us), np.concatenate(vs))
+        return _to_parts(np.concatenate(left), np.concatenate(right), np.concatenate(cosines), n, u, v)
 
     return step
 
@@ -233,40 +258,36 @@ def first_lists(nodes: DataFrame, most: int, seed: int) -> DataFrame:
     keyed = nodes.select("key", "label", "vector").mapInArrow(
         _order_keys(seed), "t int, label long, code int, along double, key long, vector binary")
     order = ["t", "label", "code", "along", "key"]
-    found = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_windows(n), _LISTS)
+    found = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_windows(n), _SEEN)
     return found
 
 
-def _merged(lists: DataFrame | None, news: DataFrame, n: int, most: int) -> DataFrame:
+def _merged(lists: DataFrame | None, news: DataFrame, n: int, most: int, threshold: float) -> DataFrame:
     right = B.deal(news, "part", n).groupBy("part")
-    left = B.deal(lists.drop("total") if lists is not None else news.limit(0), "part", n).groupBy("part")
-    return pin(left.cogroup(right).applyInArrow(_keep_best(most), _LISTS + ", total double"))
+    left = B.deal(lists.drop("saturated", "total") if lists is not None else news.limit(0), "part", n).groupBy("part")
+    return pin(left.cogroup(right).applyInArrow(_keep_best(most, threshold), _SEEN + ", saturated binary, total double"))
 
 
-def descend(nodes: DataFrame, lists: DataFrame, most: int) -> DataFrame:
+def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float) -> DataFrame:
     """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent."""
     n = B.parts(nodes.sparkSession)
     base = B.deal(nodes.select("part", "key", "vector"), "part", n).groupBy("part")
     total = lists.agg(F.sum("total")).first()[0] or 0.0
     for _ in range(ROUNDS):
-        sent = base.cogroup(B.deal(lists, "part", n).groupBy("part")).applyInArrow(
+        sent = base.cogroup(B.deal(lists.drop("u", "v", "saturated"), "part", n).groupBy("part")).applyInArrow(
             _visit(n, most), "part int, places binary, keys binary, floors binary, vectors binary, widths binary")
-        news = B.on_groups(B.deal(sent, "part", n), "part", _meet(n, most), _LISTS)
-        lists = _merged(lists, news, n, most)
+        news = B.on_groups(B.deal(sent, "part", n), "part", _meet(n, most, threshold), _SEEN)
+        lists = _merged(lists, news, n, most, threshold)
         before, total = total, lists.agg(F.sum("total")).first()[0] or 0.0
         if total - before <= 0.001 * abs(total):
             break
     return lists
 
 
-def _edges(threshold: float):
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, near, cosines = _unpack(pa.Table.from_batches([batch]))
-            ok = cosines >= threshold
-            yield pa.RecordBatch.from_arrays([pa.array(keys[ok]), pa.array(near[ok])], ["u", "v"])
-
-    return step
+def _saturated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = np.concatenate([np.zeros(0, np.int64), *B.cells(pa.Table.from_batches([batch]), "saturated", np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
 
 
 def _links(threshold: float):
@@ -395,9 +416,11 @@ def near_vectors(
 
     Equal vectors of a label form one node.  Nodes get first neighbour lists from sorted orders
     (``first_lists``), which NN-descent refines: each node visits its neighbours, and nodes that meet
-    at one are compared and enter each other's lists.  Edges above the threshold give components;
-    lists are saturated where more than ``neighbours`` nodes are near, so each list is enlarged to its
-    whole component and links are counted there exactly (``component_links``).  The links of a sample
+    at one are compared and enter each other's lists.  Every edge above the threshold that a round sees
+    is kept, as pairs that connect the same nodes, also where a list drops it.  A list whose worst cosine
+    is still above the threshold may lack links, so its node is compared with its whole label
+    (``search``).  The edges give components, and links are counted in each of them exactly
+    (``component_links``).  The links of a sample
     that grows with the table are searched in full (``audit``); while fewer than ``recall`` of them are
     found, lists grow by half and other sorted orders join, at most five times, and then all nodes of a
     label are compared.  Where the links are too few to tell the recall, all nodes are compared at once.
@@ -417,9 +440,11 @@ def near_vectors(
     nodes = pin(nodes.mapInArrow(_own_part(n), nodes.schema))
     lists, most = None, neighbours
     for attempt in range(ATTEMPTS):
-        lists = _merged(lists, first_lists(nodes, most, seed + attempt), n, most)
-        lists = descend(nodes, lists, most)
-        edges = lists.mapInArrow(_edges(threshold), "u long, v long")
+        lists = _merged(lists, first_lists(nodes, most, seed + attempt), n, most, threshold)
+        lists = descend(nodes, lists, most, threshold)
+        full = nodes.join(lists.select("saturated").mapInArrow(_saturated, "key long"), "key", "left_semi")
+        nothing = nodes.select("key", F.col("key").alias("component")).limit(0)
+        edges = lists.select("u", "v").unionByName(search(full, nodes, nothing, threshold).select("u", "v")).mapInArrow(_pairs, "u long, v long")
         groups = components(edges).withColumnRenamed("id", "key")
         reached, true, whole = audit(nodes, groups, threshold)
         if whole or reached >= recall:

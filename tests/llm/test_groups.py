@@ -224,3 +224,24 @@ def test_vectors_with_few_links(spark, monkeypatch):
     links = ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
     assert sum(links) == 4
     assert {r.vec_id: r.n_links for r in near_vectors(table).collect()} == dict(enumerate(links))
+
+
+def test_vectors_of_two_close_groups(spark, monkeypatch):
+    """Lists that fill up with a vector's own group don't lose the links to the other group."""
+    from sightline.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "audit", _no_audit)
+    rng = np.random.default_rng(6)
+    e = rng.standard_normal((300, 32))
+    e /= np.linalg.norm(e, axis=1)[:, None]
+    e[1] -= e[1] @ e[0] * e[0]
+    e[1] = 0.985 * e[0] + np.sqrt(1 - 0.985**2) * e[1] / np.linalg.norm(e[1])
+    for k, i in ((0, 100), (1, 200)):
+        e[i : i + 100] = e[k] + rng.standard_normal((100, 32)) * 0.0008
+    rows = [(i, [float(x) for x in e[i]], 1) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted(map(tuple, near_vectors(table).collect())) == brute_vectors(rows)
+
+
+def _no_audit(nodes, groups, threshold):
+    return 1.0, None, False
