@@ -255,21 +255,47 @@ def _walk(items: list[list], path: tuple[str, ...]) -> Iterator[tuple[tuple[str,
             yield from _walk(x[3], (*path, x[0]))
 
 
-def plan_of(wrapper: list) -> list[str]:
-    """Path of the host's main region: the labelled article or main element with the most text, else
-    the innermost container that holds most of the text that is not links."""
-    mains = [(p, x) for p, x in _walk(wrapper[3], ()) if p[-1].split(".")[0] in MAIN_TAGS and x[1] > x[2]]
+def _constant(item: list) -> bool:
+    """Do all pages have this part with the same text, or with links only?"""
+    if item[0].endswith("!") or item[1] <= item[2]:
+        return True
+    if item[4] or item[5]:
+        return False
+    return item[3] is not None if item[0] == "#" else all(map(_constant, item[3]))
+
+
+def _only_other_outside(items: list[list], inner: list) -> bool:
+    """Is all that lies beside ``inner`` marked as not article, links or constant text?"""
+    for x in items:
+        if x is not inner and not (_only_other_outside(x[3], inner) if x[0] == "(" else _constant(x)):
+            return False
+    return True
+
+
+def _no_text_outside(items: list[list], inner: list) -> bool:
+    return all(
+        x is inner or x[0].endswith("!") or x[1] <= x[2] or (x[0] == "(" and _no_text_outside(x[3], inner)) for x in items)
+
+
+def plan_of(wrapper: list) -> list[list[str]]:
+    """Paths of the host's main regions: the article and main elements that are not inside another,
+    else the innermost container that leaves nothing outside but other parts, links and constant text.
+    Text is constant evidence only if the text inside differs from page to page."""
+    mains: list[tuple[str, ...]] = []
+    for path, x in _walk(wrapper[3], ()):
+        if path[-1].split(".")[0] in MAIN_TAGS and x[1] and not any(path[: len(m)] == m for m in mains):
+            mains.append(path)
     if mains:
-        path, best = max(mains, key=lambda m: m[1][1] - m[1][2])
-        inner = [m for m in mains if len(m[0]) > len(path) and m[0][: len(path)] == path and 2 * (m[1][1] - m[1][2]) > best[1] - best[2]]
-        return list(max(inner, key=lambda m: m[1][1] - m[1][2])[0] if inner else path)
+        return [list(m) for m in mains]
     path, node = (), wrapper
     while True:
-        text = node[1] - node[2]
         inner = [(p, x) for p, x in _walk(node[3], path) if len(p) == len(path) + 1 and x[0].split(".")[0] not in LEAVES]
         best = max(inner, key=lambda m: m[1][1] - m[1][2], default=None)
-        if best is None or text <= 0 or 10 * (best[1][1] - best[1][2]) < 7 * text:
-            return list(path)
+        if best is None or best[1][1] <= best[1][2] or best[1][4]:
+            return [list(path)]
+        varies = not best[1][5] and not _constant(best[1])
+        if not (_only_other_outside if varies else _no_text_outside)(node[3], best[1]):
+            return [list(path)]
         path, node = best
 
 
@@ -293,13 +319,19 @@ def _texts(node: Node, out: list[str]) -> None:
             out.append(item[0])
 
 
-def _regions(node: Node, path: list[str]) -> list[Node]:
-    if not path:
+def _regions(node: Node, paths: list[list[str]]) -> list[Node]:
+    """The regions that any of the paths names, in page order."""
+    if not all(paths):
         return [node]
-    return [r for x in node.items if isinstance(x, Node) and x.label == path[0] and not x.other for r in _regions(x, path[1:])]
+    out: list[Node] = []
+    for x in node.items:
+        if isinstance(x, Node) and not x.other:
+            rest = [p[1:] for p in paths if p[0] == x.label]
+            out += _regions(x, rest) if rest else []
+    return out
 
 
-def extract(page: str, plan: list[str]) -> str:
+def extract(page: str, plan: list[list[str]]) -> str:
     root = read_page(page)
     regions = _regions(root, plan)
     if not regions:  # the page lacks the region of its host: its own wrapper decides
@@ -343,7 +375,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) for (host, html) rows; the wrapper is the plan of the host's main region."""
+    """(host, wrapper) for (host, html) rows; the wrapper is the plan of the host's main regions."""
     partial = pages.mapInArrow(_infer, "host string, wrapper string")
     salted = partial.withColumn("salt", (F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).cast("int"))
     halves = salted.groupBy("host", "salt").applyInArrow(_join_wrappers(False), "host string, salt int, wrapper string")
@@ -358,7 +390,7 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     differing texts become slots.  Each batch of pages folds its pages into one wrapper per host, and
     wrappers are folded further by host and salt, then by host; so a host of any size costs one small
     row per batch.  The evidence that a wrapper gathers, text and link lengths of each of its
-    elements over all pages, tells the host's main region.  From the region, each page gives its
+    elements over all pages, tells the host's main regions.  From these, each page gives its
     texts in page order, without parts that by element, role, class or id are navigation, header,
     footer, sidebar, notice, advert, form or comments, and without lists of links only.
 

@@ -127,6 +127,24 @@ def test_pages_without_article_element(spark):
         assert r.text == " ".join(want)
 
 
+def extracted(pages):
+    whole = html.wrapper_of(html.read_page(pages[0]))
+    for page in pages[1:]:
+        whole = html.merge(whole, html.wrapper_of(html.read_page(page)))
+    return [html.extract(p, html.plan_of(whole)) for p in pages]
+
+
+def test_text_beside_the_largest_container_is_kept():
+    for body in (
+        "<div id=wrap><h1>Title {0}</h1><p>Lead {0}</p><div class=story><p>{1}</p></div></div>",
+        "<main><h1>Title {0}</h1><p>Lead {0}</p><article><p>{1}</p></article></main>",
+        "<article id=a><h1>Title {0}</h1><p>Lead {0}</p></article><article id=b><p>{1}</p></article>",
+    ):
+        pages = [f"<body><nav>Menu</nav>{body.format(i, f'story {i} ' * 30)}</body>" for i in "xyz"]
+        want = [f"Title {i} Lead {i} " + " ".join([f"story {i}"] * 30) for i in "xyz"]
+        assert extracted(pages) == want and extracted(pages[:1]) == want[:1]
+
+
 def test_wrappers_are_union_free():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><h2>s</h2><p>y</p>"]
     one, two = (html.wrapper_of(html.read_page(p)) for p in pages)
