@@ -17,7 +17,7 @@ from sightline.session import pin
 
 BROADCAST_HOSTS = 100_000  # plans of hosts that may be broadcast (about 30 MB)
 SALTS = 16
-DEPTH = 150  # elements nested deeper are read as part of the element at this depth
+DEPTH = 150  # text of elements nested deeper is read as part of the element at this depth
 
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -159,9 +159,10 @@ def read_page(page: str) -> Node:
         node = Node(tag, label, other or stack[-1].other)
         if tag in VOID:
             continue
-        if len(stack) >= DEPTH:
-            continue
-        stack[-1].items.append(node)
+        if len(stack) >= DEPTH and node.other == stack[-1].other:
+            node.items = stack[-1].items  # open until its own end tag, but no level of the tree
+        else:
+            stack[-1].items.append(node)
         stack.append(node)
         in_main += tag in MAIN_TAGS
     flush()

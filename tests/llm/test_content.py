@@ -145,6 +145,12 @@ def test_text_beside_the_largest_container_is_kept():
         assert extracted(pages) == want and extracted(pages[:1]) == want[:1]
 
 
+def test_elements_below_the_depth_close_themselves():
+    deep = "<div>" * 200 + "in<nav>menu<p>more</p></nav><form>ask</form>side" + "</div>" * 200
+    page = f"<body><div id=wrap><article><p>before</p>{deep}<p>after</p></article></div><footer>end</footer></body>"
+    assert extracted([page]) == ["before in side after"]
+
+
 def test_wrappers_are_union_free():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><h2>s</h2><p>y</p>"]
     one, two = (html.wrapper_of(html.read_page(p)) for p in pages)
