@@ -185,7 +185,11 @@ def wrapper_of(node: Node) -> list:
     items, chars, links = [], 0, 0
     for item in node.items:
         if isinstance(item, Node):
-            part = wrapper_of(item)
+            if _is_menu(item) and not item.other:  # one text, so that equal lists stay constant
+                size, linked = _menu_size(item)
+                part = [item.label, size, linked, [["#", size, linked, _digest(_menu_text(item)), False, False]], False, False]
+            else:
+                part = wrapper_of(item)
             if not item.other:
                 chars, links = chars + part[1], links + part[2]
         else:
@@ -278,7 +282,23 @@ def _no_text_outside(items: list[list], inner: list) -> bool:
         x is inner or x[0].endswith("!") or x[1] <= x[2] or (x[0] == "(" and _no_text_outside(x[3], inner)) for x in items)
 
 
-def plan_of(wrapper: list) -> list[list[str]]:
+def _constant_lists(items: list[list]) -> Iterator[str]:
+    """Digests of the lists of links that all pages have with the same text."""
+    for x in items:
+        if not x[4] and not x[5] and x[0] != "#" and not x[0].endswith("!"):
+            if x[0].split(".")[0] in ("ul", "ol") and len(x[3]) == 1 and x[3][0][0] == "#" and x[3][0][3]:
+                yield x[3][0][3]
+            yield from _constant_lists(x[3])
+
+
+def plan_of(wrapper: list) -> list[list]:
+    """Paths of the host's main regions, and its menus: lists of links that are the same on all pages,
+    where other text differs."""
+    menus = [] if _constant(wrapper) else sorted(set(_constant_lists(wrapper[3])))
+    return [_main_paths(wrapper), menus]
+
+
+def _main_paths(wrapper: list) -> list[list[str]]:
     """Paths of the host's main regions: the article and main elements that are not inside another,
     else the innermost container that leaves nothing outside but other parts, links and constant text.
     Text is constant evidence only if the text inside differs from page to page."""
@@ -311,11 +331,20 @@ def _is_menu(node: Node) -> bool:
     return len(texts) >= 3 and all(not isinstance(t, Node) and t[1] >= 0.9 * len(t[0]) for t in texts)
 
 
-def _texts(node: Node, out: list[str]) -> None:
+def _menu_text(node: Node) -> str:
+    return "\n".join(t[0] for x in node.items if isinstance(x, Node) for t in x.items)
+
+
+def _menu_size(node: Node) -> tuple[int, int]:
+    texts = [t for x in node.items if isinstance(x, Node) for t in x.items]
+    return sum(len(t[0]) for t in texts), sum(t[1] for t in texts)
+
+
+def _texts(node: Node, menus: set[str], out: list[str]) -> None:
     for item in node.items:
         if isinstance(item, Node):
-            if not item.other and not _is_menu(item):
-                _texts(item, out)
+            if not item.other and not (menus and _is_menu(item) and _digest(_menu_text(item)) in menus):
+                _texts(item, menus, out)
         else:
             out.append(item[0])
 
@@ -332,14 +361,15 @@ def _regions(node: Node, paths: list[list[str]]) -> list[Node]:
     return out
 
 
-def extract(page: str, plan: list[list[str]]) -> str:
+def extract(page: str, plan: list[list]) -> str:
     root = read_page(page)
-    regions = _regions(root, plan)
+    paths, menus = plan or ([], [])
+    regions = _regions(root, paths) if paths else []
     if not regions:  # the page lacks the region of its host: its own wrapper decides
-        regions = _regions(root, plan_of(wrapper_of(root)))
+        regions = _regions(root, _main_paths(wrapper_of(root)))
     out: list[str] = []
     for region in regions:
-        _texts(region, out)
+        _texts(region, set(menus), out)
     return " ".join(out)
 
 
@@ -393,7 +423,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     row per batch.  The evidence that a wrapper gathers, text and link lengths of each of its
     elements over all pages, tells the host's main regions.  From these, each page gives its
     texts in page order, without parts that by element, role, class or id are navigation, header,
-    footer, sidebar, notice, advert, form or comments, and without lists of links only.
+    footer, sidebar, notice, advert, form or comments, and without lists of links that all pages of
+    the host have with the same text.
 
     White space in a block becomes one space, and blocks are joined by one.  Null and empty pages
     give an empty text.  Pages without a host share one wrapper.  Repeated rows are treated alike;

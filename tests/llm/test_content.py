@@ -151,6 +151,14 @@ def test_elements_below_the_depth_close_themselves():
     assert extracted([page]) == ["before in side after"]
 
 
+def test_lists_of_links():
+    """An article's own list of links stays; one that is the same on all pages of the host is a menu."""
+    links = lambda names: "<ul>" + "".join(f"<li><a href=/>{n}</a></li>" for n in names.split()) + "</ul>"
+    pages = [f"<article>{links('Home News About')}<p>text {i}</p>{links(f'one{i} two{i} three{i}')}</article>" for i in "xyz"]
+    assert extracted(pages) == [f"text {i} one{i} two{i} three{i}" for i in "xyz"]
+    assert extracted(["<article><p>t</p>" + links("a b c") + "</article>"]) == ["t a b c"]
+
+
 def test_wrappers_are_union_free():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><h2>s</h2><p>y</p>"]
     one, two = (html.wrapper_of(html.read_page(p)) for p in pages)
