@@ -20,7 +20,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat earlier ones; a document that loses all its words goes."""
-    done = lines.dedup_lines(docs)
+    done = lines.dedup_lines(docs, exact=1)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
     return done.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

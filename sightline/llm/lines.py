@@ -18,7 +18,8 @@ LIST_BLOCK = 1024  # lines of one segment that are compared in one piece
 @dataclass(frozen=True)
 class Spec:
     edits: int  # lines this near count as copies
-    shortest: int  # shorter lines, in bytes, are left alone
+    shortest: int  # shorter lines, in bytes, are not compared by edits
+    exact: int  # exact copies of lines that are not blank and have so many bytes are found
 
 
 # -- edit distance ----------------------------------------------------------------------------
@@ -84,7 +85,7 @@ class Block:
     number: int
     ids: np.ndarray
     lines: list[list[bytes]]
-    distinct: list[bytes]  # long enough lines of the block, in order of first place
+    distinct: list[bytes]  # long enough lines of the block, for exact copies, in order of first place
     docs: np.ndarray  # document id and line number of the first place of each
     places: np.ndarray
 
@@ -96,7 +97,7 @@ def load(table: pa.Table, spec: Spec) -> Block:
     docs, places = [], []
     for d, own in enumerate(lines):
         for i, line in enumerate(own):
-            if len(line) >= spec.shortest and line not in known:
+            if (len(line) >= spec.shortest or (len(line) >= spec.exact and line.strip())) and line not in known:
                 known[line] = len(known)
                 docs.append(ids[d])
                 # rows that share an id follow each other: a later row's lines come after
@@ -169,6 +170,11 @@ def _by_part(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[int
     return order, edges, [p for p in range(n) if edges[p] < edges[p + 1]]
 
 
+def _joined(block: Block, first: np.ndarray, spec: Spec) -> np.ndarray:
+    """The first lines of their copies that are long enough for the edit join."""
+    return np.flatnonzero(first & np.array([len(x) >= spec.shortest for x in block.distinct], bool))
+
+
 def _digests(block: Block) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in block.distinct), np.uint64).reshape(-1, 2)
 
@@ -220,7 +226,7 @@ def send_segments(table: pa.Table, answers: pa.Table, spec: Spec, n: int) -> pa.
     order, edges, _ = _by_part(_digests(block)[:, 0], n)
     first = np.zeros(len(block.distinct), bool)
     first[order] = _bits(answers, edges, len(order))
-    own, probes, _ = line_keys([x for x, f in zip(block.distinct, first) if f], spec)
+    own, probes, _ = line_keys([block.distinct[i] for i in _joined(block, first, spec)], spec)
     columns = {}
     for name, keys in (("own", own.reshape(-1)), ("probes", probes)):
         order, edges, full = _by_part(keys, n)
@@ -250,7 +256,7 @@ def send_lines(table: pa.Table, answers: pa.Table, spec: Spec, n: int) -> pa.Tab
     block = load(table, spec)
     memo = _memo(answers)
     first = np.unpackbits(np.frombuffer(memo, np.uint8), count=len(block.distinct)).astype(bool)
-    chosen = np.flatnonzero(first)
+    chosen = _joined(block, first, spec)
     own, probes, owners = line_keys([block.distinct[i] for i in chosen], spec)
     totals = []
     for name, keys in (("own", own.reshape(-1)), ("probes", probes)):
@@ -351,13 +357,14 @@ def finish(table: pa.Table, answers: pa.Table, spec: Spec) -> pa.Table:
 
 
 def dedup_lines(
-    docs: DataFrame, edits: int = 2, shortest: int = 20, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, edits: int = 2, shortest: int = 20, text: str = "text", doc_id: str = "doc_id", exact: int | None = None
 ) -> DataFrame:
     """Drop each line that is within ``edits`` edits of a line that comes earlier.
 
     Lines lie between line feeds; edits insert, delete or replace a UTF-8 byte.  Earlier means a
     smaller id, or the same document and a smaller line number; lines are judged on the input, so a
-    line also goes if the earlier one goes itself.  Lines shorter than ``shortest`` bytes stay.
+    line also goes if the earlier one goes itself.  Lines shorter than ``shortest`` bytes are not
+    compared by edits; their exact copies go from ``exact`` bytes on, unless blank (None: they stay).
 
     Exact copies are found by a 128-bit digest.  The first of each is split into edits + 1 segments;
     segments meet the substrings of other lines that may equal them, and lines that meet are
@@ -368,7 +375,8 @@ def dedup_lines(
     n_removed, which replace columns of these names.  Rows that share an id follow each other in the
     order of their texts; rows without id come after all others.
     """
-    spec, n = Spec(edits, max(shortest, edits + 1)), B.parts(docs.sparkSession)
+    shortest = max(shortest, edits + 1)
+    spec, n = Spec(edits, shortest, shortest if exact is None else exact), B.parts(docs.sparkSession)
     names = docs.columns
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     at = {c: f"c{i}" for i, c in enumerate(names)}
@@ -394,5 +402,5 @@ def dedup_lines(
 
 
 def line_digest(docs: DataFrame) -> DataFrame:
-    done = dedup_lines(docs.select("doc_id", "text"))
+    done = dedup_lines(docs.select("doc_id", "text"), exact=1)
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept"))

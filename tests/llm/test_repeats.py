@@ -205,3 +205,13 @@ def test_long_lists_meet_in_pieces(spark, monkeypatch):
     docs = [(i, "a line that is nearly always the same %s" % c, "en", 0) for i, c in enumerate("abcdefghijklmnop")]
     table = spark.createDataFrame(docs, "doc_id long, text string, lang string, n_lines int")
     assert sorted((tuple(r) for r in dedup_lines(table).collect()), key=str) == brute_lines(docs)
+
+
+def test_short_copies(spark):
+    """The query drops exact copies of lines of any length that are not blank."""
+    from sightline.llm.lines import line_digest
+
+    rows = [(1, "Les.\n\nx\nLet."), (2, "Les.\n\nx\nx y\n "), (3, "Les.\n ")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.kept, r.n_lines, r.n_removed) for r in line_digest(table).collect()}
+    assert got == {1: ("Les.\n\nx\nLet.", 4, 0), 2: ("\nx y\n ", 5, 2), 3: (" ", 2, 1)}
