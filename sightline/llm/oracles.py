@@ -1,5 +1,7 @@
 """SQL twins of the queries that SQL can express."""
 
+from . import licenses
+
 _TOKENS = r"[^\x20\x09-\x0D]+"
 _NORMAL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -106,6 +108,55 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_TEMPLATES = ", ".join(
+    "({}, '{}', {}, '{}')".format(i, t.label, t.phrase, " ".join(licenses.words_of(t.text))) for i, t in enumerate(licenses.TEMPLATES))
+
+OP11 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_NORMAL}') AS w FROM documents),
+  t AS (SELECT template, label, phrase, string_split(words, ' ') AS w, len(string_split(words, ' ')) AS len
+    FROM (VALUES {_TEMPLATES}) AS v (template, label, phrase, words)),
+  tg AS (SELECT template, label, phrase, len, s - 1 AS tpos, array_to_string(w[s:s + 2], ' ') AS g
+    FROM (SELECT *, unnest(generate_series(1, len - 2)) AS s FROM t)),
+  dg AS (SELECT doc_id, s - 1 AS pos, array_to_string(w[s:s + 2], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS s FROM d WHERE len(w) > 2)),
+  hit AS (SELECT doc_id, template, label, phrase, len, pos, tpos, pos - tpos AS diagonal FROM dg JOIN tg USING (g)),
+  vote AS (SELECT doc_id, template, label, phrase, len, diagonal, count(*) AS n, min(pos) AS a, max(pos) + 3 AS b
+    FROM hit GROUP BY ALL),
+  mark AS (SELECT *, CASE WHEN phrase OR coalesce(diagonal - lag(diagonal) OVER o > least(8, len // 4), true) THEN 1 ELSE 0 END AS new
+    FROM vote WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+  part AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM mark),
+  merged AS (SELECT doc_id, template, label, phrase, len, span, min(a) AS a, max(b) AS b, max(n) AS best FROM part GROUP BY ALL),
+  together AS (SELECT p.doc_id, p.template, p.span, count(DISTINCT h.tpos) AS n
+    FROM part p JOIN hit h USING (doc_id, template, diagonal) GROUP BY ALL),
+  spans AS (SELECT m.doc_id, m.template, label, phrase, a,
+      CAST(CASE WHEN b - a <= len + 8 + len // 4 THEN n ELSE best END AS DOUBLE) / (len - 2) AS coverage
+    FROM merged m JOIN together USING (doc_id, template, span)),
+  kept AS (SELECT *, template < 3 AS base FROM spans WHERE CASE WHEN phrase THEN coverage >= 1 ELSE coverage >= 0.8 END),
+  found AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS f, max(a) FILTER (base) AS l, max(coverage) AS score
+    FROM kept GROUP BY doc_id),
+  names AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels, string_agg(label, ',' ORDER BY label) FILTER (base) AS bases
+    FROM (SELECT doc_id, label, bool_or(base) AS base FROM kept GROUP BY doc_id, label) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(f AS BIGINT) AS first_word,
+  CAST(l AS BIGINT) AS last_word, coalesce(bases, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN found USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+  l AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, len(regexp_extract_all(t, '[^\n]*\n|[^\n]+')) AS n,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS r FROM d),
+  c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+      WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+  s AS (SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+    array_to_string(u[b + 1:n], '') AS x FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m
+    ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s
+"""
+
 ORACLES = {
     "op1_suffix_array_dedup": OP1,
     "op3_source_mixing": OP3,
@@ -113,4 +164,6 @@ ORACLES = {
     "op7_superkmer_dedup": OP7,
     "op9_warc": OP9,
     "op10_benchmark_decontamination": OP10,
+    "op11_license_scan": OP11,
+    "op13_fill_in_middle": OP13,
 }

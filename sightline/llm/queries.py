@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, lines, minhash, mixing, neighbours, oracles, passages, quality, substring, warc
+from . import (
+    decontaminate, fim, html, licenses, lines, minhash, mixing, neighbours, oracles, passages, quality, substring, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
@@ -69,3 +71,15 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named or quoted in every whole text."""
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut into prefix, middle and suffix lines and laid out for infilling."""
+    return fim.fim_digest(table(spark, sf_dir, "documents"))
