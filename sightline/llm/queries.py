@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, fim, html, licenses, lines, minhash, mixing, neighbours, oracles, passages, quality, substring, warc,
+    alignment, decontaminate, fim, html, licenses, lines, minhash, mixing, neighbours, oracles, passages, quality, substring, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,12 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every whole text, counted over the corpus."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text cut into prefix, middle and suffix lines and laid out for infilling."""
