@@ -156,9 +156,10 @@ def _(spark, sf):
     return clean.normalize_group_id(spoilt, "group_id")
 
 
-@register("first_group_id", f"""{with_tables('tagrows')} SELECT id, arg_min(group_id, (pos, part, supp)) FILTER (WHERE length(group_id) = 16) AS group_id FROM tagrows GROUP BY id""")
+@register("first_group_id", f"""{with_tables('recs', 'tagrows')}, g AS (SELECT id, arg_min(group_id, (pos, part, supp)) FILTER (WHERE length(group_id) = 16) AS group_id FROM tagrows GROUP BY id)
+ SELECT recs.id, g.group_id FROM recs LEFT JOIN g ON recs.id = g.id""")
 def _(spark, sf):
-    return clean.first_group_id(records(spark, sf).where("associatedGroups IS NOT NULL")).select("id", "group_id")
+    return clean.first_group_id(records(spark, sf)).select("id", "group_id")
 
 
 _ADDR = """WITH t AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,

@@ -112,16 +112,29 @@ def _(spark, sf):
     return tidy(out, "indicator", "partner", "partners", "vt_count", "country", "score")
 
 
+def _sightings(spark, sf):
+    """Observations, and every order as one more sighting of its customer."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        text("o_custkey").alias("indicator"), F.lit("0").alias("API_UserName"),
+        F.date_sub(F.lit(AS_OF).cast("date"), (key % 5).cast("int")).alias("obs_date"),
+        F.concat(F.lit("partner "), text(key % 4)).alias("OpDiv"), F.lit(1).cast("long").alias("observations"),
+    )
+    return observations(spark, sf).unionByName(orders)
+
+
 @register("priority_feed", f"""{with_tables('obs', 'recs', 'tagrows', 'scores')}, tr AS (SELECT * FROM recs WHERE rating >= 3 AND confidence >= 50),
  nw AS (SELECT * FROM tr QUALIFY row_number() OVER (PARTITION BY indicator ORDER BY lastObserved DESC, id) = 1),
  gr AS (SELECT id, string_agg('Group Id: ' || group_id, ', ' ORDER BY pos, part, supp) AS g FROM tagrows GROUP BY 1),
  iw AS (SELECT DISTINCT tr.indicator FROM tr JOIN tagrows t ON tr.id = t.id WHERE t.name = 'I&W'),
- mp AS (SELECT indicator, {joined('OpDiv')} AS partners, count(DISTINCT OpDiv) AS pc FROM obs WHERE obs_date >= DATE '2024-01-29' GROUP BY 1 HAVING count(DISTINCT OpDiv) >= 2)
+ sg AS (SELECT indicator, OpDiv, obs_date FROM obs UNION ALL
+  SELECT CAST(o_custkey AS VARCHAR), 'partner ' || CAST(o_orderkey % 4 AS VARCHAR), DATE '2024-01-30' - CAST(o_orderkey % 5 AS INT) FROM orders),
+ mp AS (SELECT indicator, {joined('OpDiv')} AS partners, count(DISTINCT OpDiv) AS pc FROM sg WHERE obs_date >= DATE '2024-01-29' GROUP BY 1 HAVING count(DISTINCT OpDiv) >= 2)
  SELECT s.indicator, {i('score')} AS score, CASE WHEN score < 800 THEN 'high' ELSE 'critical' END AS severity, mp.partners, pc AS partner_count, g AS associated_groups, CASE WHEN iw.indicator IS NULL THEN 'No' ELSE 'Yes' END AS reported
- FROM scores s JOIN nw ON s.indicator = nw.indicator AND lastObserved >= {NOW} - INTERVAL 240 HOUR JOIN mp ON s.indicator = mp.indicator LEFT JOIN gr ON nw.id = gr.id LEFT JOIN iw ON iw.indicator = s.indicator WHERE vt_count >= 14 AND score >= 500""")
+ FROM scores s JOIN nw ON s.indicator = nw.indicator AND lastObserved >= {NOW} - INTERVAL 48 HOUR JOIN mp ON s.indicator = mp.indicator LEFT JOIN gr ON nw.id = gr.id LEFT JOIN iw ON iw.indicator = s.indicator WHERE vt_count >= 14 AND score >= 500""")
 def _(spark, sf):
     scores = score_rows(spark, sf).withColumn("severity", fx.severity(F.col("score")))
-    out = feeds.priority_feed(records(spark, sf), scores, observations(spark, sf), AS_OF, hours=240)
+    out = feeds.priority_feed(records(spark, sf), scores, _sightings(spark, sf), AS_OF)
     return tidy(out, "indicator", "score", "severity", "partners", "partner_count", "associated_groups", "reported")
 
 

@@ -5,10 +5,12 @@ Files to read are first written by Spark from the supplied tables.
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import struct, DOUBLE, LONG, STRING
 from ..session import scratch_path
+from ..sources import buckets as bk
 from ..sources import ingest
 from .data import observations, record_rows, score_rows, table, text, with_tables
 from .registry import register
@@ -153,20 +155,54 @@ def _(spark, sf):
     return tidy(ingest.upsert_table(old, repeated, "indicator", ("run",)))
 
 
-@register("append_history", f"""{OBS}, h AS (SELECT indicator, ts, run, v FROM (SELECT CAST(user_id AS VARCHAR) AS indicator, date_trunc('minute', ts) AS ts, 0 AS run, max(CAST(ceil(value) AS BIGINT)) AS v FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL
-    UNION ALL SELECT CAST(user_id AS VARCHAR), date_trunc('minute', ts), 1, max(CAST(ceil(value) AS BIGINT)) FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY ALL))
-  SELECT indicator, CAST(ts AS VARCHAR) AS scoring_date, v FROM h QUALIFY row_number() OVER (PARTITION BY indicator, CAST(ts AS DATE) ORDER BY ts DESC, run DESC) = 1""")
+@register("upsert_bucketed", f"""{_OLD_NEW} SELECT coalesce(n.indicator, o.indicator) AS indicator, {i('CASE WHEN n.indicator IS NOT NULL THEN n.score ELSE o.score END')} AS score, coalesce(n.actor, o.actor) AS actor FROM o FULL JOIN n ON o.indicator = n.indicator""")
 def _(spark, sf):
+    """The upsert in two batches into a table of hash buckets."""
+    scores, path = score_rows(spark, sf), scratch_path(spark, "bucketed")
+    before = F.when(F.col("actor") == "FURNITURE", F.col("score")).otherwise(F.col("old_score"))
+    old = scores.where("actor <> 'MACHINERY'").select("indicator", before.alias("score"), "actor")
+    new = scores.where("actor <> 'BUILDING'").select("indicator", "score", "actor", F.lit(2).alias("run"))
+    repeated = new.unionByName(new.withColumns({"run": F.lit(1), "score": F.col("score") + 1}))
+    bk.create_table(old, path, "indicator", 16)
+    for version, half in enumerate((F.col("actor") < "G", F.col("actor") >= "G"), 1):
+        bk.upsert_bucketed(spark, path, repeated.where(half), "indicator", version, ("run",))
+    return tidy(bk.read_table(spark, path, old.schema))
+
+
+_HISTORY = f"""{OBS}, h AS (SELECT indicator, ts, run, v FROM (SELECT CAST(user_id AS VARCHAR) AS indicator, date_trunc('minute', ts) AS ts, 0 AS run, max(CAST(ceil(value) AS BIGINT)) AS v FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL
+    UNION ALL SELECT CAST(user_id AS VARCHAR), date_trunc('minute', ts), 1, max(CAST(ceil(value) AS BIGINT)) FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY ALL))
+  SELECT indicator, CAST(ts AS VARCHAR) AS scoring_date, v FROM h QUALIFY row_number() OVER (PARTITION BY indicator, CAST(ts AS DATE) ORDER BY ts DESC, run DESC) = 1"""
+
+
+def _score_runs(spark, sf):
     rows = table(spark, sf, "events").select(
         text("user_id").alias("indicator"), F.date_trunc("minute", "ts").cast("timestamp").alias("scoring_date"),
         F.ceil("value").cast("long").alias("v"), F.when(F.col("event_type").isin("click", "view"), 0).otherwise(1).alias("run"),
     )
     runs = rows.groupBy("indicator", "scoring_date", "run").agg(F.max("v").alias("v"))
-    old, new = (runs.where(F.col("run") == k).drop("run") for k in (0, 1))
+    return [runs.where(F.col("run") == k).drop("run") for k in (0, 1)]
+
+
+@register("append_history", _HISTORY)
+def _(spark, sf):
+    old, new = _score_runs(spark, sf)
     out = ingest.append_history(old, new, "indicator", "scoring_date")
     return out.withColumn("scoring_date", F.date_format("scoring_date", "yyyy-MM-dd HH:mm:ss"))
 
 
+@register("append_bucketed", _HISTORY)
+def _(spark, sf):
+    """The history in three batches into buckets within days."""
+    (old, new), path = _score_runs(spark, sf), scratch_path(spark, "bucketed")
+    begun, later = old.where("scoring_date < '2024-01-11'"), old.where("scoring_date >= '2024-01-11'")
+    last = W.partitionBy("indicator", F.to_date("scoring_date")).orderBy(F.col("scoring_date").desc())
+    bk.create_table(begun.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n"), path, "indicator", 4, ts="scoring_date")
+    for version, batch in enumerate((later, new), 1):
+        bk.append_bucketed(spark, path, batch, "indicator", "scoring_date", version)
+    out = bk.read_table(spark, path, old.schema)
+    return out.withColumn("scoring_date", F.date_format("scoring_date", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("group_documents", """SELECT DISTINCT o_custkey, o_orderstatus || ':' || o_orderpriority AS record FROM orders""")
 def _(spark, sf):
     rows = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority")

@@ -12,17 +12,14 @@ from ..operators import evaluation as ev
 from ..operators import models as md
 from ..operators import scoring as sc
 from ..operators import timeseries as ts
+from ..operators.density import density_clusters
 from ..plans.forecast import forecast_job, training_frame
-from .data import AS_OF, observations, score_inputs, table, with_tables
-from .q_timeseries import PANEL, panel
+from .data import AS_OF, PARTNERS, observations, score_inputs, table, with_tables
+from .q_timeseries import _FEATURES, PANEL, features, panel
 from .registry import register
 from .tidy import d, i, r, tidy
 
 
-def _features(spark, sf):
-    return ts.recurrence_features(panel(spark, sf))
-
-
 @register("training_frame", f"""{with_tables('obs')}, pst AS (SELECT OpDiv, indicator, obs_date AS date, sum(observations) AS o FROM obs WHERE obs_date <= DATE '2024-01-23' GROUP BY ALL),
   k AS (SELECT OpDiv, indicator, sum(CASE WHEN o > 0 AND date > DATE '2024-01-16' THEN 1 ELSE 0 END) AS freq_7, datediff('day', max(date) FILTER (WHERE o > 0), DATE '2024-01-23') AS last_seen FROM pst GROUP BY ALL HAVING count(*) FILTER (WHERE o > 0) >= 2),
   l AS (SELECT DISTINCT OpDiv, indicator FROM obs WHERE obs_date > DATE '2024-01-23' AND observations > 0)
@@ -34,7 +31,7 @@ def _(spark, sf):
 for _name in ("fit_logistic", "fit_boosted"):
     def _query(spark, sf, name=_name):
         train = training_frame(observations(spark, sf), AS_OF, 7)
-        out = getattr(md, name)(train, label="label", out="probability", apply_to=_features(spark, sf))
+        out = getattr(md, name)(train, label="label", out="probability", apply_to=features(spark, sf))
         return out.select("OpDiv", "indicator", "probability")
 
     register(_name)(_query)
@@ -75,7 +72,7 @@ def _(spark, sf):
 
 @register("fit_survival")
 def _(spark, sf):
-    out = md.fit_survival(_features(spark, sf))
+    out = md.fit_survival(features(spark, sf))
     return out.select("OpDiv", "indicator", *[f"weibull_{t}" for t in (1, 7, 14, 30, 45)])
 
 
@@ -121,7 +118,7 @@ def _(spark, sf):
  SELECT CAST(n AS BIGINT) AS n, CAST(files AS BIGINT) AS files_as_ruled, CAST(n - files AS BIGINT) AS others_blended, CAST(n AS BIGINT) AS in_range FROM f""")
 def _(spark, sf):
     scored = sc.score_rule(sc.score_components(score_inputs(spark, sf), AS_OF))
-    out, _metrics = md.score_learned(scored, rounds=10)  # holds for any number of rounds
+    out, _metrics = md.score_learned(scored)
     blend = F.rint(0.7 * F.col("score") + 0.3 * F.col("learned_score")).cast("int")
     return out.agg(
         F.count("*").alias("n"),
@@ -137,7 +134,7 @@ def _(spark, sf):
 
 def _clusters(spark, sf):
     cols = ("last_seen", "freq_7", "freq_30", "avg_gap", "burstiness")
-    out, _score = md.cluster_indicators(_features(spark, sf), cols, 5)
+    out, _score = md.cluster_indicators(features(spark, sf), cols, 5)
     return out, cols
 
 
@@ -146,6 +143,26 @@ def _(spark, sf):
     return _clusters(spark, sf)[0].select("OpDiv", "indicator", "cluster", "distance", "is_outlier")
 
 
+# equal positions are one point with a weight here, so that the links stay few
+@register("cluster_indicators_density", f"""{PANEL},{_FEATURES},
+ x AS (SELECT OpDiv, indicator, CAST(indicator AS BIGINT) * 10 + list_position(['click', 'error', 'purchase', 'signup', 'view'], OpDiv) AS id,
+   CAST(last_seen AS INT) AS a, CAST(freq_7 AS INT) AS b, CAST(freq_30 AS INT) AS c FROM feats),
+ p AS (SELECT a, b, c, count(*) AS n, min(id) AS id FROM x GROUP BY ALL),
+ near AS (SELECT p.id AS u, q.id AS v, q.n FROM p JOIN p q ON (p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) + (p.c - q.c) * (p.c - q.c) <= 2),
+ core AS (SELECT u FROM near GROUP BY u HAVING sum(n) >= 15),
+ link AS (SELECT u, v FROM near WHERE u IN (FROM core) AND v IN (FROM core)),
+ reach AS (SELECT u AS s, u AS t FROM core UNION SELECT reach.s, link.v FROM reach JOIN link ON reach.t = link.u),
+ named AS (SELECT s AS id, min(t) AS cluster FROM reach GROUP BY s),
+ all_ AS (SELECT u AS id, min(cluster) AS cluster FROM near JOIN named ON near.v = named.id
+   WHERE u NOT IN (FROM core) GROUP BY u UNION ALL SELECT id, cluster FROM named)
+ SELECT OpDiv, indicator, {i('cluster')} AS cluster, p.id IN (FROM core) AS is_core FROM x JOIN p USING (a, b, c) LEFT JOIN all_ ON all_.id = p.id""".replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, sf):
+    place = F.array_position(F.array(*map(F.lit, PARTNERS)), F.col("OpDiv"))
+    rows = features(spark, sf).withColumn("id", F.col("indicator").cast("long") * 10 + place)
+    out = density_clusters(rows, "id", ("last_seen", "freq_7", "freq_30"), 2**0.5, 15)
+    return out.select("OpDiv", "indicator", "cluster", "is_core")
+
+
 @register("cluster_profiles")
 def _(spark, sf):
     return md.cluster_profiles(*_clusters(spark, sf))

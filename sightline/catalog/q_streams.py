@@ -11,10 +11,6 @@ from .q_feeds import _NET, _network
 from .registry import register
 from .tidy import d, i, tidy
 
-# the watermark stops two days before the newest event
-MARK = "(SELECT max(ts) - INTERVAL 2 DAY FROM events)"
-
-
 def _run(query):
     query.awaitTermination()
 
@@ -29,10 +25,10 @@ def _sightings(spark, sf):
     )
 
 
-def _sink(spark, job, source, **options):
+def _sink(spark, job, source, **options) -> str:
     checkpoint, sink = scratch_path(spark, "stream-state"), scratch_path(spark, "stream-out")
     _run(job(source, checkpoint, sink, **options))
-    return spark.read.parquet(sink)
+    return sink
 
 
 @register("stream_observations", f"{with_tables('obs')} SELECT DISTINCT indicator, OpDiv, {d('obs_date')} AS obs_date FROM obs")
@@ -40,29 +36,30 @@ def _(spark, sf):
     path = scratch_path(spark, "stream-in")
     raw = observations(spark, sf).withColumn("indicator", F.concat("indicator", F.lit(" note")))
     raw.write.parquet(path)
-    out = _sink(spark, st.stream_observations, st.read_stream(spark, path, raw.schema))
-    return tidy(out, "indicator", "OpDiv", "obs_date")
+    sink = _sink(spark, st.stream_observations, st.read_stream(spark, path, raw.schema))
+    return tidy(spark.read.parquet(sink), "indicator", "OpDiv", "obs_date")
 
 
-@register("stream_daily_counts", f"""SELECT event_type AS OpDiv, {d('ts')} AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) + 1 <= {MARK} GROUP BY ALL""")
+@register("stream_daily_counts", f"""SELECT event_type AS OpDiv, {d('ts')} AS day, count(*) AS n FROM events GROUP BY ALL""")
 def _(spark, sf):
-    return tidy(_sink(spark, st.stream_daily_counts, _sightings(spark, sf)))
+    sink = _sink(spark, st.stream_daily_counts, _sightings(spark, sf), emit="all")
+    return tidy(st.read_windows(spark, sink, ("OpDiv", "day")))
 
 
 @register("stream_mass_scanner", f"""WITH w AS (SELECT CAST(unnest(generate_series(DATE '2023-12-26', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS start)
   SELECT CAST(user_id AS VARCHAR) AS indicator, {d('start')} AS start, {i('sum(ceil(value))')} AS total_obs, count(DISTINCT event_type) AS partners,
-  sum(ceil(value)) >= 1200 AND count(DISTINCT event_type) >= 5 AS mass_scanner FROM events JOIN w ON ts >= start AND ts < start + 7 WHERE start + 7 <= {MARK} GROUP BY ALL""")
+  sum(ceil(value)) >= 1200 AND count(DISTINCT event_type) >= 5 AS mass_scanner FROM events JOIN w ON ts >= start AND ts < start + 7 GROUP BY ALL""")
 def _(spark, sf):
-    out = _sink(spark, st.stream_mass_scanner, _sightings(spark, sf), min_total=1200, min_partners=5)
-    return tidy(out)
+    sink = _sink(spark, st.stream_mass_scanner, _sightings(spark, sf), emit="all")
+    return tidy(st.read_weeks(spark, sink, min_total=1200, min_partners=5))
 
 
 @register("stream_sessions", f"""WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 1 DAY THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
   s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
   SELECT CAST(user_id AS VARCHAR) AS indicator, CAST(min(ts) AS VARCHAR) AS start, CAST(max(ts) + INTERVAL 1 DAY AS VARCHAR) AS "end", count(*) AS n, {i('sum(ceil(value))')} AS total_obs
-  FROM s GROUP BY user_id, s HAVING max(ts) + INTERVAL 1 DAY <= {MARK}""")
+  FROM s GROUP BY user_id, s""")
 def _(spark, sf):
-    out = _sink(spark, st.stream_sessions, _sightings(spark, sf))
+    out = st.read_sessions(spark, _sink(spark, st.stream_sessions, _sightings(spark, sf), emit="all"))
     return out.withColumns({"start": F.col("start").cast("string"), "end": F.col("end").cast("string")})
 
 

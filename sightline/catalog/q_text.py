@@ -104,11 +104,36 @@ def _head(e: str, n: int) -> str:
     return f"array_to_string(list_slice(string_split({e}, ' '), 1, {n}), ' ')"
 
 
+_HEAD_TAGS = (
+    ("meta_description", 3, '<meta name="description" content="About page {} &amp; more">', "'About page ' || page_id || ' & more'"),
+    ("og_title", 2, "<META content='Title {}' property='og:title'>", "'Title ' || page_id"),
+    ("og_description", 4, '<meta property="og:description" content=" In short: {} ">', "'In short: ' || page_id"),
+    ("og_site_name", 5, '<meta property="og:site_name" content="Site &#x41;{}">', "'Site A' || page_id"),
+)
+
+
+def _tagged_pages(spark, sf):
+    """Pages with head tags for some, and a publication time in a tag, in linked data or in neither."""
+    key = F.col("page_id")
+    written = lambda form: F.format_string(form.replace("%", "%%").replace("{}", "%d"), key)
+    tags = [F.when(key % n == 0, written(form)).otherwise("") for _, n, form, _ in _HEAD_TAGS]
+    day = F.format_string("2024-01-%02d", key % 28 + 1)
+    time = (
+        F.when(key % 7 == 1, F.concat(F.lit('<meta property="article:published_time" content="'), day, F.lit('">')))
+        .when(key % 7 == 2, F.concat(
+            F.lit('<script type="application/ld+json">{"@type": "NewsArticle", "datePublished": "'), day, F.lit('"}</script>')))
+        .otherwise("")
+    )
+    return table(spark, sf, "pages").withColumn("html", F.concat(*tags, time, "html"))
+
+
 @register("page_metadata", f"""SELECT page_id, regexp_extract(url, '//([^/?#]*)', 1) AS domain, nullif(trim(regexp_replace({_unescape("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)")}, '\\s+', ' ', 'g')), '') AS title_tag,
-  NULL::VARCHAR AS meta_description, NULL::VARCHAR AS og_title, NULL::VARCHAR AS published_time, {_head(_visible('html'), 200)} AS excerpt FROM pages""")
+  {', '.join(f"CASE WHEN page_id % {n} = 0 THEN {value} END AS {name}" for name, n, _, value in _HEAD_TAGS)},
+  CASE WHEN page_id % 7 IN (1, 2) THEN '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') END AS published_time, {_head(_visible('html'), 200)} AS excerpt FROM pages""")
 def _(spark, sf):
-    out = tx.page_metadata(table(spark, sf, "pages"))
-    return out.select("page_id", "domain", "title_tag", "meta_description", "og_title", "published_time", "excerpt")
+    out = tx.page_metadata(_tagged_pages(spark, sf))
+    return out.select(
+        "page_id", "domain", "title_tag", "meta_description", "og_title", "og_description", "og_site_name", "published_time", "excerpt")
 
 
 @register("page_text", f"""WITH t AS (SELECT page_id, {_visible("regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1)")} AS text FROM pages) SELECT page_id, text, {_head('text', 50)} AS summary FROM t""")

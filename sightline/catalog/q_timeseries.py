@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import forecast as fc
+from ..operators import runs as rl
 from ..operators import timeseries as ts
 from ..plans.forecast import likely_again
 from .data import AS_OF, observations, record_rows, score_rows, table, with_tables
@@ -22,6 +23,14 @@ def panel(spark, sf: str) -> DataFrame:
     return ts.dense_panel(observations(spark, sf), AS_OF)
 
 
+def runs(spark, sf: str) -> DataFrame:
+    return rl.run_length_panel(observations(spark, sf), AS_OF, first_day=True)
+
+
+def features(spark, sf: str) -> DataFrame:
+    return rl.recurrence_features(rl.run_length_panel(observations(spark, sf), AS_OF), AS_OF)
+
+
 @register("dense_panel", f"""{PANEL} SELECT {KEY}, observations, {i('dayofweek')} AS dayofweek,
   is_weekend, {i('day')} AS day, {i('month')} AS month, {i('seen')} AS seen, total_seen FROM panel""")
 def _(spark, sf):
@@ -57,7 +66,7 @@ _FEATURES = f"""
   {r('burstiness')} AS burstiness,
   {', '.join(f"CASE WHEN freq_{k} > 0 THEN 1 ELSE 0 END::BIGINT AS label_{k}" for k in (7, 14, 30, 45))} FROM feats""")
 def _(spark, sf):
-    return tidy(ts.recurrence_features(panel(spark, sf)))
+    return tidy(features(spark, sf))
 
 
 _EXP = "1 - exp(-greatest(freq_30 / 30.0, 1e-6) * {h})"
@@ -76,20 +85,20 @@ def _(spark, sf):
 @register("exp_hazard", f"""{PANEL},{_FEATURES} SELECT OpDiv, indicator,
   {', '.join(f"{r(_EXP.format(h=h))} AS exp_{h}" for h in (1, 7, 14, 30, 45))} FROM feats""")
 def _(spark, sf):
-    out = fc.exp_hazard(ts.recurrence_features(panel(spark, sf)))
+    out = fc.exp_hazard(features(spark, sf))
     return tidy(out, "OpDiv", "indicator", *[f"exp_{h}" for h in fc.HORIZONS])
 
 
 @register("rule_labels", f"""{PANEL},{_FEATURES} SELECT OpDiv, indicator,
   {', '.join(f"CAST(last_seen <= {h - 1} AS BIGINT) AS rule_{h}" for h in (1, 7, 14, 30, 45))} FROM feats""")
 def _(spark, sf):
-    out = fc.rule_labels(ts.recurrence_features(panel(spark, sf)))
+    out = fc.rule_labels(features(spark, sf))
     return tidy(out, "OpDiv", "indicator", *[f"rule_{h}" for h in fc.HORIZONS])
 
 
 def _ensemble_inputs(spark, sf):
     """Stand-in model columns derived from the features, so SQL can follow the arithmetic."""
-    out = fc.exp_hazard(ts.recurrence_features(panel(spark, sf)))
+    out = fc.exp_hazard(features(spark, sf))
     return out.withColumns(
         {f"logistic_{h}": F.col("freq_30") / 30.0 for h in fc.HORIZONS}
         | {f"boosted_{h}": F.col("freq_14") / 14.0 for h in fc.HORIZONS}
@@ -125,11 +134,11 @@ def _(spark, sf):
 
 
 def _report(spark, sf):
-    p = panel(spark, sf)
+    today = rl.seen_on(rl.run_length_panel(observations(spark, sf), AS_OF), AS_OF)
     out = fc.ensemble_probability(_ensemble_inputs(spark, sf))
     for h in fc.HORIZONS:
         out = fc.confidence_band(out, h)
-    return fc.forecast_report(out, p)
+    return fc.forecast_report(out, today, last_day=AS_OF)
 
 
 _PCT = "CASE WHEN ({e}) IS NOT NULL THEN CAST(CAST(round_even(least(greatest(({e}) * 100, 0.0), 100.0) * 100, 0) / 100 AS DOUBLE) AS VARCHAR) || '%' END"
@@ -226,7 +235,7 @@ def _(spark, sf):
 
 @register("cumulative_seen", f"{PANEL} SELECT {KEY}, {i(f'sum(seen) {W})')} AS cumulative_seen FROM panel")
 def _(spark, sf):
-    return tidy(ts.cumulative_seen(panel(spark, sf)), "OpDiv", "indicator", "date", "cumulative_seen")
+    return tidy(rl.cumulative_seen(runs(spark, sf)), "OpDiv", "indicator", "date", "cumulative_seen")
 
 
 _LAST = "max(CASE WHEN seen = 1 THEN date END) " + W
@@ -236,7 +245,7 @@ for _name, _strict, _sql in (
      f"coalesce(datediff('day', {_LAST} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), date), 0)"),
 ):
     def _query(spark, sf, strict=_strict):
-        out = ts.days_since_last_seen(panel(spark, sf), strict)
+        out = rl.days_since_last_seen(runs(spark, sf), strict)
         return tidy(out, "OpDiv", "indicator", "date", "days_since_last_seen")
 
     register(_name, f"{PANEL} SELECT {KEY}, {i(_sql)} AS days_since_last_seen FROM panel")(_query)
@@ -247,7 +256,7 @@ _STREAK = f"""streak AS (SELECT *, sum(seen) OVER (PARTITION BY OpDiv, indicator
 
 @register("seen_streak", f"{PANEL}, {_STREAK} SELECT {KEY}, {i('seen_streak')} AS seen_streak FROM streak")
 def _(spark, sf):
-    return tidy(ts.seen_streak(panel(spark, sf)), "OpDiv", "indicator", "date", "seen_streak")
+    return tidy(rl.seen_streak(runs(spark, sf)), "OpDiv", "indicator", "date", "seen_streak")
 
 
 _SUMMARY = f"""
@@ -267,7 +276,7 @@ _SUMM_COLS = f"""OpDiv, indicator, {i('total_days')} AS total_days, {i('total_se
 
 @register("streak_summary", f"{PANEL},{_SUMMARY} SELECT {_SUMM_COLS} FROM summ")
 def _(spark, sf):
-    return tidy(ts.streak_summary(panel(spark, sf)))
+    return tidy(rl.streak_summary(runs(spark, sf), AS_OF))
 
 
 def _roll_sql(col, windows, full):
@@ -326,7 +335,7 @@ _F7 = f"{W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
   {i('prev')} AS seen_streak_prev, {r('coalesce(sd / (ratio + 1e-5), 0)')} AS volatility_ratio,
   CAST(prev >= 5 AND seen_streak = 0 AS BIGINT) AS recent_drop_flag FROM t""")
 def _(spark, sf):
-    out = ts.trend_ratios(panel(spark, sf))
+    out = rl.trend_ratios(runs(spark, sf))
     return tidy(out, "OpDiv", "indicator", "date", "seen_ratio_diff", "obs_ratio_spike",
                 "seen_streak_prev", "volatility_ratio", "recent_drop_flag")
 

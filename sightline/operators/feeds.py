@@ -11,6 +11,7 @@ from ..functions import columns as fx
 from .aggregates import multi_partner, pivot_enrichment
 from .clean import first_group_id
 from .joins import partner_buckets, tag_observation_join
+from .phrases import least_match
 
 # ------------------------------------------------------------------ sort, limit, set operations
 
@@ -377,18 +378,24 @@ def categorize_tags(
     others take the first rule (category, exact, contained) that matches.
     """
     names = tags.select(F.trim(col).alias(col)).where(F.length(col) > 0).distinct()
-    value = F.lower(col)
-    category = None
-    for name, listed in members:
-        if listed:
-            hit = F.col(col).isin(*[t.strip() for t in listed])
-            category = F.when(hit, name) if category is None else category.when(hit, name)
-    for name, exact, parts in rules:
-        hit = value.isin(*[e.strip().lower() for e in exact]) if exact else F.lit(False)
-        for part in parts:
-            hit = hit | value.contains(part.lower())
-        category = F.when(hit, name) if category is None else category.when(hit, name)
-    return names.withColumn("category", category.otherwise("other") if category is not None else F.lit("other"))
+    # rule numbers: the least one that is met decides, whether by the whole tag or by a part of it
+    whole: dict[str, int] = {}
+    parts: dict[str, int] = {}
+    for number, (_, exact, contained) in enumerate(rules):
+        for value in exact:
+            whole.setdefault(value.strip().lower(), number)
+        for value in contained:
+            parts.setdefault(value.lower(), number)
+    everywhere = parts.pop("", None)  # an empty part stands in every tag
+    rows = least_match(names, parts, F.lower(col), "_part")
+    exact_rule = F.element_at(F.create_map(*[F.lit(x) for pair in whole.items() for x in pair]), F.lower(col)) if whole else F.lit(None)
+    rule = F.least(F.col("_part"), exact_rule.cast("int"), F.lit(everywhere).cast("int"))
+    titles = F.array(*[F.lit(name) for name, _, _ in rules]) if rules else F.array(F.lit("other"))
+    listed = F.lit(None).cast("string")
+    for name, members_of in reversed(members):
+        if members_of:
+            listed = F.when(F.col(col).isin(*[t.strip() for t in members_of]), name).otherwise(listed)
+    return rows.select(col, F.coalesce(listed, F.get(titles, rule), F.lit("other")).alias("category"))
 
 
 def tags_per_category(categorized: DataFrame) -> DataFrame:

@@ -62,11 +62,12 @@ def confidence_band(df: DataFrame, horizon: int, probability: str | None = None)
 
 def forecast_report(
     df: DataFrame, panel: DataFrame, horizons: Sequence[int] = HORIZONS,
-    keys: Sequence[str] = ("OpDiv", "indicator"),
+    keys: Sequence[str] = ("OpDiv", "indicator"), last_day: str | None = None,
 ) -> DataFrame:
-    """The published columns, with whether the indicator was seen on the panel's last day."""
-    last_day = panel.agg(F.max("date")).scalar()
-    today = panel.where(F.col("date") == last_day).groupBy(*keys).agg(
+    """The published columns, with whether the indicator was seen on the panel's last day, which is
+    looked up unless it is given."""
+    day = panel.agg(F.max("date")).scalar() if last_day is None else F.lit(last_day).cast("date")
+    today = panel.where(F.col("date") == day).groupBy(*keys).agg(
         F.max("seen").alias("Observed Today")
     )
     joined = df.join(today, list(keys), "left")

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .phrases import SHARE_CHARS, phrase_matches
+
 
 def attach_context(
     df: DataFrame, dim: DataFrame, key: str = "indicator", fill: Mapping | None = None
@@ -112,39 +114,21 @@ def recency_range_join(
 
 
 def keyphrase_join(
-    texts: DataFrame, phrases: DataFrame, text: str = "text", phrase: str = "phrase", key: str = "doc_id", gram: int = 4
+    texts: DataFrame, phrases: DataFrame, text: str = "text", phrase: str = "phrase", key: str = "doc_id",
+    share_chars: int = SHARE_CHARS,
 ) -> DataFrame:
     """(text row, phrase) pairs where the phrase occurs literally, ignoring case.
 
-    An equi-join on an anchor replaces the comparison of all pairs.  A word with separators on both
-    sides inside the phrase must be a whole word of the text, so the longest such word is the
-    anchor.  Phrases without one are anchored on their first ``gram`` characters, or on all of them if
-    shorter.  Only (``key``, anchor) rows meet the anchors; each text joins its candidates once, by its
-    unique ``key``, and the whole phrase is then checked.
+    An automaton over all phrases reads each text once, where it lies; only matches meet the phrases'
+    rows, by the phrase itself.  Phrases of more than ``share_chars`` characters in sum take several
+    passes, with the matches of a pass written before the next.  ``key`` names the texts' id for
+    readers of the result; it need not be unique.  Empty and null phrases match nothing.
     """
+    if key not in texts.columns:
+        raise ValueError(f"texts have no column {key}")
     ready = phrases.withColumn("_phrase", F.lower(phrase)).where(F.length("_phrase") > 0)
-    inner = F.regexp_extract_all(
-        "_phrase", F.lit(r"(?<=[^\p{L}\p{N}])([\p{L}\p{N}]+)(?=[^\p{L}\p{N}])"), F.lit(1)
-    )
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    ready = ready.withColumn("_anchor", F.coalesce(longest["w"], F.substring("_phrase", 1, gram)))
-    ready = ready.withColumn("_word", longest["w"].isNotNull())
-
-    body = F.lower(text)
-    # at most ``gram`` lengths, and only those that occur
-    lengths = ready.where("NOT _word").select(F.array_sort(F.collect_set(F.length("_anchor")))).scalar()
-    pieces = F.flatten(F.transform(
-        "_lengths",
-        lambda n: F.array_distinct(F.regexp_extract_all(
-            body, F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))),
-    ))
-    words = F.array_distinct(F.split(body, r"[^\p{L}\p{N}]+"))
-    spots = texts.withColumn("_lengths", lengths)
-    spots = spots.select(key, F.explode(words).alias("_anchor"), F.lit(True).alias("_word")).unionByName(
-        spots.select(key, F.explode(pieces).alias("_anchor"), F.lit(False).alias("_word"))
-    )
-    found = spots.join(ready, ["_anchor", "_word"]).drop("_anchor", "_word")
-    return found.join(texts, key).where(F.lower(F.col(text)).contains(F.col("_phrase"))).drop("_phrase")
+    found = phrase_matches(texts, ready.select("_phrase").distinct(), F.lower(text), share_chars)
+    return found.join(ready, "_phrase").drop("_phrase")
 
 
 def compare_snapshots(prev: DataFrame, curr: DataFrame, key: str, value: str) -> DataFrame:

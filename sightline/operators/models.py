@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import severity
+from ..session import pin
 from .ordering import exact_quantiles
 from .timeseries import SERIES, latest_row
 
@@ -47,27 +48,29 @@ def _single_class(rows: DataFrame, label: str) -> bool:
     return len(rows.select(label).distinct().limit(2).collect()) < 2
 
 
-def _classify(train, features, label, estimator, stages, out, apply_to) -> DataFrame:
-    target = train if apply_to is None else apply_to
+Scorer = Callable[[DataFrame], DataFrame]
+
+
+def _classify(train, features, label, estimator, stages, out) -> Scorer:
     rows = _numbers(train, features).where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("double"))
     if _single_class(rows, "_label"):
-        return target.withColumn(out, F.lit(None).cast("double"))
+        return lambda target: target.withColumn(out, F.lit(None).cast("double"))
     model = Pipeline(stages=[*_prepare(features), *stages, estimator(rows)]).fit(rows)
-    scored = model.transform(_numbers(target, features))
-    return _plain(scored.withColumn(out, vector_to_array("_probability")[1]))
 
+    def score(target: DataFrame) -> DataFrame:
+        scored = model.transform(_numbers(target, features))
+        return _plain(scored.withColumn(out, vector_to_array("_probability")[1]))
 
-_OUTPUTS = dict(labelCol="_label", predictionCol="_prediction", probabilityCol="_probability", rawPredictionCol="_raw")
+    return score
 
 
-def fit_logistic(
-    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", c: float = 1.0,
-    out: str = "logistic", apply_to: DataFrame | None = None,
-) -> DataFrame:
-    """Probability of the label: median imputation, standard scaling, ridge logistic regression.
+_OUTPUTS = dict(labelCol="_label", predictionCol="_prediction", probabilityCol="_probability", rawPredictionCol="_raw")
 
-    Scores ``apply_to``, or the training rows themselves.  A single-class label gives nulls.
-    """
+
+def logistic_scorer(
+    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", c: float = 1.0, out: str = "logistic"
+) -> Scorer:
+    """Fit ``fit_logistic``'s model and return what adds its probability to a frame of features."""
     scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True, withStd=True)
 
     def estimator(rows: DataFrame) -> LogisticRegression:
@@ -76,14 +79,25 @@ def fit_logistic(
             featuresCol="_scaled", regParam=1.0 / (c * rows.count()), standardization=False, maxIter=2000, **_OUTPUTS
         )
 
-    return _classify(train, features, label, estimator, [scaler], out, apply_to)
+    return _classify(train, features, label, estimator, [scaler], out)
 
 
-def fit_boosted(
-    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", rounds: int = 100,
-    depth: int = 3, step: float = 0.1, seed: int = 42, out: str = "boosted", apply_to: DataFrame | None = None,
+def fit_logistic(
+    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", c: float = 1.0,
+    out: str = "logistic", apply_to: DataFrame | None = None,
 ) -> DataFrame:
-    """Probability of the label by boosted trees; a single-class label gives nulls."""
+    """Probability of the label: median imputation, standard scaling, ridge logistic regression.
+
+    Scores ``apply_to``, or the training rows themselves.  A single-class label gives nulls.
+    """
+    return logistic_scorer(train, features, label, c, out)(train if apply_to is None else apply_to)
+
+
+def boosted_scorer(
+    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", rounds: int = 100,
+    depth: int = 3, step: float = 0.1, seed: int = 42, out: str = "boosted",
+) -> Scorer:
+    """Fit ``fit_boosted``'s model and return what adds its probability to a frame of features."""
 
     def estimator(_: DataFrame) -> GBTClassifier:
         trees = GBTClassifier(
@@ -92,16 +106,22 @@ def fit_boosted(
         )
         return trees.setProbabilityCol("_probability").setRawPredictionCol("_raw")
 
-    return _classify(train, features, label, estimator, [], out, apply_to)
+    return _classify(train, features, label, estimator, [], out)
 
 
-def fit_survival(
-    train: DataFrame, features: Sequence[str] = SURVIVAL_FEATURES, duration: str = "avg_gap",
-    event: str = "label_7", times: Sequence[int] = (1, 7, 14, 30, 45), scale: float = 100.0,
-    out: str = "weibull", apply_to: DataFrame | None = None,
+def fit_boosted(
+    train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", rounds: int = 100,
+    depth: int = 3, step: float = 0.1, seed: int = 42, out: str = "boosted", apply_to: DataFrame | None = None,
 ) -> DataFrame:
-    """``<out>_<t>``: Weibull probability of an event within t days; null below five rows."""
-    target = train if apply_to is None else apply_to
+    """Probability of the label by boosted trees; a single-class label gives nulls."""
+    return boosted_scorer(train, features, label, rounds, depth, step, seed, out)(train if apply_to is None else apply_to)
+
+
+def survival_scorer(
+    train: DataFrame, features: Sequence[str] = SURVIVAL_FEATURES, duration: str = "avg_gap",
+    event: str = "label_7", times: Sequence[int] = (1, 7, 14, 30, 45), scale: float = 100.0, out: str = "weibull",
+) -> Scorer:
+    """Fit ``fit_survival``'s model and return what adds its probabilities to a frame of features."""
     rows = _numbers(train, features).where(F.col(duration).isNotNull() & F.col(event).isNotNull())
     rows = rows.withColumns(
         {
@@ -110,18 +130,32 @@ def fit_survival(
         }
     )
     if len(rows.select(duration).limit(5).collect()) < 5:
-        return target.withColumns({f"{out}_{t}": F.lit(None).cast("double") for t in times})
+        return lambda target: target.withColumns({f"{out}_{t}": F.lit(None).cast("double") for t in times})
     aft = AFTSurvivalRegression(
         featuresCol="_vector", labelCol="_duration", censorCol="_event", predictionCol="_lifetime"
     )
     model = Pipeline(stages=[*_prepare(features), aft]).fit(rows)
     shape = 1.0 / model.stages[-1].scale
-    scored = model.transform(_numbers(target, features))
-    return _plain(
-        scored.withColumns(
-            {f"{out}_{t}": 1 - F.exp(-F.pow(F.lit(t / scale) / F.col("_lifetime"), F.lit(shape))) for t in times}
+
+    def score(target: DataFrame) -> DataFrame:
+        scored = model.transform(_numbers(target, features))
+        return _plain(
+            scored.withColumns(
+                {f"{out}_{t}": 1 - F.exp(-F.pow(F.lit(t / scale) / F.col("_lifetime"), F.lit(shape))) for t in times}
+            )
         )
-    )
+
+    return score
+
+
+def fit_survival(
+    train: DataFrame, features: Sequence[str] = SURVIVAL_FEATURES, duration: str = "avg_gap",
+    event: str = "label_7", times: Sequence[int] = (1, 7, 14, 30, 45), scale: float = 100.0,
+    out: str = "weibull", apply_to: DataFrame | None = None,
+) -> DataFrame:
+    """``<out>_<t>``: Weibull probability of an event within t days; null below five rows."""
+    scorer = survival_scorer(train, features, duration, event, times, scale, out)
+    return scorer(train if apply_to is None else apply_to)
 
 
 def two_stage_forecast(
@@ -146,6 +180,7 @@ SCORE_FEATURES = (
     "sources_count", "partners_count", "actor_part", "first_seen_part", "context_bonus", "botnet_flag",
     "false_positives", "scanner_factor", "quality_factor",
 )
+TASK_ROWS = 20_000  # rows that a task of the learned score's fit reads at least
 
 
 def score_learned(
@@ -160,7 +195,11 @@ def score_learned(
     rows = rows.withColumns({f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SCORE_FEATURES})
     rows = rows.withColumn("_label", F.col("score").cast("double"))
     share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000)) / 1000
-    train, test = rows.where(share < 0.8), rows.where(share >= 0.8)
+    # the many passes of the fit read a narrow copy, and not the scoring plan anew
+    narrow = pin(rows.select("_label", share.alias("_share"), *[f"_{c}" for c in SCORE_FEATURES]))
+    tasks = max(1, min(narrow.rdd.getNumPartitions(), narrow.count() // TASK_ROWS))
+    narrow = narrow.coalesce(tasks)
+    train, test = narrow.where("_share < 0.8"), narrow.where("_share >= 0.8")
     trees = GBTRegressor(
         featuresCol="_vector", labelCol="_label", predictionCol="_prediction", maxDepth=6, stepSize=0.05,
         maxIter=rounds, seed=seed,

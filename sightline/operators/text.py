@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null
 from ..session import pin, small
+from .similar import similar_items  # noqa: F401 (part of this module's interface)
 
 # fixed values ---------------------------------------------------------------------------------
 # (?U): word boundaries, digits and spaces follow Unicode
@@ -30,10 +29,6 @@ INTEL_PORTALS = (
     "phishtank", "greynoise.io", "abuse.ch",
 )
 FILLERS = ("adversaries", "may", "possibly", "can", "could", "might")
-TACTIC_HINTS = {
-    "command-and-control": ("network", "traffic"),
-    "initial-access": ("initially access", "entry point"),
-}
 ENTITIES = {
     "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
     "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–",
@@ -379,76 +374,6 @@ def technique_actors(objects: DataFrame, rels: DataFrame) -> DataFrame:
     return out.withColumn("actors", F.coalesce("actors", F.array().cast("array<string>")))
 
 
-def _match_block(texts: pd.DataFrame, items: pd.DataFrame, threshold: float, boost: float, k: int) -> pd.DataFrame:
-    """Best ``k`` of the given items for every given text."""
-    columns = ["id", "item_id", "similarity", "final_score"]
-    if texts.empty or items.empty:
-        return pd.DataFrame(columns=columns)
-    left = np.asarray(texts["vector"].tolist(), dtype=np.float64)
-    right = np.asarray(items["vector"].tolist(), dtype=np.float64)
-    left_norm, right_norm = np.linalg.norm(left, axis=1), np.linalg.norm(right, axis=1)
-    usable = (left_norm > 0)[:, None] & (right_norm > 0)[None, :]
-    scale = np.outer(np.where(left_norm > 0, left_norm, 1), np.where(right_norm > 0, right_norm, 1))
-    sim = left @ right.T / scale
-    lowered = [str(t or "").lower() for t in texts["text"]]
-
-    def hits(lists: pd.Series, present) -> np.ndarray:
-        """How many entries of each item's list hold for each text."""
-        names = sorted({v for values in lists for v in values})
-        place = {v: n for n, v in enumerate(names)}
-        uses = np.zeros((len(names), len(lists)))
-        for j, values in enumerate(lists):
-            for v in values:
-                uses[place[v], j] += 1
-        return np.array([[present(v, t) for v in names] for t in lowered], dtype=float).reshape(len(lowered), -1) @ uses
-
-    exact = hits(items["keywords"], lambda w, t: w in t)
-    folded = hits(items["keywords"], lambda w, t: w.lower() in t)
-    hinted = hits(items["tactics"], lambda v, t: any(cue in t for cue in TACTIC_HINTS.get(v, ())))
-    sim = sim + boost * (folded > 0)
-    final, shown = np.round(sim + boost * exact + 0.05 * hinted, 2), np.round(sim, 3)
-    names = items["item_id"].to_numpy()
-    out = []
-    for i, key in enumerate(texts["id"]):
-        kept = np.flatnonzero(usable[i] & (sim[i] >= threshold))
-        best = kept[np.lexsort((names[kept], -shown[i, kept], -final[i, kept]))][:k]
-        out += [(key, names[j], float(shown[i, j]), float(final[i, j])) for j in best]
-    return pd.DataFrame(out, columns=columns)
-
-
-def similar_items(
-    texts: DataFrame, dictionary: DataFrame, threshold: float = 0.9, boost: float = 0.1, k: int = 5,
-    text_rows: int = 2_000, block_rows: int = 20_000,
-) -> DataFrame:
-    """The ``k`` most similar dictionary items per text by cosine, keyword and tactic hints.
-
-    ``texts`` has ``id, text, vector``; ``dictionary`` has ``item_id, keywords, tactics, vector``.
-    The dictionary is hashed into blocks and the texts into slots; each task compares one slot with
-    one block and returns at most ``k`` matches per text, so no table of pairs is ever built.
-    """
-    none = F.array().cast("array<string>")
-    left = texts.select("id", "text", "vector")
-    right = dictionary.select(
-        "item_id", F.coalesce("keywords", none).alias("keywords"), F.coalesce("tactics", none).alias("tactics"), "vector"
-    )
-    key, item = (df.schema[c].dataType.simpleString() for df, c in ((texts, "id"), (dictionary, "item_id")))
-    schema = f"id {key}, item_id {item}, similarity double, final_score double"
-    rank = F.row_number().over(
-        W.partitionBy("id").orderBy(F.col("final_score").desc(), F.col("similarity").desc(), F.col("item_id"))
-    )
-    blocks = F.greatest(F.ceil(dictionary.agg(F.count("*")).scalar() / block_rows), F.lit(1))
-    slots = F.greatest(F.ceil(texts.agg(F.count("*")).scalar() / text_rows), F.lit(1))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    sided = left.withColumn("_n", blocks).withColumn("_slot", F.pmod(F.xxhash64("id"), slots)).withColumn("_block", every(F.col("_n")))
-    copies = right.withColumn("_n", slots).withColumn("_block", F.pmod(F.xxhash64("item_id"), blocks)).withColumn("_slot", every(F.col("_n")))
-    found = (
-        sided.drop("_n").groupBy("_block", "_slot")
-        .cogroup(copies.drop("_n").groupBy("_block", "_slot"))
-        .applyInPandas(lambda a, b: _match_block(a, b, threshold, boost, k), schema)
-    )
-    return found.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
 def tactic_rollup(matches: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One row per tactic of every match, sorted."""
     known = dictionary.select("item_id", "name", "tactics")

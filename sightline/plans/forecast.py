@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.forecast import confidence_band, ensemble_probability, exp_hazard, forecast_report
-from ..operators.models import fit_boosted, fit_logistic, fit_survival
-from ..operators.timeseries import dense_panel, recurrence_features
+from ..operators.models import boosted_scorer, logistic_scorer, survival_scorer
+from ..operators.runs import recurrence_features, run_length_panel, seen_on
 from ..session import pin
 
 
@@ -18,7 +19,7 @@ def likely_again(obs: DataFrame, as_of: str, horizon: int = 7, n: int = 100) ->
 
     The partner is a key, not a loop; all features come from one (partner, indicator) exchange.
     """
-    features = recurrence_features(dense_panel(obs, as_of))
+    features = recurrence_features(run_length_panel(obs, as_of), as_of)
     scored = exp_hazard(features, (horizon,))
     scored = confidence_band(scored, horizon, f"exp_{horizon}")
     return (
@@ -38,7 +39,7 @@ def training_frame(obs: DataFrame, as_of: str, horizon: int, keys=("OpDiv", "ind
     The label lies strictly after everything the features have seen.
     """
     cut = (date.fromisoformat(as_of) - timedelta(days=horizon)).isoformat()
-    features = recurrence_features(dense_panel(obs.where(F.col("obs_date") <= cut), cut, keys=keys), keys=keys)
+    features = recurrence_features(run_length_panel(obs, cut, keys=keys), cut, keys=keys)
     later = (
         obs.where((F.col("obs_date") > cut) & (F.col("obs_date") <= as_of) & (F.col("observations") > 0))
         .select(*keys)
@@ -55,18 +56,28 @@ def forecast_job(
 
     ``mode='in_sample'`` fits on labels taken from the same window as the features.
     """
-    panel = dense_panel(obs, as_of)
-    # every model reads the features, so they are computed once
-    features = pin(recurrence_features(panel))
-    scored = exp_hazard(features, horizons)
-    for h in horizons:
+    keys = ("OpDiv", "indicator")
+    # all horizons read the same sighting days, summed once
+    days = pin(obs.where(F.col("obs_date") <= F.lit(as_of).cast("date")).groupBy(*keys, "obs_date").agg(
+        F.sum("observations").alias("observations")))
+    runs = run_length_panel(days, as_of)
+    features = pin(recurrence_features(runs, as_of))
+
+    def models(h: int) -> list:
         label = f"label_{max(h, 7)}"
-        train = features.withColumn("label", F.col(label)) if mode == "in_sample" else training_frame(obs, as_of, h)
-        train = pin(train)
-        scored = fit_logistic(train, label="label", out=f"logistic_{h}", apply_to=scored)
-        scored = fit_boosted(train, label="label", out=f"boosted_{h}", apply_to=scored)
-        scored = fit_survival(train, event="label", times=(h,), apply_to=scored)
+        train = features.withColumn("label", F.col(label)) if mode == "in_sample" else pin(training_frame(days, as_of, h))
+        return [
+            logistic_scorer(train, label="label", out=f"logistic_{h}"), boosted_scorer(train, label="label", out=f"boosted_{h}"),
+            survival_scorer(train, event="label", times=(h,)),
+        ]
+
+    scored = exp_hazard(features, horizons)
+    # the fits of the horizons know nothing of each other, so their jobs share the cluster
+    with ThreadPoolExecutor(max_workers=max(1, len(horizons))) as pool:
+        for scorers in pool.map(models, horizons):
+            for score in scorers:
+                scored = score(scored)
     scored = ensemble_probability(scored, horizons=horizons)
     for h in horizons:
         scored = confidence_band(scored, h)
-    return forecast_report(scored, panel, horizons)
+    return forecast_report(scored, seen_on(runs, as_of), horizons, last_day=as_of)

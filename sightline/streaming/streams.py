@@ -6,7 +6,7 @@ available and stops; run it again to continue where it stopped.  Watermarks boun
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
@@ -53,9 +53,28 @@ def daily_partner_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def stream_daily_counts(source: DataFrame, checkpoint: str, sink: str, delay: str = DELAY) -> StreamingQuery:
-    """Daily counts, emitted once the watermark has passed the day."""
-    return _append(daily_partner_counts(source.withWatermark("ts", delay)), checkpoint, sink)
+def stream_daily_counts(
+    source: DataFrame, checkpoint: str, sink: str, delay: str = DELAY, emit: str = "closed"
+) -> StreamingQuery:
+    """Daily counts.
+
+    ``emit="closed"`` writes a day once the watermark has passed it.  ``emit="all"`` writes every count
+    that a batch changed, those of open days too, for ``read_windows`` to take the newest of each.
+    """
+    counts = daily_partner_counts(source.withWatermark("ts", delay))
+    return _append(counts, checkpoint, sink) if emit == "closed" else _update(counts, checkpoint, sink)
+
+
+def daily_partials(df: DataFrame) -> DataFrame:
+    """Observations and partners per indicator and day, of which any number of days can be put together."""
+    return df.groupBy("indicator", F.window("ts", "1 day").alias("w")).agg(
+        F.sum("observations").alias("total_obs"), F.collect_set("OpDiv").alias("partners")
+    ).select("indicator", F.col("w.start").alias("day"), "total_obs", "partners")
+
+
+def _flagged(weeks: DataFrame, min_total: int, min_partners: int) -> DataFrame:
+    flag = (F.col("total_obs") >= min_total) & (F.col("partners") >= min_partners)
+    return weeks.select("indicator", "start", "total_obs", "partners", flag.alias("mass_scanner"))
 
 
 def weekly_totals(df: DataFrame, min_total: int = 1_000_000, min_partners: int = 5) -> DataFrame:
@@ -67,14 +86,32 @@ def weekly_totals(df: DataFrame, min_total: int = 1_000_000, min_partners: int =
         F.sum("observations").alias("total_obs"),
         F.size(F.collect_set("OpDiv")).cast("long").alias("partners"),
     )
-    flag = (F.col("total_obs") >= min_total) & (F.col("partners") >= min_partners)
-    return out.select("indicator", F.col("w.start").alias("start"), "total_obs", "partners", flag.alias("mass_scanner"))
+    return _flagged(out.withColumn("start", F.col("w.start")), min_total, min_partners)
+
+
+def weeks_of_days(days: DataFrame, min_total: int = 1_000_000, min_partners: int = 5) -> DataFrame:
+    """``weekly_totals`` from one row per indicator and day: a week is put together from seven days."""
+    starts = F.sequence(F.col("day") - F.expr("INTERVAL 6 DAYS"), F.col("day"), F.expr("INTERVAL 1 DAY"))
+    out = days.withColumn("start", F.explode(starts)).groupBy("indicator", "start").agg(
+        F.sum("total_obs").alias("total_obs"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("partners")))).cast("long").alias("partners"),
+    )
+    return _flagged(out, min_total, min_partners)
 
 
 def stream_mass_scanner(
-    source: DataFrame, checkpoint: str, sink: str, delay: str = DELAY, **limits: int
+    source: DataFrame, checkpoint: str, sink: str, delay: str = DELAY, emit: str = "closed", **limits: int
 ) -> StreamingQuery:
-    return _append(weekly_totals(source.withWatermark("ts", delay), **limits), checkpoint, sink)
+    """Sliding weeks per indicator.
+
+    ``emit="closed"`` writes a week once the watermark has passed it.  ``emit="all"`` keeps one state
+    row per indicator and day and writes the days that a batch changed; ``read_weeks`` puts the weeks,
+    open ones too, together.
+    """
+    marked = source.withWatermark("ts", delay)
+    if emit == "closed":
+        return _append(weekly_totals(marked, **limits), checkpoint, sink)
+    return _update(daily_partials(marked), checkpoint, sink)
 
 
 def sighting_sessions(df: DataFrame, gap: str = "1 day") -> DataFrame:
@@ -84,10 +121,48 @@ def sighting_sessions(df: DataFrame, gap: str = "1 day") -> DataFrame:
     ).select("indicator", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n", "total_obs")
 
 
+def merge_sessions(parts: DataFrame) -> DataFrame:
+    """Sessions from pieces of them: pieces that overlap are one session.
+
+    An end lies one gap after the last sighting, so two pieces belong together where one begins
+    before the other's end.
+    """
+    order = W.partitionBy("indicator").orderBy("start", "end")
+    reached = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opened = F.when(F.col("start") < reached, 0).otherwise(1)
+    rows = parts.withColumn("_new", opened).withColumn("_session", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return rows.groupBy("indicator", "_session").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"), F.sum("total_obs").alias("total_obs")
+    ).drop("_session")
+
+
 def stream_sessions(
-    source: DataFrame, checkpoint: str, sink: str, delay: str = DELAY, gap: str = "1 day"
+    source: DataFrame, checkpoint: str, sink: str, delay: str = DELAY, gap: str = "1 day", emit: str = "closed"
 ) -> StreamingQuery:
-    return _append(sighting_sessions(source.withWatermark("ts", delay), gap), checkpoint, sink)
+    """Sessions of sightings.
+
+    ``emit="closed"`` writes a session once the watermark has passed its end.  ``emit="all"`` needs no
+    state at all: every batch writes the pieces of sessions that its own rows form, and
+    ``read_sessions`` merges pieces that belong together, late ones and open ones too.
+    """
+    if emit == "closed":
+        return _append(sighting_sessions(source.withWatermark("ts", delay), gap), checkpoint, sink)
+    return _each_batch(source, checkpoint, lambda batch, batch_id: _put(sighting_sessions(batch, gap), sink, batch_id))
+
+
+def read_windows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each window of a stream that writes what its batches changed."""
+    newest = W.partitionBy(*keys).orderBy(F.col("part").desc())
+    rows = spark.read.parquet(path).withColumn("_rn", F.row_number().over(newest))
+    return rows.where("_rn = 1").drop("_rn", "part")
+
+
+def read_weeks(spark: SparkSession, path: str, **limits: int) -> DataFrame:
+    return weeks_of_days(read_windows(spark, path, ("indicator", "day")), **limits)
+
+
+def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+    return merge_sessions(spark.read.parquet(path).drop("part"))
 
 
 # ------------------------------------------------------------------- tables grown by batches
@@ -103,6 +178,12 @@ def start_table(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(f"{path}/part=0")
 
 
+def _update(df: DataFrame, checkpoint: str, sink: str) -> StreamingQuery:
+    """Rows that a batch changed go to the batch's own folder."""
+    writer = df.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: _put(batch, sink, batch_id))
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _put(df: DataFrame, path: str, batch_id: int) -> None:
     """A batch owns its folder, so a repeated batch replaces what it wrote before."""
     df.write.mode("overwrite").parquet(f"{path}/part={batch_id + 1}")

@@ -82,3 +82,26 @@ def test_upsert_stream_equals_batch_upserts(spark, rows, tmp_path):
     assert rows(st.read_history(spark, history), "indicator", "score") == rows(log, "indicator", "score")
     st.compact(st.read_scores(spark, scores), str(tmp_path / "compact"))
     assert rows(st.read_scores(spark, str(tmp_path / "compact"))) == rows(table)
+
+
+@pytest.mark.parametrize("job, operator, read", [
+    (st.stream_daily_counts, st.daily_partner_counts, lambda spark, path: st.read_windows(spark, path, ("OpDiv", "day"))),
+    (st.stream_mass_scanner, st.weekly_totals, st.read_weeks),
+    (st.stream_sessions, st.sighting_sessions, st.read_sessions),
+])
+def test_open_windows_equal_batch(spark, rows, sightings, job, operator, read):
+    path, batch, tmp = sightings
+    source = st.read_stream(spark, path, batch.schema, files_per_batch=1)
+    job(source, str(tmp / "state"), str(tmp / "out"), emit="all").awaitTermination()
+    want = operator(batch)
+    assert rows(read(spark, str(tmp / "out")), *want.columns) == rows(want)
+
+
+def test_pieces_of_sessions_out_of_order(spark, rows):
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    data = [("a", "P", at(h), 1) for h in (0, 20, 50, 73, 74, 200)] + [("b", "P", at(h), 2) for h in (0, 24, 25)]
+    whole = spark.createDataFrame(data, SCHEMA)
+    pieces = [whole.where(F.hour("ts") % 3 == k) for k in range(3)]
+    parts = st.sighting_sessions(pieces[2]).unionByName(st.sighting_sessions(pieces[0])).unionByName(st.sighting_sessions(pieces[1]))
+    want = st.sighting_sessions(whole)
+    assert rows(st.merge_sessions(parts), *want.columns) == rows(want)
