@@ -6,8 +6,9 @@ import hashlib
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,8 +16,13 @@ from pyspark.sql import functions as F
 
 from sightline.session import pin
 
-BROADCAST_HOSTS = 100_000  # plans of hosts that may be broadcast (about 30 MB)
-SALTS = 16
+from . import blocks as B
+
+BROADCAST_HOSTS = 100_000  # plans of hosts that may be broadcast, if they have BROADCAST_CHARS in sum at most
+BROADCAST_CHARS = 64_000_000
+LABELS = 32  # names that elements of one tag may have below one parent; more are one name
+HEADS = 4  # first elements of a repeated group that are also compared one by one
+WITNESSES = 3  # different pages of a host that must share a constant element before it counts
 DEPTH = 150  # text of elements nested deeper is read as part of the element at this depth
 
 # fixed values of the HTML standard
@@ -42,6 +48,8 @@ OTHER_WORDS = frozenset(
     "notification alert popup modal overlay newsletter subscribe signup login share sharing social sidebar menu nav navbar navigation "
     "breadcrumb breadcrumbs footer masthead topbar toolbar comment comments disqus respond replies related recommended widget search "
     "pagination pager skip copyright".split())
+#: whole class names or ids that name adverts and reader comments even inside the article
+PLAIN_OTHER = frozenset("ad ads advert adverts advertisement advertising adsense sponsored comment comments disqus respond replies".split())
 LAYOUT_WORDS = frozenset("has with no without content wrap wrapper container layout main".split())
 MAIN_TAGS = frozenset(("article", "main"))
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd figcaption tr table ul ol dl".split())
@@ -52,13 +60,21 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+#: kinds of elements: article text, named like another part inside or outside an article, another part
+TEXT, NAMED_INSIDE, NAMED_OUTSIDE, OTHER = range(4)
+
+
 class Node:
     """A block element; ``items`` holds nodes and texts [words, of which in links]."""
 
-    __slots__ = ("tag", "label", "other", "items")
+    __slots__ = ("tag", "label", "kind", "items")
+
+    def __init__(self, tag: str, label: str, kind: int) -> None:
+        self.tag, self.label, self.kind, self.items = tag, label, kind, []
 
-    def __init__(self, tag: str, label: str, other: bool) -> None:
-        self.tag, self.label, self.other, self.items = tag, label, other, []
+    @property
+    def other(self) -> bool:
+        return self.kind in (NAMED_OUTSIDE, OTHER)
 
 
 def _names_other(words: set[str], inside_main: bool) -> bool:
@@ -67,29 +83,35 @@ def _names_other(words: set[str], inside_main: bool) -> bool:
     return bool(words & OTHER_WORDS) and not words & LAYOUT_WORDS
 
 
-def _describe(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool]:
-    """Label of an element, and whether it holds something other than the article."""
-    other = tag in OTHER_TAGS or (tag == "header" and not inside_main)
+def _describe(tag: str, attributes: str, inside_main: bool) -> tuple[str, int]:
+    """Label of an element, and its kind by element, role, style and names."""
+    kind = OTHER if tag in OTHER_TAGS or (tag == "header" and not inside_main) else TEXT
     if not attributes.strip(" /"):
-        return tag, other
+        return tag, kind
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     role = found.get("role", "").lower()
     names = f"{found.get('class', '')} {found.get('id', '')}"
     style = found.get("style", "").replace(" ", "").lower()
-    other = (
-        other or role in OTHER_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+    if (
+        role in OTHER_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
         or "display:none" in style or "visibility:hidden" in style
-        or (tag not in ("html", "body") and _names_other({w.lower() for w in _WORD.findall(names)}, inside_main))
-    )
+    ):
+        kind = OTHER
+    if kind == TEXT and tag not in ("html", "body"):
+        if set(names.lower().split()) & PLAIN_OTHER:
+            kind = OTHER
+        elif _names_other({w.lower() for w in _WORD.findall(names)}, inside_main):
+            kind = NAMED_INSIDE if inside_main else NAMED_OUTSIDE
     main = role == "main" or "articlebody" in found.get("itemprop", "").lower()
     name = re.sub(r"\d+", "#", (found.get("id") or found.get("class", "")).split(" ")[0])[:40]
-    return ("main" if main else tag) + (f".{name}" if name else ""), other
+    return ("main" if main else tag) + (f".{name}" if name else ""), kind
 
 
 def read_page(page: str) -> Node:
     """Block tree of a page: inline elements are part of their text, missing end tags are implied."""
-    root = Node("", "", False)
+    root = Node("", "", TEXT)
     stack: list[Node] = [root]
+    open_tags: Counter[str] = Counter()  # so that end tags of nothing open need no look down the stack
     text: list[str] = []
     links = in_link = in_main = 0
 
@@ -106,7 +128,9 @@ def read_page(page: str) -> Node:
         nonlocal in_main
         flush()
         while len(stack) > n:
-            in_main -= stack.pop().tag in MAIN_TAGS
+            tag = stack.pop().tag
+            open_tags[tag] -= 1
+            in_main -= tag in MAIN_TAGS
 
     at, size = 0, len(page)
     while at < size:
@@ -135,7 +159,7 @@ def read_page(page: str) -> Node:
         if m[1]:
             if tag == "p" and stack[-1].tag != "p":
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if stack[i].tag == tag:
                     close(i)
                     break
@@ -146,24 +170,26 @@ def read_page(page: str) -> Node:
         flush()
         if tag in CLOSES_P and stack[-1].tag == "p":
             close(len(stack) - 1)
-        if tag in CLOSED_BY:
+        if tag in CLOSED_BY and any(open_tags[t] for t in CLOSED_BY[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSED_BY[tag]:
                     close(i)
                     break
                 if stack[i].tag in SCOPES:
                     break
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and open_tags[tag]:
             continue
-        label, other = _describe(tag, m[3], in_main > 0)
-        node = Node(tag, label, other or stack[-1].other)
+        label, kind = _describe(tag, m[3], in_main > 0)
+        node = Node(tag, label, max(kind, OTHER if stack[-1].kind == OTHER else TEXT))
         if tag in VOID:
             continue
-        if len(stack) >= DEPTH and node.other == stack[-1].other:
+        if len(stack) >= DEPTH and node.kind in (TEXT, stack[-1].kind):
+            node.kind = stack[-1].kind
             node.items = stack[-1].items  # open until its own end tag, but no level of the tree
         else:
             stack[-1].items.append(node)
         stack.append(node)
+        open_tags[tag] += 1
         in_main += tag in MAIN_TAGS
     flush()
     return root
@@ -171,131 +197,202 @@ def read_page(page: str) -> Node:
 
 # -- wrappers ---------------------------------------------------------------------------------
 #
-# A wrapper is a union-free regular expression over the tokens of a host's pages, as nested lists:
-# [label, chars, link chars, items, optional, repeated]; a text has the label "#" and, in place of
-# items, the digest of its constant text or None for a slot; a group of items has the label "(".
+# A wrapper is a union-free regular expression over the tokens of a host's pages.  Streams are aligned
+# by the names of elements below one parent: what some parents lack is optional, what one parent has
+# more than once is a repeated group, and differing text is a slot.  An element or text is
+#
+#     [label, chars, link chars, items, optional, repeated, parents, order, heads, count, pages]
+#
+# items in the mean order of their places; for a text, label "#", the digest of its constant text or
+# None for a slot.  parents counts the parents that have it, order sums the places of its first
+# occurrence, heads has [parents, digest or None, chars] of the first to fourth occurrence, count the
+# occurrences, and pages the digests of a few different pages (of the whole only).  All of these are
+# sums, minima and comparisons, so the wrapper of a host depends neither on the order of its pages
+# nor on how they are dealt into batches.
+
+LABEL, CHARS, LINKS, BODY, OPTIONAL, REPEATED, PARENTS, ORDER, HEAD, COUNT, PAGES = range(11)
 
 
 def _digest(text: str) -> str:
     return hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
 
 
-def wrapper_of(node: Node) -> list:
-    """A page as the wrapper that matches it; parts that are not article hold no evidence."""
-    items, chars, links = [], 0, 0
-    for item in node.items:
-        if isinstance(item, Node):
-            if _is_menu(item) and not item.other:  # one text, so that equal lists stay constant
-                size, linked = _menu_size(item)
-                part = [item.label, size, linked, [["#", size, linked, _digest(_menu_text(item)), False, False]], False, False]
-            else:
-                part = wrapper_of(item)
-            if not item.other:
-                chars, links = chars + part[1], links + part[2]
+def _mark(node: Node) -> str:
+    return node.label + ("!" if node.other else "?" if node.kind == NAMED_INSIDE else "")
+
+
+def _one(node: Node) -> tuple[list, str]:
+    """The wrapper of one element, and the digest of its text without other parts."""
+    items: dict[str, list] = {}
+    chars, links, digests = 0, 0, []
+    for place, part in enumerate(node.items):
+        if isinstance(part, Node):
+            own, digest = _one(part)
+            counts = not part.other
         else:
-            part = ["#", len(item[0]), item[1], _digest(item[0]), False, False]
-            chars, links = chars + part[1], links + part[2]
-        items.append(part)
-    return [node.label + ("!" if node.other else ""), chars, links, fold(items), False, False]
-
-
-def _name(item: list) -> str:
-    return f"({' '.join(map(_name, item[3]))})" if item[0] == "(" else item[0]
-
-
-def fold(items: list[list]) -> list[list]:
-    """Merge runs of one to three items that follow each other with equal labels into repeated ones."""
-    for period in (1, 2, 3):
-        names = [_name(x) for x in items]
-        out, i = [], 0
-        while i < len(items):
-            j = i + period
-            if names[i:j] == names[j : j + period] and "#" not in names[i:j]:
-                run = items[i:j]
-                while names[j : j + period] == names[i : i + period]:
-                    run = [merge(a, b) for a, b in zip(run, items[j : j + period])]
-                    j += period
-                if period == 1:
-                    run[0][5] = True
-                    out.append(run[0])
-                else:
-                    out.append(["(", sum(x[1] for x in run), sum(x[2] for x in run), run, False, True])
-                i = j
-            else:
-                out.append(items[i])
-                i += 1
-        items = out
-    return items
+            digest, counts = _digest(part[0]), True
+            own = ["#", len(part[0]), part[1], digest, False, False, 1, 0, [], 1, []]
+        if counts:
+            chars, links = chars + own[CHARS], links + own[LINKS]
+            digests.append(digest)
+        own[ORDER], own[HEAD] = place, [[1, digest, own[CHARS]]]
+        label = own[LABEL]
+        items[label] = _follow(items[label], own) if label in items else own
+    body = _settle(list(items.values()), 1)
+    return [_mark(node), chars, links, body, False, False, 1, 0, [], 1, []], _digest(",".join(digests))
+
+
+def wrapper_of(node: Node) -> list:
+    """A page as the wrapper that matches it."""
+    whole, digest = _one(node)
+    whole[PAGES] = [digest]
+    return whole
+
+
+def _same(a: list, b: list, count: int):
+    if a[LABEL] == "#":
+        return a[BODY] if a[BODY] == b[BODY] else None  # differing text becomes a slot
+    return _align(a[BODY], b[BODY], count)
+
+
+def _follow(a: list, b: list) -> list:
+    """Two occurrences below one parent: a repeated group."""
+    count = a[COUNT] + b[COUNT]
+    heads = a[HEAD] + b[HEAD] if len(a[HEAD]) < HEADS else a[HEAD]
+    return [a[LABEL], a[CHARS] + b[CHARS], a[LINKS] + b[LINKS], _same(a, b, count), False, True, 1, a[ORDER], heads, count, []]
 
 
 def merge(a: list, b: list) -> list:
     """The wrapper that matches what either of two wrappers of one label matches."""
-    if a[0] == "#":
-        body = a[3] if a[3] == b[3] else None  # differing text becomes a slot
-    else:
-        body = merge_items(a[3], b[3])
-    return [a[0], a[1] + b[1], a[2] + b[2], body, a[4] or b[4], a[5] or b[5]]
-
-
-def merge_items(a: list[list], b: list[list]) -> list[list]:
-    """Align two token streams; what only one of them has becomes optional."""
-    left, right = [_name(x) for x in a], [_name(x) for x in b]
-    if left == right:
-        return [merge(x, y) for x, y in zip(a, b)]
-    out, i, j = [], 0, 0
-    for p, q, n in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks():
-        for x in (*a[i:p], *b[j:q]):
-            out.append([*x[:4], True, x[5]])
-        out += [merge(x, y) for x, y in zip(a[p : p + n], b[q : q + n])]
-        i, j = p + n, q + n
-    return fold(out)
+    count = a[COUNT] + b[COUNT]
+    heads = [
+        x and y and [x[0] + y[0], x[1] if x[1] == y[1] else None, x[2] + y[2]] or x or y for x, y in zip_longest(a[HEAD], b[HEAD])]
+    return [
+        a[LABEL], a[CHARS] + b[CHARS], a[LINKS] + b[LINKS], _same(a, b, count), False, a[REPEATED] or b[REPEATED],
+        a[PARENTS] + b[PARENTS], a[ORDER] + b[ORDER], heads, count, sorted({*a[PAGES], *b[PAGES]})[:WITNESSES],
+    ]
+
+
+def _align(a: list[list], b: list[list], count: int) -> list[list]:
+    """Items of two wrappers side by side, those of one label merged."""
+    known = {x[LABEL]: x for x in a}
+    for x in b:
+        known[x[LABEL]] = merge(known[x[LABEL]], x) if x[LABEL] in known else x
+    return _settle(list(known.values()), count)
+
+
+def _family(label: str) -> str:
+    """The name that labels of a tag share when there are too many of them: "div.post" is of "div.*"."""
+    mark = label[-1] if label[-1:] in ("!", "?") else ""
+    return label.split(".")[0] + ".*" + mark if "." in label else ""
+
+
+def _gather(items: list[list], families: set[str]) -> list[list]:
+    """Items with the labels of the given families under their common name."""
+    out: dict[str, list] = {}
+    for x in items:
+        label = _family(x[LABEL])
+        if label in families:
+            x = [label, *x[1:]]
+        out[x[LABEL]] = merge(out[x[LABEL]], x) if x[LABEL] in out else x
+    return list(out.values())
+
+
+def _settle(items: list[list], count: int) -> list[list]:
+    """Items in order, optional where a parent lacks them; names that vary without end are one name."""
+    names = Counter(_family(x[LABEL]) for x in items)
+    present = {x[LABEL] for x in items}
+    many = {f for f, n in names.items() if f and (n > LABELS or f in present)}
+    if many:
+        items = _gather(items, many)
+    items = [[*x[:OPTIONAL], x[PARENTS] < count, *x[REPEATED:]] for x in items]
+    return sorted(items, key=lambda x: (x[ORDER] / x[PARENTS], x[LABEL]))
+
+
+def _rare(items: list[list], count: int) -> list[list]:
+    """Items with labels that no second parent has under the common name of their tag."""
+    single = {_family(x[LABEL]) for x in items if x[PARENTS] < 2 and _family(x[LABEL])} if count > 1 else set()
+    if single:
+        kept = [x for x in items if _family(x[LABEL]) not in single or x[PARENTS] > 1]
+        gone = [x for x in items if _family(x[LABEL]) in single and x[PARENTS] < 2]
+        items = kept + _gather(gone, single)
+        items = _settle(_gather(items, set()), count)
+    return [[*x[:BODY], x[BODY] if x[LABEL] == "#" else _rare(x[BODY], x[COUNT]), *x[OPTIONAL:]] for x in items]
+
+
+def _is_other(item: list) -> bool:
+    return item[LABEL].endswith("!")
 
 
 def _walk(items: list[list], path: tuple[str, ...]) -> Iterator[tuple[tuple[str, ...], list]]:
     for x in items:
-        if x[0] == "(":
-            yield from _walk(x[3], path)
-        elif x[0] != "#" and not x[0].endswith("!"):
-            yield (*path, x[0]), x
-            yield from _walk(x[3], (*path, x[0]))
+        if x[LABEL] != "#" and not _is_other(x):
+            yield (*path, x[LABEL]), x
+            yield from _walk(x[BODY], (*path, x[LABEL]))
 
 
 def _constant(item: list) -> bool:
     """Do all pages have this part with the same text, or with links only?"""
-    if item[0].endswith("!") or item[1] <= item[2]:
+    if _is_other(item) or item[CHARS] <= item[LINKS]:
         return True
-    if item[4] or item[5]:
-        return False
-    return item[3] is not None if item[0] == "#" else all(map(_constant, item[3]))
+    return not item[OPTIONAL] and not item[REPEATED] and item[HEAD][0][1] is not None
 
 
 def _only_other_outside(items: list[list], inner: list) -> bool:
     """Is all that lies beside ``inner`` marked as not article, links or constant text?"""
-    for x in items:
-        if x is not inner and not (_only_other_outside(x[3], inner) if x[0] == "(" else _constant(x)):
-            return False
-    return True
+    return all(x is inner or _constant(x) for x in items)
 
 
 def _no_text_outside(items: list[list], inner: list) -> bool:
-    return all(
-        x is inner or x[0].endswith("!") or x[1] <= x[2] or (x[0] == "(" and _no_text_outside(x[3], inner)) for x in items)
-
-
-def _constant_lists(items: list[list]) -> Iterator[str]:
-    """Digests of the lists of links that all pages have with the same text."""
-    for x in items:
-        if not x[4] and not x[5] and x[0] != "#" and not x[0].endswith("!"):
-            if x[0].split(".")[0] in ("ul", "ol") and len(x[3]) == 1 and x[3][0][0] == "#" and x[3][0][3]:
-                yield x[3][0][3]
-            yield from _constant_lists(x[3])
-
-
-def plan_of(wrapper: list) -> list[list]:
-    """Paths of the host's main regions, and its menus: lists of links that are the same on all pages,
-    where other text differs."""
-    menus = [] if _constant(wrapper) else sorted(set(_constant_lists(wrapper[3])))
-    return [_main_paths(wrapper), menus]
+    return all(x is inner or _is_other(x) or x[CHARS] <= x[LINKS] for x in items)
+
+
+def plan_of(wrapper: list) -> list:
+    """What tells the article of a host's pages: paths of the main regions, the labels known beside a
+    step of a path that stands for labels without end, and the constant elements inside."""
+    settled = [*wrapper[:BODY], _rare(wrapper[BODY], wrapper[COUNT]), *wrapper[OPTIONAL:]]
+    paths = _main_paths(settled)
+    known: dict[str, list[str]] = {}
+    drops: dict[str, list[str]] = {}
+    for path in paths:
+        region = settled
+        for depth, step in enumerate(path):
+            if step.endswith(".*"):
+                known[">".join(path[: depth + 1])] = sorted(
+                    x[LABEL] for x in region[BODY] if _family(x[LABEL]) == step != x[LABEL])
+            region = next(x for x in region[BODY] if x[LABEL] == step)
+        if len(wrapper[PAGES]) > 1:
+            found, chars = _constants(region, ">".join(path), len(wrapper[PAGES]))
+            if 2 * chars < region[CHARS]:  # pages that are mostly alike are copies, not boilerplate
+                drops.update(found)
+    return [paths, known, drops]
+
+
+def _constants(item: list, key: str, witnesses: int) -> tuple[dict[str, list[str]], int]:
+    """Digests of elements below ``item`` that are the same on every page, by path and occurrence, and
+    the characters that they take.
+
+    These are elements with a class or id, and lists of links, that no parent lacks; an element that
+    is named like another part may be optional.  Plain paragraphs and headings never count.
+    """
+    out: dict[str, list[str]] = {}
+    chars = 0
+    for x in item[BODY]:
+        label = x[LABEL]
+        if label == "#" or _is_other(x):
+            continue
+        list_of_links = label.split(".")[0] in ("ul", "ol") and x[LINKS] * 2 >= x[CHARS]
+        named = label.endswith("?")
+        enough = 2 if list_of_links or named else WITNESSES
+        for k, (parents, digest, size) in enumerate(x[HEAD]):
+            everywhere = parents == item[COUNT] or (named and parents > 1)
+            if digest and everywhere and witnesses >= enough and (named or list_of_links or "." in label):
+                out[f"{key}>{label}#{k}"] = digest
+                chars += size
+        more, below = _constants(x, f"{key}>{label}", witnesses)
+        out.update(more)
+        chars += below
+    return out, chars
 
 
 def _main_paths(wrapper: list) -> list[list[str]]:
@@ -303,19 +400,19 @@ def _main_paths(wrapper: list) -> list[list[str]]:
     else the innermost container that leaves nothing outside but other parts, links and constant text.
     Text is constant evidence only if the text inside differs from page to page."""
     mains: list[tuple[str, ...]] = []
-    for path, x in _walk(wrapper[3], ()):
-        if path[-1].split(".")[0] in MAIN_TAGS and x[1] and not any(path[: len(m)] == m for m in mains):
+    for path, x in _walk(wrapper[BODY], ()):
+        if path[-1].split(".")[0] in MAIN_TAGS and x[CHARS] and not any(path[: len(m)] == m for m in mains):
             mains.append(path)
     if mains:
         return [list(m) for m in mains]
     path, node = (), wrapper
     while True:
-        inner = [(p, x) for p, x in _walk(node[3], path) if len(p) == len(path) + 1 and x[0].split(".")[0] not in LEAVES]
-        best = max(inner, key=lambda m: m[1][1] - m[1][2], default=None)
-        if best is None or best[1][1] <= best[1][2] or best[1][4]:
+        inner = [(p, x) for p, x in _walk(node[BODY], path) if len(p) == len(path) + 1 and x[LABEL].split(".")[0] not in LEAVES]
+        best = max(inner, key=lambda m: m[1][CHARS] - m[1][LINKS], default=None)
+        if best is None or best[1][CHARS] <= best[1][LINKS] or best[1][OPTIONAL]:
             return [list(path)]
-        varies = not best[1][5] and not _constant(best[1])
-        if not (_only_other_outside if varies else _no_text_outside)(node[3], best[1]):
+        varies = not best[1][REPEATED] and not _constant(best[1])
+        if not (_only_other_outside if varies else _no_text_outside)(node[BODY], best[1]):
             return [list(path)]
         path, node = best
 
@@ -323,53 +420,72 @@ def _main_paths(wrapper: list) -> list[list[str]]:
 # -- extraction -------------------------------------------------------------------------------
 
 
-def _is_menu(node: Node) -> bool:
-    """A list of three links or more and nothing else."""
-    if node.tag not in ("ul", "ol"):
-        return False
-    texts = [t for x in node.items if isinstance(x, Node) for t in x.items]
-    return len(texts) >= 3 and all(not isinstance(t, Node) and t[1] >= 0.9 * len(t[0]) for t in texts)
-
-
-def _menu_text(node: Node) -> str:
-    return "\n".join(t[0] for x in node.items if isinstance(x, Node) for t in x.items)
-
+def _measure(node: Node) -> tuple[int, int]:
+    """Characters of a part, and of these in links."""
+    chars = links = 0
+    for item in node.items:
+        size, linked = (0, 0) if isinstance(item, Node) and item.other else _measure(item) if isinstance(item, Node) else (len(item[0]), item[1])
+        chars, links = chars + size, links + linked
+    return chars, links
 
-def _menu_size(node: Node) -> tuple[int, int]:
-    texts = [t for x in node.items if isinstance(x, Node) for t in x.items]
-    return sum(len(t[0]) for t in texts), sum(t[1] for t in texts)
 
+def _texts(node: Node, key: str, drops: dict[str, str], deep: bool, out: list[str]) -> None:
+    """Texts of a region in page order.
 
-def _texts(node: Node, menus: set[str], out: list[str]) -> None:
+    Parts that are another by element, role or style go.  One that is only named like another goes if
+    it is mostly links or if the host's wrapper holds it constant; outside an article element, unless
+    ``deep`` inside a region that the wrapper found, its name is enough.
+    """
+    places: Counter[str] = Counter()
     for item in node.items:
-        if isinstance(item, Node):
-            if not item.other and not (menus and _is_menu(item) and _digest(_menu_text(item)) in menus):
-                _texts(item, menus, out)
-        else:
+        if not isinstance(item, Node):
             out.append(item[0])
+            continue
+        label = _mark(item).replace("!", "?") if item.kind == NAMED_OUTSIDE and deep else _mark(item)
+        k = places[label]
+        places[label] += 1
+        if item.kind == OTHER or (item.kind == NAMED_OUTSIDE and not deep):
+            continue
+        digest = next((drops[d] for d in (f"{key}>{label}#{k}", f"{key}>{_family(label)}#{k}") if d in drops), None) if drops else None
+        if digest is not None and digest == _one(item)[1]:
+            continue
+        if item.kind in (NAMED_INSIDE, NAMED_OUTSIDE):
+            chars, links = _measure(item)
+            if 2 * links >= chars:
+                continue
+        _texts(item, f"{key}>{label}", drops, deep, out)
 
 
-def _regions(node: Node, paths: list[list[str]]) -> list[Node]:
-    """The regions that any of the paths names, in page order."""
+def _regions(node: Node, paths: list[list[str]], known: dict[str, list[str]], key: str = "") -> list[tuple[Node, str]]:
+    """The regions that any of the paths names, in page order, each with its path."""
     if not all(paths):
-        return [node]
-    out: list[Node] = []
+        return [(node, key)]
+    out: list[tuple[Node, str]] = []
     for x in node.items:
         if isinstance(x, Node) and not x.other:
-            rest = [p[1:] for p in paths if p[0] == x.label]
-            out += _regions(x, rest) if rest else []
+            label, family = _mark(x), _family(_mark(x))
+            steps = {p[0] for p in paths}
+            step = label if label in steps else family if family in steps else None
+            if step is None:
+                continue
+            below = f"{key}>{step}" if key else step
+            if step == family and label in known.get(below, ()):
+                continue  # a label of its own beside those without end
+            out += _regions(x, [p[1:] for p in paths if p[0] == step], known, below)
     return out
 
 
-def extract(page: str, plan: list[list]) -> str:
+def extract(page: str, plan: list) -> str:
+    """The main text of a page by the plan of its host (empty: by the page's own wrapper)."""
     root = read_page(page)
-    paths, menus = plan or ([], [])
-    regions = _regions(root, paths) if paths else []
+    paths, known, drops = plan or ([], {}, {})
+    regions = _regions(root, paths, known) if paths else []
     if not regions:  # the page lacks the region of its host: its own wrapper decides
-        regions = _regions(root, _main_paths(wrapper_of(root)))
+        regions, drops = _regions(root, _main_paths(wrapper_of(root)), {}), {}
     out: list[str] = []
-    for region in regions:
-        _texts(region, set(menus), out)
+    for region, key in regions:
+        deep = region.tag not in ("", "html", "body")
+        _texts(region, key, drops, deep, out)
     return " ".join(out)
 
 
@@ -386,7 +502,7 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _join_wrappers(plan: bool):
     def step(table: pa.Table) -> pa.Table:
         whole = None
-        for blob in sorted(table.column("wrapper").to_pylist()):
+        for blob in table.column("wrapper").to_pylist():
             own = json.loads(blob)
             whole = own if whole is None else merge(whole, own)
         columns = {"host": table.column("host").slice(0, 1)}
@@ -408,7 +524,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper) for (host, html) rows; the wrapper is the plan of the host's main regions."""
     partial = pages.mapInArrow(_infer, "host string, wrapper string")
-    salted = partial.withColumn("salt", (F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).cast("int"))
+    salts = B.parts(pages.sparkSession)  # a host of very many batches is merged by all tasks, then once
+    salted = partial.withColumn("salt", (F.pmod(F.xxhash64("wrapper"), F.lit(salts))).cast("int"))
     halves = salted.groupBy("host", "salt").applyInArrow(_join_wrappers(False), "host string, salt int, wrapper string")
     return halves.groupBy("host").applyInArrow(_join_wrappers(True), "host string, wrapper string")
 
@@ -417,14 +534,22 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     """(page_id, url, text, n_chars): the article of every page.
 
     The pages of a host are read as token streams of block elements and texts and aligned one after
-    the other: equal neighbours become repeated groups, what some pages lack becomes optional, and
-    differing texts become slots.  Each batch of pages folds its pages into one wrapper per host, and
-    wrappers are folded further by host and salt, then by host; so a host of any size costs one small
-    row per batch.  The evidence that a wrapper gathers, text and link lengths of each of its
-    elements over all pages, tells the host's main regions.  From these, each page gives its
-    texts in page order, without parts that by element, role, class or id are navigation, header,
-    footer, sidebar, notice, advert, form or comments, and without lists of links that all pages of
-    the host have with the same text.
+    the other, by the names of the elements below each parent: what a parent has more than once
+    becomes a repeated group, what some parents lack becomes optional, and differing texts become
+    slots.  Names that vary from page to page count as one, which bounds a wrapper; alignment takes
+    time in proportion to the pages.  Each batch folds its pages into one wrapper per host, and
+    wrappers are folded further by host and salt, then by host, with a result that depends neither on
+    the batches nor on the order.  The evidence that a wrapper gathers, text and link lengths and
+    constant texts of each of its elements over all pages, tells the host's main regions.  From these,
+    each page gives its texts in page order, without
+
+    * parts that are navigation, headers, footers, sidebars, forms and the like by element, role or
+      style, and adverts and reader comments by the whole of a class name or id;
+    * parts that are only named like one (a word of class or id), if they are mostly links or the
+      wrapper holds them constant; outside of article and main elements the name is enough, unless
+      the wrapper found the region itself;
+    * elements with a class or id, and lists of links, that all pages of the host have with the same
+      text, if at least three different pages do (lists: two) and most of the text differs.
 
     White space in a block becomes one space, and blocks are joined by one.  Null and empty pages
     give an empty text.  Pages without a host share one wrapper.  Repeated rows are treated alike;
@@ -433,7 +558,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(page).cast("string").alias("html"))
     plans = pin(infer_wrappers(rows.select("host", "html")))
-    if plans.count() <= BROADCAST_HOSTS:
+    hosts, chars = plans.agg(F.count("*"), F.sum(F.length("wrapper"))).first()
+    if hosts <= BROADCAST_HOSTS and (chars or 0) <= BROADCAST_CHARS:
         plans = F.broadcast(plans)
     kinds = dict(rows.dtypes)
     done = rows.join(plans, "host", "left").select("page_id", "url", "html", "wrapper").mapInArrow(
