@@ -315,8 +315,8 @@ def _rare(items: list[list], count: int) -> list[list]:
     if single:
         kept = [x for x in items if _family(x[LABEL]) not in single or x[PARENTS] > 1]
         gone = [x for x in items if _family(x[LABEL]) in single and x[PARENTS] < 2]
-        items = kept + _gather(gone, single)
-        items = _settle(_gather(items, set()), count)
+        items = [[*x[:OPTIONAL], x[PARENTS] < count, *x[REPEATED:]] for x in _gather(kept + _gather(gone, single), set())]
+        items.sort(key=lambda x: (x[ORDER] / x[PARENTS], x[LABEL]))
     return [[*x[:BODY], x[BODY] if x[LABEL] == "#" else _rare(x[BODY], x[COUNT]), *x[OPTIONAL:]] for x in items]
 
 
