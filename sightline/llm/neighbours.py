@@ -23,9 +23,8 @@ CHUNK = 128  # vectors that meet at a node at a time
 BLOCK = 1024  # members of a component that are compared in one piece
 ROUNDS = 12
 ATTEMPTS = 6
-SHARE = 100  # one in so many vectors is searched in full by the first audit
-LEAST_AUDIT = 4096  # but no fewer vectors than these
-EVIDENCE = 500  # links that an audit must hold to tell the recall
+PROBES = 1024  # vectors with a planted neighbour, by which the recall is measured
+OUTWARD = 32  # passes from component to component at most
 SEARCH_BLOCK = 8192  # vectors of one side of a full search that meet in one task
 
 _NODE = "key long, label long, weight long, least_id long, vector binary"
@@ -45,7 +44,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if np.isfinite(array).all() and array.any() and np.isfinite(array @ array) and array @ array > 0:
                     vector = array.tobytes()
                     digest = hashlib.blake2b(vector + str(label).encode(), digest_size=8).digest()
-                    key = int.from_bytes(digest, "little", signed=True)
+                    key = int.from_bytes(digest, "little", signed=True) & ~1  # odd keys are those of probes
             ids.append(i)
             keys.append(key)
             labels.append(None if label is None else int(label))
@@ -102,7 +101,7 @@ def _order_keys(seed: int):
                 code = ((side[:, :PLANES] > 0) @ (1 << np.arange(PLANES))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(x), t, np.int32)), batch.column(1), pa.array(code), pa.array(side[:, PLANES]),
-                    batch.column(0), batch.column(2)], ["t", "label", "code", "along", "key", "vector"])
+                    batch.column(0), batch.column(3), batch.column(2)], ["t", "label", "code", "along", "key", "comp", "vector"])
 
     return step
 
@@ -111,14 +110,20 @@ def _windows(n: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
+            # of a run of one component its ends are enough: they meet those before and after it
+            place = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("t", "label", "code", "comp")]
+            same = np.all([x[1:] == x[:-1] for x in place], axis=0)
+            inner = np.zeros(batch.num_rows, bool)
+            inner[1:-1] = same[1:] & same[:-1]
+            batch = batch.filter(pa.array(~inner))
             table = pa.Table.from_batches([batch]) if before is None else pa.concat_tables([before, pa.Table.from_batches([batch])])
             before = table.slice(max(0, table.num_rows - WINDOW))
             x, dims = _matrix(table.column("vector").to_pylist())
-            keys, t, label = (table.column(c).to_numpy() for c in ("key", "t", "label"))
+            keys, t, label, comp = (table.column(c).to_numpy() for c in ("key", "t", "label", "comp"))
             left, right, cosines = [], [], []
             for gap in range(1, WINDOW + 1):
                 a, b = slice(0, max(0, len(keys) - gap)), slice(gap, None)
-                ok = (t[a] == t[b]) & (label[a] == label[b]) & (keys[a] != keys[b]) & (dims[a] == dims[b])
+                ok = (t[a] == t[b]) & (label[a] == label[b]) & (comp[a] != comp[b]) & (dims[a] == dims[b])
                 value = (x[a] * x[b]).sum(1)[ok]
                 left += [keys[a][ok], keys[b][ok]]
                 right += [keys[b][ok], keys[a][ok]]
@@ -153,12 +158,15 @@ def _keep_best(most: int, threshold: float):
         table = lists if lists.num_rows else news
         old, new = _unpack(lists), _unpack(news)
         keys, near, cosines = (np.concatenate(x) for x in zip(old, new))
-        edge = cosines >= threshold
+        edge = (cosines >= threshold) & ((keys | near) & 1 == 0)  # probes connect nothing
         ends = [np.concatenate([own[edge], *B.cells(lists, c, np.int64), *B.cells(news, c, np.int64)]) for own, c in ((keys, "u"), (near, "v"))]
         u, v = _forest(*ends)
         keys, near, cosines = _best(keys, near, cosines, most)
         full = cosines[:, -1] >= threshold  # such a list may lack links
-        saturated = keys[full]
+        probe = keys & 1 == 1
+        # a probe is found if it is linked with its own vector, or with nothing but near copies
+        found = int((probe & (full | ((near == (keys ^ 1)[:, None]) & (cosines >= threshold)).any(1))).sum())
+        saturated = keys[full & ~probe]
         flat = cosines.reshape(-1)
         ok = flat > _FAR
         keys, near, flat = np.repeat(keys, most)[ok], near.reshape(-1)[ok], flat[ok]
@@ -167,7 +175,7 @@ def _keep_best(most: int, threshold: float):
             "keys": pa.array([B.pack(keys)], pa.binary()), "near": pa.array([B.pack(near)], pa.binary()),
             "cosines": pa.array([B.pack(flat)], pa.binary()), "u": pa.array([B.pack(u)], pa.binary()),
             "v": pa.array([B.pack(v)], pa.binary()), "saturated": pa.array([B.pack(saturated)], pa.binary()),
-            "total": pa.array([float(flat.sum())])})
+            "total": pa.array([float(flat.sum())]), "found": pa.array([found], pa.int64())})
 
     return step
 
@@ -175,7 +183,7 @@ def _keep_best(most: int, threshold: float):
 def _visit(n: int, most: int):
     def step(nodes: pa.Table, lists: pa.Table) -> pa.Table:
         """Each vector goes to its neighbours, with the least cosine of its full list."""
-        out: dict[str, list] = {k: [] for k in ("part", "places", "keys", "floors", "vectors", "widths")}
+        out: dict[str, list] = {k: [] for k in ("part", "places", "keys", "comps", "floors", "vectors", "widths")}
         if nodes.num_rows and lists.num_rows:
             keys, near, cosines = _unpack(lists)
             own = nodes.column("key").to_numpy()
@@ -185,7 +193,7 @@ def _visit(n: int, most: int):
             sizes = np.diff(np.append(starts, len(keys)))
             floor = np.where(sizes >= most, np.minimum.reduceat(cosines, starts), _FAR)
             floor = np.repeat(floor, sizes)
-            vectors = nodes.column("vector").to_pylist()
+            vectors, comps = nodes.column("vector").to_pylist(), nodes.column("comp").to_numpy()
             order, edges = B.by_part(B.part_of(near.view(np.uint64), n), n)
             for p in range(n):
                 i = order[edges[p] : edges[p + 1]]
@@ -194,6 +202,7 @@ def _visit(n: int, most: int):
                     out["part"].append(p)
                     out["places"].append(B.pack(near[i]))
                     out["keys"].append(B.pack(keys[i]))
+                    out["comps"].append(B.pack(comps[row[i]]))
                     out["floors"].append(B.pack(floor[i]))
                     out["vectors"].append(b"".join(cells))
                     out["widths"].append(B.pack(np.array([len(c) for c in cells], np.uint32)))
@@ -214,7 +223,7 @@ def _meet(n: int, most: int, threshold: float):
     def step(table: pa.Table) -> pa.Table:
         """Vectors that chose one node as neighbour are compared with each other there, piece by piece."""
         join = lambda c, t: np.concatenate(B.cells(table, c, t))
-        places, keys, floors = join("places", np.int64), join("keys", np.int64), join("floors", np.float64)
+        places, keys, comps, floors = join("places", np.int64), join("keys", np.int64), join("comps", np.int64), join("floors", np.float64)
         x, dims = _matrix(_cells_of(table))
         order = np.lexsort((B.mix(keys.view(np.uint64)), places))
         starts = B.group_starts(places[order])
@@ -228,8 +237,8 @@ def _meet(n: int, most: int, threshold: float):
             for at in pieces:
                 for to in pieces:
                     s = _cosines(x[at], x[to], (dims[at], dims[to]))
-                    s[keys[at][:, None] == keys[to][None, :]] = _FAR
-                    i, j = np.nonzero(s >= threshold)
+                    s[comps[at][:, None] == comps[to][None, :]] = _FAR
+                    i, j = np.nonzero((s >= threshold) & ((keys[at][:, None] | keys[to][None, :]) & 1 == 0))
                     us.append(keys[at[i]])
                     vs.append(keys[to[j]])
                     waiting += len(i)
@@ -252,11 +261,12 @@ def _meet(n: int, most: int, threshold: float):
 def first_lists(nodes: DataFrame, most: int, seed: int) -> DataFrame:
     """Neighbours of sorted orders: by label, signs of random projections and one more projection.
 
-    The orders are range-partitioned, so vectors that are all alike spread over many tasks.
+    The orders are range-partitioned, so vectors that are all alike spread over many tasks.  Nodes of
+    one ``comp`` are no neighbours.
     """
     n = B.parts(nodes.sparkSession)
-    keyed = nodes.select("key", "label", "vector").mapInArrow(
-        _order_keys(seed), "t int, label long, code int, along double, key long, vector binary")
+    keyed = nodes.select("key", "label", "vector", "comp").mapInArrow(
+        _order_keys(seed), "t int, label long, code int, along double, key long, comp long, vector binary")
     order = ["t", "label", "code", "along", "key"]
     found = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_windows(n), _SEEN)
     return found
@@ -264,18 +274,18 @@ def first_lists(nodes: DataFrame, most: int, seed: int) -> DataFrame:
 
 def _merged(lists: DataFrame | None, news: DataFrame, n: int, most: int, threshold: float) -> DataFrame:
     right = B.deal(news, "part", n).groupBy("part")
-    left = B.deal(lists.drop("saturated", "total") if lists is not None else news.limit(0), "part", n).groupBy("part")
-    return pin(left.cogroup(right).applyInArrow(_keep_best(most, threshold), _SEEN + ", saturated binary, total double"))
+    left = B.deal(lists.drop("saturated", "total", "found") if lists is not None else news.limit(0), "part", n).groupBy("part")
+    return pin(left.cogroup(right).applyInArrow(_keep_best(most, threshold), _SEEN + ", saturated binary, total double, found long"))
 
 
 def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float) -> DataFrame:
     """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent."""
     n = B.parts(nodes.sparkSession)
-    base = B.deal(nodes.select("part", "key", "vector"), "part", n).groupBy("part")
+    base = B.deal(nodes.select("part", "key", "vector", "comp"), "part", n).groupBy("part")
     total = lists.agg(F.sum("total")).first()[0] or 0.0
     for _ in range(ROUNDS):
-        sent = base.cogroup(B.deal(lists.drop("u", "v", "saturated"), "part", n).groupBy("part")).applyInArrow(
-            _visit(n, most), "part int, places binary, keys binary, floors binary, vectors binary, widths binary")
+        sent = base.cogroup(B.deal(lists.drop("u", "v", "saturated", "found"), "part", n).groupBy("part")).applyInArrow(
+            _visit(n, most), "part int, places binary, keys binary, comps binary, floors binary, vectors binary, widths binary")
         news = B.on_groups(B.deal(sent, "part", n), "part", _meet(n, most, threshold), _SEEN)
         lists = _merged(lists, news, n, most, threshold)
         before, total = total, lists.agg(F.sum("total")).first()[0] or 0.0
@@ -389,28 +399,64 @@ def search(queries: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: f
     return pin(left.unionByName(right).groupBy("label", "a", "b").applyInArrow(_search(threshold), "u binary, v binary, found long, total long"))
 
 
-def audit(nodes: DataFrame, groups: DataFrame, threshold: float) -> tuple[float, DataFrame, bool]:
-    """Share of the links of a sample, searched in full, whose ends share a component; these links; is
-    the sample the whole table?
+def probes(nodes: DataFrame, threshold: float, seed: int, most: int = PROBES) -> DataFrame:
+    """Up to ``most`` nodes, by hash, each turned by a known angle: its cosine with the original lies
+    evenly between the threshold and 1.  A probe's key is that of its original with the last bit set."""
+    chosen = nodes.orderBy(F.xxhash64("key", F.lit(seed)), "key").limit(most)
 
-    All links inside a component are counted, so this is the recall of links.  One in SHARE nodes is
-    searched, LEAST_AUDIT at least; a sample with fewer than EVIDENCE links shows nothing and grows
-    tenfold, up to the whole table, whose links are then all known.
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, cells = [], []
+            for key, cell in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                x = np.frombuffer(cell, np.float64)
+                rng = np.random.default_rng([seed, key & 0xFFFFFFFFFFFF])
+                x = x / np.sqrt(x @ x)
+                aside = rng.standard_normal(len(x))
+                aside -= (aside @ x) * x
+                length = np.sqrt(aside @ aside)
+                cosine = threshold + (1 - threshold) * (0.001 + 0.998 * rng.random())
+                turned = cosine * x + np.sqrt(1 - cosine * cosine) * aside / length if length > 1e-9 else x
+                keys.append(key | 1)
+                cells.append(turned.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), batch.column(1), pa.array(cells, pa.binary()), pa.array(keys, pa.int64())],
+                ["key", "label", "vector", "comp"])
+
+    rows = chosen.select("key", "label", "vector").mapInArrow(step, "key long, label long, vector binary, comp long")
+    return rows.withColumn("part", F.lit(0))
+
+
+def outward(
+    nodes: DataFrame, edges: DataFrame, full: DataFrame, most: int, threshold: float, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Edges and components after the full lists of ``full`` (key) have been enlarged outwards.
+
+    A list full of links is full of its own clump, and what it may lack are links with others.  So
+    nodes with full lists get new ones, of nodes outside their component only; a clump stands in the
+    sorted orders by the ends of its runs.  Found edges join components, and lists that are full again
+    go on, until none is full or nothing is found.  Only links between two nodes with full lists
+    depend on this: of all others, one end had room.
     """
-    count = nodes.count()
-    share = max(1, min(SHARE, count // LEAST_AUDIT))
-    while True:
-        chosen = nodes.where(F.pmod(F.xxhash64("key", F.lit(8)), F.lit(share)) == 0)
-        true = search(chosen, nodes, groups, threshold)
-        found, total = (x or 0 for x in true.agg(F.sum("found"), F.sum("total")).first())
-        if share == 1 or total >= EVIDENCE:
-            return found / total if total else 1.0, true, share == 1
-        share //= min(10, share)
+    n = B.parts(nodes.sparkSession)
+    for level in range(OUTWARD):
+        groups = components(edges.mapInArrow(_pairs, "u long, v long")).withColumnRenamed("id", "key")
+        full = pin(full)
+        if full.isEmpty():
+            break
+        own = pin(nodes.drop("comp").join(full, "key", "left_semi").join(groups.withColumnRenamed("component", "comp"), "key"))
+        lists = _merged(None, first_lists(own, most, seed + 100 + level), n, most, threshold)
+        lists = descend(own, lists, most, threshold)
+        found = lists.select("u", "v")
+        if not lists.agg(F.sum(F.length("u"))).first()[0]:
+            break
+        edges = pin(edges.unionByName(found))
+        full = lists.select("saturated").mapInArrow(_saturated, "key long")
+    return edges, groups
 
 
 def near_vectors(
     vectors: DataFrame, threshold: float = 0.98, neighbours: int = NEIGHBOURS, recall: float = 0.99, seed: int = 8,
-    vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
+    vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", exhaustive: bool = False,
 ) -> DataFrame:
     """Link vectors of one label with a cosine of at least ``threshold``.
 
@@ -418,12 +464,14 @@ def near_vectors(
     (``first_lists``), which NN-descent refines: each node visits its neighbours, and nodes that meet
     at one are compared and enter each other's lists.  Every edge above the threshold that a round sees
     is kept, as pairs that connect the same nodes, also where a list drops it.  A list whose worst cosine
-    is still above the threshold may lack links, so its node is compared with its whole label
-    (``search``).  The edges give components, and links are counted in each of them exactly
-    (``component_links``).  The links of a sample
-    that grows with the table are searched in full (``audit``); while fewer than ``recall`` of them are
-    found, lists grow by half and other sorted orders join, at most five times, and then all nodes of a
-    label are compared.  Where the links are too few to tell the recall, all nodes are compared at once.
+    is still above the threshold is enlarged by neighbours outside its component (``outward``).  The
+    edges give components, and links are counted in each of them exactly (``component_links``).
+
+    The recall is audited by probes: ``PROBES`` vectors get a planted neighbour at a known cosine, which
+    takes part in the descent without connecting anything, and the share of them that is found tells
+    how many of the true links are.  While it is below ``recall``, lists grow by half and other sorted
+    orders join, at most five times; if that is not enough, or with ``exhaustive``, every vector is
+    compared with its whole label (``search``).
 
     Returns (vec_id, n_links, component_id, kept).  Vectors that are null, empty, zero or hold null or
     non-finite numbers, and vectors without label, link with nothing; vectors of different dimension
@@ -436,24 +484,23 @@ def near_vectors(
     valid = read.where("key IS NOT NULL")
     weights = valid.groupBy("key").agg(
         F.first("label").alias("label"), F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least_id"), F.first("vector").alias("vector"))
-    nodes = pin(weights.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
-    nodes = pin(nodes.mapInArrow(_own_part(n), nodes.schema))
-    lists, most = None, neighbours
-    for attempt in range(ATTEMPTS):
-        lists = _merged(lists, first_lists(nodes, most, seed + attempt), n, most, threshold)
-        lists = descend(nodes, lists, most, threshold)
-        full = nodes.join(lists.select("saturated").mapInArrow(_saturated, "key long"), "key", "left_semi")
-        nothing = nodes.select("key", F.col("key").alias("component")).limit(0)
-        edges = lists.select("u", "v").unionByName(search(full, nodes, nothing, threshold).select("u", "v")).mapInArrow(_pairs, "u long, v long")
-        groups = components(edges).withColumnRenamed("id", "key")
-        reached, true, whole = audit(nodes, groups, threshold)
-        if whole or reached >= recall:
-            break
-        most += most // 2
+    nodes = pin(weights.withColumns({"comp": F.col("key"), "part": F.lit(0)}).transform(_in_part, n))
+    if exhaustive:
+        groups = _searched(nodes, threshold)
     else:
-        true = search(nodes, nodes, groups, threshold)
-    if reached < 1:
-        groups = components(edges.unionByName(true.select("u", "v").mapInArrow(_pairs, "u long, v long"))).withColumnRenamed("id", "key")
+        planted = probes(nodes, threshold, seed).transform(_in_part, n)
+        both = pin(nodes.select("key", "label", "vector", "comp", "part").unionByName(planted.select("key", "label", "vector", "comp", "part")))
+        asked, lists, most = both.where(F.col("key").bitwiseAND(F.lit(1)) == 1).count(), None, neighbours
+        for attempt in range(ATTEMPTS):
+            lists = _merged(lists, first_lists(both, most, seed + attempt), n, most, threshold)
+            lists = descend(both, lists, most, threshold)
+            if (lists.agg(F.sum("found")).first()[0] or 0) >= recall * asked:
+                full = lists.select("saturated").mapInArrow(_saturated, "key long")
+                _, groups = outward(nodes, lists.select("u", "v"), full, most, threshold, seed)
+                break
+            most += most // 2
+        else:
+            groups = _searched(nodes, threshold)
     links = component_links(nodes, groups, threshold)
     names = nodes.select("key", "weight", "least_id").join(groups, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = names.groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -466,6 +513,17 @@ def near_vectors(
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def _searched(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Components of all links, by comparing every node with its whole label."""
+    nothing = nodes.select("key", F.col("key").alias("component")).limit(0)
+    edges = search(nodes, nodes, nothing, threshold).select("u", "v").mapInArrow(_pairs, "u long, v long")
+    return components(edges).withColumnRenamed("id", "key")
+
+
+def _in_part(nodes: DataFrame, n: int) -> DataFrame:
+    return nodes.mapInArrow(_own_part(n), nodes.schema)
+
+
 def _own_part(n: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -213,7 +213,6 @@ def test_vectors_with_few_links(spark, monkeypatch):
 
     first = neighbours.first_lists
     monkeypatch.setattr(neighbours, "first_lists", lambda nodes, most, seed: first(nodes, most, seed).limit(0))  # the orders show nothing
-    monkeypatch.setattr(neighbours, "LEAST_AUDIT", 256, raising=False)
     rng = np.random.default_rng(5)
     e = rng.standard_normal((3000, 48))
     for i in range(2):
@@ -230,7 +229,7 @@ def test_vectors_of_two_close_groups(spark, monkeypatch):
     """Lists that fill up with a vector's own group don't lose the links to the other group."""
     from sightline.llm import neighbours
 
-    monkeypatch.setattr(neighbours, "audit", _no_audit)
+    monkeypatch.setattr(neighbours, "search", _no_search)
     rng = np.random.default_rng(6)
     e = rng.standard_normal((300, 32))
     e /= np.linalg.norm(e, axis=1)[:, None]
@@ -243,5 +242,54 @@ def test_vectors_of_two_close_groups(spark, monkeypatch):
     assert sorted(map(tuple, near_vectors(table).collect())) == brute_vectors(rows)
 
 
-def _no_audit(nodes, groups, threshold):
-    return 1.0, None, False
+def _no_search(*_):
+    raise AssertionError("compared with a whole label")
+
+
+def test_vectors_like_a_corpus_without_full_search(spark, monkeypatch):
+    """A hot label, rare pairs near the threshold, dense clumps, and clumps that few links join."""
+    from sightline.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "search", _no_search)
+    rng = np.random.default_rng(12)
+    e = rng.standard_normal((2600, 64))
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def turned(x, cosine):
+        aside = rng.standard_normal(len(x))
+        aside = unit(aside - (aside @ x) * x)
+        return cosine * x + np.sqrt(1 - cosine**2) * aside
+
+    e = unit(e)
+    for i in range(60):  # rare pairs
+        e[100 + i] = turned(e[i], rng.uniform(0.9805, 0.999))
+    for clump, (begin, size) in enumerate(((300, 300), (700, 120), (900, 60))):  # dense clumps
+        for i in range(begin, begin + size):
+            e[i] = turned(e[200 + clump], rng.uniform(0.9955, 0.9999))
+    for k in range(4):  # clumps of 25 around centres that lie 0.983 apart, one after the other
+        centre = e[210] if k == 0 else turned(centre, 0.983)
+        e[1000 + 25 * k : 1025 + 25 * k] = [turned(centre, 0.99999) for _ in range(25)]
+    rows = [(i, [float(x) for x in v], 1 if i < 2000 else int(rng.integers(2, 5))) for i, v in enumerate(e)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = {w[0]: w for w in brute_links(rows)}
+    got = {r.vec_id: tuple(r) for r in near_vectors(table).collect()}
+    assert sum(r[1] for r in got.values()) >= 0.99 * sum(w[1] for w in want.values())
+    assert all(got[i][1] <= want[i][1] for i in want)
+    assert sum(got[i][2] == want[i][2] for i in want) >= 0.99 * len(want)
+    monkeypatch.undo()
+    assert {r.vec_id: tuple(r) for r in near_vectors(table, exhaustive=True).collect()} == want
+
+
+def brute_links(rows, threshold=0.98):
+    """``brute_vectors`` for clean vectors, by one product for each label."""
+    x, labels = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= threshold) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(near, False)
+    least = np.arange(len(rows))
+    while True:
+        lower = np.minimum(least, np.where(near, least[None, :], len(rows)).min(1))
+        if (lower == least).all():
+            break
+        least = lower
+    return [(i, int(near[i].sum()), int(least[i]), bool(least[i] == i)) for i in range(len(rows))]
