@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.session import pin, scratch_path
+
 from . import blocks as B
 
 WINDOW = 10
@@ -140,8 +142,9 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "text",
 def _passed(docs: DataFrame, benchmark: DataFrame, window: int, text: str, broadcast_windows: int) -> DataFrame:
     """``docs`` with _n_words, _spans and _items after every share of the windows."""
     spark = docs.sparkSession
-    grams = item_windows(benchmark, window, text)
-    slices = max(1, math.ceil(grams.count() / broadcast_windows))
+    grams = pin(item_windows(benchmark, window, text))
+    # an item of a window's list costs as much as a window
+    slices = max(1, math.ceil((grams.agg(F.sum(F.size("items") + 1)).first()[0] or 0) / 2 / broadcast_windows))
     out = docs.drop("_n_words", "_spans", "_items").withColumns({
         "_n_words": F.lit(0).cast("long"),
         "_spans": F.array().cast("array<struct<start: bigint, end: bigint>>"),
@@ -152,7 +155,13 @@ def _passed(docs: DataFrame, benchmark: DataFrame, window: int, text: str, broad
         field.nullable = True
     for i in range(slices):
         share = grams.where(F.pmod(F.xxhash64("gram"), F.lit(slices)) == i)
-        out = out.mapInArrow(_mark(spark.sparkContext.broadcast(GramSet(share.collect())), text), schema)
+        sent = spark.sparkContext.broadcast(GramSet(share.collect()))
+        out = out.mapInArrow(_mark(sent, text), schema)
+        if i + 1 < slices:  # only one share is alive, in the driver and in every worker
+            path = scratch_path(spark, "marked")
+            out.write.parquet(path)
+            sent.destroy()
+            out = spark.read.schema(schema).parquet(path)
     return out
 
 
@@ -167,7 +176,8 @@ def mark_contamination(
     any occurrence of a window is hit.  The distinct windows of the items form a hash set that is
     broadcast; the texts' windows are looked up by hash, in place and without a shuffle, and each hit
     is confirmed on its words.  Windows are counted first: of more than ``broadcast_windows`` each
-    broadcast holds a share by hash, and the documents pass them one after the other.
+    broadcast holds a share by hash.  The documents then pass one share after the other, and what a
+    share has marked is written before the next is made, so only one is in memory at a time.
 
     Null texts and items without words have no windows and hit nothing; repeated items and documents
     are treated alike; a null item id is an item without name, which hits but is not listed.  All
@@ -218,6 +228,7 @@ def remove_contamination(
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document with its counts, a digest of its items and whether any window occurs."""
     marked = mark_contamination(docs.select("doc_id", "text"), benchmark)
     names = F.concat_ws(",", F.array_sort(F.col("items").cast("array<string>")))
     return marked.select(
