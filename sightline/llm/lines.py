@@ -402,5 +402,6 @@ def dedup_lines(
 
 
 def line_digest(docs: DataFrame) -> DataFrame:
+    """One row per document with its counts of lines and a digest of the text that stays."""
     done = dedup_lines(docs.select("doc_id", "text"), exact=1)
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept"))

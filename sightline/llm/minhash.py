@@ -224,11 +224,11 @@ def _centre(signs: np.ndarray) -> int:
 
 
 def _pairs(table: pa.Table, rule: Rule) -> pa.Table:
-    """Pairs of a list that agree in enough coordinates.
+    """Pairs (centre, member) of a list that agree in enough coordinates.
 
-    Those of the list's centre with its members come first (``star``).  Two members that both agree
-    with the centre are compared later by what they differ in from it (``_compare_differences``), so
-    of the other pairs only those with a member that doesn't are given here.
+    Members that agree with one centre are compared later by what they differ in from it
+    (``_compare_differences``).  A member that agrees with one that it shares no centre with becomes a
+    centre itself, so families in one list cost a pair per member each, and not all pairs.
     """
     join = lambda c, t: np.concatenate(B.cells(table, c, t))
     lists, sides, ids, sizes = (join(c, t) for c, t in (("lists", np.uint64), ("sides", np.uint8), ("ids", np.int64), ("sizes", np.int64)))
@@ -236,40 +236,39 @@ def _pairs(table: pa.Table, rule: Rule) -> pa.Table:
     order = np.lexsort((ids, lists))
     starts = B.group_starts(lists[order])
 
-    def agree(x: int, rest: np.ndarray) -> np.ndarray:
-        small, large = np.minimum(sizes[rest], sizes[x]), np.maximum(sizes[rest], sizes[x])
-        return (100 * small >= rule.percent * large) & ((signs[rest] == signs[x]).sum(1) >= rule.matches)
+    def fits(x: int, rest: np.ndarray) -> np.ndarray:
+        """Sizes that may belong to a link; they are not asked of a centre's members."""
+        return 100 * np.minimum(sizes[rest], sizes[x]) >= rule.percent * np.maximum(sizes[rest], sizes[x])
 
-    left, right, star = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in zip(starts.tolist(), np.append(starts[1:], len(order)).tolist()):
         at = order[a:b]
         if len(at) < 2:
             continue
-        centre = _centre(signs[at])
-        x, others = at[centre], np.delete(at, centre)
-        # sizes may rule out a link with the centre, but not its use as one
-        near = (signs[others] == signs[x]).sum(1) >= rule.matches
-        left.append(np.full(near.sum(), ids[x]))
-        right.append(ids[others[near]])
-        star.append(np.ones(near.sum(), bool))
-        far = others[~near]
-        for i, y in enumerate(far):
-            rest = np.concatenate((far[i + 1 :], others[near]))
-            if sides[y]:
-                rest = rest[sides[rest] != sides[y]]
-            rest = rest[agree(y, rest)]
-            left.append(np.full(len(rest), ids[y]))
-            right.append(ids[rest])
-            star.append(np.zeros(len(rest), bool))
-    u, v, star = np.concatenate(left), np.concatenate(right), np.concatenate(star)
-    swap = ~star & (u > v)
-    u, v = np.where(swap, v, u), np.where(swap, u, v)
-    keep = np.unique(np.stack((u, v, star), 1), axis=0) if len(u) else np.zeros((0, 3), np.int64)
-    return pa.table({"u": pa.array(keep[:, 0]), "v": pa.array(keep[:, 1]), "star": pa.array(keep[:, 2] > 0)})
+        agrees = lambda k: ((signs[at] == signs[at[k]]).sum(1) >= rule.matches) & (np.arange(len(at)) != k)
+        first = _centre(signs[at])
+        centres, members = [first], agrees(first)[None, :]
+        for k in np.flatnonzero(~members[0]).tolist():
+            if k == first:
+                continue
+            own, mine = agrees(k), members[:, k]
+            met = members[mine].any(0)  # those that share a centre with k, and its centres, are paired already
+            met[np.array(centres)[mine]] = True
+            if sides[at[k]]:
+                met |= sides[at] == sides[at[k]]
+            if (own & ~met & fits(at[k], at)).any():
+                centres.append(k)
+                members = np.concatenate((members, own[None, :]))
+        for k, own in zip(centres, members):
+            left.append(np.full(own.sum(), ids[at[k]]))
+            right.append(ids[at[own]])
+    u, v = np.concatenate(left), np.concatenate(right)
+    keep = np.unique(np.stack((u, v), 1), axis=0)
+    return pa.table({"u": pa.array(keep[:, 0]), "v": pa.array(keep[:, 1])})
 
 
 def candidates(classes: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate pairs (u, v, star) of ``classes`` (id, n, signature)."""
+    """Candidate pairs (u, v) of ``classes`` (id, n, signature), u being the centre."""
     n = B.parts(classes.sparkSession)
     base = B.deal(classes.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), "block", n)
     sent = B.on_groups(base, "block", lambda t: _send_coordinates(t, n), "part int, block int, keys binary, counts binary")
@@ -277,7 +276,7 @@ def candidates(classes: DataFrame, rule: Rule) -> DataFrame:
     posted = B.with_answers(
         base, totals, n, lambda c, a: _post(c, a, n, rule),
         "part int, lists binary, sides binary, ids binary, sizes binary, signs binary")
-    return B.on_groups(B.deal(posted, "part", n), "part", lambda t: _pairs(t, rule), "u long, v long, star boolean").distinct()
+    return B.on_groups(B.deal(posted, "part", n), "part", lambda t: _pairs(t, rule), "u long, v long").distinct()
 
 
 # -- confirmation on full sets ----------------------------------------------------------------
@@ -290,30 +289,26 @@ def linked(percent: int, both: np.ndarray, one: np.ndarray, other: np.ndarray) -
 def _confirm(percent: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, v, star, a, b = batch.columns
+            u, v, a, b = batch.columns
             size_u, size_v, both, differences = [], [], [], []
-            for x, y, s in zip(a, b, star.to_pylist()):
+            for x, y in zip(a, b):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if s:
-                    apart = np.setxor1d(x, y, assume_unique=True)
-                    common = (len(x) + len(y) - len(apart)) // 2
-                else:
-                    common = len(np.intersect1d(x, y, assume_unique=True))
+                apart = np.setxor1d(x, y, assume_unique=True)
                 size_u.append(len(x))
                 size_v.append(len(y))
-                both.append(common)
-                differences.append(B.pack(apart) if s else None)
+                both.append((len(x) + len(y) - len(apart)) // 2)
+                differences.append(B.pack(apart))
             ok = linked(percent, *(np.array(x, np.int64) for x in (both, size_u, size_v)))
             yield pa.RecordBatch.from_arrays(
-                [u, v, star, pa.array(size_v, pa.int64()), pa.array(ok, pa.bool_()), pa.array(differences, pa.binary())],
-                ["u", "v", "star", "n", "linked", "differences"])
+                [u, v, pa.array(size_v, pa.int64()), pa.array(ok, pa.bool_()), pa.array(differences, pa.binary())],
+                ["u", "v", "n", "linked", "differences"])
 
     return step
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """(u, v, star, n, linked, differences): is each pair similar enough in its full shingle sets;
-    for a centre u, also the size of v and the shingles that only one of the two has."""
+    """(u, v, n, linked, differences): is each pair similar enough in its full shingle sets, the size of
+    v, and the shingles that only one of the two has."""
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     ids = ids.join(nodes, "id").select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -321,8 +316,8 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule)
     sets = pin(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(rule.words), "id long, shingles binary").dropDuplicates(["id"]))
     left = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
     right = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
-    return pairs.join(left, "v").join(right, "u").select("u", "v", "star", "a", "b").mapInArrow(
-        _confirm(rule.percent), "u long, v long, star boolean, n long, linked boolean, differences binary")
+    return pairs.join(left, "v").join(right, "u").select("u", "v", "a", "b").mapInArrow(
+        _confirm(rule.percent), "u long, v long, n long, linked boolean, differences binary")
 
 
 def _compare_differences(percent: int):
@@ -372,11 +367,10 @@ def _compare_differences(percent: int):
 def links_of_centres(found: DataFrame, rule: Rule) -> DataFrame:
     """Links (u, v) between members of the same centre; a centre's members meet in pieces."""
     n = B.parts(found.sparkSession)
-    stars = found.where("star")
-    sizes = stars.groupBy("u").agg(
+    sizes = found.groupBy("u").agg(
         F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("pieces"), F.count(F.lit(1)).alias("members"),
         F.sum((~F.col("linked")).cast("int")).alias("open"))
-    rows = stars.join(sizes.where("members > 1 AND open > 0"), "u").withColumn(
+    rows = found.join(sizes.where("members > 1 AND open > 0"), "u").withColumn(
         "mine", F.pmod(F.xxhash64("v"), F.col("pieces")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
         "u", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "v", "n", "linked", "differences",
@@ -394,8 +388,8 @@ def near_duplicates(
     ``words``-word shingles (64-bit hashes), or its whole sequence if it has fewer words.  Texts with
     equal sets form one class, found by grouping on a key of the set.  A class posts its id under the
     coordinate-value pairs of its MinHash signature, rarest first and without the longest lists
-    (see ``_post``).  In each list, the centre is paired with the members that agree with it in
-    ``Rule.matches`` of the coordinates, and members that don't are paired with those they agree with.
+    (see ``_post``).  In each list, centres are paired with the members that agree with them in
+    ``Rule.matches`` of the coordinates, until every two members that agree share a centre.
     Pairs are confirmed on their full sets.  Members of one centre are compared exactly by their
     differences from it, so a large group of near copies costs a pair per member, not all pairs.
 

@@ -108,5 +108,6 @@ def mix_sources(
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:
+    """One row per document with its size, its source's size and target, and the words taken."""
     rows = docs.select("doc_id", "text", "source")
     return mix_sources(rows, quality=plain_quality()).select("doc_id", "size", "source_size", "target", "taken")

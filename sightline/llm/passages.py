@@ -80,5 +80,6 @@ def remove_repeated_passages(
 
 
 def passage_digest(docs: DataFrame) -> DataFrame:
+    """One row per document with its counts of words and a digest of the words that stay."""
     done = remove_repeated_passages(docs)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

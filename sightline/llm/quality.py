@@ -138,5 +138,6 @@ def score_quality(docs: DataFrame, model: RuleEnsemble, text: str = "text") -> D
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row per document with its score and whether it was held out of the fit."""
     scored = score_quality(docs.select("doc_id", "text"), train(docs, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -69,6 +69,7 @@ def remove_repeated_bytes(
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:
+    """One row per document with its counts of bytes and a digest of those that stay."""
     done = remove_repeated_bytes(docs)
     return done.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),

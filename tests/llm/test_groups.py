@@ -293,3 +293,57 @@ def brute_links(rows, threshold=0.98):
             break
         least = lower
     return [(i, int(near[i].sum()), int(least[i]), bool(least[i] == i)) for i in range(len(rows))]
+
+
+def test_families_in_one_list_get_a_centre_each():
+    """Two families of near copies that share some coordinates: a pair per member, and no link lost."""
+    import pyarrow as pa
+
+    from sightline.llm import blocks as B
+    from sightline.llm import minhash
+
+    rule, rng = minhash.Rule(85, 5), np.random.default_rng(3)
+    base = rng.integers(0, 60_000, (2, minhash.COORDINATES), dtype=np.uint16)
+    base[1, :30] = base[0, :30]
+    signs = np.repeat(base, 800, axis=0)
+    for row in signs:
+        row[rng.integers(minhash.COORDINATES)] = rng.integers(0, 60_000)
+    ids, n = np.arange(1600), len(signs)
+    table = pa.table({
+        "lists": [B.pack(np.full(n, 5, np.uint64))], "sides": [B.pack(np.zeros(n, np.uint8))], "ids": [B.pack(ids)],
+        "sizes": [B.pack(np.full(n, 100))], "signs": [B.pack(signs)]})
+    pairs = minhash._pairs(table, rule)
+    assert pairs.num_rows < 2_000
+    centres: dict[int, set[int]] = {}
+    for u, v in zip(pairs.column("u").to_pylist(), pairs.column("v").to_pylist()):
+        centres.setdefault(u, {u}).add(v)
+    for i, j in rng.integers(0, n, (4_000, 2)).tolist():
+        if i != j and (signs[i] == signs[j]).sum() >= rule.matches:
+            assert any(i in own and j in own for own in centres.values())
+
+
+def test_one_share_of_the_benchmark_is_alive(spark, monkeypatch):
+    """Each share's broadcast is destroyed before the next is made, and the windows are made once."""
+    from sightline.llm import decontaminate
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{i + k}" for k in range(30))) for i in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(f"w{i + k}" for k in range(12))) for i in range(20)], "item_id long, text string")
+    alive, most, made = set(), [], []
+    context = type(spark.sparkContext)
+    send, windows = context.broadcast, decontaminate.item_windows
+
+    def broadcast(self, value):
+        out = send(self, value)
+        if isinstance(value, decontaminate.GramSet):
+            alive.add(id(out))
+            most.append(len(alive))
+            destroy = out.destroy
+            out.destroy = lambda *a, **k: (alive.discard(id(out)), destroy(*a, **k))
+        return out
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    monkeypatch.setattr(decontaminate, "item_windows", lambda *a: (made.append(1), windows(*a))[1])
+    got = {r.doc_id: r.n_hit for r in mark_contamination(docs, items, broadcast_windows=6).collect()}
+    assert len(most) > 5 and max(most) == 1 and len(made) == 1
+    monkeypatch.undo()
+    assert got == {r.doc_id: r.n_hit for r in mark_contamination(docs, items).collect()}
