@@ -24,6 +24,7 @@ BLOCK = 1024  # members of a component that are compared in one piece
 ROUNDS = 12
 ATTEMPTS = 6
 PROBES = 1024  # vectors with a planted neighbour, by which the recall is measured
+FOUND = 0.999  # share of the probes that ends the descent
 OUTWARD = 32  # passes from component to component at most
 SEARCH_BLOCK = 8192  # vectors of one side of a full search that meet in one task
 
@@ -278,18 +279,20 @@ def _merged(lists: DataFrame | None, news: DataFrame, n: int, most: int, thresho
     return pin(left.cogroup(right).applyInArrow(_keep_best(most, threshold), _SEEN + ", saturated binary, total double, found long"))
 
 
-def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float) -> DataFrame:
-    """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent."""
+def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float, asked: int = 0) -> DataFrame:
+    """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent, or until
+    nearly all of the ``asked`` probes are found and a further round has been made."""
     n = B.parts(nodes.sparkSession)
     base = B.deal(nodes.select("part", "key", "vector", "comp"), "part", n).groupBy("part")
-    total = lists.agg(F.sum("total")).first()[0] or 0.0
+    total, found = (x or 0 for x in lists.agg(F.sum("total"), F.sum("found")).first())
     for _ in range(ROUNDS):
         sent = base.cogroup(B.deal(lists.drop("u", "v", "saturated", "found"), "part", n).groupBy("part")).applyInArrow(
             _visit(n, most), "part int, places binary, keys binary, comps binary, floors binary, vectors binary, widths binary")
         news = B.on_groups(B.deal(sent, "part", n), "part", _meet(n, most, threshold), _SEEN)
         lists = _merged(lists, news, n, most, threshold)
-        before, total = total, lists.agg(F.sum("total")).first()[0] or 0.0
-        if total - before <= 0.001 * abs(total):
+        before, known = total, asked and found >= FOUND * asked
+        total, found = (x or 0 for x in lists.agg(F.sum("total"), F.sum("found")).first())
+        if known or total - before <= 0.001 * abs(total):
             break
     return lists
 
@@ -493,7 +496,7 @@ def near_vectors(
         asked, lists, most = both.where(F.col("key").bitwiseAND(F.lit(1)) == 1).count(), None, neighbours
         for attempt in range(ATTEMPTS):
             lists = _merged(lists, first_lists(both, most, seed + attempt), n, most, threshold)
-            lists = descend(both, lists, most, threshold)
+            lists = descend(both, lists, most, threshold, asked)
             if (lists.agg(F.sum("found")).first()[0] or 0) >= recall * asked:
                 full = lists.select("saturated").mapInArrow(_saturated, "key long")
                 _, groups = outward(nodes, lists.select("u", "v"), full, most, threshold, seed)
