@@ -106,7 +106,7 @@ _ENR = f"""{TAGS}, e AS (SELECT r.indicator, CASE WHEN pos % 2 = 0 THEN 'VirusTo
 @register("flatten_enrichment", f"""{_ENR} SELECT indicator, {joined('domain')} AS enrich_domains, {joined('tag')} AS enrich_tags, coalesce({joined('country')}, '') AS enrich_country,
   max(vt) AS "enrich_vtMaliciousCount" FROM e GROUP BY 1""")
 def _(spark, sf):
-    return tidy(ag.flatten_enrichment(records(spark, sf)))
+    return tidy(ag.flatten_enrichment(records(spark, sf)).drop("part"))
 
 
 @register("pivot_enrichment", f"""{_ENR} SELECT indicator, max(vt) FILTER (WHERE type = 'VirusTotal') AS vt_count, max(country) FILTER (WHERE type = 'Shodan') AS country FROM e GROUP BY 1""")

@@ -94,7 +94,7 @@ def _(spark, sf):
 def _(spark, sf):
     group = F.when(F.col("description") != "P", F.concat(F.lit("g"), text(F.col("id") % 4000))).otherwise(" None ")
     df = record_rows(spark, sf).select(F.col("indicator").alias("search_term"), group.alias("group_id"))
-    return tidy(feeds.report_groups(df))
+    return tidy(feeds.report_groups(df).drop("part"))
 
 
 @register("append_reported", f"{with_tables('scores', 'obs')} SELECT indicator FROM scores UNION SELECT indicator FROM obs")

@@ -71,7 +71,7 @@ def _(spark, sf):
             text("l_partkey").alias("search_term"), F.concat(F.lit(prefix), text("l_suppkey")).alias("link")
         )
 
-    return joins.full_outer_sources(feed("A", "vt/"), feed("R", "otx/"))
+    return joins.full_outer_sources(feed("A", "vt/"), feed("R", "otx/")).drop("part")
 
 
 @register("tags_groups_outer", f"""{with_tables('recs', 'tagrows')} SELECT r.indicator, r.id, t.name AS tag_name, g.group_id, g.group_type, g.group_name

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as fx
-from .ordering import add_row_number
+from .lists import PART_ITEMS, bounded_lists
+from .ordering import add_row_number, exact_quantiles
 from .timeseries import first_rows, rank_narrow
 
 
@@ -145,18 +146,33 @@ def first_non_null_record(
 
 def flatten_enrichment(
     records: DataFrame, key: str = "indicator", lists: Sequence[str] = ("domains", "tags"),
-    texts: Sequence[str] = ("country",), numbers: Sequence[str] = ("vtMaliciousCount",),
+    texts: Sequence[str] = ("country",), numbers: Sequence[str] = ("vtMaliciousCount",), part_items: int = PART_ITEMS,
 ) -> DataFrame:
-    """Provider results gathered per key: distinct list items and texts, largest number."""
+    """Provider results gathered per key: distinct list items and texts, largest number.
+
+    Items are made distinct one by one, so what a task holds does not grow with the combinations in
+    which they come, and lists of more than ``part_items`` items go on in the next ``part``.
+    """
     rows = records.select(key, F.explode("enrichment").alias("e"))
-    items = [
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(f"e.{c}")))).alias(f"enrich_{c}") for c in lists
+    none = F.array().cast("array<string>")
+
+    def named(c: str) -> Column:
+        return F.transform(F.coalesce(f"e.{c}", none), lambda v: F.struct(F.lit(c).alias("kind"), v.alias("v")))
+
+    kinds = [
+        *[named(c) for c in lists],
+        *[F.array(F.struct(F.lit(c).alias("kind"), F.col(f"e.{c}").alias("v"))) for c in texts],
     ]
-    return rows.groupBy(key).agg(
-        *items,
-        *[_sorted_set(F.col(f"e.{c}")).alias(f"enrich_{c}") for c in texts],
-        *[F.max(f"e.{c}").alias(f"enrich_{c}") for c in numbers],
-    )
+    items = rows.select(key, F.explode(F.concat(*kinds)).alias("x")).select(key, "x.kind", "x.v")
+    parts = bounded_lists(items, (key, "kind"), F.col("v"), "_list", part_items)
+    wide = parts.groupBy(key, "part").agg(
+        *[F.max(F.when(F.col("kind") == c, F.col("_list"))).alias(f"enrich_{c}") for c in (*lists, *texts)])
+    totals = rows.groupBy(key).agg(*[F.max(f"e.{c}").alias(f"enrich_{c}") for c in numbers])
+    # keys without any item have part 0 of empty lists
+    joined = totals.withColumnRenamed(key, "_key").join(wide, F.col("_key").eqNullSafe(F.col(key)), "left")
+    return joined.select(
+        F.col("_key").alias(key), F.coalesce("part", F.lit(0)).alias("part"),
+        *[F.coalesce(f"enrich_{c}", none).alias(f"enrich_{c}") for c in (*lists, *texts)], *[f"enrich_{c}" for c in numbers])
 
 
 def pivot_enrichment(
@@ -224,15 +240,19 @@ def top_k_pivot(df: DataFrame, key: str, date: str, value: str, k: int = 10) ->
 
 
 def describe_group(df: DataFrame, by: str, value: str, places: int = 2) -> DataFrame:
-    """Count, mean, median, std, min and max of an integer score per group."""
-    return df.groupBy(by).agg(
-        F.count(value).alias("count"),
-        F.round(F.avg(value), places).alias("mean"),
-        F.round(F.percentile(value, F.lit(0.5)), places).alias("median"),
-        F.round(F.stddev_samp(value), places).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    """Count, mean, median, std, min and max of a column per group.
+
+    Medians of all groups come from one range sort over groups and values, so neither a group nor its
+    number of distinct values is bound to one task.
+    """
+    stats = df.groupBy(F.col(by).alias("_by")).agg(
+        F.count(value).alias("count"), F.round(F.avg(value), places).alias("mean"),
+        F.round(F.stddev_samp(value), places).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
     )
+    middle = exact_quantiles(df, value, (0.5,), (by,))
+    both = stats.join(middle, F.col("_by").eqNullSafe(F.col(by)), "left")
+    return both.select(
+        F.col("_by").alias(by), "count", "mean", F.round(F.col("q0").cast("double"), places).alias("median"), "std", "min", "max")
 
 
 def describe_partners(df: DataFrame, partners: str = "partners", value: str = "score") -> DataFrame:
@@ -383,13 +403,17 @@ def daily_report_rollup(
 
 
 def median_impute_by_key(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Null → median of its key, else the overall median (integer scores and small counts)."""
-    medians = df.groupBy(key).agg(*[F.percentile(c, F.lit(0.5)).alias(f"_{c}") for c in cols])
-    whole = df.agg(F.struct(*[F.percentile(c, F.lit(0.5)).alias(c) for c in cols])).scalar()
-    out = df.join(medians, key, "left")
-    return out.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.col(f"_{c}"), whole[c]) for c in cols}
-    ).drop(*[f"_{c}" for c in cols])
+    """Null → median of its key, else the overall median.
+
+    Each column takes one range sort over keys and values for all keys, and one over its values.
+    """
+    out = df
+    for c in cols:
+        own = exact_quantiles(df, c, (0.5,), (key,)).select(F.col(key).alias("_key"), F.col("q0").cast("double").alias("_own"))
+        whole = exact_quantiles(df, c, (0.5,)).select("q0").scalar()
+        out = out.join(own, F.col(key).eqNullSafe(F.col("_key")), "left")
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("_own"), whole.cast("double"))).drop("_key", "_own")
+    return out
 
 
 def correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
@@ -511,20 +535,24 @@ def component_importance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def probability_groups(
     df: DataFrame, col: str, score: str = "score", low: float = 25, high: float = 75
 ) -> DataFrame:
-    """High / medium / low probability groups: score statistics and severity shares."""
+    """High / medium / low probability groups: score statistics and severity shares.
+
+    Quartiles come from one range sort, since a group may hold most of the rows.
+    """
     group = F.when(F.col(col) >= high, "high").when(F.col(col) <= low, "low").otherwise("medium")
     level = fx.severity(F.col(score))
     rows = df.where(F.col(col).isNotNull()).withColumn("probability_group", group)
-    return rows.groupBy("probability_group").agg(
+    stats = rows.groupBy("probability_group").agg(
         F.count("*").alias("count"),
         F.avg(score).alias("mean_score"),
-        F.percentile(score, F.lit(0.25)).alias("q25"),
-        F.percentile(score, F.lit(0.75)).alias("q75"),
         *[
             (F.count_if(level == name) * 100 / F.count("*")).alias(f"{name}_pct")
             for name in fx.SEVERITY_LABELS
         ],
     )
+    quartiles = exact_quantiles(rows, score, (0.25, 0.75), ("probability_group",))
+    quartiles = quartiles.select("probability_group", F.col("q0").cast("double").alias("q25"), F.col("q1").cast("double").alias("q75"))
+    return stats.join(quartiles, "probability_group", "left")
 
 
 def partner_tier_stats(

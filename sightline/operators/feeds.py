@@ -11,6 +11,7 @@ from ..functions import columns as fx
 from .aggregates import multi_partner, pivot_enrichment
 from .clean import first_group_id
 from .joins import partner_buckets, tag_observation_join
+from .lists import PART_ITEMS, bounded_lists
 from .phrases import least_match
 
 # ------------------------------------------------------------------ sort, limit, set operations
@@ -141,25 +142,24 @@ def warning_candidates_expanded(
     )
 
 
-def report_groups(df: DataFrame, key: str = "search_term") -> DataFrame:
+def report_groups(df: DataFrame, key: str = "search_term", part_items: int = PART_ITEMS) -> DataFrame:
     """One report per group id, and one per indicator outside any group.
 
-    A group's report is named after its only indicator, else ``Group_<id>``.
+    A group's report is named after its only indicator, else ``Group_<id>``; the indicators of a group
+    with more than ``part_items`` go on in the next ``part`` of the report.
     """
     clean = df.withColumn("group_id", fx.blank_to_null(F.col("group_id").cast("string")))
-    grouped = clean.where("group_id IS NOT NULL").groupBy("group_id").agg(
-        F.array_sort(F.collect_set(key)).alias("indicators")
-    )
-    grouped = grouped.withColumn(
-        "report",
-        F.when(F.size("indicators") == 1, F.element_at("indicators", 1))
-        .otherwise(F.concat(F.lit("Group_"), F.col("group_id"))),
-    )
+    named = clean.where("group_id IS NOT NULL")
+    lists = bounded_lists(named, ("group_id",), F.col(key), "indicators", part_items)
+    none = F.array().cast(lists.schema["indicators"].dataType)
+    # a group whose indicators are all null has an empty report
+    grouped = named.select("group_id").distinct().join(lists, "group_id", "left").select(
+        "group_id", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("indicators", none).alias("indicators"),
+        F.when(F.col("n") == 1, F.get("indicators", F.lit(0))).otherwise(F.concat(F.lit("Group_"), F.col("group_id"))).alias("report"))
     orphans = clean.where(F.col("group_id").isNull() & F.col(key).isNotNull()).select(
-        F.lit(None).cast("string").alias("group_id"), F.array(key).alias("indicators"), F.col(key).alias("report")
+        F.lit(None).cast("string").alias("group_id"), F.lit(0).alias("part"), F.array(key).alias("indicators"), F.col(key).alias("report")
     ).distinct()
-    both = grouped.select("group_id", "indicators", "report").unionByName(orphans)
-    return both.withColumn("report", F.regexp_replace("report", "[:/]", "_"))
+    return grouped.unionByName(orphans).withColumn("report", F.regexp_replace("report", "[:/]", "_"))
 
 
 def append_reported(reported: DataFrame, emitted: DataFrame, key: str = "indicator") -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lists import PART_ITEMS, bounded_lists
 from .phrases import SHARE_CHARS, phrase_matches
 
 
@@ -59,12 +60,21 @@ def joined_links(df: DataFrame, key: str, link: str, out: str) -> DataFrame:
 
 
 def full_outer_sources(
-    left: DataFrame, right: DataFrame, key: str = "search_term", link: str = "link"
+    left: DataFrame, right: DataFrame, key: str = "search_term", link: str = "link", part_items: int = PART_ITEMS
 ) -> DataFrame:
-    """Links of two feeds per search term in one list, the left feed's first."""
-    both = joined_links(left, key, link, "_l").join(joined_links(right, key, link, "_r"), key, "full_outer")
-    parts = [F.nullif(F.col(c), F.lit("")) for c in ("_l", "_r")]
-    return both.select(key, F.concat_ws(", ", *parts).alias("sources"))
+    """Distinct links of two feeds per search term in one list, the left feed's first.
+
+    A term with more than ``part_items`` links goes on in the next ``part``.  Terms without links have
+    an empty list.
+    """
+    both = left.select(key, F.lit(0).alias("_side"), link).unionByName(right.select(key, F.lit(1).alias("_side"), link))
+    item = F.when(F.col(link).isNotNull(), F.struct("_side", F.col(link).alias("link")))
+    parts = bounded_lists(both, (key,), item, "_links", part_items)
+    terms = both.select(F.col(key).alias("_term")).distinct()
+    texts = F.filter(F.transform("_links", lambda x: x["link"]), lambda x: x != "")
+    return terms.join(parts, F.col("_term").eqNullSafe(F.col(key)), "left").select(
+        F.col("_term").alias(key), F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce(F.array_join(texts, ", "), F.lit("")).alias("sources"))
 
 
 def tags_groups_outer(df: DataFrame, key: str = "indicator") -> DataFrame:

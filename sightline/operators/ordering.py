@@ -81,9 +81,18 @@ def exact_quantiles(
 
     The built-in exact percentile keeps a map of all distinct values of a group in one task; here
     equal values are counted first and the counts are range-partitioned, so a group with any
-    number of distinct values is spread over all tasks.
+    number of distinct values is spread over all tasks.  Any number of groups is done at once; a null
+    group is a group.
     """
-    by = list(by)
+    if by:
+        # as one struct, a group with nulls equals itself
+        packed = df.select(F.struct(*by).alias("_group"), value)
+        out = _quantiles(packed, value, probabilities, ["_group"])
+        return out.select(*[F.col(f"_group.{c}").alias(c) for c in by], *[c for c in out.columns if c != "_group"])
+    return _quantiles(df, value, probabilities, [])
+
+
+def _quantiles(df: DataFrame, value: str, probabilities: Sequence[float], by: list[str]) -> DataFrame:
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     placed = running_totals(counts, value, ["_n"], by)
     start, total = F.col("_n_before"), F.col("_n_all")

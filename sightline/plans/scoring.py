@@ -39,10 +39,10 @@ def score_inputs(
         F.max("lastObserved").alias("last_observed"), F.to_date(F.min("dateAdded")).alias("firstseen_date")
     )
     named = ag.botnet_tags(ag.tags_to_list(records), botnet)
-    tag_lists = named.groupBy("indicator").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("tag_list")))).alias("tag_names"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("botnet_tags")))).alias("botnet_tags"),
-    )
+    # tags are made distinct one by one, not in the combinations in which records have them
+    tag = named.select("indicator", F.explode_outer("tag_list").alias("tag"), F.lit(None).cast("string").alias("botnet")).unionByName(
+        named.select("indicator", F.lit(None).cast("string").alias("tag"), F.explode_outer("botnet_tags").alias("botnet")))
+    tag_lists = tag.groupBy("indicator").agg(_set_of(F.col("tag")).alias("tag_names"), _set_of(F.col("botnet")).alias("botnet_tags"))
     labels = extract_incident_ids(records).where("incident_label IS NOT NULL").select(
         "indicator", F.explode(F.split("incident_label", ";")).alias("label")
     )
@@ -50,6 +50,9 @@ def score_inputs(
     actors = ag.condense_tags(tags, (actor_column,)).withColumnRenamed(actor_column, "threat_actor")
     mass = ag.mass_scanner_flags(obs, as_of, **mass_scanner).select("indicator", "mass_scanner")
     enriched = ag.flatten_enrichment(records, lists=("tags",), texts=(), numbers=("vtMaliciousCount",))
+    # the score reads the tags of an indicator in one row
+    enriched = enriched.groupBy("indicator").agg(
+        F.flatten(F.collect_list("enrich_tags")).alias("enrich_tags"), F.max("enrich_vtMaliciousCount").alias("enrich_vtMaliciousCount"))
     rows = ag.combine_partners(base, records, obs, known)
     for context in (
         dates, ag.sources_per_indicator(records), tag_lists, incidents, actors, mass, enriched,

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import indicator_form
+from ..operators.components import components
+from ..operators.lists import PART_ITEMS, bounded_lists
 from ..operators.ordering import add_row_number
 from ..schemas import DAILY_REPORT, OBSERVATION
 from ..session import pin, small
@@ -175,15 +178,19 @@ def append_history(old: DataFrame, new: DataFrame, key: str, ts: str) -> DataFra
     return kept.orderBy(key, F.col(ts).desc())
 
 
-def group_documents(old: DataFrame, new: DataFrame, key: str, parts: int = 64) -> DataFrame:
+def group_documents(
+    old: DataFrame, new: DataFrame, key: str, parts: int | None = None, part_items: int = PART_ITEMS
+) -> DataFrame:
     """Distinct records of both tables as sorted lists: (key, part, records).
 
-    The records of every key are dealt by their hash into ``parts`` parts, of which those with
-    records are returned; so the list of a key with very many records is spread over the tasks.
+    A list has ``part_items`` records at most; a key with more has further parts, which lie in other
+    tasks.  With ``parts`` the records of every key are dealt by their hash into so many lists instead.
     """
-    rows = old.unionByName(new).distinct()
+    rows = old.unionByName(new)
     record = F.struct(*[c for c in rows.columns if c != key])
-    numbered = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int"))
+    if parts is None:
+        return bounded_lists(rows, (key,), record, "records", part_items).drop("n")
+    numbered = rows.distinct().withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int"))
     return numbered.groupBy(key, "part").agg(F.array_sort(F.collect_list(record)).alias("records"))
 
 
@@ -198,29 +205,72 @@ def dedupe_library(df: DataFrame, order: str = "ingest_order") -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 
-def skip_known_articles(stored: DataFrame, new: DataFrame, order: str = "ingest_order") -> DataFrame:
+FOLD_ARTICLES = 100_000  # articles of a component that are decided in one task
+
+
+def _decide(table: pa.Table) -> pa.Table:
+    """The articles of one component in order: each is accepted unless an accepted one has its title or
+    address."""
+    rows = table.sort_by([("_order", "ascending")])
+    titles, urls, kept = set(), set(), []
+    for i, (title, url) in enumerate(zip(rows.column("_title").to_pylist(), rows.column("_url").to_pylist())):
+        if title not in titles and url not in urls:
+            titles.add(title)
+            urls.add(url)
+            kept.append(i)
+    return rows.select(["_order"]).take(pa.array(kept, pa.int64()))
+
+
+def _leaders(left: DataFrame) -> DataFrame:
+    """Articles that come first for both their title and their address."""
+    first = left
+    for c in ("_title", "_url"):
+        first = first.join(left.groupBy(c).agg(F.min("_order").alias(f"_first{c}")), c).where(f"_order = _first{c}").drop(f"_first{c}")
+    return first
+
+
+def skip_known_articles(
+    stored: DataFrame, new: DataFrame, order: str = "ingest_order", fold_articles: int = FOLD_ARTICLES
+) -> DataFrame:
     """New articles whose title and URL are both unseen, numbered after the stored ones.
 
     Within the batch an article is also skipped when an earlier *accepted* one has its title or
-    URL.  Each round accepts the articles that come first for both their title and their URL and
-    removes what they rule out; undecided rows shrink to none in a few rounds.
+    URL.  ``order`` is unique.  A first round accepts the articles that come first for both and removes
+    what they rule out, which settles titles and addresses that very many articles share.  The rest is
+    a graph in which articles tie a title to an address: its connected components know nothing of each
+    other, and each is decided by going through its articles in order, a chain of any length within
+    its component at once.  Only components of more than ``fold_articles`` articles go on in rounds.
     """
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    left = new.where(~blank("title") & ~blank("url"))
+    fresh = new.where(~blank("title") & ~blank("url"))
     for c in ("title", "url"):
-        left = left.join(stored.select(c).where(f"{c} IS NOT NULL").distinct(), c, "left_anti")
-    left = pin(left)
-    accepted = left.limit(0)
+        fresh = fresh.join(stored.select(c).where(f"{c} IS NOT NULL").distinct(), c, "left_anti")
+    fresh = pin(fresh)
+    # narrow rows: digests stand for titles and addresses
+    digest = lambda c: F.md5(F.col(c).cast("binary"))
+    left = pin(fresh.select(F.col(order).alias("_order"), digest("title").alias("_title"), digest("url").alias("_url")))
+    accepted = left.select("_order").limit(0)
+
+    def settle(left: DataFrame, accepted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        chosen = pin(_leaders(left).select("_order", "_title", "_url"))
+        for c in ("_title", "_url"):
+            left = left.join(chosen.select(c), c, "left_anti")
+        return pin(left), accepted.unionByName(chosen.select("_order"))
+
+    left, accepted = settle(left, accepted)
     while not left.isEmpty():
-        leaders = left
-        for c in ("title", "url"):
-            first = left.groupBy(c).agg(F.min(order).alias(f"_{c}"))
-            leaders = leaders.join(first, c).where(F.col(order) == F.col(f"_{c}")).drop(f"_{c}")
-        leaders = pin(leaders.select(*new.columns))
-        accepted = accepted.select(*new.columns).unionByName(leaders)
-        for c in ("title", "url"):
-            left = left.join(leaders.select(c).distinct(), c, "left_anti")
-        left = pin(left)
-    numbered = add_row_number(accepted, [F.col(order).asc()], "_rn")
+        ends = [F.xxhash64(F.lit(c), c) for c in ("_title", "_url")]
+        edges = left.select(ends[0].alias("u"), ends[1].alias("v"))
+        named = pin(left.withColumn("id", ends[0]).join(components(edges), "id").drop("id"))
+        sizes = named.groupBy("component").agg(F.count("*").alias("_n"))
+        named = named.join(sizes, "component")
+        kind = new.schema[order].dataType.simpleString()
+        small = named.where(F.col("_n") <= fold_articles).drop("_n")
+        accepted = accepted.unionByName(small.groupBy("component").applyInArrow(_decide, f"_order {kind}"))
+        left = pin(named.where(F.col("_n") > fold_articles).select("_order", "_title", "_url"))
+        if not left.isEmpty():
+            left, accepted = settle(left, accepted)
+    chosen = fresh.join(accepted, fresh[order] == accepted["_order"], "left_semi").select(*new.columns)
+    numbered = add_row_number(chosen, [F.col(order).asc()], "_rn")
     start = stored.agg(F.count("*")).scalar()
     return numbered.withColumn("text_id", start + F.col("_rn") - 1).drop("_rn")

@@ -252,3 +252,84 @@ def test_density_odd_rows(spark):
     assert density_clusters(df.limit(0), "id", ["x", "y"], 0.5, 2).collect() == []
     with pytest.raises(ValueError):
         density_clusters(df, "id", ["x"] * 7, 0.5)
+
+
+# ---------------------------------------------------------------------- lists, groups, articles
+
+
+def test_lists_in_parts_of_a_bounded_size(spark):
+    from sightline.operators.lists import bounded_lists
+
+    rows = [("hot", i % 700) for i in range(2_000)] + [("cold", 3), ("cold", 1), ("cold", None), (None, 9), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(5)
+    got = {(r.k, r.part): r for r in bounded_lists(df, ("k",), F.col("v"), "items", 64).collect()}
+    assert [x for p in range(11) for x in got[("hot", p)]["items"]] == list(range(700))
+    assert all(len(r["items"]) <= 64 for r in got.values()) and got[("hot", 3)].n == 700
+    assert got[("cold", 0)]["items"] == [1, 3] and got[(None, 0)]["items"] == [9] and len(got) == 13
+
+
+def test_long_lists_go_on_in_parts(spark):
+    from sightline.operators import aggregates as ag
+    from sightline.operators import feeds, joins
+
+    schema = "indicator string, enrichment array<struct<domains:array<string>,tags:array<string>,country:string,vtMaliciousCount:bigint>>"
+    item = lambda i: ([f"d{i}", f"d{i + 1}"], None, "US" if i % 2 else None, i)
+    df = spark.createDataFrame([("a", [item(i) for i in range(30)]), ("a", [item(5)]), ("b", [([], [], None, None)])], schema)
+    rows = ag.flatten_enrichment(df, part_items=8).orderBy("indicator", "part").collect()
+    assert sorted(d for r in rows for d in r.enrich_domains) == sorted(f"d{i}" for i in range(31))
+    assert [len(r.enrich_domains) for r in rows] == [8, 8, 8, 7, 0]
+    assert rows[0].enrich_country == ["US"] and rows[4].enrich_tags == [] and rows[0].enrich_vtMaliciousCount == 29
+    left = spark.createDataFrame([("t", f"l{i}") for i in range(5)] + [("n", None)], "search_term string, link string")
+    right = spark.createDataFrame([("t", "r"), ("u", "x")], "search_term string, link string")
+    got = {(r.search_term, r.part): r.sources for r in joins.full_outer_sources(left, right, part_items=4).collect()}
+    assert got == {("t", 0): "l0, l1, l2, l3", ("t", 1): "l4, r", ("u", 0): "x", ("n", 0): ""}
+    groups = spark.createDataFrame([(f"i{k}", "g") for k in range(5)] + [("one", "h"), ("x", None)], "search_term string, group_id string")
+    out = feeds.report_groups(groups, part_items=3).collect()
+    assert {(r.report, r.part, len(r.indicators)) for r in out} == {("Group_g", 0, 3), ("Group_g", 1, 2), ("one", 0, 1), ("x", 0, 1)}
+
+
+def test_quantiles_of_many_groups_at_once(spark):
+    from sightline.operators import aggregates as ag
+    from sightline.operators.ordering import exact_quantiles
+
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", "hot", "hot", None]), rng.choice([rng.random() * 100, 7.0, None])) for _ in range(3_000)]
+    df = spark.createDataFrame([(g, v, n) for n, (g, v) in enumerate(rows)], "g string, v double, id int")
+    got = {r.g: (r.n, r.q0, r.q1) for r in exact_quantiles(df, "v", (0.25, 0.5), ("g",)).collect()}
+    for g in ("a", "b", "hot", None):
+        own = [v for k, v in rows if k == g and v is not None]
+        assert got[g][0] == len(own) and got[g][1:] == pytest.approx(tuple(np.quantile(own, (0.25, 0.5))))
+    described = {r.g: r for r in ag.describe_group(df, "g", "v", 6).collect()}
+    assert described[None].median == pytest.approx(got[None][2], abs=1e-6) and described["a"]["count"] == got["a"][0]
+    plan = ag.describe_group(df, "g", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
+    filled = {r.id: r.v for r in ag.median_impute_by_key(df, "g", ("v",)).collect()}
+    assert all(filled[n] == pytest.approx(got[g][2] if v is None else v) for n, (g, v) in enumerate(rows))
+
+
+def brute_articles(stored, new):
+    titles, urls, out = {t for t, _ in stored}, {u for _, u in stored}, []
+    for n, t, u in sorted(new):
+        if t and u and t not in titles and u not in urls:
+            titles.add(t)
+            urls.add(u)
+            out.append(n)
+    return out
+
+
+@pytest.mark.parametrize("fold", [100_000, 20])
+def test_articles_in_chains_and_crowds(spark, fold):
+    """A long chain, a title that very many share, and a random tangle."""
+    from sightline.sources.ingest import skip_known_articles
+
+    rng = random.Random(1)
+    chain = 60 if fold == 20 else 10_000
+    new = [(i, f"t{i // 2}", f"u{(i + 1) // 2}") for i in range(chain)]
+    new += [(20_000 + i, "same title", f"v{i}") for i in range(300)] + [(30_000 + i, f"r{rng.randint(0, 60)}", f"s{rng.randint(0, 60)}") for i in range(150)]
+    new += [(40_000, None, "w"), (40_001, "t", ""), (40_002, "stored", "x"), (40_003, "y", "known")]
+    stored = [("stored", "known")]
+    got = skip_known_articles(
+        spark.createDataFrame(stored, "title string, url string"), spark.createDataFrame(new, "ingest_order int, title string, url string").repartition(4),
+        fold_articles=fold).orderBy("text_id").collect()
+    want = brute_articles(stored, new)
+    assert [r.ingest_order for r in got] == want and [r.text_id for r in got] == list(range(1, len(want) + 1))
