@@ -15,7 +15,7 @@ from ..operators import timeseries as ts
 from ..operators.density import density_clusters
 from ..plans.forecast import forecast_job, training_frame
 from .data import AS_OF, PARTNERS, observations, score_inputs, table, with_tables
-from .q_timeseries import _FEATURES, PANEL, features, panel
+from .q_timeseries import _F14, _FEATURES, _STREAK, PANEL, features, panel
 from .registry import register
 from .tidy import d, i, r, tidy
 
@@ -76,6 +76,19 @@ def _(spark, sf):
     return out.select("OpDiv", "indicator", *[f"weibull_{t}" for t in (1, 7, 14, 30, 45)])
 
 
+# without a feature that varies and without censoring, the fit is that of one Weibull curve, whose
+# shape solves an equation that iteration solves too
+@register("fit_survival_curve", """WITH RECURSIVE x AS (SELECT (1 + o_orderkey % 30) / 100.0::DOUBLE AS d FROM orders),
+ step AS (SELECT 1::DOUBLE AS k, 0 AS n UNION ALL SELECT (k + 1 / ((SELECT sum(pow(d, k) * ln(d)) / sum(pow(d, k)) FROM x) - (SELECT avg(ln(d)) FROM x))) / 2, n + 1 FROM step WHERE n < 80),
+ fit AS (SELECT k, pow((SELECT avg(pow(d, k)) FROM x), 1 / k) AS life FROM step WHERE n = 80)
+ SELECT round(1 - exp(-pow(0.07 / life, k)), 3) AS weibull_7, round(1 - exp(-pow(0.3 / life, k)), 3) AS weibull_30 FROM fit""")
+def _(spark, sf):
+    rows = table(spark, sf, "orders").select(
+        (1 + F.col("o_orderkey") % 30).cast("double").alias("avg_gap"), F.lit(1).alias("label_7"), F.lit(1.0).alias("x"))
+    out = md.fit_survival(rows, ("x",), times=(7, 30))
+    return out.select(*[F.round(c, 3).alias(c) for c in ("weibull_7", "weibull_30")]).distinct()
+
+
 @register("forecast_job")
 def _(spark, sf):
     return forecast_job(observations(spark, sf), AS_OF)
@@ -89,6 +102,18 @@ def _(spark, sf):
     return out.select("OpDiv", "indicator", "date", "seen_streak", "probability")
 
 
+# after the rule, one tree of one split on a two-valued feature gives the share of each group
+@register("two_stage_split", f"""{PANEL}, {_STREAK},
+ t AS (SELECT *, avg(seen) {_F14} AS ratio FROM streak), past AS (SELECT * FROM t WHERE date <= DATE '2024-01-23'),
+ g AS (SELECT is_weekend, avg(seen) AS rate FROM past GROUP BY 1)
+ SELECT OpDiv, indicator, {d('date')} AS date, {i('seen_streak')} AS seen_streak, {r('1 / (1 + exp(-2 * (2 * rate - 1)))')} AS probability
+ FROM past JOIN g USING (is_weekend) WHERE date = DATE '2024-01-23' AND seen_streak >= 1 AND ratio >= 0.1""")
+def _(spark, sf):
+    rows = ts.temporal_features(panel(spark, sf)).withColumn("weekend", F.col("is_weekend").cast("int"))
+    out = md.two_stage_forecast(rows, AS_OF, ("weekend",), min_streak=1, min_ratio=0.1, min_probability=0.0, rounds=1)
+    return tidy(out, "OpDiv", "indicator", "date", "seen_streak", "probability")
+
+
 @register("score_learned")
 def _(spark, sf):
     scored = sc.score_rule(sc.score_components(score_inputs(spark, sf), AS_OF))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small
-from .ordering import add_row_number, running_totals
+from .ordering import running_totals
 from .timeseries import first_rows, rank_narrow
 
 
@@ -136,13 +136,19 @@ def rolling_origin(df: DataFrame, order: Sequence[str], folds: int = 5) -> DataF
     """``test_fold`` of every row in expanding-window validation.
 
     Fold ``f`` is tested on the rows with ``test_fold = f`` and trained on all rows below it.
+    Only the ordering columns, ending in a unique key, are sorted; the rows at the folds' edges then
+    tell the fold of every wide row where it is.
     """
     total = df.agg(F.count("*")).scalar()
-    numbered = add_row_number(df, [F.col(c).asc() for c in order], "_rn").withColumn("_total", total)
-    size = F.floor(F.col("_total") / (folds + 1))
-    first = F.col("_total") - size * folds
-    fold = F.when(F.col("_rn") <= first, 0).otherwise(F.floor((F.col("_rn") - first - 1) / size) + 1)
-    return numbered.withColumn("test_fold", fold.cast("int")).drop("_rn", "_total")
+    ranking = [(c, False) for c in order]
+    ranked = rank_narrow(df, ranking)
+    size = F.floor(total / (folds + 1))
+    first = total - size * folds
+    beyond = [(~first_rows(ranked, ranking, first + size * k)).cast("int") for k in range(folds)]
+    fold = beyond[0]
+    for later in beyond[1:]:
+        fold = fold + later
+    return df.withColumn("test_fold", fold)
 
 
 def prediction_status(df: DataFrame, probability: str = "probability", seen: str = "seen") -> DataFrame:

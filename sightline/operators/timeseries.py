@@ -7,6 +7,7 @@ share the (partner, indicator) partitioning of the panel: one exchange feeds the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec
@@ -334,32 +335,26 @@ def ewm(
 ) -> DataFrame:
     """Exponential mean without bias adjustment: ``y = y' + a·(x − y')`` with ``a = 2/(span+1)``.
 
-    A series has one element per day, so it is folded as one array per series.
+    Each day takes its value from a pair (a, b), y = a·y' + b, of the day before.  Pairs are composed
+    with those 1, 2, 4, … days earlier, by windows in the order of the panel that need no further
+    exchange or sort, until what is left of the weight a is below double precision; so a series of n
+    days takes the same few passes over n rows, whatever n is.
     """
     alpha = 2.0 / (span + 1)
     out = out or f"{col}_ewm_{span}"
-    rest = [c for c in panel.columns if c not in keys and c != "date"]
-    series = panel.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("date", *rest))).alias("_rows")
-    )
-    values = F.transform("_rows", lambda r: r[col].cast("double"))
-
-    def step(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        return F.concat(done, F.array(last + F.lit(alpha) * (x - last)))
-
-    smoothed = F.aggregate(
-        F.slice(values, 2, F.greatest(F.size("_rows") - 1, F.lit(0))),
-        F.slice(values, 1, 1),
-        step,
-    )
-    zipped = F.arrays_zip(F.col("_rows"), smoothed.alias("_smooth"))
-    exploded = series.select(*keys, F.explode(zipped).alias("_z"))
-    return exploded.select(
-        *keys,
-        *[F.col(f"_z._rows.{c}").alias(c) for c in ("date", *rest)],
-        F.col("_z._smooth").alias(out),
-    )
+    series, x = _ordered(keys), F.col(col).cast("double")
+    first = F.row_number().over(series) == 1
+    rows = panel.withColumns({
+        "_a": F.when(first, F.lit(0.0)).otherwise(F.lit(1 - alpha)), "_b": F.when(first, x).otherwise(F.lit(alpha) * x)})
+    reach = 1
+    while alpha < 1 and reach * math.log(1 - alpha) > math.log(1e-18):
+        earlier_a, earlier_b = F.lag("_a", reach).over(series), F.lag("_b", reach).over(series)
+        whole = earlier_a.isNull()  # the pair reaches the first day already
+        rows = rows.withColumns({
+            "_a": F.when(whole, F.col("_a")).otherwise(F.col("_a") * earlier_a),
+            "_b": F.when(whole, F.col("_b")).otherwise(F.col("_b") + F.col("_a") * earlier_b)})
+        reach *= 2
+    return rows.withColumn(out, F.col("_b")).drop("_a", "_b")
 
 
 def minmax_scale(

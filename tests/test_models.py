@@ -94,3 +94,14 @@ def test_clusters_find_the_outlier(spark):
     out, silhouette = md.cluster_indicators(spark.createDataFrame(data, "id int, v double"), ("v",), 2, 0.01)
     assert silhouette > 0.5
     assert out.where("is_outlier").count() == 1 and out.where("cluster = -1").count() == 1
+
+
+def test_learned_score_explains_the_rule_score(spark):
+    """R² of at least 0.90 on the 20 per cent of indicators that the fit has not seen."""
+    from sightline.catalog.data import AS_OF, score_inputs
+    from sightline.operators import models, scoring
+
+    scored = scoring.score_rule(scoring.score_components(score_inputs(spark, "/root/testdata/sf0.01"), AS_OF))
+    _, metrics = models.score_learned(scored, rounds=100)
+    row = metrics.first()
+    assert row.n > 200 and row.r2 >= 0.90
