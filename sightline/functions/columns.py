@@ -46,6 +46,34 @@ def percent_text(value: Column) -> Column:
     return F.concat((F.rint(clipped * 100) / 100).cast("string"), F.lit("%"))
 
 
+def round_scaled(value: Column, places: int = 2) -> Column:
+    """``value`` times a power of ten as a double, rounded half away from zero, and divided again, as SQL
+    engines and C round; Spark's ``round`` looks at the shortest decimal text of the double instead."""
+    scale = F.lit(float(10**places))
+    scaled = F.abs(value) * scale
+    whole = F.floor(scaled)
+    up = whole + F.when(scaled - whole >= 0.5, 1).otherwise(0)
+    rounded = F.signum(value) * up / scale
+    return F.when(scaled < 2.0**52, rounded + F.lit(0.0)).otherwise(value.cast("double"))
+
+
+def two_places(value: Column) -> Column:
+    """Text with two decimals of the double's exact binary value, exact halves to even, like ``printf``.
+
+    Spark's ``format_string`` rounds the shortest decimal text: 0.125 gives 0.13, not 0.12.
+    """
+    x = F.abs(value)
+    # in two parts of few bits, so that both products with 100 are exact
+    high = F.floor(x * 65536.0) / 65536.0
+    cents = F.floor(high * 100.0)
+    over = (high * 100.0 - cents - 0.5) + (x - high) * 100.0
+    cents = cents + F.when((over > 0) | ((over == 0) & (cents % 2 == 1)), 1).otherwise(0)
+    digits = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    text = F.concat(F.when(value < 0, "-").otherwise(""), digits)
+    # beyond 2^31 a product is no longer exact; NaN and infinities have no digits
+    return F.when(x < 2.0**31, text).when(value.isNotNull(), F.format_string("%.2f", value))
+
+
 def agency_tag(name: Column) -> Column:
     old, new = LEGACY_AGENCY_TAG
     return F.replace(name, F.lit(old), F.lit(new))

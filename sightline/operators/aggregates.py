@@ -388,14 +388,15 @@ def daily_report_rollup(
 ) -> DataFrame:
     """Per indicator: mean of numbers and percents, most common label, first text.
 
-    Tied labels take the smallest one, like a sorted mode.
+    Tied labels take the smallest one, like a sorted mode.  Means are rounded by the value of the double and
+    not by its shortest decimal text, so a mean of 31.125 prints as 31.12.
     """
     q = lambda c: F.col(f"`{c}`")
     percent_text = lambda c: F.coalesce(
-        F.concat(F.format_string("%.2f", F.avg(fx.percent(q(c)))), F.lit("%")), F.lit("unknown")
+        F.concat(fx.two_places(F.avg(fx.percent(q(c)))), F.lit("%")), F.lit("unknown")
     )
     return df.groupBy(key).agg(
-        *[F.round(F.avg(q(c)), 2).alias(f"{c} (Average)") for c in numbers],
+        *[fx.round_scaled(F.avg(q(c))).alias(f"{c} (Average)") for c in numbers],
         *[percent_text(c).alias(f"{c} (Average)") for c in percents],
         *[F.mode(F.coalesce(q(c), F.lit("unknown")), True).alias(f"{c} (Mode)") for c in labels],
         *[F.min_by(q(c), F.struct(order, q(c))).alias(f"{c} (First)") for c in texts],

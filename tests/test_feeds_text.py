@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sightline.operators import aggregates as ag
 from sightline.operators import clean, feeds, joins
 from sightline.operators import text as tx
 from sightline.operators.ordering import add_row_number, exact_quantiles
@@ -243,3 +244,12 @@ def test_tfidf_prefers_rare_terms(spark):
     df = spark.createDataFrame([(1, "common rare rare"), (2, "common owl"), (3, "common the")], "doc_id int, t string")
     got = {r.doc_id: r.keywords for r in tx.tfidf_keywords(df, "t", 1).collect()}
     assert got == {1: ["rare"], 2: ["owl"], 3: ["common"]}
+
+
+def test_rollup_rounds_the_value_of_the_double(spark):
+    # means of 31.125, 0.375 and 1.005 (a little less as a double), and a key without any percent
+    texts = {"a": ["31%", "31.25%"], "b": ["0.25%", "0.5%"], "c": ["1.005%"], "d": ["unknown"]}
+    rows = [(k, float(t.rstrip("%")) if t != "unknown" else None, t, "x", "2024-01-01") for k, v in texts.items() for t in v]
+    df = spark.createDataFrame(rows, "Indicator string, n double, p string, c string, FileDate string")
+    got = {r[0]: (r[1], r[2]) for r in ag.daily_report_rollup(df, ("n",), ("p",), ("c",)).collect()}
+    assert got == {"a": (31.13, "31.12%"), "b": (0.38, "0.38%"), "c": (1.0, "1.00%"), "d": (None, "unknown")}
