@@ -53,8 +53,18 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, SPACES, " "), "^ | $", "")
 
 
-def extract_iocs(df: DataFrame, col: str) -> DataFrame:
-    """Addresses, domains, URLs, e-mails and hashes in a text, as a nested ``iocs`` column."""
+def _ascii(pattern: str) -> str:
+    """The pattern with word boundaries between ASCII word characters and anything else."""
+    w = "[0-9A-Za-z_]"
+    return pattern.removeprefix("(?U)").replace(r"\b", f"(?:(?<!{w})(?={w})|(?<={w})(?!{w}))")
+
+
+def extract_iocs(df: DataFrame, col: str, unicode: bool = True) -> DataFrame:
+    """Addresses, domains, URLs, e-mails and hashes in a text, as a nested ``iocs`` column.
+
+    Without ``unicode``, a letter beyond ASCII ends a word: ``größe.example`` names a domain ``e.example``.
+    """
+    patterns = IOC_PATTERNS if unicode else {name: _ascii(p) for name, p in IOC_PATTERNS.items()}
     text, none = F.col(col), F.array().cast("array<string>")
     # a cheap necessary condition spares most texts the full pattern
     hint = {"emails": text.contains("@"), "urls": text.contains("http")}
@@ -64,7 +74,7 @@ def extract_iocs(df: DataFrame, col: str) -> DataFrame:
     hint["domains"] = text.rlike(r"[a-zA-Z0-9-]\.[a-zA-Z0-9-]")
     found = {
         name: F.when(hint[name], find_all(text, pattern)).otherwise(F.when(text.isNotNull(), none))
-        for name, pattern in IOC_PATTERNS.items()
+        for name, pattern in patterns.items()
     }
     hashes = F.struct(*[found[h].alias(h) for h in ("md5", "sha1", "sha256")])
     plain = [found[n].alias(n) for n in ("ips", "domains", "urls", "emails")]
@@ -392,15 +402,15 @@ def actor_dictionary(*lists: DataFrame, col: str = "name") -> DataFrame:
 
 
 def flag_long_enough(
-    df: DataFrame, text: str = "text", url: str = "url", min_words: int = 100, iocs: str | None = None
+    df: DataFrame, text: str = "text", url: str = "url", min_words: int = 100, iocs: str | None = None,
+    hosts: Sequence[str] = INTEL_PORTALS, kinds: Sequence[str] = tuple(IOC_PATTERNS),
 ) -> DataFrame:
-    """Valid when long enough, or, with an ``iocs`` column, a portal page that names indicators."""
+    """Valid when long enough, or, with an ``iocs`` column, a page of a portal in ``hosts`` that names
+    indicators of one of the ``kinds``."""
     valid = F.size(words(F.col(text))) >= min_words
     if iocs:
-        flat = F.flatten(
-            F.array(*[F.col(f"{iocs}.{n}") for n in ("ips", "domains", "urls", "emails")], *[F.col(f"{iocs}.hashes.{h}") for h in ("md5", "sha1", "sha256")])
-        )
-        df = intel_domain(df, url)
+        hashes = ("md5", "sha1", "sha256")
+        flat = F.flatten(F.array(*[F.col(f"{iocs}.hashes.{k}" if k in hashes else f"{iocs}.{k}") for k in kinds]))
+        df = intel_domain(df, url, hosts)
         valid = valid | (F.col("is_intel") & (F.size(flat) > 0))
     return df.withColumn("is_valid", F.coalesce(valid, F.lit(False)))
-

@@ -253,3 +253,20 @@ def test_rollup_rounds_the_value_of_the_double(spark):
     df = spark.createDataFrame(rows, "Indicator string, n double, p string, c string, FileDate string")
     got = {r[0]: (r[1], r[2]) for r in ag.daily_report_rollup(df, ("n",), ("p",), ("c",)).collect()}
     assert got == {"a": (31.13, "31.12%"), "b": (0.38, "0.38%"), "c": (1.0, "1.00%"), "d": (None, "unknown")}
+
+
+def test_flag_long_enough_follows_its_sql_on_short_portal_pages(spark, tmp_path):
+    from oracle import compare, connect
+
+    from sightline.catalog import ORACLES, QUERIES
+
+    bodies = ["see a.example", "see Größe.kaici", "ends in x.Daß", "host 10.1.2.3 only", "a" * 40, "b" * 32, "plain", "w " * 100]
+    pages = [
+        (10 * h + n, f"http://{host}/x", f"<html><article><p>{body}</p></article></html>")
+        for h, host in enumerate(("www.spam-farm.example.org", "misp.example.org")) for n, body in enumerate(bodies)
+    ]
+    spark.createDataFrame(pages, "page_id long, url string, html string").toPandas().to_parquet(tmp_path / "pages.parquet")
+    con = connect("/root/testdata/sf0.001")
+    con.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet')")
+    name = "flag_long_enough"
+    assert compare(spark, con, name, QUERIES[name], ORACLES[name], str(tmp_path)) is None
