@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null
-from ..session import pin, small
+from ..session import pin, scratch_path
 from .similar import similar_items  # noqa: F401 (part of this module's interface)
 
 # fixed values ---------------------------------------------------------------------------------
@@ -90,14 +90,29 @@ def refang(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def _term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """Count and first position per document and token; a document without tokens keeps a null.
+def _counted(df: DataFrame, key: str, tokens: Column) -> DataFrame:
+    """``terms`` per document: its distinct tokens in order, each with its count and first position.
 
-    The tokens of a document sit in one partition, so they are counted before the shuffle and
-    only its distinct tokens move.
+    A document is counted inside its own row, so no term is exchanged.  Texts that share a key are put
+    together first; the keys alone tell whether any do.
     """
-    exploded = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    return exploded.groupBy(key, "token").agg(F.count("*").alias("tf"), F.min("pos").alias("first"))
+    rows = df.select(key, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
+    if not df.groupBy(key).count().where("count > 1").isEmpty():
+        rows = rows.groupBy(key).agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    pairs = F.sort_array(F.transform("tokens", lambda t, i: F.struct(t.alias("token"), i.alias("first"))))
+    rows = rows.select(key, pairs.alias("pairs"))
+    # the start of every run of equal tokens, then the lengths of the runs
+    at = F.filter(
+        F.transform("pairs", lambda p, i: F.when((i == 0) | (F.get("pairs", i - 1)["token"] != p["token"]), i)),
+        lambda i: i.isNotNull(),
+    )
+    rows = rows.select(key, "pairs", at.alias("at"))
+    run = lambda i, j: F.struct(
+        F.get("pairs", i)["token"].alias("token"),
+        (F.coalesce(F.get("at", j + 1), F.size("pairs")) - i).alias("tf"),
+        F.get("pairs", i)["first"].alias("first"),
+    )
+    return rows.select(key, F.transform("at", run).alias("terms"))
 
 
 def _top_terms(terms: DataFrame, key: str, order: Sequence[Column], n: int) -> DataFrame:
@@ -111,8 +126,12 @@ def _top_terms(terms: DataFrame, key: str, order: Sequence[Column], n: int) -> D
 def extract_keywords(df: DataFrame, col: str, n: int = 10, key: str = "doc_id") -> DataFrame:
     """The ``n`` most frequent words of four letters or more; ties by first appearance."""
     tokens = F.regexp_extract_all(F.lower(col), F.lit("[A-Za-z]{4,}"), F.lit(0))
-    terms = _term_counts(df, key, tokens)
-    return _top_terms(terms, key, [F.col("tf").desc(), F.col("first")], n)
+    rows = _counted(df, key, tokens)
+    ranked = F.sort_array(F.transform("terms", lambda t: F.struct((-t["tf"]).alias("n"), t["first"], t["token"])))
+    return rows.select(key, F.transform(F.slice(ranked, 1, n), lambda t: t["token"]).alias("keywords"))
+
+
+COMMON_TERMS = 100_000  # terms whose document frequency is broadcast
 
 
 def tfidf_keywords(
@@ -121,17 +140,31 @@ def tfidf_keywords(
     """Top terms by tf·idf over the corpus, with ``idf = ln((1+N)/(1+df)) + 1``.
 
     Every word of the corpus counts; there is no vocabulary limit.  ``stop_words`` defaults to
-    Spark's English list.
+    Spark's English list.  The frequencies of the most common terms are broadcast; only the other terms,
+    each in few documents, are joined by a shuffle, and of the common ones a task passes on ``n`` a document.
     """
+    spark = df.sparkSession
     stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
     tokens = F.regexp_extract_all(F.lower(col), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-    # written, as both the document frequencies and the result read it
-    terms = pin(_term_counts(df, key, tokens).withColumn("token", F.when(~F.col("token").isin(*stop), F.col("token"))))
-    frequency = small(terms.where("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("df")))
-    total = df.agg(F.count("*")).scalar()
-    idf = F.log((1 + total) / (1 + F.col("df"))) + 1
+    # written in columns, as the document frequencies and the result read it
+    path = scratch_path(spark, "terms")
+    _counted(df, key, F.filter(tokens, lambda t: ~t.isin(*stop))).select(
+        key, F.transform("terms", lambda t: F.struct(t["token"], t["tf"])).alias("terms")
+    ).write.parquet(path)
+    documents = spark.read.parquet(path)
+    terms = documents.select(key, F.inline_outer("terms"))
+    frequency = pin(terms.where("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("df")))
+    common = frequency
+    if frequency.count() > COMMON_TERMS:
+        common = pin(frequency.orderBy(F.col("df").desc(), "token").limit(COMMON_TERMS))
+    total = documents.count()
+    known = terms.join(F.broadcast(common), "token", "left")
+    if common is not frequency:
+        rare = known.where("df IS NULL AND token IS NOT NULL").drop("df").join(frequency, "token")
+        known = known.where("df IS NOT NULL OR token IS NULL").unionByName(rare)
+    idf = F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1
     # rounded, so equal weights stay equal whatever the order of multiplication
-    weighted = terms.join(frequency, "token", "left").withColumn("weight", F.round(F.col("tf") * idf, 6))
+    weighted = known.withColumn("weight", F.round(F.col("tf") * idf, 6))
     return _top_terms(weighted, key, [F.col("weight").desc_nulls_last(), F.col("token")], n)
 
 

@@ -270,3 +270,24 @@ def test_flag_long_enough_follows_its_sql_on_short_portal_pages(spark, tmp_path)
     con.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet')")
     name = "flag_long_enough"
     assert compare(spark, con, name, QUERIES[name], ORACLES[name], str(tmp_path)) is None
+
+
+def test_keywords_exchange_no_terms(spark):
+    df = spark.createDataFrame([(1, "alpha beta alpha"), (2, None), (3, "no")], "doc_id long, t string")
+    out = tx.extract_keywords(df, "t", 3)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.keywords for r in out.collect()} == {1: ["alpha", "beta"], 2: [], 3: []}
+
+
+def test_keywords_of_texts_that_share_a_key(spark):
+    df = spark.createDataFrame([(1, "beta alpha"), (1, "alpha"), (2, "gamma")], "doc_id long, t string")
+    assert {r.doc_id: r.keywords for r in tx.extract_keywords(df, "t", 3).collect()} == {1: ["alpha", "beta"], 2: ["gamma"]}
+
+
+def test_tfidf_joins_rare_terms_apart(spark, monkeypatch):
+    texts = [" ".join(f"w{(d * k) % 23}" for k in range(d + 1)) for d in range(40)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string")
+    whole = {r.doc_id: r.keywords for r in tx.tfidf_keywords(df, "t", 4).collect()}
+    monkeypatch.setattr(tx, "COMMON_TERMS", 3)
+    assert {r.doc_id: r.keywords for r in tx.tfidf_keywords(df, "t", 4).collect()} == whole
+    assert whole[40] == whole[41] == [] and len(whole) == 42
