@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -285,42 +286,72 @@ def apply_per_series(
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
-def _fit_ar(x: np.ndarray, max_p: int) -> tuple[int, np.ndarray, float, float] | None:
-    """Least-squares autoregression; the order with the smallest AIC on a common sample."""
-    top = min(max_p, (len(x) - 2) // 3)
+def _fit_many(x: np.ndarray, max_p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order, coefficients, spread and AIC of every row of ``x``, all series of one length.
+
+    Least-squares autoregressions; the order with the smallest AIC on a common sample.  Too short for a lag:
+    order 0, the mean with the spread of the values, and no AIC.
+    """
+    m, n = x.shape
+    top = min(max_p, (n - 2) // 3)
     if top < 1:
-        return None
-    y, best = x[top:], None
+        count = (~np.isnan(x)).sum(axis=1)
+        mean = np.where(count > 0, np.nansum(x, axis=1) / np.maximum(count, 1), np.nan)
+        spread = np.nansum((x - mean[:, None]) ** 2, axis=1) / np.maximum(count - 1, 1)
+        return np.zeros(m, int), mean[:, None], np.where(count > 1, np.sqrt(spread), np.nan), np.full(m, np.nan)
+    y = x[:, top:]
+    order, beta = np.zeros(m, int), np.zeros((m, top + 1))
+    sigma, aic = np.zeros(m), np.full(m, np.inf)
     for p in range(1, top + 1):
-        design = np.column_stack([np.ones(len(y))] + [x[top - k : len(x) - k] for k in range(1, p + 1)])
-        beta = np.linalg.lstsq(design, y, rcond=None)[0]
-        sse = float(((y - design @ beta) ** 2).sum())
-        aic = len(y) * np.log(max(sse / len(y), 1e-12)) + 2 * (p + 2)
-        if best is None or aic < best[3] - 1e-9:
-            best = (p, beta, np.sqrt(sse / max(len(y) - p - 1, 1)), aic)
-    return best
-
-
-def _forecast_series(rows: pd.DataFrame, keys: list[str], col: str, max_p: int, h: int) -> pd.DataFrame:
-    rows = rows.sort_values("date")
-    x = rows[col].to_numpy(dtype=float)
-    names = [*keys, "date", "order", "aic", "forecast", "lower", "upper"]
-    fit = _fit_ar(x, max_p)
-    if fit is None:  # too short for a lag: the mean, with the spread of the values as its band
-        x = x[~np.isnan(x)]
-        sigma = x.std(ddof=1) if len(x) > 1 else np.nan
-        fit = 0, np.array([x.mean() if len(x) else np.nan]), sigma, np.nan
-    p, beta, sigma, aic = fit
-    history, psi, out = list(x), [1.0], []
-    last = pd.Timestamp(rows["date"].iloc[-1])
-    for step in range(1, h + 1):
-        value = float(beta[0] + sum(beta[k] * history[-k] for k in range(1, p + 1)))
-        history.append(value)
-        width = 1.96 * sigma * float(np.sqrt(np.sum(np.square(psi))))
-        psi.append(float(sum(beta[k] * psi[-k] for k in range(1, min(p, len(psi)) + 1))))
-        day = (last + pd.Timedelta(days=step)).date()
-        out.append((*rows[keys].iloc[0], day, p, float(aic), value, value - width, value + width))
-    return pd.DataFrame(out, columns=names)
+        design = np.stack([np.ones(y.shape)] + [x[:, top - k : n - k] for k in range(1, p + 1)], axis=2)
+        inverse = np.linalg.pinv(design, rcond=np.finfo(float).eps * max(design.shape[1:]))
+        found = np.matmul(inverse, y[:, :, None])
+        sse = ((y - np.matmul(design, found)[:, :, 0]) ** 2).sum(axis=1)
+        rank = y.shape[1] * np.log(np.maximum(sse / y.shape[1], 1e-12)) + 2 * (p + 2)
+        better = (rank < aic - 1e-9) | (order == 0)
+        order[better], aic[better] = p, rank[better]
+        sigma[better] = np.sqrt(sse / max(y.shape[1] - p - 1, 1))[better]
+        beta[better, : p + 1] = found[better, :, 0]
+    return order, beta, sigma, aic
+
+
+def _fit_ar(x: np.ndarray, max_p: int) -> tuple[int, np.ndarray, float, float] | None:
+    """The fit of one series; None if it is too short for a lag."""
+    order, beta, sigma, aic = (v[0] for v in _fit_many(x[None, :], max_p))
+    return (int(order), beta[: order + 1], float(sigma), float(aic)) if order else None
+
+
+AR_ROWS = 1_000  # series that are fitted at once, which bounds a task's memory
+
+
+def _forecast_series(batches: Iterator[pa.RecordBatch], keys: list[str], max_p: int, h: int) -> Iterator[pa.RecordBatch]:
+    """``h`` rows for every row of keys, days and values; series of one length are fitted together."""
+    slices = (b.slice(i, AR_ROWS) for b in batches for i in range(0, b.num_rows, AR_ROWS))
+    for batch in slices:
+        days, values = batch.column("_days"), batch.column("_values")
+        ends = np.cumsum(days.value_lengths().to_numpy(zero_copy_only=False))
+        lengths = np.diff(ends, prepend=0)
+        every = values.flatten().to_numpy(zero_copy_only=False).astype(float)
+        last = days.flatten().cast(pa.int32()).to_numpy(zero_copy_only=False)[ends - 1]
+        for n in np.unique(lengths):
+            at = np.flatnonzero(lengths == n)
+            x = every[(ends[at] - n)[:, None] + np.arange(n)]
+            order, beta, sigma, aic = _fit_many(x, max_p)
+            lags = beta.shape[1] - 1
+            history, psi, total = [x[:, i] for i in range(n)], [np.ones(len(at))], np.zeros(len(at))
+            out = []
+            for step in range(1, h + 1):
+                value = beta[:, 0] + sum(beta[:, k] * history[-k] for k in range(1, lags + 1))
+                history.append(value)
+                total = total + psi[-1] ** 2
+                width = 1.96 * sigma * np.sqrt(total)
+                psi.append(sum((beta[:, k] * psi[-k] for k in range(1, min(lags, len(psi)) + 1)), np.zeros(len(at))))
+                out.append((last[at] + step, order, aic, value, value - width, value + width))
+            date, *rest = (np.stack(c, axis=1).reshape(-1) for c in zip(*out))
+            rows = pa.array(np.repeat(at, h))
+            cols = [batch.column(k).take(rows) for k in keys]
+            cols += [pa.array(date, pa.int32()).cast(pa.date32()), pa.array(rest[0], pa.int32()), *map(pa.array, rest[1:])]
+            yield pa.RecordBatch.from_arrays(cols, [*keys, "date", "order", "aic", "forecast", "lower", "upper"])
 
 
 def ar_forecast_by_series(
@@ -328,10 +359,12 @@ def ar_forecast_by_series(
 ) -> DataFrame:
     """Autoregressive forecast with a 95 % band for every series, ``h`` days ahead.
 
-    A series too short for a lag gets order 0: its mean, and no band if it has one value.
+    A series, which has a row per day, becomes one row; a task fits many of them at once.  A series too
+    short for a lag gets order 0: its mean, and no band if it has one value.
     """
     kinds = ", ".join(f"`{k}` {panel.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, date date, `order` int, aic double, forecast double, lower double, upper double"
-    fn = partial(_forecast_series, keys=list(keys), col=col, max_p=max_p, h=h)
-    return apply_per_series(panel.select(*keys, "date", col), keys, lambda rows: fn(rows), schema)
-
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("date").cast("date").alias("d"), F.col(col).cast("double").alias("v"))))
+    series = panel.groupBy(*keys).agg(pairs.alias("_s")).select(*keys, F.col("_s.d").alias("_days"), F.col("_s.v").alias("_values"))
+    fn = partial(_forecast_series, keys=list(keys), max_p=max_p, h=h)
+    return series.mapInArrow(lambda batches: fn(batches), schema)

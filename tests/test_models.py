@@ -112,3 +112,29 @@ def test_learned_score_explains_a_rule_that_its_inputs_hold(spark):
     rows = out.collect()
     assert all(r.final_score == r.score for r in rows if r.is_file)
     assert all(r.final_score == round(0.7 * r.score + 0.3 * r.learned_score) or abs((0.7 * r.score + 0.3 * r.learned_score) % 1 - 0.5) < 1e-9 for r in rows if not r.is_file)
+
+
+def test_ar_forecast_fits_series_together(spark):
+    """Series of several lengths in one frame equal a plain least-squares fit of each alone, constant ones too."""
+    rng, start, max_p, data = np.random.default_rng(5), date(2024, 1, 1), 3, {}
+    for k in range(24):
+        n = (1, 4, 12, 30)[k % 4]
+        data[f"s{k}"] = [0.0] * n if k < 4 else [float(v) for v in rng.integers(0, 9, n)]
+    rows = [("P", k, start + timedelta(d), v) for k, x in data.items() for d, v in enumerate(x)]
+    panel = spark.createDataFrame(rows, "OpDiv string, indicator string, date date, observations double")
+    out = md.ar_forecast_by_series(panel.repartition(3), "observations", max_p, 1)
+    assert "ArrowPython" not in out._jdf.queryExecution().executedPlan().toString()  # no group function per series
+    got = {r.indicator: r for r in out.collect()}
+    assert len(got) == len(data)
+    for k, x in data.items():
+        x, best, top = np.array(x), None, min(max_p, (len(data[k]) - 2) // 3)
+        for p in range(1, top + 1):
+            design = np.column_stack([np.ones(len(x) - top)] + [x[top - j : len(x) - j] for j in range(1, p + 1)])
+            beta = np.linalg.lstsq(design, x[top:], rcond=None)[0]
+            sse = ((x[top:] - design @ beta) ** 2).sum()
+            aic = len(design) * np.log(max(sse / len(design), 1e-12)) + 2 * (p + 2)
+            if best is None or aic < best[0] - 1e-9:
+                best = aic, p, beta[0] + beta[1:] @ x[::-1][:p]
+        order, want = (best[1], best[2]) if best else (0, x.mean())
+        assert got[k].order == order and got[k].forecast == pytest.approx(want, abs=1e-8)
+        assert got[k].date == start + timedelta(len(x))
