@@ -123,7 +123,7 @@ def test_ar_forecast_fits_series_together(spark):
     rows = [("P", k, start + timedelta(d), v) for k, x in data.items() for d, v in enumerate(x)]
     panel = spark.createDataFrame(rows, "OpDiv string, indicator string, date date, observations double")
     out = md.ar_forecast_by_series(panel.repartition(3), "observations", max_p, 1)
-    assert "ArrowPython" not in out._jdf.queryExecution().executedPlan().toString()  # no group function per series
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()  # no group function per series
     got = {r.indicator: r for r in out.collect()}
     assert len(got) == len(data)
     for k, x in data.items():
