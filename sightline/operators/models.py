@@ -8,11 +8,11 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressor
 from pyspark.sql import DataFrame
@@ -52,11 +52,14 @@ def _single_class(rows: DataFrame, label: str) -> bool:
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def _classify(train, features, label, estimator, stages, out) -> Scorer:
+def _labelled(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     rows = _numbers(train, features).where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("double"))
-    if _single_class(rows, "_label"):
+    return rows.select(*[f"_{c}" for c in features], "_label")
+
+
+def _probability(model: PipelineModel | None, features: Sequence[str], out: str) -> Scorer:
+    if model is None:  # one class only
         return lambda target: target.withColumn(out, F.lit(None).cast("double"))
-    model = Pipeline(stages=[*_prepare(features), *stages, estimator(rows)]).fit(rows)
 
     def score(target: DataFrame) -> DataFrame:
         scored = model.transform(_numbers(target, features))
@@ -65,6 +68,15 @@ def _classify(train, features, label, estimator, stages, out) -> Scorer:
     return score
 
 
+def _medians(counted: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Median of each column over the rows that ``_weight`` counts, without nulls and NaN."""
+    values = counted.select("_weight", *cols).unpivot("_weight", list(cols), "_column", "_value").where(~F.isnan("_value"))
+    found = exact_quantiles(values, "_value", (0.5,), ("_column",), "_weight").collect()  # a row per column
+    if len(found) < len(cols):
+        raise ValueError(f"no value to impute: {', '.join(sorted(set(cols) - {r['_column'] for r in found}))}")
+    return {r["_column"]: r["q0"] for r in found}
+
+
 _OUTPUTS = dict(labelCol="_label", predictionCol="_prediction", probabilityCol="_probability", rawPredictionCol="_raw")
 
 
@@ -72,15 +84,15 @@ def logistic_scorer(
     train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", c: float = 1.0, out: str = "logistic"
 ) -> Scorer:
     """Fit ``fit_logistic``'s model and return what adds its probability to a frame of features."""
+    rows = _labelled(train, features, label)
+    if _single_class(rows, "_label"):
+        return _probability(None, features, out)
     scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True, withStd=True)
-
-    def estimator(rows: DataFrame) -> LogisticRegression:
-        # the penalty is per row here, so it shrinks with the number of rows
-        return LogisticRegression(
-            featuresCol="_scaled", regParam=1.0 / (c * rows.count()), standardization=False, maxIter=2000, **_OUTPUTS
-        )
-
-    return _classify(train, features, label, estimator, [scaler], out)
+    # the penalty is per row here, so it shrinks with the number of rows
+    ridge = LogisticRegression(
+        featuresCol="_scaled", regParam=1.0 / (c * rows.count()), standardization=False, maxIter=2000, **_OUTPUTS
+    )
+    return _probability(Pipeline(stages=[*_prepare(features), scaler, ridge]).fit(rows), features, out)
 
 
 def fit_logistic(
@@ -98,16 +110,25 @@ def boosted_scorer(
     train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label_7", rounds: int = 100,
     depth: int = 3, step: float = 0.1, seed: int = 42, out: str = "boosted",
 ) -> Scorer:
-    """Fit ``fit_boosted``'s model and return what adds its probability to a frame of features."""
+    """Fit ``fit_boosted``'s model and return what adds its probability to a frame of features.
 
-    def estimator(_: DataFrame) -> GBTClassifier:
-        trees = GBTClassifier(
-            featuresCol="_vector", labelCol="_label", predictionCol="_prediction", maxIter=rounds,
-            maxDepth=depth, stepSize=step, seed=seed,
-        )
-        return trees.setProbabilityCol("_probability").setRawPredictionCol("_raw")
-
-    return _classify(train, features, label, estimator, [], out)
+    Trees see a row only by its values and weight, so equal rows become one that weighs their number.
+    The many passes of the fit then read distinct rows, written once, and not the plan of ``train``.
+    """
+    cols = [f"_{c}" for c in features]
+    counted = pin(_labelled(train, features, label).groupBy(*cols, "_label").agg(F.count("*").cast("double").alias("_weight")))
+    if _single_class(counted, "_label"):
+        return _probability(None, features, out)
+    medians = _medians(counted, cols)
+    filled = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"coalesce(nanvl(`{c}`, NULL), CAST('{medians[c]!r}' AS DOUBLE)) AS `{c}_filled`" for c in cols) + " FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"{c}_filled" for c in cols], outputCol="_vector")
+    trees = GBTClassifier(
+        featuresCol="_vector", labelCol="_label", predictionCol="_prediction", weightCol="_weight", maxIter=rounds,
+        maxDepth=depth, stepSize=step, seed=seed,
+    )
+    trees = trees.setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    return _probability(Pipeline(stages=[filled, assembler, trees]).fit(counted), features, out)
 
 
 def fit_boosted(

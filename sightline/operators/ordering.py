@@ -75,10 +75,12 @@ def running_totals(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles per group: columns ``q0, q1 …`` plus ``n``.
 
+    With ``weight`` a row stands for that many equal rows.
+
     The built-in exact percentile keeps a map of all distinct values of a group in one task; here
     equal values are counted first and the counts are range-partitioned, so a group with any
     number of distinct values is spread over all tasks.  Any number of groups is done at once; a null
@@ -86,14 +88,17 @@ def exact_quantiles(
     """
     if by:
         # as one struct, a group with nulls equals itself
-        packed = df.select(F.struct(*by).alias("_group"), value)
-        out = _quantiles(packed, value, probabilities, ["_group"])
+        packed = df.select(F.struct(*by).alias("_group"), value, *([weight] if weight else []))
+        out = _quantiles(packed, value, probabilities, ["_group"], weight)
         return out.select(*[F.col(f"_group.{c}").alias(c) for c in by], *[c for c in out.columns if c != "_group"])
-    return _quantiles(df, value, probabilities, [])
+    return _quantiles(df, value, probabilities, [], weight)
 
 
-def _quantiles(df: DataFrame, value: str, probabilities: Sequence[float], by: list[str]) -> DataFrame:
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+def _quantiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], by: list[str], weight: str | None
+) -> DataFrame:
+    rows = F.sum(weight).cast("long") if weight else F.count("*")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(rows.alias("_n"))
     placed = running_totals(counts, value, ["_n"], by)
     start, total = F.col("_n_before"), F.col("_n_all")
 

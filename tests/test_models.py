@@ -138,3 +138,27 @@ def test_ar_forecast_fits_series_together(spark):
         order, want = (best[1], best[2]) if best else (0, x.mean())
         assert got[k].order == order and got[k].forecast == pytest.approx(want, abs=1e-8)
         assert got[k].date == start + timedelta(len(x))
+
+
+def test_boosted_fit_reads_its_rows_once_and_weighs_equal_ones(spark, separable):
+    """The plan of the training rows runs once, whatever the rounds, and copies of all rows change nothing."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    train = separable.mapInPandas(counted, separable.schema)
+    once = md.fit_boosted(train, ("a", "b"), "y", rounds=3, out="p", apply_to=separable).select("id", "p").collect()
+    assert read.value == 300
+    copies = separable.unionByName(separable).unionByName(separable)
+    thrice = md.fit_boosted(copies, ("a", "b"), "y", rounds=3, out="p", apply_to=separable).select("id", "p").collect()
+    assert {r.id: r.p for r in thrice} == pytest.approx({r.id: r.p for r in once}, abs=1e-12)
+
+
+def test_medians_count_weights(spark):
+    rows = [(1.0, 5.0, 3.0), (2.0, None, 1.0), (9.0, 7.0, 1.0), (4.0, float("nan"), 8.0)]
+    assert md._medians(spark.createDataFrame(rows, "a double, b double, _weight double"), ["a", "b"]) == {"a": 4.0, "b": 5.0}
+    with pytest.raises(ValueError, match="no value to impute: b"):
+        md._medians(spark.createDataFrame([(1.0, None, 2.0)], "a double, b double, _weight double"), ["a", "b"])
