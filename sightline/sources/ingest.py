@@ -49,11 +49,15 @@ def scan_report_tree(
     spark: SparkSession, root: str, day: str | None = None, exclude: Sequence[str] = (),
     schema: StructType = DAILY_REPORT,
 ) -> DataFrame:
-    """All ``<partner>/<name>YYYYMMDD.csv`` under a tree with ``Partner`` and ``FileDate``."""
-    rows = _csv(spark, schema).csv(root)
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    pattern = r"([^/]+)/[^/]*?(\d{8})\.csv(?:/|$)"
-    located = rows.withColumn("_path", path).withColumns(
+    """All ``<partner>/<name>YYYYMMDD.csv`` under a tree with ``Partner`` and ``FileDate``.
+
+    A path is taken apart once per file, and not once per row, in a table of files that is joined back.
+    """
+    rows = _csv(spark, schema).csv(root).withColumn("_file", F.col("_metadata.file_path"))
+    path = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
+    # a match begins where a part of the path does; tried from every letter, long paths cost their square
+    pattern = r"(?:^|/)([^/]+)/[^/]*?(\d{8})\.csv(?:/|$)"
+    located = rows.select("_file").distinct().withColumn("_path", path).withColumns(
         {
             "Partner": F.regexp_replace(F.regexp_extract("_path", pattern, 1), "^[^=]*=", ""),
             "FileDate": F.to_date(F.nullif(F.regexp_extract("_path", pattern, 2), F.lit("")), "yyyyMMdd"),
@@ -64,7 +68,7 @@ def scan_report_tree(
         kept = kept.where(~F.col("_path").contains(f"/{name}/"))
     if day:
         kept = kept.where(F.col("FileDate") == F.lit(day).cast("date"))
-    return kept.drop("_path")
+    return rows.join(small(kept.drop("_path")), "_file").drop("_file")
 
 
 def read_json_records(

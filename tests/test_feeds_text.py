@@ -94,6 +94,14 @@ def test_scan_report_tree(spark, tmp_path):
     assert ingest.scan_report_tree(spark, str(tmp_path), day="2024-01-02").count() == 1
 
 
+def test_scan_report_tree_takes_paths_apart_once_a_file(spark, tmp_path):
+    (tmp_path / "VA").mkdir()
+    (tmp_path / "VA" / "rep_20240101.csv").write_text("Indicator,Observed Today\na,1\nb,0\n")
+    out = ingest.scan_report_tree(spark, str(tmp_path))
+    assert "regexp" not in out._jdf.queryExecution().optimizedPlan().toString()  # no pattern in the plan over the rows
+    assert [(r.Partner, str(r.FileDate)) for r in out.collect()] == [("VA", "2024-01-01")] * 2
+
+
 def test_read_json_array(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": 1, "o": {"x": "p"}},\n {"id": 2, "o": {"x": "q"}}]')
     df = ingest.read_json_records(spark, str(tmp_path), "id long, o struct<x: string>", multi_line=True)
