@@ -68,6 +68,19 @@ def _probability(model: PipelineModel | None, features: Sequence[str], out: str)
     return score
 
 
+TASK_ROWS, TASK_MOST = 20_000, 1_000_000  # rows that a task of a fit in many passes reads at least and at most
+
+
+def _equal_parts(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Written rows in equal parts, one a core, for a fit of very many passes.
+
+    Each pass starts and merges a task per part, so parts beyond the cores cost more than their rows.
+    """
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, n // TASK_MOST, min(cores, n // TASK_ROWS))
+    return rows.repartition(parts, *by).sortWithinPartitions(*by)
+
+
 def _medians(counted: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Median of each column over the rows that ``_weight`` counts, without nulls and NaN."""
     values = counted.select("_weight", *cols).unpivot("_weight", list(cols), "_column", "_value").where(~F.isnan("_value"))
@@ -202,8 +215,6 @@ SCORE_FEATURES = (
     "sources_count", "partners_count", "actor_part", "first_seen_part", "context_bonus", "botnet_flag",
     "false_positives", "scanner_factor", "quality_factor",
 )
-TASK_ROWS = 20_000  # rows that a task of the learned score's fit reads at least
-
 
 def score_learned(
     scored: DataFrame, seed: int = 42, rounds: int = 300, key: str = "indicator"
@@ -218,9 +229,9 @@ def score_learned(
     rows = rows.withColumn("_label", F.col("score").cast("double"))
     share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000)) / 1000
     # the many passes of the fit read a narrow copy, and not the scoring plan anew
-    narrow = pin(rows.select("_label", share.alias("_share"), *[f"_{c}" for c in SCORE_FEATURES]))
-    tasks = max(1, min(narrow.rdd.getNumPartitions(), narrow.count() // TASK_ROWS))
-    narrow = narrow.coalesce(tasks)
+    spot = F.xxhash64(F.col(key), F.lit(seed + 1))
+    narrow = pin(rows.select("_label", share.alias("_share"), spot.alias("_spot"), *[f"_{c}" for c in SCORE_FEATURES]))
+    narrow = _equal_parts(narrow, ("_spot",))
     train, test = narrow.where("_share < 0.8"), narrow.where("_share >= 0.8")
     trees = GBTRegressor(
         featuresCol="_vector", labelCol="_label", predictionCol="_prediction", maxDepth=6, stepSize=0.05,

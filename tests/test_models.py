@@ -162,3 +162,23 @@ def test_medians_count_weights(spark):
     assert md._medians(spark.createDataFrame(rows, "a double, b double, _weight double"), ["a", "b"]) == {"a": 4.0, "b": 5.0}
     with pytest.raises(ValueError, match="no value to impute: b"):
         md._medians(spark.createDataFrame([(1.0, None, 2.0)], "a double, b double, _weight double"), ["a", "b"])
+
+
+def test_learned_score_fits_equal_parts_one_a_core(spark, monkeypatch):
+    """However many parts the scores come in, the passes of the fit start no more tasks than there are cores."""
+    rng, seen = np.random.default_rng(6), []
+    names = [c for c in md.SCORE_FEATURES if c != "botnet_flag"]
+    data = [(f"k{i}", int(v[0] * 30), False, False, *v) for i, v in enumerate(rng.integers(0, 20, (1_000, len(names))).astype(float).tolist())]
+    schema = "indicator string, score int, is_file boolean, has_botnet boolean, " + ", ".join(f"{c} double" for c in names)
+    fit = md.Pipeline.fit
+
+    def watched(self, rows, *more):
+        seen.extend(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+        return fit(self, rows, *more)
+
+    monkeypatch.setattr(md, "TASK_ROWS", 10)
+    monkeypatch.setattr(md.Pipeline, "fit", watched)
+    out, _metrics = md.score_learned(spark.createDataFrame(data, schema).repartition(40), rounds=1)
+    assert out.count() == 1_000
+    cores = spark.sparkContext.defaultParallelism
+    assert len(seen) == cores and max(seen) < 2 * sum(seen) / cores
