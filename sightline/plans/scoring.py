@@ -49,10 +49,10 @@ def score_inputs(
     incidents = labels.groupBy("indicator").agg(F.array_join(_set_of(F.col("label")), ";").alias("incident"))
     actors = ag.condense_tags(tags, (actor_column,)).withColumnRenamed(actor_column, "threat_actor")
     mass = ag.mass_scanner_flags(obs, as_of, **mass_scanner).select("indicator", "mass_scanner")
-    enriched = ag.flatten_enrichment(records, lists=("tags",), texts=(), numbers=("vtMaliciousCount",))
-    # the score reads the tags of an indicator in one row
-    enriched = enriched.groupBy("indicator").agg(
-        F.flatten(F.collect_list("enrich_tags")).alias("enrich_tags"), F.max("enrich_vtMaliciousCount").alias("enrich_vtMaliciousCount"))
+    # the score reads the tags of an indicator in one row, so lists in parts, which take a pass over the records first, are of no use here
+    found = records.select("indicator", F.explode("enrichment").alias("e")).select(
+        "indicator", F.explode_outer("e.tags").alias("tag"), F.col("e.vtMaliciousCount").alias("vt"))
+    enriched = found.groupBy("indicator").agg(_set_of(F.col("tag")).alias("enrich_tags"), F.max("vt").alias("enrich_vtMaliciousCount"))
     rows = ag.combine_partners(base, records, obs, known)
     for context in (
         dates, ag.sources_per_indicator(records), tag_lists, incidents, actors, mass, enriched,

@@ -4,8 +4,10 @@ import math
 
 import pytest
 
+from sightline.catalog.data import observations, records, tag_dimension
 from sightline.functions.columns import severity
 from sightline.operators import scoring as sc
+from sightline.plans.scoring import score_job
 from pyspark.sql import functions as F
 
 BASE = dict(
@@ -105,3 +107,17 @@ def test_score_decay(spark):
     df = spark.createDataFrame(rows, "indicator string, indicator_type string, score int, last_observed string")
     got = {r.indicator: r.decayed_score for r in sc.score_decay(df, "2024-01-30").collect()}
     assert got == {"a": 420, "b": 0, "c": 100}
+
+
+def test_score_job_is_one_lazy_plan(spark):
+    """Building the job starts no Spark job, so the records are not read once more before the plan runs."""
+    sf = "/root/testdata/sf0.001"
+    recs, obs, tags = records(spark, sf), observations(spark, sf), tag_dimension(spark, sf)
+    spark.sparkContext.setJobGroup("score_job_build", "building")
+    try:
+        out = score_job(recs, obs, tags, "2024-01-30", min_total=1200, min_partners=5)
+        started = spark.sparkContext.statusTracker().getJobIdsForGroup("score_job_build")
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert list(started) == [] and "enrich_tags" in out.columns
