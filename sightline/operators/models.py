@@ -71,7 +71,7 @@ def _probability(model: PipelineModel | None, features: Sequence[str], out: str)
 TASK_ROWS, TASK_MOST = 20_000, 1_000_000  # rows that a task of a fit in many passes reads at least and at most
 
 
-def _equal_parts(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+def equal_parts(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """Written rows in equal parts, one a core, for a fit of very many passes.
 
     Each pass starts and merges a task per part, so parts beyond the cores cost more than their rows.
@@ -126,13 +126,14 @@ def boosted_scorer(
     """Fit ``fit_boosted``'s model and return what adds its probability to a frame of features.
 
     Trees see a row only by its values and weight, so equal rows become one that weighs their number.
-    The many passes of the fit then read distinct rows, written once, and not the plan of ``train``.
+    The many passes of the fit then read distinct rows, written once, in equal parts, and not the plan of ``train``.
     """
     cols = [f"_{c}" for c in features]
     counted = pin(_labelled(train, features, label).groupBy(*cols, "_label").agg(F.count("*").cast("double").alias("_weight")))
     if _single_class(counted, "_label"):
         return _probability(None, features, out)
     medians = _medians(counted, cols)
+    counted = equal_parts(counted, (*cols, "_label"))
     filled = SQLTransformer(statement="SELECT *, " + ", ".join(
         f"coalesce(nanvl(`{c}`, NULL), CAST('{medians[c]!r}' AS DOUBLE)) AS `{c}_filled`" for c in cols) + " FROM __THIS__")
     assembler = VectorAssembler(inputCols=[f"{c}_filled" for c in cols], outputCol="_vector")
@@ -231,7 +232,7 @@ def score_learned(
     # the many passes of the fit read a narrow copy, and not the scoring plan anew
     spot = F.xxhash64(F.col(key), F.lit(seed + 1))
     narrow = pin(rows.select("_label", share.alias("_share"), spot.alias("_spot"), *[f"_{c}" for c in SCORE_FEATURES]))
-    narrow = _equal_parts(narrow, ("_spot",))
+    narrow = equal_parts(narrow, ("_spot",))
     train, test = narrow.where("_share < 0.8"), narrow.where("_share >= 0.8")
     trees = GBTRegressor(
         featuresCol="_vector", labelCol="_label", predictionCol="_prediction", maxDepth=6, stepSize=0.05,

@@ -8,7 +8,7 @@ sorted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -62,18 +62,49 @@ def recurrence_features(
     """
     day = F.lit(as_of).cast("date")
     length = F.datediff(day, F.min("first")) + 1 if "first" in runs.columns else F.lit(None).cast("int")
-    out = runs.groupBy(*keys).agg(
-        F.datediff(day, F.max("date")).cast("long").alias("last_seen"),
-        *[F.count_if(F.col("date") > F.date_sub(day, k)).alias(f"freq_{k}") for k in horizons],
-        F.avg("gap").alias("_mean"), F.stddev_pop("gap").alias("_std"), F.count("gap").alias("_gaps"), length.alias("_n"),
-    )
-    bursty = (F.col("_std") - F.col("_mean")) / (F.col("_std") + F.col("_mean"))
-    return out.select(
-        *keys, "last_seen", *[f"freq_{k}" for k in horizons],
-        F.coalesce("_mean", F.col("_n").cast("double")).alias("avg_gap"),
-        F.when(F.col("_gaps") > 1, bursty).otherwise(F.lit(0.0)).alias("burstiness"),
-        *[(F.col(f"freq_{k}") > 0).cast("int").alias(f"label_{k}") for k in horizons if k > 1],
-    )
+    out = runs.groupBy(*keys).agg(*_totals(day, horizons, F.col), length.alias("_n"))
+    return out.select(*keys, *_features(horizons))
+
+
+def _totals(day: Column, horizons: Sequence[int], seen: Callable[[str], Column], at: str = "") -> list[Column]:
+    """Aggregates behind the features on ``day``; ``seen`` gives a column where the sighting counts, else null."""
+    out = {
+        "last_seen": F.datediff(day, F.max(seen("date"))).cast("long"),
+        **{f"freq_{k}": F.count_if(seen("date") > F.date_sub(day, k)) for k in horizons},
+        "_mean": F.avg(seen("gap")), "_std": F.stddev_pop(seen("gap")), "_gaps": F.count(seen("gap")),
+    }
+    return [value.alias(f"{at}{name}") for name, value in out.items()]
+
+
+def _features(horizons: Sequence[int], at: str = "", length: Column | None = None) -> list[Column]:
+    mean, std, gaps = (F.col(f"{at}{name}") for name in ("_mean", "_std", "_gaps"))
+    length = F.col("_n") if length is None else length
+    return [
+        *[F.col(f"{at}{name}").alias(name) for name in ("last_seen", *[f"freq_{k}" for k in horizons])],
+        F.coalesce(mean, length.cast("double")).alias("avg_gap"),
+        F.when(gaps > 1, (std - mean) / (std + mean)).otherwise(F.lit(0.0)).alias("burstiness"),
+        *[(F.col(f"{at}freq_{k}") > 0).cast("int").alias(f"label_{k}") for k in horizons if k > 1],
+    ]
+
+
+def recurrence_at(
+    runs: DataFrame, cuts: Sequence[str], min_seen: int = 2, horizons: Sequence[int] = HORIZONS, keys: Sequence[str] = SERIES
+) -> DataFrame:
+    """Per series and day of ``cuts`` a struct ``at_<day>``, all from one pass over the sightings of ``runs``.
+
+    It holds ``recurrence_features`` of what was known on that day and ``label``, whether a sighting came
+    later.  Null for a series of fewer than ``min_seen`` sightings by then.  A gap looks back only, so it
+    is the same on every later day.
+    """
+    totals, structs = [], []
+    for n, cut in enumerate(dict.fromkeys(cuts)):
+        day, at = F.lit(cut).cast("date"), f"_{n}"
+        totals += _totals(day, horizons, lambda c, day=day: F.when(F.col("date") <= day, F.col(c)), at)
+        totals += [F.count_if(F.col("date") <= day).alias(f"{at}_seen"), F.count_if(F.col("date") > day).alias(f"{at}_later")]
+        later = (F.col(f"{at}_later") > 0).cast("int").alias("label")
+        row = F.struct(*_features(horizons, at, F.lit(None)), later)
+        structs.append(F.when(F.col(f"{at}_seen") >= min_seen, row).alias(f"at_{cut}"))
+    return runs.groupBy(*keys).agg(*totals).select(*keys, *structs)
 
 
 def seen_on(runs: DataFrame, as_of: str, keys: Sequence[str] = SERIES) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
@@ -9,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.forecast import confidence_band, ensemble_probability, exp_hazard, forecast_report
-from ..operators.models import boosted_scorer, logistic_scorer, survival_scorer
-from ..operators.runs import recurrence_features, run_length_panel, seen_on
+from ..operators.models import FEATURES, boosted_scorer, equal_parts, logistic_scorer, survival_scorer
+from ..operators.runs import recurrence_at, recurrence_features, run_length_panel
 from ..session import pin
 
 
@@ -57,27 +58,36 @@ def forecast_job(
     ``mode='in_sample'`` fits on labels taken from the same window as the features.
     """
     keys = ("OpDiv", "indicator")
-    # all horizons read the same sighting days, summed once
-    days = pin(obs.where(F.col("obs_date") <= F.lit(as_of).cast("date")).groupBy(*keys, "obs_date").agg(
-        F.sum("observations").alias("observations")))
-    runs = run_length_panel(days, as_of)
-    features = pin(recurrence_features(runs, as_of))
-
-    def models(h: int) -> list:
-        label = f"label_{max(h, 7)}"
-        train = features.withColumn("label", F.col(label)) if mode == "in_sample" else pin(training_frame(days, as_of, h))
+    last = date.fromisoformat(as_of)
+    cuts = {h: as_of if mode == "in_sample" else (last - timedelta(days=h)).isoformat() for h in horizons}
+    # one pass over the sightings gives the features of today and those of every horizon's training day
+    series = pin(recurrence_at(run_length_panel(obs, as_of), (as_of, *cuts.values())))
+    features = series.select(*keys, f"at_{as_of}.*").drop("label")
+
+    def training(h: int) -> DataFrame:
+        at = F.col(f"at_{cuts[h]}")
+        # a null key is equal to no later sighting
+        later = F.when(F.col("OpDiv").isNotNull() & F.col("indicator").isNotNull(), at["label"]).otherwise(F.lit(0))
+        label = at[f"label_{max(h, 7)}"] if mode == "in_sample" else later
+        rows = series.where(at.isNotNull()).select(*keys, *[at[c].alias(c) for c in FEATURES], label.alias("label"))
+        return pin(equal_parts(rows, keys).drop(*keys))
+
+    def fits(h: int, train: DataFrame) -> list[Callable]:
         return [
-            logistic_scorer(train, label="label", out=f"logistic_{h}"), boosted_scorer(train, label="label", out=f"boosted_{h}"),
-            survival_scorer(train, event="label", times=(h,)),
+            lambda: logistic_scorer(train, label="label", out=f"logistic_{h}"),
+            lambda: boosted_scorer(train, label="label", out=f"boosted_{h}"),
+            lambda: survival_scorer(train, event="label", times=(h,)),
         ]
 
     scored = exp_hazard(features, horizons)
-    # the fits of the horizons know nothing of each other, so their jobs share the cluster
-    with ThreadPoolExecutor(max_workers=max(1, len(horizons))) as pool:
-        for scorers in pool.map(models, horizons):
-            for score in scorers:
-                scored = score(scored)
+    # the fits know nothing of each other, so their many short jobs share the cluster
+    with ThreadPoolExecutor(max_workers=max(1, 3 * len(horizons))) as pool:
+        trains = pool.map(training, horizons)
+        running = [pool.submit(fit) for h, train in zip(horizons, trains) for fit in fits(h, train)]
+        for scorer in running:
+            scored = scorer.result()(scored)
     scored = ensemble_probability(scored, horizons=horizons)
     for h in horizons:
         scored = confidence_band(scored, h)
-    return forecast_report(scored, seen_on(runs, as_of), horizons, last_day=as_of)
+    today = features.select(*keys, (F.col("last_seen") == 0).cast("int").alias("seen"), F.lit(as_of).cast("date").alias("date"))
+    return forecast_report(scored, today, horizons, last_day=as_of)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from sightline.operators import evaluation as ev
 from sightline.operators import models as md
+from sightline.operators import runs as rl
 from sightline.operators.models import _fit_ar
+from sightline.plans import forecast as plan
 from sightline.plans.forecast import training_frame
 
 
@@ -182,3 +184,55 @@ def test_learned_score_fits_equal_parts_one_a_core(spark, monkeypatch):
     assert out.count() == 1_000
     cores = spark.sparkContext.defaultParallelism
     assert len(seen) == cores and max(seen) < 2 * sum(seen) / cores
+
+
+@pytest.mark.parametrize("mode", ["out_of_sample", "in_sample"])
+def test_forecast_job_takes_all_training_days_from_one_pass(spark, monkeypatch, mode):
+    """The sightings are put in order once, whatever the horizons, and each fit gets the rows of its own training frame."""
+    rng, as_of, horizons = np.random.default_rng(8), "2024-03-01", (1, 7, 30)
+    data = [
+        (("P", "Q")[v % 2], None if v % 25 == 0 else f"k{v % 25}", date(2024, 1, 1) + timedelta(int(d)), int(o))
+        for v, d, o in zip(rng.integers(0, 50, 400), rng.integers(0, 66, 400), rng.integers(-1, 4, 400))
+    ]
+    obs = spark.createDataFrame(data, "OpDiv string, indicator string, obs_date date, observations long")
+    days = obs.groupBy("OpDiv", "indicator", "obs_date").agg(F.sum("observations").alias("observations"))
+    sort = lambda found: sorted(tuple(round(float(v), 10) for v in r) for r in found)
+    panel = rl.run_length_panel(obs, as_of)
+    now, today = rl.recurrence_features(panel, as_of), rl.seen_on(panel, as_of)
+    frames = {
+        h: now.withColumn("label", F.col(f"label_{max(h, 7)}")) if mode == "in_sample" else training_frame(days, as_of, h) for h in horizons
+    }
+    want = {h: sort(frame.select(*md.FEATURES, "label").collect()) for h, frame in frames.items()}
+    got, panels, run_length_panel = {}, [], plan.run_length_panel
+
+    def model(train, label="label", out="weibull", event="label", times=()):
+        names = [f"{out}_{t}" for t in times] or [out]
+        got[names[0]] = sort(train.select(*md.FEATURES, label).collect())
+        return lambda target: target.withColumns({c: F.lit(0.5) for c in names})
+
+    for name in ("logistic_scorer", "boosted_scorer", "survival_scorer"):
+        monkeypatch.setattr(plan, name, model)
+    monkeypatch.setattr(plan, "run_length_panel", lambda *a, **k: panels.append(a) or run_length_panel(*a, **k))
+    report = plan.forecast_job(obs, as_of, horizons, mode).collect()
+    assert len(panels) == 1
+    assert got == {f"{m}_{h}": rows for h, rows in want.items() for m in ("logistic", "boosted", "weibull")}
+    seen = {(r.OpDiv, r.indicator): r.seen for r in today.collect() if r.indicator}
+    assert len(report) == now.count() > len(seen) > 40
+    assert all(r["Observed Today"] == seen.get((r.Partner, r.Indicator)) for r in report)
+
+
+def test_boosted_fit_reads_equal_parts_one_a_core(spark, separable, monkeypatch):
+    """The passes of the trees start no more tasks than there are cores, however many parts the exchange of equal rows has."""
+    parts, fit = [], md.Pipeline.fit
+    monkeypatch.setattr(md, "TASK_ROWS", 10)
+    monkeypatch.setattr(md.Pipeline, "fit", lambda self, rows, *more: parts.append(rows.rdd.getNumPartitions()) or fit(self, rows, *more))
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        md.fit_boosted(separable, ("a", "b"), "y", rounds=1)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert parts == [spark.sparkContext.defaultParallelism]
