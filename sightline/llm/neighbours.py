@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sightline.session import pin
 
@@ -27,6 +28,7 @@ PROBES = 1024  # vectors with a planted neighbour, by which the recall is measur
 FOUND = 0.999  # share of the probes that ends the descent
 OUTWARD = 32  # passes from component to component at most
 SEARCH_BLOCK = 8192  # vectors of one side of a full search that meet in one task
+PART_BYTES = 4 << 20  # of vectors in a part, each of which is sent to all its neighbours
 
 _NODE = "key long, label long, weight long, least_id long, vector binary"
 _LISTS = "part int, keys binary, near binary, cosines binary"
@@ -265,7 +267,7 @@ def first_lists(nodes: DataFrame, most: int, seed: int) -> DataFrame:
     The orders are range-partitioned, so vectors that are all alike spread over many tasks.  Nodes of
     one ``comp`` are no neighbours.
     """
-    n = B.parts(nodes.sparkSession)
+    n = _number(nodes)
     keyed = nodes.select("key", "label", "vector", "comp").mapInArrow(
         _order_keys(seed), "t int, label long, code int, along double, key long, comp long, vector binary")
     order = ["t", "label", "code", "along", "key"]
@@ -282,7 +284,7 @@ def _merged(lists: DataFrame | None, news: DataFrame, n: int, most: int, thresho
 def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float, asked: int = 0) -> DataFrame:
     """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent, or until
     nearly all of the ``asked`` probes are found and a further round has been made."""
-    n = B.parts(nodes.sparkSession)
+    n = _number(nodes)
     base = B.deal(nodes.select("part", "key", "vector", "comp"), "part", n).groupBy("part")
     total, found = (x or 0 for x in lists.agg(F.sum("total"), F.sum("found")).first())
     for _ in range(ROUNDS):
@@ -425,14 +427,11 @@ def probes(nodes: DataFrame, threshold: float, seed: int, most: int = PROBES) ->
                 [pa.array(keys, pa.int64()), batch.column(1), pa.array(cells, pa.binary()), pa.array(keys, pa.int64())],
                 ["key", "label", "vector", "comp"])
 
-    rows = chosen.select("key", "label", "vector").mapInArrow(step, "key long, label long, vector binary, comp long")
-    return rows.withColumn("part", F.lit(0))
+    return chosen.select("key", "label", "vector").mapInArrow(step, "key long, label long, vector binary, comp long")
 
 
-def outward(
-    nodes: DataFrame, edges: DataFrame, full: DataFrame, most: int, threshold: float, seed: int
-) -> tuple[DataFrame, DataFrame]:
-    """Edges and components after the full lists of ``full`` (key) have been enlarged outwards.
+def outward(nodes: DataFrame, edges: DataFrame, full: DataFrame, most: int, threshold: float, seed: int) -> DataFrame:
+    """Components after the full lists of ``full`` (key) have been enlarged outwards.
 
     A list full of links is full of its own clump, and what it may lack are links with others.  So
     nodes with full lists get new ones, of nodes outside their component only; a clump stands in the
@@ -440,21 +439,23 @@ def outward(
     go on, until none is full or nothing is found.  Only links between two nodes with full lists
     depend on this: of all others, one end had room.
     """
-    n = B.parts(nodes.sparkSession)
+    groups = components(edges.mapInArrow(_pairs, "u long, v long")).withColumnRenamed("id", "key")
     for level in range(OUTWARD):
-        groups = components(edges.mapInArrow(_pairs, "u long, v long")).withColumnRenamed("id", "key")
         full = pin(full)
         if full.isEmpty():
             break
         own = pin(nodes.drop("comp").join(full, "key", "left_semi").join(groups.withColumnRenamed("component", "comp"), "key"))
-        lists = _merged(None, first_lists(own, most, seed + 100 + level), n, most, threshold)
-        lists = descend(own, lists, most, threshold)
-        found = lists.select("u", "v")
+        n = parts_for(own.select(F.length("vector").alias("size")))
+        own = pin(in_parts(own, n))
+        lists = descend(own, _merged(None, first_lists(own, most, seed + 100 + level), n, most, threshold), most, threshold)
         if not lists.agg(F.sum(F.length("u"))).first()[0]:
             break
-        edges = pin(edges.unionByName(found))
+        # each node and its component stand for all edges before, so no level adds to the next one's input
+        known = groups.select(F.col("key").alias("u"), F.col("component").alias("v"))
+        found = lists.select("u", "v").mapInArrow(_pairs, "u long, v long")
+        groups = components(known.unionByName(found)).withColumnRenamed("id", "key")
         full = lists.select("saturated").mapInArrow(_saturated, "key long")
-    return edges, groups
+    return groups
 
 
 def near_vectors(
@@ -481,25 +482,25 @@ def near_vectors(
     do not link.  Rows that share an id are separate vectors.  Rows without id count as links but have
     no component_id of their own.  Other columns are ignored.
     """
-    n = B.parts(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding), F.col(label).cast("long").alias("label"))
     read = pin(rows.mapInArrow(_read, "vec_id long, key long, label long, vector binary"))
     valid = read.where("key IS NOT NULL")
     weights = valid.groupBy("key").agg(
         F.first("label").alias("label"), F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least_id"), F.first("vector").alias("vector"))
-    nodes = pin(weights.withColumns({"comp": F.col("key"), "part": F.lit(0)}).transform(_in_part, n))
+    n = parts_for(valid.groupBy("key").agg(F.max(F.length("vector")).alias("size")))
+    nodes = pin(weights.withColumn("comp", F.col("key")).transform(in_parts, n))
     if exhaustive:
         groups = _searched(nodes, threshold)
     else:
-        planted = probes(nodes, threshold, seed).transform(_in_part, n)
-        both = pin(nodes.select("key", "label", "vector", "comp", "part").unionByName(planted.select("key", "label", "vector", "comp", "part")))
+        planted = probes(nodes, threshold, seed).transform(in_parts, n)
+        both = pin(nodes.select(*planted.columns).unionByName(planted))
         asked, lists, most = both.where(F.col("key").bitwiseAND(F.lit(1)) == 1).count(), None, neighbours
         for attempt in range(ATTEMPTS):
             lists = _merged(lists, first_lists(both, most, seed + attempt), n, most, threshold)
             lists = descend(both, lists, most, threshold, asked)
             if (lists.agg(F.sum("found")).first()[0] or 0) >= recall * asked:
                 full = lists.select("saturated").mapInArrow(_saturated, "key long")
-                _, groups = outward(nodes, lists.select("u", "v"), full, most, threshold, seed)
+                groups = outward(nodes, lists.select("u", "v"), full, most, threshold, seed)
                 break
             most += most // 2
         else:
@@ -523,8 +524,27 @@ def _searched(nodes: DataFrame, threshold: float) -> DataFrame:
     return components(edges).withColumnRenamed("id", "key")
 
 
-def _in_part(nodes: DataFrame, n: int) -> DataFrame:
-    return nodes.mapInArrow(_own_part(n), nodes.schema)
+def parts_for(sizes: DataFrame) -> int:
+    """How many parts vectors of these sizes (``size`` in bytes) fill.
+
+    A part is a task in every step of every round, of which the driver keeps account, and sends a row to
+    each other part.  So their number follows the vectors and not the session: two a core at least, and
+    at most as many as there are shuffle partitions.
+    """
+    spark = sizes.sparkSession
+    filled = -(-(sizes.agg(F.sum("size")).first()[0] or 0) // PART_BYTES)
+    return min(B.parts(spark), max(2 * spark.sparkContext.defaultParallelism, filled))
+
+
+def in_parts(nodes: DataFrame, n: int) -> DataFrame:
+    """``nodes`` with the part of each key; the column's metadata hold the number of parts."""
+    rows = nodes.drop("part").withColumn("part", F.lit(0))
+    part = StructField("part", IntegerType(), True, {"parts": n})
+    return rows.mapInArrow(_own_part(n), StructType([*rows.drop("part").schema, part]))
+
+
+def _number(nodes: DataFrame) -> int:
+    return nodes.schema["part"].metadata["parts"]
 
 
 def _own_part(n: int):

@@ -225,6 +225,27 @@ def test_vectors_with_few_links(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in near_vectors(table).collect()} == dict(enumerate(links))
 
 
+def test_vectors_take_tasks_by_their_bytes(spark):
+    """No step has a task for each shuffle partition: the driver keeps account of every task."""
+    rng = np.random.default_rng(7)
+    e = rng.standard_normal((90, 16))
+    e[60:] = e[:30] + rng.standard_normal((30, 16)) * 0.03
+    rows = [(i, [float(x) for x in e[i]], 1) for i in range(len(e))]
+    context, before = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    context.setJobGroup("vectors-by-bytes", "")
+    try:
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        assert sorted(map(tuple, near_vectors(table).collect())) == brute_vectors(rows)
+        status = context.statusTracker()
+        stages = {i for job in status.getJobIdsForGroup("vectors-by-bytes") for i in status.getJobInfo(job).stageIds}
+        tasks = [info.numTasks for i in stages if (info := status.getStageInfo(i)) and info.numCompletedTasks]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tasks and max(tasks) <= 3 * context.defaultParallelism
+
+
 def test_vectors_of_two_close_groups(spark, monkeypatch):
     """Lists that fill up with a vector's own group don't lose the links to the other group."""
     from sightline.llm import neighbours
