@@ -25,7 +25,7 @@ BLOCK = 1024  # members of a component that are compared in one piece
 ROUNDS = 12
 ATTEMPTS = 6
 PROBES = 1024  # vectors with a planted neighbour, by which the recall is measured
-FOUND = 0.999  # share of the probes that ends the descent
+FOUND = 0.999  # share of the probes that ends the descent at once
 OUTWARD = 32  # passes from component to component at most
 SEARCH_BLOCK = 8192  # vectors of one side of a full search that meet in one task
 PART_BYTES = 4 << 20  # of vectors in a part, each of which is sent to all its neighbours
@@ -282,8 +282,9 @@ def _merged(lists: DataFrame | None, news: DataFrame, n: int, most: int, thresho
 
 
 def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float, asked: int = 0) -> DataFrame:
-    """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent, or until
-    nearly all of the ``asked`` probes are found and a further round has been made."""
+    """Refine the lists until a round raises the sum of their cosines by less than 0.1 per cent, or, with
+    ``asked`` probes, by less than 5 per cent and finds no further probe, or until nearly all probes are
+    found and a further round has been made."""
     n = _number(nodes)
     base = B.deal(nodes.select("part", "key", "vector", "comp"), "part", n).groupBy("part")
     total, found = (x or 0 for x in lists.agg(F.sum("total"), F.sum("found")).first())
@@ -292,9 +293,9 @@ def descend(nodes: DataFrame, lists: DataFrame, most: int, threshold: float, ask
             _visit(n, most), "part int, places binary, keys binary, comps binary, floors binary, vectors binary, widths binary")
         news = B.on_groups(B.deal(sent, "part", n), "part", _meet(n, most, threshold), _SEEN)
         lists = _merged(lists, news, n, most, threshold)
-        before, known = total, asked and found >= FOUND * asked
+        before, met, known = total, found, asked and found >= FOUND * asked
         total, found = (x or 0 for x in lists.agg(F.sum("total"), F.sum("found")).first())
-        if known or total - before <= 0.001 * abs(total):
+        if known or total - before <= (0.05 if asked and found <= met else 0.001) * abs(total):
             break
     return lists
 
@@ -473,9 +474,9 @@ def near_vectors(
 
     The recall is audited by probes: ``PROBES`` vectors get a planted neighbour at a known cosine, which
     takes part in the descent without connecting anything, and the share of them that is found tells
-    how many of the true links are.  While it is below ``recall``, lists grow by half and other sorted
-    orders join, at most five times; if that is not enough, or with ``exhaustive``, every vector is
-    compared with its whole label (``search``).
+    how many of the true links are.  Other sorted orders join once if it is below ``FOUND``, and as long
+    as it is below ``recall``, when lists also grow by half, at most five times; if that is not enough,
+    or with ``exhaustive``, every vector is compared with its whole label (``search``).
 
     Returns (vec_id, n_links, component_id, kept).  Vectors that are null, empty, zero or hold null or
     non-finite numbers, and vectors without label, link with nothing; vectors of different dimension
@@ -498,11 +499,12 @@ def near_vectors(
         for attempt in range(ATTEMPTS):
             lists = _merged(lists, first_lists(both, most, seed + attempt), n, most, threshold)
             lists = descend(both, lists, most, threshold, asked)
-            if (lists.agg(F.sum("found")).first()[0] or 0) >= recall * asked:
+            found = lists.agg(F.sum("found")).first()[0] or 0
+            if found >= FOUND * asked or attempt and found >= recall * asked:
                 full = lists.select("saturated").mapInArrow(_saturated, "key long")
                 groups = outward(nodes, lists.select("u", "v"), full, most, threshold, seed)
                 break
-            most += most // 2
+            most += most // 2 if found < recall * asked else 0
         else:
             groups = _searched(nodes, threshold)
     links = component_links(nodes, groups, threshold)
